@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.functions.times import day_start, hour_start
-from beaconry.operators.skew import sized_join
+from beaconry.operators.skew import part_of, sized_join
 
 FROM, TO = "__valid_from", "__valid_to"
 
@@ -20,21 +20,18 @@ def valid_at(ts: Column, valid_from: str = FROM, valid_to: str = TO) -> Column:
 
 def _versions(dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
     """The dimension reduced to join keys (under the fact's names), taken columns and validity."""
-    return dim.select(
-        *[F.col(d).alias(f) for f, d in on.items()],
-        *[F.col(source).alias(name) for name, source in take.items()],
-        F.col("valid_from").alias(FROM),
-        F.col("valid_to").alias(TO),
-    )
+    columns = [f"`{d}` AS `{f}`" for f, d in on.items()] + [f"`{s}` AS `{n}`" for n, s in take.items()]
+    return part_of(dim.selectExpr(*columns, f"valid_from AS {FROM}", f"valid_to AS {TO}"), dim)
 
 
 def within_range(dim: DataFrame, start: str | None, end: str | None) -> DataFrame:
     """Only the versions that can cover a time in ``[start, end)``."""
+    covering = dim
     if end is not None:
-        dim = dim.filter(F.col("valid_from") < F.to_timestamp(F.lit(end)))
+        covering = covering.filter(F.col("valid_from") < F.to_timestamp(F.lit(end)))
     if start is not None:
-        dim = dim.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.to_timestamp(F.lit(start))))
-    return dim
+        covering = covering.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.to_timestamp(F.lit(start))))
+    return part_of(covering, dim)
 
 
 def pit_join(
@@ -46,13 +43,14 @@ def pit_join(
     how: str = "inner",
     spread: Sequence[str] | None = None,
     limit: int | None = None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Attach columns of the dimension version that was valid at the event time.
 
     ``on`` maps fact columns to dimension columns, ``take`` maps result names to
     dimension columns; no other dimension column is read.
     """
-    joined = sized_join(fact, _versions(dim, on, take), list(on), how, valid_at(F.col(ts)), spread, limit)
+    joined = sized_join(fact, _versions(dim, on, take), list(on), how, valid_at(F.col(ts)), spread, limit, profile=profile)
     return joined.drop(FROM, TO)
 
 
@@ -87,16 +85,20 @@ def lift_dimension(inner: DataFrame, outer: DataFrame, on: Mapping[str, str], ta
     )
 
 
-def with_hour_key(fact: DataFrame, dim_hour: DataFrame, ts: str = "timestamp", limit: int | None = None) -> DataFrame:
+def with_hour_key(fact: DataFrame, dim_hour: DataFrame, ts: str = "timestamp", limit: int | None = None,
+                  profile: DataFrame | None = None) -> DataFrame:
     """Attach the calendar key of the hour; rows outside the calendar are dropped."""
-    hours = dim_hour.select(F.col("db_hour").alias("__hour"), F.col("dwid").alias("hour_dwid"))
-    return sized_join(fact.withColumn("__hour", hour_start(ts)), hours, ["__hour"], limit=limit).drop("__hour")
+    hours = part_of(dim_hour.selectExpr("db_hour AS __hour", "dwid AS hour_dwid"), dim_hour)
+    if profile is not None:
+        profile = profile.select(hour_start(ts).alias("__hour"))
+    return sized_join(fact.withColumn("__hour", hour_start(ts)), hours, ["__hour"], limit=limit, profile=profile).drop("__hour")
 
 
 def attach(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str], how: str = "inner",
            limit: int | None = None) -> DataFrame:
     """Attach columns of a dimension by plain key equality."""
-    side = dim.select(*[F.col(d).alias(f) for f, d in on.items()], *[F.col(s).alias(n) for n, s in take.items()])
+    columns = [f"`{d}` AS `{f}`" for f, d in on.items()] + [f"`{s}` AS `{n}`" for n, s in take.items()]
+    side = part_of(dim.selectExpr(*columns), dim)
     return sized_join(df, side, list(on), how, limit=limit)
 
 
@@ -142,7 +144,7 @@ def enrich_server(df: DataFrame, servers: DataFrame, take: Sequence[str] = ("ser
 
     Works on a stream too: the server side is measured once, when the query is built.
     """
-    side = servers.select("hostname", *take)
+    side = part_of(servers.select("hostname", *take), servers)
     return sized_join(df, side, ["hostname"], how, limit=limit, split_hot=not df.isStreaming)
 
 

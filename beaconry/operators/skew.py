@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 
 HOT_COUNT, SALT = "__rows", "__salt"
 
+# sizes already measured, and frames known to be no larger than another one
+_SIZES: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_WHOLE: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
+
 
 def _width(field: T.StructField) -> Column:
     c = F.col(field.name)
@@ -24,16 +29,28 @@ def _width(field: T.StructField) -> Column:
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes the rows would take in memory, from one fully partial-aggregated pass."""
-    width = F.lit(8)
-    for field in df.schema.fields:
-        width = width + _width(field)
-    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("n")).first()["n"]
+    """Bytes the rows would take in memory, from one fully partial-aggregated pass per frame."""
+    if df not in _SIZES:
+        width = F.lit(8)
+        for field in df.schema.fields:
+            width = width + _width(field)
+        _SIZES[df] = df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("n")).first()["n"]
+    return _SIZES[df]
+
+
+def part_of(part: DataFrame, whole: DataFrame) -> DataFrame:
+    """Note that ``part`` is a filter or projection of ``whole``, so a size measured for the whole bounds it."""
+    _WHOLE[part] = whole
+    return part
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the rows are known to fit: the frame itself, or one it is part of, measures within the limit."""
     limit = BROADCAST_LIMIT if limit is None else limit
-    return limit > 0 and measured_bytes(df) <= limit
+    if limit <= 0:
+        return False
+    whole = _WHOLE.get(df)
+    return (whole is not None and fits_broadcast(whole, limit)) or measured_bytes(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -60,13 +77,14 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
     return spark.createDataFrame(rows, found.schema) if rows else None
 
 
-def _salted(fact: DataFrame, dim: DataFrame, on: list[str], spread: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _salted(fact: DataFrame, dim: DataFrame, on: list[str], spread: Sequence[str],
+            profile: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
     any_null = F.lit(False)
     for k in on:
         any_null = any_null | F.col(k).isNull()
     noise = F.xxhash64(*[F.col(c) for c in spread])
-    hot = hot_keys(fact, on)
+    hot = hot_keys(profile, on)
     if hot is None:
         n = F.lit(1)
     else:
@@ -88,6 +106,7 @@ def sized_join(
     spread: Sequence[str] | None = None,
     limit: int | None = None,
     split_hot: bool = True,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large side to a smaller one on equal keys plus an optional residual condition.
 
@@ -95,6 +114,7 @@ def sized_join(
     both sides are shuffled; a key that holds more than an average partition of
     the large side is split over several tasks by a salt hashed from ``spread`` (all
     columns unless given), and the few matching rows of the other side are repeated per salt.
+    Keys are counted on ``profile`` where a cheaper frame has about the same distribution.
     Only the ``on`` columns may share names. ``how`` is inner, left, left_semi or left_anti.
     """
     on = list(on)
@@ -103,7 +123,7 @@ def sized_join(
     else:
         small, keys = (lambda d: d), on
         if split_hot:
-            fact, dim = _salted(fact, dim, on, spread or fact.columns)
+            fact, dim = _salted(fact, dim, on, spread or fact.columns, fact if profile is None else profile)
             keys = on + [SALT]
     right = dim.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = residual if residual is not None else F.lit(True)

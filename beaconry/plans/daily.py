@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,12 +80,13 @@ def build_day(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end:
     """Build the range ``[start, end)`` in subject order: hours, master tables, metrics.
 
     ``extracts`` holds the increment of each master table and of ``metric``. The calendar
-    is written once, or again when a new range is given.
+    is written once, or again when a new range is given. The master tables do not depend
+    on each other, so their small jobs run side by side.
     """
     if calendar:
         wh.replace("dmt", "dim_hour", build_dim_hour(wh.spark, *calendar))
-    for table in schemas.MASTER_TABLES:
-        build_master(wh, table, extracts[table], start, end, now)
+    with ThreadPoolExecutor(len(schemas.MASTER_TABLES)) as pool:
+        list(pool.map(lambda table: build_master(wh, table, extracts[table], start, end, now), schemas.MASTER_TABLES))
     # a single day is a single partition, already written in well-sized pieces by the scan's tasks
     several_days = (date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days > 1
     build_metric(wh, extracts["metric"], start, end, now, rebalance=several_days)

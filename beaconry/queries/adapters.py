@@ -25,7 +25,7 @@ START, END = "2024-01-01", "2024-01-31"
 
 
 def _ts(text: str):
-    return F.lit(text).cast("timestamp")
+    return F.expr(f"TIMESTAMP '{text}'")
 
 
 class Tables:
@@ -167,54 +167,48 @@ class Tables:
 
     # ------------------------------------------------------------ dimensions
 
-    def _versioned(self, df: DataFrame, dwid, first, cut: str, changed, renewed: dict) -> DataFrame:
+    @staticmethod
+    def _versioned(df: DataFrame, columns: list[str], dwid: str, first: str, cut: str, changed: str,
+                   renewed: dict[str, str]) -> DataFrame:
         """A first version of each row and, where ``changed``, a second one from ``cut`` on."""
-        base = [c for c in df.columns]
 
         def version(number, values, valid_from, valid_to, eff_flag):
-            return F.struct(
-                (dwid * 2 + number).alias("dwid"), *[values.get(c, F.col(c)).alias(c) for c in base],
-                valid_from.alias("valid_from"), valid_to.alias("valid_to"), eff_flag.alias("eff_flag"))
+            fields = [f"{values.get(c, c)} AS {c}" for c in columns]
+            return (f"struct(({dwid}) * 2 + {number} AS dwid, {', '.join(fields)}, {valid_from} AS valid_from, "
+                    f"CAST({valid_to} AS TIMESTAMP) AS valid_to, {eff_flag} AS eff_flag)")
 
-        never = F.lit(None).cast("timestamp")
-        one = version(1, {}, first, F.when(changed, _ts(cut)).otherwise(never), ~changed)
-        two = version(2, renewed, _ts(cut), never, F.lit(True))
-        return df.select(F.explode(F.when(changed, F.array(one, two)).otherwise(F.array(one))).alias("v")).select("v.*")
+        one = version(1, {}, first, f"CASE WHEN {changed} THEN TIMESTAMP '{cut}' END", f"NOT ({changed})")
+        two = version(2, renewed, f"TIMESTAMP '{cut}'", "NULL", "TRUE")
+        return df.selectExpr(f"inline(CASE WHEN {changed} THEN array({one}, {two}) ELSE array({one}) END)")
 
     @cached_property
     def dim_server(self) -> DataFrame:
-        late = F.col("c_mktsegment") == "FURNITURE"
-        servers = self.customer.select(
-            F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("long").alias("app_id"),
-            F.concat(F.lit("svr"), "c_custkey").alias("hostname"),
-            (F.col("c_custkey") % 16 + 1).cast("int").alias("cpu_cores"),
-            F.floor("c_acctbal").cast("int").alias("memory"), "c_mktsegment")
-        first = F.when(late, _ts("2024-01-05")).otherwise(_ts("2023-12-01"))
-        return self._versioned(servers, F.col("id"), first, "2024-01-15", F.col("memory") >= 5000,
-                               {"cpu_cores": F.col("cpu_cores") * 2}).drop("c_mktsegment")
+        servers = self.customer.selectExpr(
+            "c_custkey AS id", "CAST(c_nationkey AS BIGINT) AS app_id", "'svr' || c_custkey AS hostname",
+            "CAST(c_custkey % 16 + 1 AS INT) AS cpu_cores", "CAST(floor(c_acctbal) AS INT) AS memory", "c_mktsegment")
+        first = "CASE WHEN c_mktsegment = 'FURNITURE' THEN TIMESTAMP '2024-01-05' ELSE TIMESTAMP '2023-12-01' END"
+        return self._versioned(servers, schemas.ATTRIBUTES["server"].names, "id", first, "2024-01-15", "memory >= 5000",
+                               {"cpu_cores": "cpu_cores * 2"})
 
     @cached_property
     def dim_app(self) -> DataFrame:
-        apps = self.nation.select(
-            F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"),
-            F.concat(F.lit("app of region "), "n_regionkey").alias("description"),
-            F.concat(F.lit("1."), "n_regionkey").alias("version"), "n_regionkey")
-        return self._versioned(apps, F.col("id"), _ts("2023-12-01"), "2024-01-10", F.col("n_regionkey") >= 3,
-                               {"version": F.concat(F.lit("2."), "n_regionkey")}).drop("n_regionkey")
+        apps = self.nation.selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS id", "n_name AS name", "'app of region ' || n_regionkey AS description",
+            "'1.' || n_regionkey AS version", "n_regionkey")
+        return self._versioned(apps, schemas.ATTRIBUTES["app"].names, "id", "TIMESTAMP '2023-12-01'", "2024-01-10",
+                               "n_regionkey >= 3", {"version": "'2.' || n_regionkey"})
 
     @cached_property
     def dim_metric_index(self) -> DataFrame:
-        kinds = self.metric_index.drop("creation_time", "update_time")
-        return self._versioned(kinds, F.col("id"), _ts("2023-12-01"), "2024-01-20", F.col("name") == "error",
-                               {"description": F.concat(F.lit("new value of "), "name")})
+        return self._versioned(self.metric_index, schemas.ATTRIBUTES["metric_index"].names, "id", "TIMESTAMP '2023-12-01'",
+                               "2024-01-20", "name = 'error'", {"description": "'new value of ' || name"})
 
     @cached_property
     def dim_metric_threshold(self) -> DataFrame:
-        dwid = F.col("server_id") * F.lit(1 << 32) + self.kind_id("metric_name")
-        thresholds = self.metric_threshold.drop("creation_time", "update_time")
+        dwid = "server_id * 4294967296 + CAST(conv(substring(md5(metric_name), 1, 8), 16, 10) AS BIGINT)"
         return self._versioned(
-            thresholds, dwid, _ts("2023-12-01"), "2024-01-12", F.col("peak") > 100,
-            {"amber_threshold": F.col("amber_threshold") + 5, "red_threshold": F.col("red_threshold") + 5}).drop("peak")
+            self.metric_threshold, schemas.ATTRIBUTES["metric_threshold"].names, dwid, "TIMESTAMP '2023-12-01'", "2024-01-12",
+            "peak > 100", {"amber_threshold": "amber_threshold + 5", "red_threshold": "red_threshold + 5"})
 
     @cached_property
     def dim_hour(self) -> DataFrame:

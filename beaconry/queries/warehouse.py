@@ -516,9 +516,8 @@ def join_delete_keys(t: Tables):
 
 
 @query("build_day", "metric server app metric_index metric_threshold", f"""
-    WITH first_day AS (SELECT CAST(MIN("timestamp") AS DATE) AS d FROM metric),
-    server_dim AS (
-        SELECT ROW_NUMBER() OVER (ORDER BY id) AS dwid, *, date_trunc('day', update_time) AS vf FROM server),
+    WITH server_dim AS (
+        SELECT ROW_NUMBER() OVER (ORDER BY id) AS dwid, *, creation_time + to_days(CAST(app_id AS INTEGER)) AS vf FROM server),
     server_dim2 AS (
         SELECT dwid, id, app_id, hostname, cpu_cores, memory, vf AS valid_from,
                CASE WHEN memory >= 5000 THEN TIMESTAMP '2024-01-15' END AS valid_to FROM server_dim
@@ -546,11 +545,13 @@ def join_delete_keys(t: Tables):
 def build_day(t: Tables):
     """Two builds into one warehouse: everything up to mid January, then the rest with server upgrades."""
     wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"))
-    master = {"app": t.app, "server": t.server, "metric_index": t.metric_index, "metric_threshold": t.metric_threshold.drop("peak")}
+    # servers change in one batch per app, so the increments fill few date partitions
+    server = t.server.withColumn("update_time", F.expr("creation_time + make_dt_interval(CAST(app_id AS INT))"))
+    master = {"app": t.app, "server": server, "metric_index": t.metric_index, "metric_threshold": t.metric_threshold.drop("peak")}
     half = F.lit("2024-01-15").cast("timestamp")
     daily.build_day(wh, {**master, "metric": t.metric.filter(F.col("timestamp") < half)}, "1995-01-01", "2024-01-15", NOW,
                     calendar=(f"{START} 00:00:00", f"{END} 00:00:00"))
-    upgraded = t.server.filter("memory >= 5000").withColumn("cpu_cores", F.col("cpu_cores") * 2).withColumn("update_time", half)
+    upgraded = server.filter("memory >= 5000").withColumn("cpu_cores", F.col("cpu_cores") * 2).withColumn("update_time", half)
     second = {**{n: df.limit(0) for n, df in master.items()}, "server": upgraded, "metric": t.metric.filter(F.col("timestamp") >= half)}
     daily.build_day(wh, second, "2024-01-15", END, NOW)
     wide = t.spark.read.schema(schemas.WIDE_METRIC_AVG).parquet(wh.path("dmt", "wide_metric_avg"))

@@ -60,8 +60,12 @@ def decode(messages: DataFrame, schema: T.StructType, valid: Column | None = Non
 
     A message that is not JSON, lacks a field or has one of the wrong type is not
     valid, nor is one that fails the extra condition. Nothing is dropped here.
+
+    The parsed struct passes through explode, which filters do not move across:
+    otherwise a filter on validity would parse the message again for every field it tests.
     """
-    parsed = messages.select(F.col("value").alias("raw"), decode_json("value", schema).alias("m")).select("raw", "m.*")
+    parsed = messages.select(F.col("value").alias("raw"), F.explode(F.array(decode_json("value", schema))).alias("m"))
+    parsed = parsed.select("raw", "m.*")
     ok = F.lit(True) if valid is None else valid
     for name in schema.names:
         ok = F.col(name).isNotNull() & ok

@@ -29,27 +29,43 @@ def sliding_mean(df: DataFrame, host: str = "hostname", ts: str = "timestamp", v
                  size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> DataFrame:
     """Mean per host and sliding window, labelled with the window end in epoch seconds.
 
-    On a table the rows are first reduced to one (sum, count) per slide, and only those
-    are repeated for the windows they belong to. A stream allows one aggregation in
-    update mode, so there each row is expanded by Spark's window function.
+    A stream allows one aggregation in update mode, so there each row is expanded by
+    Spark's window function. A table takes the cheaper way of ``_tiled_mean``.
+    """
+    if not df.isStreaming:
+        return _tiled_mean(df, host, ts, value, size, slide)
+    end = F.unix_timestamp("window.end").cast("bigint")
+    return (
+        df.groupBy(host, F.window(ts, f"{size} seconds", f"{slide} seconds").alias("window"))
+        .agg(F.avg(value).alias("avg"))
+        .select(host, end.alias("timestamp"), "avg")
+    )
+
+
+def _tiled_mean(df: DataFrame, host: str, ts: str, value: str, size: int, slide: int) -> DataFrame:
+    """Sliding means from one (sum, count) per slide instead of from repeated rows.
+
+    A tile counts in size/slide windows, but is not shuffled once for each: it is sent to
+    the one or two blocks of time its windows end in, and repeated only there. Blocks
+    also split a host with very many rows over several tasks.
     """
-    if df.isStreaming:
-        end = F.unix_timestamp("window.end").cast("bigint")
-        return (
-            df.groupBy(host, F.window(ts, f"{size} seconds", f"{slide} seconds").alias("window"))
-            .agg(F.avg(value).alias("avg"))
-            .select(host, end.alias("timestamp"), "avg")
-        )
     if size % slide:
         raise ValueError("the window size must be a multiple of the slide")
+    span = size * 10
     epoch = F.unix_timestamp(ts)
     tile = epoch - F.pmod(epoch, F.lit(slide))
     tiles = df.groupBy(host, tile.alias("tile")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
-    ends = F.explode(F.sequence(F.col("tile") + slide, F.col("tile") + size, F.lit(slide).cast("bigint")))
+    first, last = F.col("tile") + slide, F.col("tile") + size
+    blocks = F.explode(F.sequence(F.floor(first / span), F.floor(last / span)))
+    low, high = F.col("block") * span, (F.col("block") + 1) * span - slide
+    ends = F.explode(F.sequence(F.greatest(first, low), F.least(last, high), F.lit(slide).cast("bigint")))
     return (
-        tiles.select(host, ends.alias("timestamp"), "total", "n")
-        .groupBy(host, "timestamp")
+        tiles.withColumn("block", blocks)
+        .repartition(host, "block")
+        .select(host, "block", ends.alias("timestamp"), "total", "n")
+        .groupBy(host, "block", "timestamp")
         .agg((F.sum("total") / F.sum("n")).alias("avg"))
+        .drop("block")
     )
 
 
