@@ -28,10 +28,15 @@ def match_changes(dim: DataFrame, changes: DataFrame, keys: Sequence[str], date_
     """Every dimension row with the day of each change to its key, NULL where there is none.
 
     Several changes to one key give several rows; reduce the changes to one row
-    per key first where that is unwanted.
+    per key first where that is unwanted. The changes are the side that may have a key
+    with very many rows, so they are the side that is split; unmatched rows are added apart.
     """
-    days = changes.select(*keys, F.col(date_col).alias(MATCHED))
-    return sized_join(dim, days, keys, "left", limit=limit)
+    noise = F.xxhash64(*changes.columns).alias("__noise")
+    days = changes.select(*keys, F.col(date_col).alias(MATCHED), noise)
+    matched = sized_join(days, dim, keys, "inner", spread=["__noise"], limit=limit)
+    others = sized_join(dim, changes.select(*keys).distinct(), keys, "left_anti", limit=limit)
+    columns = [*dim.columns, MATCHED]
+    return matched.select(*columns).unionByName(others.withColumn(MATCHED, F.lit(None).cast("string")).select(*columns))
 
 
 def close_matched(matched: DataFrame) -> DataFrame:
@@ -128,7 +133,7 @@ def scd2_apply(
         return union_versions(closed.select(*columns), numbered.select(*columns))
 
     daily = day_changes(changes, keys, date_col, latest_by).select(*business)
-    touched_keys = daily.select(*keys).distinct()
+    touched_keys = changes.select(*keys).distinct()
     touched = sized_join(dim, touched_keys, keys, "left_semi", limit=limit)
     untouched = sized_join(dim, touched_keys, keys, "left_anti", limit=limit)
     added = open_versions(daily, date_col).withColumn("dwid", F.lit(None).cast("long"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,9 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 
 HOT_COUNT, SALT = "__rows", "__salt"
 
+# types whose values differ in size; all others take 8 bytes in a row
+VARYING = (T.StringType, T.BinaryType, T.MapType, T.ArrayType, T.StructType)
+
 # sizes already measured, and frames known to be no larger than another one
 _SIZES: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 _WHOLE: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
@@ -23,18 +27,28 @@ def _width(field: T.StructField) -> Column:
     c = F.col(field.name)
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(16)
-    if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + F.lit(64)
-    return F.lit(8)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + F.lit(64)
+
+
+def measure(*frames: DataFrame) -> None:
+    """Measure several frames in one job, each by its own fully partial-aggregated pass."""
+    todo = [df for df in dict.fromkeys(frames) if df not in _SIZES]
+    if not todo:
+        return
+    passes = []
+    for i, df in enumerate(todo):
+        varying = [f for f in df.schema.fields if isinstance(f.dataType, VARYING)]
+        width = F.lit(8 + 8 * (len(df.schema.fields) - len(varying)))
+        for field in varying:
+            width = width + _width(field)
+        passes.append(df.select(width.cast("long").alias("w")).agg(F.lit(i).alias("i"), F.coalesce(F.sum("w"), F.lit(0)).alias("n")))
+    for row in reduce(DataFrame.unionAll, passes).collect():
+        _SIZES[todo[row["i"]]] = row["n"]
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes the rows would take in memory, from one fully partial-aggregated pass per frame."""
-    if df not in _SIZES:
-        width = F.lit(8)
-        for field in df.schema.fields:
-            width = width + _width(field)
-        _SIZES[df] = df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("n")).first()["n"]
+    """Bytes the rows of a frame would take in memory."""
+    measure(df)
     return _SIZES[df]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconry import schemas
 from beaconry.operators.calendar import build_dim_hour
+from beaconry.operators.skew import measure
 from beaconry.plans import layers, marts
 from beaconry.sources.tables import (
     land_extract,
@@ -67,6 +68,7 @@ def build_metric(wh: Warehouse, extract: DataFrame, start: str, end: str, now: s
     wh.overwrite("src", "metric", layers.build_src_metric(landed, now), rebalance)
     wh.overwrite("dwh", "metric", layers.build_dwh_metric(wh.range("src", "metric", start, end), start, end), rebalance)
     dims = wh.dims()
+    measure(*dims.values())
     fact = marts.build_fact_metric(wh.range("dwh", "metric", start, end), dims, start, end)
     wh.overwrite("dmt", "fact_metric", fact, rebalance)
     summary = marts.build_sum_metric_avg(wh.range("dmt", "fact_metric", start, end), dims, start, end)

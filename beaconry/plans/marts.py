@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +20,21 @@ from beaconry.operators.joins import (
     within_range,
 )
 from beaconry.operators.scd2 import change_set, scd2_apply
+from beaconry.operators.skew import measure
 from beaconry.sources.extract import date_range
 
+FACT_DIMS = ("server", "app", "metric_index", "hour")
+SUMMARY_DIMS = ("server", "metric_index", "metric_threshold")
+WIDE_DIMS = ("app", "server", "metric_index", "hour", "metric_threshold")
 SUMMARY_KEYS = ("creation_date", "app_dwid", "server_dwid", "metric_index_dwid", "hour_dwid")
 
 
+def _measure_dims(dims: Mapping[str, DataFrame], names: Sequence[str], limit: int | None) -> None:
+    """Learn the sizes of all dimensions of a build in one job."""
+    if limit is None or limit > 0:
+        measure(*[dims[n] for n in names])
+
+
 def build_dim(dim: DataFrame, src: DataFrame, table: str, start: str, end: str, compat: bool = False,
               limit: int | None = None) -> DataFrame:
     """A dimension after the increments of a range of days."""
@@ -45,6 +55,7 @@ def build_fact_metric(metric: DataFrame, dims: Mapping[str, DataFrame], start: s
     outside the date range are left out first. Hot keys are looked for in the events
     themselves, not in the joined rows, so that only the key column is read for it.
     """
+    _measure_dims(dims, FACT_DIMS, limit)
     events = date_range(metric, "creation_date", start, end)
     servers, apps, kinds = (within_range(dims[d], start, end) for d in ("server", "app", "metric_index"))
     hosts = lift_dimension(
@@ -59,6 +70,7 @@ def build_fact_metric(metric: DataFrame, dims: Mapping[str, DataFrame], start: s
 def build_sum_metric_avg(fact: DataFrame, dims: Mapping[str, DataFrame], start: str, end: str,
                          limit: int | None = None) -> DataFrame:
     """Hourly mean per app, server and metric, rated against the thresholds of its day."""
+    _measure_dims(dims, SUMMARY_DIMS, limit)
     means = hourly_mean(date_range(fact, "creation_date", start, end), SUMMARY_KEYS)
     servers, kinds, thresholds = (within_range(dims[d], start, end) for d in ("server", "metric_index", "metric_threshold"))
     out = asof_date_join(means, servers, {"server_dwid": "dwid"}, {"server_id": "id"}, limit=limit)
@@ -77,6 +89,7 @@ def build_wide_metric_avg(summary: DataFrame, dims: Mapping[str, DataFrame], sta
 
     ``compat`` includes the end date and joins all versions of a threshold.
     """
+    _measure_dims(dims, WIDE_DIMS, limit)
     rows = date_range(summary, "creation_date", start, end, "both" if compat else "left")
     starred = star_join(rows, dims, limit=limit)
     wide = threshold_join(starred, dims["metric_threshold"], compat, limit=limit)

@@ -131,22 +131,47 @@ def merge_upsert(t: Tables):
     return lk.upsert(full, newest, ["id"]).drop("tie")
 
 
-@query("dwh_server", "server server_changes", f"""
-    WITH delta AS (
-        SELECT * FROM server_changes
-        WHERE strftime(update_time, '%Y-%m-%d') >= '1999-01-01' AND strftime(update_time, '%Y-%m-%d') < '1999-03-01'),
-    both_sides AS (
-        SELECT id, hostname, app_id, cpu_cores, memory, update_time, 0 AS oc, CAST(0 AS BIGINT) AS tie FROM server
-        UNION ALL SELECT id, hostname, app_id, cpu_cores, memory, update_time, 1, tie FROM delta),
-    ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY update_time DESC, oc DESC, tie DESC) AS rn FROM both_sides)
-    SELECT {SERVER_LIST} FROM ranked WHERE rn = 1""")
-def dwh_server(t: Tables):
-    full = layers.drop_cols(layers.build_src_master(t.server, "server", NOW), "update_date")
-    # one row per server and time, as a source table with a primary key would give
-    newest = mg.latest_per_key(t.server_changes, ["id", "update_time"], [F.desc("tie")])
-    src = layers.build_src_master(newest, "server", NOW)
-    merged = layers.build_dwh_master(full, src, "server", "1999-01-01", "1999-03-01")
-    return merged.select("id", "app_id", "hostname", "cpu_cores", "memory", "update_time")
+# one later increment per master table: (rows it covers, changed column, new value, day)
+INCREMENTS = {
+    "app": ("version >= '1.3'", "version", "'2' || substr(version, 2)", "2024-01-10"),
+    "server": ("memory >= 5000", "cpu_cores", "cpu_cores * 2", "2024-01-15"),
+    "metric_index": ("name = 'error'", "description", "'new ' || description", "2024-01-20"),
+    "metric_threshold": ("peak > 100", "amber_threshold", "amber_threshold + 5", "2024-01-12"),
+}
+AUDIT_COLUMNS = ["creation_time", "update_time"]
+
+
+def increment(t: Tables, table: str):
+    covered, column, value, day = INCREMENTS[table]
+    rows = getattr(t, table).filter(covered).withColumn(column, F.expr(value)).withColumn("update_time", F.expr(f"TIMESTAMP '{day}'"))
+    return layers.build_src_master(rows, table, NOW)
+
+
+def increment_sql(table: str) -> str:
+    covered, column, value, day = INCREMENTS[table]
+    columns = [f"{value} AS {column}" if c == column else c for c in schemas.ATTRIBUTES[table].names]
+    return f"SELECT {', '.join(columns)}, creation_time, TIMESTAMP '{day}' AS update_time FROM {table} WHERE {covered}"
+
+
+def _dwh_master(table: str) -> None:
+    keys = ", ".join(schemas.KEYS[table])
+    audit = ", ".join(f"{stamp(c)} AS {c}" for c in AUDIT_COLUMNS)
+
+    @query(f"dwh_{table}", table, f"""
+        WITH delta AS ({increment_sql(table)}),
+        both_sides AS (
+            SELECT {ATTRIBUTE_LISTS[table]}, creation_time, update_time, 0 AS oc FROM {table}
+            UNION ALL SELECT {ATTRIBUTE_LISTS[table]}, creation_time, update_time, 1 FROM delta),
+        ranked AS (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY update_time DESC, oc DESC) AS rn FROM both_sides)
+        SELECT {ATTRIBUTE_LISTS[table]}, {audit}, {NOW_TEXT} FROM ranked WHERE rn = 1""")
+    def build(t: Tables):
+        full = layers.drop_cols(layers.build_src_master(getattr(t, table), table, NOW), "update_date")
+        return layers.build_dwh_master(full, increment(t, table), table, "2024-01-01", "2024-02-01")
+
+
+for _table in schemas.MASTER_TABLES:
+    _dwh_master(_table)
 
 
 # ---------------------------------------------------------------- slowly changing dimensions
@@ -322,17 +347,28 @@ def scd2_assign_dwid(t: Tables):
 
 
 def _dimension(table: str) -> None:
-    """First load of a dimension from its source rows, numbered by natural key."""
+    """First load of a dimension from its source rows, then one later increment."""
     keys = ", ".join(schemas.KEYS[table])
+    columns = ATTRIBUTE_LISTS[table]
+    day = INCREMENTS[table][3]
 
     @query(f"dim_{table}", table, f"""
-        SELECT ROW_NUMBER() OVER (ORDER BY {keys}) AS dwid, {ATTRIBUTE_LISTS[table]},
-               {stamp("date_trunc('day', update_time)")} AS valid_from, CAST(NULL AS VARCHAR) AS valid_to, TRUE AS eff_flag
-        FROM {table}""")
+        WITH delta AS ({increment_sql(table)}),
+        first_load AS (
+            SELECT ROW_NUMBER() OVER (ORDER BY {keys}) AS dwid, {columns}, date_trunc('day', update_time) AS valid_from
+            FROM {table}),
+        versions AS (
+            SELECT *, CASE WHEN ({keys}) IN (SELECT ({keys}) FROM delta) THEN TIMESTAMP '{day}' END AS valid_to FROM first_load
+            UNION ALL
+            SELECT (SELECT MAX(dwid) FROM first_load) + ROW_NUMBER() OVER (ORDER BY {keys}), {columns},
+                   TIMESTAMP '{day}', NULL FROM delta)
+        SELECT dwid, {columns}, {stamp('valid_from')} AS valid_from, {stamp('valid_to')} AS valid_to, valid_to IS NULL AS eff_flag
+        FROM versions""")
     def build(t: Tables):
         src = layers.build_src_master(getattr(t, table), table, NOW)
         empty = t.spark.createDataFrame([], schemas.DIM[table])
-        return marts.build_dim(empty, src, table, "1990-01-01", "2024-02-01")
+        loaded = marts.build_dim(empty, src, table, "1990-01-01", "2024-01-01")
+        return marts.build_dim(loaded, increment(t, table), table, "2024-01-01", "2024-02-01")
 
 
 for _table in schemas.MASTER_TABLES:
