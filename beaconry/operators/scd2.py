@@ -124,7 +124,7 @@ def scd2_apply(
     keys, columns = list(keys), dim.columns
     attrs = [c for c in columns if c not in ("dwid", *keys, *VALIDITY)]
     business = [*keys, *attrs, date_col]
-    highest = max_key(dim).first()["max_id"]
+    highest = max_key(dim).scalar()
 
     if compat:
         closed = close_matched(match_changes(dim, changes, keys, date_col, limit))

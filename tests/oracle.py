@@ -1,13 +1,17 @@
 """Compare registered queries with their oracle statements.
 
 Run as a script to check queries by name at a scale: ``python -m tests.oracle sf0.01 [name ...]``.
+A scale written ``skewed:sf0.01`` checks a copy in folders of several files, in which one
+user has a third of the events and one customer a third of the orders.
 """
 
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 
@@ -19,11 +23,30 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+def skewed_copy(source: str, target: str, files: int = 4) -> str:
+    """Copy the tables the queries read, with one hot key, as folders of several Parquet files."""
+    con = duckdb.connect()
+    hot = {"events": ("user_id", "event_id"), "orders": ("o_custkey", "o_orderkey")}
+    for name in ("events", "orders", "customer", "nation"):
+        replaced = ""
+        if name in hot:
+            key, row = hot[name]
+            replaced = f" REPLACE (CASE WHEN {row} % 3 = 0 THEN 7 ELSE {key} END AS {key})"
+        con.execute(f"CREATE TABLE {name} AS SELECT *{replaced} FROM '{source}/{name}.parquet'")
+        folder = Path(target) / f"{name}.parquet"
+        folder.mkdir(parents=True)
+        for k in range(files):
+            con.execute(f"COPY (SELECT * FROM {name} WHERE rowid % {files} = {k}) TO '{folder}/part-{k}.parquet'")
+    return target
+
+
 def oracle(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        path = Path(folder) / f"{name}.parquet"
+        if path.exists():
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path / '*.parquet' if path.is_dir() else path}'")
     return con
 
 
@@ -60,6 +83,8 @@ def main() -> None:
 
     scale, *names = sys.argv[1:] or ["sf0.01"]
     folder = f"{DATA}/{scale}"
+    if scale.startswith("skewed:"):
+        folder = skewed_copy(f"{DATA}/{scale[7:]}", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(folder)

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from tests.oracle import DATA, differences, oracle
+from tests.oracle import DATA, differences, oracle, skewed_copy
 
 FOLDER = f"{DATA}/sf0.001"
 
@@ -27,3 +27,23 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_matches_oracle(spark, con, name):
     assert differences(spark, con, name, FOLDER) == []
+
+
+# one of each kind of operator: scans, merges, versions, joins, windows, states, streams
+ON_SKEWED_FOLDERS = """
+    waves_dedup merge_latest_server merge_latest_narrow scd2_from_history scd2_apply scd2_match_changes
+    join_server_shuffled fact_metric_shuffled sum_metric_avg sliding_states alert_state lookup_by_id
+    agg_nest_thresholds stream_dedup stream_metric_states stream_alert_states
+""".split()
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    folder = skewed_copy(FOLDER, str(tmp_path_factory.mktemp("skewed")))
+    return folder, oracle(folder)
+
+
+@pytest.mark.parametrize("name", ON_SKEWED_FOLDERS)
+def test_matches_oracle_on_skewed_folders(shuffled, skewed, name):
+    folder, con = skewed
+    assert differences(shuffled, con, name, folder) == []
