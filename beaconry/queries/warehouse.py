@@ -588,7 +588,8 @@ def build_day(t: Tables):
     daily.build_day(wh, {**master, "metric": t.metric.filter(F.col("timestamp") < half)}, "1995-01-01", "2024-01-15", NOW,
                     calendar=(f"{START} 00:00:00", f"{END} 00:00:00"))
     upgraded = server.filter("memory >= 5000").withColumn("cpu_cores", F.col("cpu_cores") * 2).withColumn("update_time", half)
-    second = {**{n: df.limit(0) for n, df in master.items()}, "server": upgraded, "metric": t.metric.filter(F.col("timestamp") >= half)}
+    nothing = {n: t.spark.createDataFrame([], schemas.MASTER[n]) for n in master}
+    second = {**nothing, "server": upgraded, "metric": t.metric.filter(F.col("timestamp") >= half)}
     daily.build_day(wh, second, "2024-01-15", END, NOW)
     wide = t.spark.read.schema(schemas.WIDE_METRIC_AVG).parquet(wh.path("dmt", "wide_metric_avg"))
     return wide.select("app_dwid", "app_name", "server_dwid", "server_cpu_cores", "metric_index_dwid", "metric_name",
