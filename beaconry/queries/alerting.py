@@ -311,3 +311,13 @@ def stream_alert_states(t: Tables):
        REGISTRY_SQL + "SELECT server_id, alert_id, incident_ts, opened, closed FROM registry")
 def stream_alert_registry(t: Tables):
     return read_table(t.spark, f"{run_alert_stream(t)}/registry", al.REGISTRY)
+
+
+@query("stream_alert_registry_stateful", "alert alert_index",
+       REGISTRY_SQL + "SELECT server_id, alert_id, incident_ts, opened, closed FROM registry")
+def stream_alert_registry_stateful(t: Tables):
+    """The registry kept in the state store instead of a table."""
+    rows = t.as_alert(t.events_stream()).drop("created_time")
+    updates = al.registry_updates(rows, t.server.withColumnRenamed("id", "server_id"), t.alert_index)
+    path = run_to_sink(t, updates, al.REGISTRY.names, "registry")
+    return sinks.read_upserts(t.spark, path, al.REGISTRY, al.REGISTRY_KEYS)

@@ -79,7 +79,8 @@ def replace_table(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     spark = df.sparkSession
     fs, jvm, done = _versions(spark, path)
     target = f"{path}/v={(done[-1] if done else 0) + 1}"
-    df.write.mode("overwrite").parquet(target)
+    # the marker must be written whatever the cluster's default is
+    df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(target)
     for old in done[: max(len(done) + 1 - keep, 0)]:
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/v={old}"), True)
     return spark.read.schema(df.schema).parquet(target)

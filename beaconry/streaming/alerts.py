@@ -15,6 +15,7 @@ from beaconry.operators.skew import sized_join
 from beaconry.sources.tables import read_table, replace_table
 
 ALERT_SOURCE = "alert"
+REGISTRY_KEYS = ["server_id", "alert_id", "incident_ts"]
 # fixed value: seconds an incident stays registered
 TIME_TO_LIVE = 60
 REGISTRY = schemas.struct(
@@ -49,6 +50,27 @@ def update_registry(registry: DataFrame, identified: DataFrame, as_of: int | Col
     return merge_registries(live, incident_registry(identified.filter(is_known())))
 
 
+def registry_updates(alerts: DataFrame, servers: DataFrame, alert_index: DataFrame, watermark: str | None = None,
+                     limit: int | None = None) -> DataFrame:
+    """The registry as a streaming aggregation, for registries too large to rewrite each batch.
+
+    Run in update mode into a sink keyed by (server, alert type, incident time): the state
+    store then carries the flags and a batch emits only the incidents it changed. Without
+    a watermark no alert is ever too late, but nothing is forgotten either. A watermark
+    bounds the state, at the price that a CLOSED arriving later than it is
+    dropped and leaves its incident open.
+    """
+    if watermark:
+        alerts = alerts.withWatermark("timestamp", watermark)
+    known = identify(alerts, servers, alert_index, limit).filter(is_known())
+    if not watermark:
+        return incident_registry(known)
+    # grouping by the event time itself is what lets the watermark drop old state
+    folded = known.groupBy("server_id", "alert_id", "timestamp").agg(
+        F.bool_or(F.col("status") == "OPEN").alias("opened"), F.bool_or(F.col("status") == "CLOSED").alias("closed"))
+    return folded.select(*REGISTRY.names[:2], F.unix_timestamp("timestamp").alias("incident_ts"), "opened", "closed")
+
+
 def registry_sink(
     spark: SparkSession,
     path: str,

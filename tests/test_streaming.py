@@ -207,3 +207,28 @@ def test_duplicates_in_later_batches_are_removed(spark, tmp_path):
     unique = w.dedup_stream(w.with_event_time(rows_, "timestamp", "60 seconds"), ["id"], "timestamp")
     sinks.start_update_query(unique, sinks.upsert_sink(f"{root}/s", ["id"]), f"{root}/c", available_now=True).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/s/delta").collect()) == [1, 2]
+
+
+def registry_by_aggregation(spark, folder, masters, root, watermark):
+    server, _, index = masters
+    rows_ = m.accepted(m.decode_alert(m.route(folder.trunk(), "al")))
+    updates = al.registry_updates(rows_, server.withColumnRenamed("id", "server_id"), index, watermark)
+    sink = sinks.upsert_sink(f"{root}/r", al.REGISTRY.names)
+    sinks.start_update_query(updates, sink, f"{root}/c", available_now=True).awaitTermination()
+    return rows(sinks.read_upserts(spark, f"{root}/r", al.REGISTRY, al.REGISTRY_KEYS))
+
+
+def test_both_forms_of_the_registry_agree_on_late_and_unordered_alerts(spark, masters, tmp_path):
+    folder = Folder(spark, tmp_path / "in")
+    folder.add("al", alert(1, "CLOSED", 50), alert(2, "OPEN", 0))
+    folder.add("al", alert(3, "OPEN", 400_000), alert(4, "OPEN", 50))
+    folder.add("al", alert(5, "OPEN", 500_000, "svr2", "net"))
+    folder.add("al", alert(6, "CLOSED", 0))  # more than five days late
+    root = str(tmp_path / "table")
+    run_alerts(folder, masters, root, ttl=None)
+    by_table = rows(read_table(spark, f"{root}/registry", al.REGISTRY))
+    assert registry_by_aggregation(spark, folder, masters, str(tmp_path / "state"), None) == by_table
+    assert (1, 1, T0, True, True) in by_table and (1, 1, T0 + 50, True, True) in by_table
+    # with a day's watermark the late CLOSED is lost
+    bounded = registry_by_aggregation(spark, folder, masters, str(tmp_path / "bounded"), w.ALERT_WATERMARK)
+    assert (1, 1, T0, True, False) in bounded and (1, 1, T0 + 50, True, True) in bounded
