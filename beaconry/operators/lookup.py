@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from beaconry.operators.aggregates import nest_thresholds
 from beaconry.operators.joins import delete_keys
 from beaconry.operators.merge import merge_latest
-from beaconry.operators.skew import sized_join
+from beaconry.operators.skew import part_of, sized_join
 
 __all__ = ["delete_keys", "list_all", "lookup_by_id", "lookup_by_name", "metric_thresholds", "preview",
            "server_documents", "server_snapshot", "threshold_of", "upsert"]
@@ -65,7 +65,7 @@ def threshold_of(name: str | Column, thresholds: str = "metric_thresholds") -> C
 def metric_thresholds(server: DataFrame, threshold: DataFrame, metric: str, limit: int | None = None) -> DataFrame:
     """One narrow row per host for the metric a stream evaluates: server id and both thresholds."""
     name = metric.replace("_", ".")
-    wanted = threshold.filter(F.col("metric_name") == name).select(
-        F.col("server_id").alias("id"), "amber_threshold", "red_threshold")
+    wanted = part_of(threshold.filter(F.col("metric_name") == name).select(
+        F.col("server_id").alias("id"), "amber_threshold", "red_threshold"), threshold)
     hosts = server.select("id", "hostname")
     return sized_join(hosts, wanted, ["id"], limit=limit, split_hot=False).withColumnRenamed("id", "server_id")

@@ -43,19 +43,19 @@ class Tables:
         # a pattern, because the file source wants a folder or a pattern
         return self.spark.readStream.schema(EVENTS).parquet(f"{self.folder}/events.parque[t]")
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
         return self._read("events", EVENTS)
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
         return self._read("orders", ORDERS)
 
-    @property
+    @cached_property
     def customer(self) -> DataFrame:
         return self._read("customer", CUSTOMER)
 
-    @property
+    @cached_property
     def nation(self) -> DataFrame:
         return self._read("nation", NATION)
 
@@ -93,13 +93,13 @@ class Tables:
     def alert(self) -> DataFrame:
         return self.as_alert(self.events)
 
-    @property
+    @cached_property
     def alert_index(self) -> DataFrame:
         kinds = self.events.select((F.col("user_id") % 3).alias("id")).distinct()
         return kinds.select(
             "id", F.concat(F.lit("alert type "), "id").alias("name"), F.col("id").cast("int").alias("severity"))
 
-    @property
+    @cached_property
     def app(self) -> DataFrame:
         return self.nation.select(
             F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"),
@@ -108,7 +108,7 @@ class Tables:
             _ts("1995-01-01").alias("creation_time"), _ts("1995-01-01").alias("update_time"),
         )
 
-    @property
+    @cached_property
     def server(self) -> DataFrame:
         days = (F.col("c_custkey") % 2400).cast("int")
         return self.customer.select(
@@ -124,7 +124,7 @@ class Tables:
     def kind_id(name: str = "name"):
         return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
 
-    @property
+    @cached_property
     def metric_index(self) -> DataFrame:
         kinds = self.events.select(F.col("event_type").alias("name")).distinct()
         return kinds.select(
@@ -133,7 +133,7 @@ class Tables:
             _ts("1995-01-01").alias("creation_time"), _ts("1995-01-01").alias("update_time"),
         )
 
-    @property
+    @cached_property
     def metric_threshold(self) -> DataFrame:
         """One row per observed (server, metric); ``peak`` is its largest value."""
         seen = self.events.groupBy(F.col("user_id").alias("server_id"), F.col("event_type").alias("metric_name")).agg(
