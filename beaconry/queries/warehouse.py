@@ -431,7 +431,7 @@ def join_unmatched_facts(t: Tables):
 
 SUMMARY_VIEWS = "metric dim_server dim_app dim_metric_index dim_metric_threshold dim_hour"
 FACT_SQL = f"""
-    WITH fact AS (
+    WITH fact AS MATERIALIZED (
         SELECT m.id, a.dwid AS app_dwid, s.dwid AS server_dwid, i.dwid AS metric_index_dwid, h.dwid AS hour_dwid,
                m."timestamp", m.value, m.creation_date
         FROM metric m
@@ -442,10 +442,10 @@ FACT_SQL = f"""
 """
 DAY = "CAST(g.creation_date AS TIMESTAMP)"
 SUMMARY_SQL = FACT_SQL + f""",
-    means AS (
+    means AS MATERIALIZED (
         SELECT creation_date, app_dwid, server_dwid, metric_index_dwid, hour_dwid, CAST(ROUND(AVG(value)) AS INTEGER) AS avg_value
         FROM fact GROUP BY creation_date, app_dwid, server_dwid, metric_index_dwid, hour_dwid),
-    summary AS (
+    summary AS MATERIALIZED (
         SELECT g.app_dwid, g.server_dwid, g.metric_index_dwid, t.dwid AS metric_threshold_dwid, g.hour_dwid, g.avg_value,
                CASE WHEN g.avg_value < t.amber_threshold THEN 'GREEN' WHEN g.avg_value > t.red_threshold THEN 'RED'
                     ELSE 'AMBER' END AS rag, g.creation_date
@@ -563,7 +563,7 @@ def join_delete_keys(t: Tables):
     app_dim AS (SELECT ROW_NUMBER() OVER (ORDER BY id) AS dwid, * FROM app),
     index_dim AS (SELECT ROW_NUMBER() OVER (ORDER BY id) AS dwid, * FROM metric_index),
     threshold_dim AS (SELECT ROW_NUMBER() OVER (ORDER BY server_id, metric_name) AS dwid, * FROM metric_threshold),
-    means AS (
+    means AS MATERIALIZED (
         SELECT m.creation_date, date_trunc('hour', m."timestamp") AS h, a.dwid AS app_dwid, a.name AS app_name,
                s.dwid AS server_dwid, s.id AS server_id, s.cpu_cores, i.dwid AS metric_index_dwid, i.name AS metric_name,
                CAST(ROUND(AVG(m.value)) AS INTEGER) AS avg_value
