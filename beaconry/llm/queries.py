@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from beaconry.llm.common import read_table
 from beaconry.llm.line_dedup import dedup_lines
 from beaconry.llm.secrets import BASE_RULES, listed, of_kinds, scan_secrets
+from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.url_filter import filter_urls
 from beaconry.session import tune
 
@@ -104,3 +105,10 @@ def op5(docs, spark, folder):
 def op7(docs, spark, folder):
     kept = dedup_lines(docs.select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op4_simhash_near_dedup", "documents")
+def op4(docs, spark, folder):
+    found = near_duplicates(docs.select("doc_id", "text"))
+    code = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select(F.col("key").alias("doc_id"), code.alias("fingerprint"), F.col("component").alias("component_id"))
