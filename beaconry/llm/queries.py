@@ -11,6 +11,7 @@ from beaconry.llm.common import read_table
 from beaconry.llm.line_dedup import dedup_lines
 from beaconry.llm.secrets import BASE_RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
+from beaconry.llm.substring_dedup import dedup_substrings
 from beaconry.llm.url_filter import filter_urls
 from beaconry.session import tune
 
@@ -112,3 +113,9 @@ def op4(docs, spark, folder):
     found = near_duplicates(docs.select("doc_id", "text"))
     code = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select(F.col("key").alias("doc_id"), code.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op3_substring_dedup", "documents")
+def op3(docs, spark, folder):
+    kept = dedup_substrings(docs.select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
