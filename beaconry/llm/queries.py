@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import read_table
+from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
 from beaconry.llm.secrets import BASE_RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
@@ -119,3 +120,18 @@ def op4(docs, spark, folder):
 def op3(docs, spark, folder):
     kept = dedup_substrings(docs.select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def held_out() -> Column:
+    """Whether a document is kept from learning."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame):
+    return fit_languages(docs.filter(~held_out()))
+
+
+@query("op6_language_id", "documents")
+def op6(docs, spark, folder):
+    named = predict_languages(docs.select("doc_id", "text"), language_model(docs))
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
