@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconry.llm.common import any_of, packed, quoted, unpacked
-from beaconry.llm.textbytes import CHUNK, chunked, word_bounds, word_hashes
+from beaconry.llm.textbytes import CHUNK, chunked, folded, word_bounds, word_hashes
 
 #: rows of the feature table; the features are hashed
 BUCKETS = 1 << 16
@@ -38,8 +38,8 @@ def features(joined: bytes) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
     starts, stops = word_bounds(raw)
     if not len(starts):
         return [], 0
-    folded = raw + (32 * ((raw >= 65) & (raw <= 90))).astype(np.uint8)
-    byte = folded.astype(np.uint64) + np.uint64(1)
+    lower = folded(raw)
+    byte = lower.astype(np.uint64) + np.uint64(1)
     size = stops - starts
     word = np.arange(len(starts))
     inside = np.repeat(word, size)
@@ -56,7 +56,7 @@ def features(joined: bytes) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
         head = (head << np.uint64(9)) | byte[starts + np.minimum(n, size) - 1]
         tail = (tail << np.uint64(9)) | byte[stops - np.minimum(n, size)]
         groups += [(_slots(head, 10 + n), word), (_slots(tail, 20 + n), word)]
-    groups.append((_slots(word_hashes(folded), 30), word))
+    groups.append((_slots(word_hashes(lower), 30), word))
     return groups, len(word)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import read_table
+from beaconry.llm.decontaminate import find_leaks
 from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
 from beaconry.llm.secrets import BASE_RULES, listed, of_kinds, scan_secrets
@@ -135,3 +136,11 @@ def language_model(docs: DataFrame):
 def op6(docs, spark, folder):
     named = predict_languages(docs.select("doc_id", "text"), language_model(docs))
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_decontaminate", "documents")
+def op10(docs, spark, folder):
+    found = find_leaks(docs.select("doc_id", "text"), read_table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", F.col("leak.item").alias("item_id"), F.round("leak.score", 6).alias("bm25_share"),
+        F.col("leak.question").alias("question_overlap"), F.col("leak.answer").alias("answer_overlap"), "leak.passage")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import packed, quoted, unpacked, wide_hash
-from beaconry.llm.textbytes import IS_BLANK, chunked, mixed, windows_hash, word_bounds, word_stream
+from beaconry.llm.textbytes import chunked, mixed, windows_hash, word_bounds, word_stream
 from beaconry.session import materialize
 
 PHRASE = 8

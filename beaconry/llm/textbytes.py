@@ -12,6 +12,10 @@ CHUNK = 1 << 20
 
 IS_BLANK = np.zeros(256, bool)
 IS_BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: ASCII letters and digits and all bytes of other characters make up tokens
+IS_GAP = np.ones(256, bool)
+IS_GAP[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = False
+IS_GAP[128:] = False
 
 
 class Powers:
@@ -55,16 +59,16 @@ def windows_hash(values: np.ndarray, size: int) -> np.ndarray:
     return spans_hash(values, starts, starts + size)
 
 
-def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of bytes that are no blanks."""
-    solid = np.concatenate(([False], ~IS_BLANK[raw], [False]))
+def word_bounds(raw: np.ndarray, gap: np.ndarray = IS_BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that are no gaps."""
+    solid = np.concatenate(([False], ~gap[raw], [False]))
     edges = np.flatnonzero(solid[1:] != solid[:-1])
     return edges[::2], edges[1::2]
 
 
-def word_hashes(raw: np.ndarray) -> np.ndarray:
+def word_hashes(raw: np.ndarray, gap: np.ndarray = IS_BLANK) -> np.ndarray:
     """One 64-bit hash per word of a text of any length, worked off in pieces that end between words."""
-    starts, stops = word_bounds(raw)
+    starts, stops = word_bounds(raw, gap)
     found, at = [], 0
     while at < len(starts):
         end = max(at + 1, int(np.searchsorted(stops, starts[at] + CHUNK, "right")))
@@ -86,9 +90,14 @@ def chunked(sizes: list[int], limit: int = CHUNK) -> Iterator[slice]:
         yield slice(begin, len(sizes))
 
 
-def word_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def folded(raw: np.ndarray) -> np.ndarray:
+    """A-Z in lower case."""
+    return raw + (32 * ((raw >= 65) & (raw <= 90))).astype(np.uint8)
+
+
+def word_stream(texts: list[bytes], gap: np.ndarray = IS_BLANK, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in a row, and where each text's words begin (one entry more than texts)."""
     joined = np.frombuffer(b"\n".join(texts), np.uint8)
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
-    starts, _ = word_bounds(joined)
-    return word_hashes(joined), np.searchsorted(starts, begins)
+    starts, _ = word_bounds(joined, gap)
+    return word_hashes(folded(joined) if fold else joined, gap), np.searchsorted(starts, begins)
