@@ -11,9 +11,11 @@ from beaconry.llm.common import read_table
 from beaconry.llm.decontaminate import find_leaks
 from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
+from beaconry.llm.piece_sampling import decode_pieces, load_pieces, sample_pieces
 from beaconry.llm.secrets import BASE_RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.substring_dedup import dedup_substrings
+from beaconry.llm.topk_search import search_top
 from beaconry.llm.url_filter import filter_urls
 from beaconry.session import tune
 
@@ -144,3 +146,27 @@ def op10(docs, spark, folder):
     return found.select("doc_id", F.explode("leaks").alias("leak")).select(
         "doc_id", F.col("leak.item").alias("item_id"), F.round("leak.score", 6).alias("bm25_share"),
         F.col("leak.question").alias("question_overlap"), F.col("leak.answer").alias("answer_overlap"), "leak.passage")
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op9_sentencepiece_sampling", "documents")
+def op9(docs, spark, folder):
+    pieces = load_pieces(PIECE_MODEL)
+    decoded = decode_pieces(sample_pieces(docs.select("doc_id", "text"), pieces), pieces)
+    return decoded.select(
+        F.col("key").alias("doc_id"), "rank", F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"), F.round("log_prob", 4).alias("log_prob"),
+        F.round("log_inclusion", 4).alias("log_inclusion"), F.sha2("decoded", 256).alias("text_sha256"))
+
+
+@query("op8_top_search", "embeddings", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+               FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(CAST(q.p AS DOUBLE[]), CAST(d.p AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op8(vectors, spark, folder):
+    return search_top(vectors, F.col("vec_id") % 50 == 0)
