@@ -17,7 +17,8 @@ from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.substring_dedup import dedup_substrings
 from beaconry.llm.topk_search import search_top
 from beaconry.llm.url_filter import filter_urls
-from beaconry.session import tune
+from beaconry.llm.warc import read_warc, write_warc
+from beaconry.session import fresh_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +171,23 @@ def op9(docs, spark, folder):
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op8(vectors, spark, folder):
     return search_top(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op1_warc", "pages", """
+    WITH p AS (SELECT row_number() OVER (ORDER BY page_id NULLS LAST, url) AS n, page_id,
+                      sha1(encode(coalesce(html, ''))) AS h, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+    f AS (SELECT *, min(n) OVER (PARTITION BY h) AS first_n, first(page_id) OVER (PARTITION BY h ORDER BY n) AS first_id FROM p),
+    bits AS (SELECT *, list_transform(range(0, 40), lambda i: instr('0123456789abcdef', h[i + 1]) - 1) AS nibbles FROM f)
+    SELECT page_id, payload_bytes,
+           list_aggregate(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + CAST(
+             list_sum(list_transform(range(0, 5), lambda b: (((nibbles[1 + (i * 5 + b) // 4]) >> (3 - (i * 5 + b) % 4)) & 1) << (4 - b)))
+             AS INTEGER)]), 'string_agg', '') AS payload_digest,
+           CASE WHEN n = first_n THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN n <> first_n THEN first_id END AS refers_to
+    FROM bits""")
+def op1(pages, spark, folder):
+    base = fresh_path(spark, "warc")
+    write_warc(pages, base)
+    return read_warc(spark, base, payload=False).select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
