@@ -12,7 +12,7 @@ from beaconry.llm.decontaminate import find_leaks
 from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
 from beaconry.llm.piece_sampling import decode_pieces, load_pieces, sample_pieces
-from beaconry.llm.secrets import BASE_RULES, listed, of_kinds, scan_secrets
+from beaconry.llm.secrets import BASE_RULES, EXTRA_RULES, RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.substring_dedup import dedup_substrings
 from beaconry.llm.topk_search import search_top
@@ -61,8 +61,8 @@ def op2(pages, spark, folder):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-def _spans_sql(kind: str, pattern: str, tested: str) -> str:
-    """Spans of one base kind: lengths of pieces and matches, added up."""
+def _spans_sql(kind: str, pattern: str, tested: str = "m") -> str:
+    """Spans of one kind: lengths of pieces and matches, added up."""
     return f"""
     SELECT n, '{kind}' AS kind, unnest(range(len(m))) AS i, p, m, t FROM (
         SELECT n, string_split_regex(body, '{pattern}') AS p, regexp_extract_all(body, '{pattern}') AS m,
@@ -74,21 +74,26 @@ _ASSIGN = ("(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for
            + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
 
 
+_LISTED = """string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + size AS BIGINT), ','
+                                 ORDER BY s, list_position([{0}], kind))""".format(", ".join(f"'{r.kind}'" for r in RULES))
+
+
 @query("op5_secret_scan", "documents", f"""
     WITH texts AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS body FROM documents),
     found AS ({_spans_sql("assign", _ASSIGN, f"regexp_extract_all(body, '{_ASSIGN}', 2)")}
-      UNION ALL {_spans_sql("access", "AKIA[A-Z0-9]+", "m")}
-      UNION ALL {_spans_sql("hex", "[0-9a-f]+", "m")}),
+      UNION ALL {_spans_sql("access", "AKIA[A-Z0-9]+")}
+      UNION ALL {_spans_sql("hex", "[0-9a-f]+")}
+      {" ".join("UNION ALL " + _spans_sql(r.kind, r.pattern) for r in EXTRA_RULES)}),
     placed AS (SELECT n, kind, list_sum(list_transform(p[:i + 1], lambda x: length(x)))
                         + coalesce(list_sum(list_transform(m[:i], lambda x: length(x))), 0) AS s, length(m[i + 1]) AS size
-               FROM found WHERE length(t[i + 1]) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 ELSE 16 END),
+               FROM found WHERE length(t[i + 1]) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 WHEN 'hex' THEN 16
+                                                    ELSE 1 END),
     listed AS (SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-                      count(*) FILTER (kind = 'hex') AS n_hex,
-                      string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + size AS BIGINT), ','
-                                 ORDER BY s, list_position(['assign', 'access', 'hex'], kind)) AS spans
+                      count(*) FILTER (kind = 'hex') AS n_hex, {_LISTED} AS spans,
+                      {_LISTED} FILTER (kind IN ('assign', 'access', 'hex')) AS base
                FROM placed GROUP BY n)
     SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-           sha256(coalesce(spans, '')) AS base_sha256
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
     FROM texts LEFT JOIN listed USING (n)""")
 def op5(docs, spark, folder):
     found = scan_secrets(docs.select("doc_id", "text"))
