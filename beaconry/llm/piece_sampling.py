@@ -19,6 +19,8 @@ SPACE = "▁"
 MARK = np.frombuffer(SPACE.encode(), np.uint8)
 #: bytes of text whose lattices are held at once
 PART = 1 << 21
+#: endings that are kept from part to part of a task
+MOST_NODES = 1_500_000
 STEP, UNIT, ROUND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -103,37 +105,67 @@ def load_pieces(path: str, smoothing: float = 1.0) -> Pieces:
 
 
 class Lattices:
-    """Lattices of distinct units of text. No piece reaches beyond a unit, so a text is a chain of them.
+    """Lattices of units of text, merged by their endings. No piece reaches beyond a unit, so a text is a chain of them.
 
-    Nodes are the byte positions of the units and one end each; edges are pieces, longer ones first. The totals of all
-    ways from a node to its unit's end make every edge's probability exact, which is the search's heuristic.
+    A node is a distinct ending of a unit, whatever comes before it; node 0 is the end itself. Edges are pieces,
+    longer ones first. The total of all ways from a node to the end makes every edge's probability exact, which is the
+    heuristic of the search. Units met later add the endings that are new; beyond ``MOST_NODES`` all is built anew.
     """
 
-    def __init__(self, raw: np.ndarray, size: np.ndarray, pieces: Pieces):
-        """``raw``: the units' bytes in a row; ``size``: their lengths."""
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        # endings by their hash
+        self.code, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.total, self.first, self.size = np.zeros(1), np.zeros(1, np.int32), np.zeros(1, np.int32)
+        self.id = self.source = self.target = self.fan = np.zeros(0, np.int32)
+        self.log_share = self.upto = np.zeros(0)
+
+    def known(self, code: np.ndarray) -> np.ndarray:
+        """The nodes of endings given by hash, -1 for new ones."""
+        if not len(self.code):
+            return np.full(len(code), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return np.where(self.code[at] == code, self.number[at], np.int32(-1))
+
+    def add(self, raw: np.ndarray, size: np.ndarray) -> None:
+        """Add units that are not known: ``raw`` has their bytes in a row, ``size`` their lengths."""
+        if not len(raw):
+            return
+        pieces = self.pieces
         stop = np.cumsum(size)
         unit = np.repeat(np.arange(len(size)), size)
         left = stop[unit] - np.arange(len(raw))
+        code = spans_hash(raw.astype(np.uint64), np.arange(len(raw)), stop[unit])
+        node = self.known(code)
+        fresh = np.flatnonzero(node < 0)
+        own, first, inverse = np.unique(code[fresh], return_index=True, return_inverse=True)
+        node[fresh] = len(self.total) + inverse.astype(np.int32)
+        place = fresh[first]
+        where = np.searchsorted(self.code, own)
+        self.code = np.insert(self.code, where, own)
+        self.number = np.insert(self.number, where, len(self.total) + np.arange(len(own), dtype=np.int32))
+        # which node follows each byte's node after n bytes: the node n bytes on, or the end
+        after = np.append(node, np.int32(0))
         sizes = np.union1d(pieces.sizes, [1, 2, 3, 4])
-        sizes = sizes[sizes <= int(left.max(initial=1))][::-1]
-        self.begin = stop - size + np.arange(len(size))
-        self.stop = stop + np.arange(len(size))
-        at, found = self._matches(raw, left, sizes, pieces)
-        # rows go by their distance to the unit's end, so that a distance's edges lie together
+        sizes = sizes[sizes <= int(left.max())][::-1]
+        at, found = self._matches(raw, left, place, sizes)
         row, column = np.nonzero(found >= 0)
-        self.id = found[row, column]
-        self.source = (at + unit[at])[row].astype(np.int32)
-        self.target = self.source + sizes.astype(np.int32)[column]
-        total = np.full(len(raw) + len(size), -np.inf)
-        total[self.stop] = 0.0
-        weight = pieces.weight[self.id]
-        self.log_share = np.empty(len(row))
-        new = np.flatnonzero(np.diff(row, prepend=-1))
-        heads, many = self.source[new], np.diff(np.append(new, len(row)))
-        bounds = np.flatnonzero(np.diff(left[at[row[new]]], prepend=-1, append=-1))
-        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        ids = found[row, column]
+        source = node[at][row]
+        length = sizes[column]
+        end = at[row] + length
+        target = np.where(length == left[at][row], np.int32(0), after[end])
+        nodes = len(self.total) + len(own)
+        total = np.concatenate((self.total, np.full(len(own), -np.inf)))
+        weight = pieces.weight[ids]
+        log_share = np.empty(len(row))
+        new = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else row
+        heads, many = source[new], np.diff(np.append(new, len(row)))
+        far = left[at[row[new]]]
+        bounds = np.append(np.flatnonzero(np.concatenate(([True], far[1:] != far[:-1]))), len(new)) if len(new) else [0]
+        for a, b in zip(bounds[:-1], bounds[1:]):
             low, high = int(new[a]), int(new[b]) if b < len(new) else len(row)
-            value = weight[low:high] + total[self.target[low:high]]
+            value = weight[low:high] + total[target[low:high]]
             cut = new[a:b] - low
             top = np.maximum.reduceat(value, cut)
             top[top == -np.inf] = 0.0
@@ -141,38 +173,43 @@ class Lattices:
                 whole = np.log(np.add.reduceat(np.exp(value - np.repeat(top, many[a:b])), cut)) + top
             total[heads[a:b]] = whole
             whole[whole == -np.inf] = 0.0
-            self.log_share[low:high] = value - np.repeat(whole, many[a:b])
-        # where a node's edges begin; ends of units have none
-        self.first = np.zeros(len(total), np.int32)
-        self.first[heads] = new
-        share = np.exp(self.log_share)
-        # an edge without a way to the end is no choice
-        self.fan = np.repeat(np.add.reduceat((share > 0).astype(np.int32), new) if len(new) else many, many)
+            log_share[low:high] = value - np.repeat(whole, many[a:b])
+        share = np.exp(log_share)
+        # an edge without a way to the end is no choice; a node's last choice takes whatever a chance is
+        fan = np.repeat(np.add.reduceat((share > 0).astype(np.int32), new) if len(new) else many, many)
         sums = np.cumsum(share)
-        self.upto = sums - np.repeat(np.concatenate(([0.0], sums))[new], many)
-        # whatever a chance is, a node's last choice takes it
-        self.size = np.zeros(len(total), np.int32)
-        self.size[heads] = many
+        upto = sums - np.repeat(np.concatenate(([0.0], sums))[new], many)
         last = np.flatnonzero(share > 0)
-        self.upto[last[np.diff(self.source[last], append=-1) != 0]] = 2.0
-
-    @staticmethod
-    def _matches(raw: np.ndarray, left: np.ndarray, sizes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
-        """Byte positions, by their distance to the unit's end, and per piece size the id that stands there, or -1."""
+        upto[last[np.diff(source[last], append=-1) != 0]] = 2.0
+        spot = np.zeros(nodes, np.int32)
+        count = np.zeros(nodes, np.int32)
+        spot[:len(self.first)], count[:len(self.size)] = self.first, self.size
+        spot[heads], count[heads] = new + len(self.id), many
+        self.total, self.first, self.size = total, spot, count
+        for name, values in (("id", ids), ("source", source), ("target", target), ("fan", fan.astype(np.int32)),
+                             ("log_share", log_share), ("upto", upto)):
+            setattr(self, name, np.concatenate((getattr(self, name), values)))
+
+    def _matches(self, raw: np.ndarray, left: np.ndarray, place: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The byte positions of ``place`` that ways can pass, nearest to their unit's end first, and per piece size
+        the id that stands there, or -1."""
+        pieces = self.pieces
         up, down = Powers.upto(len(raw))
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((raw + np.uint64(1)) * up[:len(raw)], out=sums[1:])
-        lead = np.flatnonzero((raw & 0xC0) != 0x80)
-        width = np.diff(np.append(lead, len(raw)))
-        most = int(left.max(initial=0))
+        most = int(left.max())
 
         def near_first(at: np.ndarray) -> np.ndarray:
             far = left[at]
             return np.argsort(far.astype(np.uint16) if most < 1 << 16 else far, kind="stable")
 
-        order = near_first(lead)
-        at, width = lead[order], width[order]
+        at = place[(raw[place] & 0xC0) != 0x80]
+        at = at[near_first(at)]
+        # bytes of the character that begins there
+        lead = raw[at]
+        width = 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
         far = left[at]
+        width = np.minimum(width, far)
         found = np.full((len(at), len(sizes)), -1, np.int32)
         alone = np.zeros(len(at), bool)
         low, base = sums[at], down[at]
@@ -189,8 +226,8 @@ class Lattices:
                 found[own, column[n]] = pieces.unknown
             return at, found
         found[lost, column[1]] = pieces.of_byte[raw[at[lost]]]
-        tails = width[lost] - 1
-        more = np.repeat(at[lost] + 1, tails) + np.arange(tails.sum()) - np.repeat(np.cumsum(tails) - tails, tails)
+        # an ending that begins within a character is passed only byte by byte
+        more = place[(raw[place] & 0xC0) == 0x80]
         if not len(more):
             return at, found
         tail = np.full((len(more), len(sizes)), -1, np.int32)
@@ -239,10 +276,10 @@ def unit_bounds(raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------ the search
 
 
-def _free(lattice: Lattices, node: np.ndarray, end: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _free(lattice: Lattices, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Draw ways from nodes to the ends of their units: the edges taken, way after way, and how many each has."""
     node = node.copy()
-    active = np.flatnonzero(node < end)
+    active = np.flatnonzero(node)
     taken, owners, step = [], [], 0
     count = np.zeros(len(node), np.int64)
     while len(active):
@@ -250,8 +287,8 @@ def _free(lattice: Lattices, node: np.ndarray, end: np.ndarray, seed: np.ndarray
         taken.append(edge)
         owners.append(active)
         count[active] += 1
-        node[active] = lattice.target[edge]
-        active = active[node[active] < end[active]]
+        node[active] = onward = lattice.target[edge]
+        active = active[onward != 0]
         step += 1
     offset = np.cumsum(count) - count
     out = np.empty(int(count.sum()), np.int64)
@@ -292,7 +329,7 @@ def _log_inclusion(log_prob: float, bound: float) -> float:
     return gap if gap < -36 else float(np.log(-np.expm1(-np.exp(gap))))
 
 
-def sample_texts(texts: list[bytes], seeds: np.ndarray, pieces: Pieces, want: int) -> list[Sample]:
+def sample_texts(texts: list[bytes], seeds: np.ndarray, lattice: Lattices, want: int) -> list[Sample]:
     """The ``want`` segmentations of each text with the largest perturbed log probabilities.
 
     A best-first search over the lattice, all texts a round at a time. In a round the best set of each text's agenda
@@ -300,17 +337,20 @@ def sample_texts(texts: list[bytes], seeds: np.ndarray, pieces: Pieces, want: in
     the member that has this key. What is left of the set is split by the nodes of that way, with Gumbel keys below
     the member's. All of a text's segmentations thus have independent Gumbel keys added to their log probabilities,
     and the largest come out first, none twice. Only as many sets are kept as can still be opened, and one whose key
-    bounds what is left out.
+    bounds what is left out. Units that the lattice does not know are added to it.
     """
     marked = [MARK.tobytes() + t.replace(b" ", MARK.tobytes()) if t else b"" for t in texts]
     raw = np.frombuffer(b"".join(marked), np.uint8)
     begins = np.cumsum([0] + [len(m) for m in marked])
     starts = unit_bounds(raw, begins)
     stops = np.append(starts[1:], len(raw))[:len(starts)]
-    _, first, unit = np.unique(spans_hash(raw.astype(np.uint64), starts, stops), return_index=True, return_inverse=True)
-    size = (stops - starts)[first]
-    spot = np.repeat(starts[first] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    lattice = Lattices(raw[spot], size, pieces)
+    code, first, unit = np.unique(spans_hash(raw.astype(np.uint64), starts, stops), return_index=True, return_inverse=True)
+    if len(lattice.total) > MOST_NODES:
+        lattice.__init__(lattice.pieces)
+    first = first[lattice.known(code) < 0]
+    size = stops[first] - starts[first]
+    lattice.add(raw[np.repeat(starts[first] - (np.cumsum(size) - size), size) + np.arange(size.sum())], size)
+    unit = lattice.known(code)[unit]
     chain = np.searchsorted(starts, begins)
     seeds = mixed(seeds.astype(np.uint64))
     agenda: list[list[Open]] = [[] for _ in texts]
@@ -328,10 +368,10 @@ def sample_texts(texts: list[bytes], seeds: np.ndarray, pieces: Pieces, want: in
         owner = np.repeat(np.arange(len(own)), length)
         by_unit = np.concatenate(([0], np.cumsum(length)))
         place = np.arange(by_unit[-1]) + np.repeat(low - by_unit[:-1], length)
-        node, end = lattice.begin[unit[place]], lattice.stop[unit[place]]
+        node = unit[place]
         forked = np.flatnonzero(edge >= 0)
         node[by_unit[forked]] = lattice.target[edge[forked]]
-        ways, counts = _free(lattice, node, end, base[owner] + (place - chain[own][owner]).astype(np.uint64) * UNIT)
+        ways, counts = _free(lattice, node, base[owner] + (place - chain[own][owner]).astype(np.uint64) * UNIT)
         by_edge = np.concatenate(([0], np.cumsum(counts)))[by_unit]
         owner = np.repeat(np.arange(len(own)), np.diff(by_edge))
         # what is left beside each edge taken, with its key
@@ -414,11 +454,12 @@ def sample_pieces(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: st
                          quoted(text).cast("binary").alias("text"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattices(pieces)
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             seeds = batch.column("seed").to_numpy().view(np.uint64)
             for part in chunked([len(t) for t in texts], PART):
-                found = sample_texts(texts[part], seeds[part], pieces, want)
+                found = sample_texts(texts[part], seeds[part], lattice, want)
                 for rank in range(1, want + 1):
                     own = [s for s in found if s.rank == rank]
                     offsets = np.cumsum([0] + [len(s.ids) for s in own]).astype(np.int32)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import beaconry.llm.decontaminate as leaks
 from beaconry.llm.language_id import (BLOCK, CHUNK, Model, _pieces, fit_languages, language_runs, learn, marginals,
                                       predict_languages)
-from beaconry.llm.piece_sampling import Pieces, decode_pieces, load_pieces, sample_pieces, sample_texts
+from beaconry.llm.piece_sampling import Lattices, Pieces, decode_pieces, load_pieces, sample_pieces, sample_texts
 from beaconry.llm.queries import PIECE_MODEL, held_out, language_model
 from tests.llm.helpers import awkward_docs, empty_docs
 from tests.oracle import DATA
@@ -214,7 +214,7 @@ def all_ways(text, p):
 def test_samples_follow_the_distribution(text):
     p, count = toy(False), 20_000
     probability = all_ways(text, p)
-    found = sample_texts([text.encode()] * count, np.arange(count).astype(np.uint64), p, 2)
+    found = sample_texts([text.encode()] * count, np.arange(count).astype(np.uint64), Lattices(p), 2)
     pairs = Counter()
     for a, b in zip(found[::2], found[1::2]):
         assert (a.rank, b.rank) == (1, 2) and a.key > b.key
@@ -232,7 +232,7 @@ def test_samples_follow_the_distribution(text):
 def test_inclusion_scores_weigh_samples_without_bias():
     # sum of p / q over a sample estimates 1
     p, count = toy(False), 4000
-    found = sample_texts([b"abab ab"] * count, np.arange(count).astype(np.uint64), p, 3)
+    found = sample_texts([b"abab ab"] * count, np.arange(count).astype(np.uint64), Lattices(p), 3)
     sums = np.zeros(count)
     for s in found:
         sums[s.text] += math.exp(s.log_prob - s.log_inclusion)
@@ -242,7 +242,7 @@ def test_inclusion_scores_weigh_samples_without_bias():
 def test_every_segmentation_comes_out_once():
     p = toy(False)
     for text in ("ab", "abab", "ba ab", ""):
-        found = sample_texts([text.encode()], np.array([5], np.uint64), p, 500)
+        found = sample_texts([text.encode()], np.array([5], np.uint64), Lattices(p), 500)
         ways = all_ways(text, p) if text else {(): 1.0}
         assert {tuple(s.ids.tolist()) for s in found} == set(ways) and len(found) == len(ways)
         assert [s.key for s in found] == sorted((s.key for s in found), reverse=True)
@@ -252,9 +252,9 @@ def test_every_segmentation_comes_out_once():
 def test_texts_are_sampled_alike_in_any_company(pieces):
     texts = [b"one text", b"", "zwei Wörter\nund  mehr ".encode(), b"three " * 50]
     seeds = np.array([7, 8, 9, 10], np.uint64)
-    together = {(s.text, s.rank): s.ids.tolist() for s in sample_texts(texts, seeds, pieces, 3)}
+    together = {(s.text, s.rank): s.ids.tolist() for s in sample_texts(texts, seeds, Lattices(pieces), 3)}
     for n, t in enumerate(texts):
-        for s in sample_texts([t], seeds[n:n + 1], pieces, 3):
+        for s in sample_texts([t], seeds[n:n + 1], Lattices(pieces), 3):
             assert s.ids.tolist() == together[n, s.rank]
 
 
@@ -281,8 +281,20 @@ def test_decoding_odd_ids(spark, pieces):
 
 def test_models_without_byte_pieces():
     p = toy(False)
-    found = sample_texts(["aéb".encode()], np.array([1], np.uint64), p, 2)
+    found = sample_texts(["aéb".encode()], np.array([1], np.uint64), Lattices(p), 2)
     assert all(0 in s.ids for s in found)
     q = toy(True)
-    found = sample_texts(["aéb".encode()], np.array([1], np.uint64), q, 2)
+    found = sample_texts(["aéb".encode()], np.array([1], np.uint64), Lattices(q), 2)
     assert all(pa.array(s.ids).to_pylist().count(int(q.of_byte[0xC3])) == 1 for s in found)
+
+
+def test_lattices_built_anew_sample_alike(pieces, monkeypatch):
+    import beaconry.llm.piece_sampling as sampling
+    texts = [f"text number {n} with wörds".encode() for n in range(20)]
+    seeds = np.arange(20).astype(np.uint64)
+    grown = Lattices(pieces)
+    one = [s.ids.tolist() for n in range(20) for s in sample_texts(texts[n:n + 1], seeds[n:n + 1], grown, 2)]
+    monkeypatch.setattr(sampling, "MOST_NODES", 50)
+    small = Lattices(pieces)
+    two = [s.ids.tolist() for n in range(20) for s in sample_texts(texts[n:n + 1], seeds[n:n + 1], small, 2)]
+    assert one == two and len(small.total) < len(grown.total)
