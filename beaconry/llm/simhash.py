@@ -112,12 +112,14 @@ class GrayIndex:
                     break
                 root[:] = up
 
-    def link(self, distance: int, queries: int = 1024) -> np.ndarray:
-        """Per code the smallest position of its component under links of at most ``distance`` differing bits.
+    def link(self, distance: int, queries: int = 1024, same: int = 0) -> np.ndarray:
+        """Per code the smallest position of its component under links of at most ``distance`` differing bits, none of
+        them among the bits of ``same``.
 
         Nodes beyond the distance are left out with everything below them, as are nodes that already are in the
         query's component; the frontier is worked off in parts of bounded size.
         """
+        same = np.uint64(same)
         top = len(self.mask) - 1
         for begin in range(0, len(self.codes), queries):
             roots = self._node_roots()
@@ -129,9 +131,10 @@ class GrayIndex:
                     half = len(query) // 2
                     work += [(level, query[:half], node[:half], far[:half]), (level, query[half:], node[half:], far[half:])]
                     continue
-                far = far + np.bitwise_count((self.codes[query] ^ self.pattern[level][node]) & self.mask[level][node])
+                differ = (self.codes[query] ^ self.pattern[level][node]) & self.mask[level][node]
+                far = far + np.bitwise_count(differ)
                 last = (node + 1) * FANOUT ** level - 1
-                near = (far <= distance) & (last > query) & (roots[level][node] != roots[0][query])
+                near = (far <= distance) & (differ & same == 0) & (last > query) & (roots[level][node] != roots[0][query])
                 query, node, far = query[near], node[near], far[near]
                 if not len(query):
                     continue
@@ -196,7 +199,9 @@ def link_codes(codes: DataFrame, distance: int) -> DataFrame:
         for n in np.unique(way):
             own = code[way == n]
             own = own[np.argsort(gray_rank(_rearranged(own, ways[n])))]
-            root = GrayIndex(_rearranged(own, ways[n])).link(distance)
+            # other groups' codes are found where they are in a group with this one
+            chosen_bits = sum(width for _, width in ways[n][:chosen])
+            root = GrayIndex(_rearranged(own, ways[n])).link(distance, same=(1 << 64) - (1 << 64 - chosen_bits))
             value = own.view(np.int64)
             # the smallest code of a component, so that all tasks name it alike
             least = value.copy()
