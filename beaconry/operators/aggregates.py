@@ -75,11 +75,9 @@ def nest_thresholds(threshold: DataFrame) -> DataFrame:
     )
 
 
-def servers_by_app(server: DataFrame, chunk: int = 10_000) -> DataFrame:
-    """The sorted server ids of each app, in chunks of ids from the same ``chunk``-wide range.
+def servers_by_app(server: DataFrame) -> DataFrame:
+    """The set of servers of each app as (app, server) rows, each once.
 
-    An app may own any number of servers; a chunk never holds more than ``chunk`` ids, and
-    the chunks of one app are built by different tasks.
+    Rows, because an app may own any number of servers; a reader that wants one app's list filters and sorts.
     """
-    part = F.floor(F.col("id") / F.lit(chunk)).cast("long")
-    return server.groupBy("app_id", part.alias("chunk")).agg(F.sort_array(F.collect_set("id")).alias("server_ids"))
+    return server.select("app_id", F.col("id").alias("server_id")).distinct()

@@ -41,16 +41,14 @@ def pit_join(
     take: Mapping[str, str],
     ts: str = "timestamp",
     how: str = "inner",
-    spread: Sequence[str] | None = None,
     limit: int | None = None,
-    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Attach columns of the dimension version that was valid at the event time.
 
     ``on`` maps fact columns to dimension columns, ``take`` maps result names to
     dimension columns; no other dimension column is read.
     """
-    joined = sized_join(fact, _versions(dim, on, take), list(on), how, valid_at(F.col(ts)), spread, limit, profile=profile)
+    joined = sized_join(fact, _versions(dim, on, take), list(on), how, valid_at(F.col(ts)), limit)
     return joined.drop(FROM, TO)
 
 
@@ -85,13 +83,10 @@ def lift_dimension(inner: DataFrame, outer: DataFrame, on: Mapping[str, str], ta
     )
 
 
-def with_hour_key(fact: DataFrame, dim_hour: DataFrame, ts: str = "timestamp", limit: int | None = None,
-                  profile: DataFrame | None = None) -> DataFrame:
+def with_hour_key(fact: DataFrame, dim_hour: DataFrame, ts: str = "timestamp", limit: int | None = None) -> DataFrame:
     """Attach the calendar key of the hour; rows outside the calendar are dropped."""
     hours = part_of(dim_hour.selectExpr("db_hour AS __hour", "dwid AS hour_dwid"), dim_hour)
-    if profile is not None:
-        profile = profile.select(hour_start(ts).alias("__hour"))
-    return sized_join(fact.withColumn("__hour", hour_start(ts)), hours, ["__hour"], limit=limit, profile=profile).drop("__hour")
+    return sized_join(fact.withColumn("__hour", hour_start(ts)), hours, ["__hour"], limit=limit).drop("__hour")
 
 
 def attach(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str], how: str = "inner",
@@ -145,13 +140,13 @@ def enrich_server(df: DataFrame, servers: DataFrame, take: Sequence[str] = ("ser
     Works on a stream too: the server side is measured once, when the query is built.
     """
     side = part_of(servers.select("hostname", *take), servers)
-    return sized_join(df, side, ["hostname"], how, limit=limit, split_hot=not df.isStreaming)
+    return sized_join(df, side, ["hostname"], how, limit=limit)
 
 
 def enrich_alert(df: DataFrame, alert_index: DataFrame, how: str = "left", limit: int | None = None) -> DataFrame:
     """Look up alert type id and severity by message."""
-    side = alert_index.select(F.col("name").alias("message"), F.col("id").alias("alert_id"), "severity")
-    return sized_join(df, side, ["message"], how, limit=limit, split_hot=not df.isStreaming)
+    side = part_of(alert_index.select(F.col("name").alias("message"), F.col("id").alias("alert_id"), "severity"), alert_index)
+    return sized_join(df, side, ["message"], how, limit=limit)
 
 
 def delete_keys(df: DataFrame, keys_df: DataFrame, on: Sequence[str], limit: int | None = None) -> DataFrame:

@@ -42,7 +42,7 @@ def upsert(dim: DataFrame, delta: DataFrame, keys: Sequence[str], limit: int | N
 def server_snapshot(server: DataFrame, threshold: DataFrame, limit: int | None = None) -> DataFrame:
     """Servers with their thresholds nested; a server without thresholds has NULL."""
     nested = nest_thresholds(threshold).withColumnRenamed("server_id", "id")
-    return sized_join(server, nested, ["id"], "left", limit=limit, split_hot=False)
+    return sized_join(server, nested, ["id"], "left", limit=limit)
 
 
 def server_documents(snapshot: DataFrame) -> DataFrame:
@@ -62,10 +62,17 @@ def threshold_of(name: str | Column, thresholds: str = "metric_thresholds") -> C
     return F.try_element_at(F.col(thresholds), F.lit(name) if isinstance(name, str) else name)
 
 
+def all_thresholds(server: DataFrame, threshold: DataFrame, limit: int | None = None) -> DataFrame:
+    """One narrow row per host and metric: server id, host, metric and both thresholds."""
+    wanted = part_of(threshold.select(
+        F.col("server_id").alias("id"), "metric_name", "amber_threshold", "red_threshold"), threshold)
+    return sized_join(wanted, server.select("id", "hostname"), ["id"], limit=limit).withColumnRenamed("id", "server_id")
+
+
 def metric_thresholds(server: DataFrame, threshold: DataFrame, metric: str, limit: int | None = None) -> DataFrame:
     """One narrow row per host for the metric a stream evaluates: server id and both thresholds."""
     name = metric.replace("_", ".")
     wanted = part_of(threshold.filter(F.col("metric_name") == name).select(
         F.col("server_id").alias("id"), "amber_threshold", "red_threshold"), threshold)
     hosts = server.select("id", "hostname")
-    return sized_join(hosts, wanted, ["id"], limit=limit, split_hot=False).withColumnRenamed("id", "server_id")
+    return sized_join(hosts, wanted, ["id"], limit=limit).withColumnRenamed("id", "server_id")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconry.operators.skew import fits_broadcast, sized_join
+from beaconry.operators.skew import part_of, sized_join
+from beaconry.session import materialize
 
 OC, RANK = "oc", "__rank"
 
@@ -38,18 +39,23 @@ def merge_latest(
     full_is_unique: bool = False,
     limit: int | None = None,
 ) -> DataFrame:
-    """One current row per key: newest ``order_col`` wins, the increment wins ties.
+    """One current row per key: newest ``order_col`` wins, the increment wins ties, and NULL is a key like any other.
 
-    With ``full_is_unique`` (the full table is itself a merge result) and an increment
-    whose keys are small enough to broadcast, only the rows whose key the
-    increment touches are shuffled; all others are passed through from the scan.
+    With ``full_is_unique`` the full table is itself a merge result, so only the increment is reduced to one row per
+    key; each full row then meets the increment's row of its key, and the newer one stays. The full table
+    is not shuffled while the reduced increment is small enough to broadcast, and the rows are the same either way.
     """
-    order = [F.desc(order_col), F.desc(OC), *ties]
-    if full_is_unique:
-        touched_keys = delta.select(*keys).distinct()
-        if fits_broadcast(touched_keys, limit):
-            touched = sized_join(full, touched_keys, keys, "left_semi", limit=limit)
-            untouched = sized_join(full, touched_keys, keys, "left_anti", limit=limit)
-            newest = latest_per_key(tagged_union(touched, delta), keys, order).drop(OC)
-            return untouched.unionByName(newest)
-    return latest_per_key(tagged_union(full, delta), keys, order).drop(OC)
+    if not full_is_unique:
+        return latest_per_key(tagged_union(full, delta), keys, [F.desc(order_col), F.desc(OC), *ties]).drop(OC)
+    columns = full.columns
+    # read by three steps below
+    newest = materialize(latest_per_key(delta.select(*columns), keys, [F.desc(order_col), *ties]), "newest")
+    offered = newest.select(*keys, F.struct(*columns).alias("__new"))
+    met = sized_join(full, part_of(offered, newest), keys, "left", limit=limit, null_safe=True)
+    renewed = F.col("__new").isNotNull() & F.coalesce(
+        F.col(f"__new.{order_col}") >= F.col(order_col), F.col(order_col).isNull())
+    kept = met.select(*[F.when(renewed, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in columns])
+    held = materialize(
+        sized_join(full.select(*keys), part_of(newest.select(*keys), newest), keys, "left_semi", limit=limit, null_safe=True),
+        "held")
+    return kept.unionByName(sized_join(newest, held, keys, "left_anti", limit=limit, null_safe=True))

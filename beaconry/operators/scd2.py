@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from beaconry.operators.merge import latest_per_key
 from beaconry.operators.numbering import max_key, number_rows
-from beaconry.operators.skew import sized_join
+from beaconry.operators.skew import part_of, sized_join
 from beaconry.session import materialize
 
 VALIDITY = ("valid_from", "valid_to", "eff_flag")
@@ -29,11 +29,10 @@ def match_changes(dim: DataFrame, changes: DataFrame, keys: Sequence[str], date_
 
     Several changes to one key give several rows; reduce the changes to one row
     per key first where that is unwanted. The changes are the side that may have a key
-    with very many rows, so they are the side that is split; unmatched rows are added apart.
+    with very many rows, so they are the large side of the join; unmatched rows are added apart.
     """
-    noise = F.xxhash64(*changes.columns).alias("__noise")
-    days = changes.select(*keys, F.col(date_col).alias(MATCHED), noise)
-    matched = sized_join(days, dim, keys, "inner", spread=["__noise"], limit=limit)
+    days = changes.select(*keys, F.col(date_col).alias(MATCHED))
+    matched = sized_join(days, dim, keys, "inner", limit=limit)
     others = sized_join(dim, changes.select(*keys).distinct(), keys, "left_anti", limit=limit)
     columns = [*dim.columns, MATCHED]
     return matched.select(*columns).unionByName(others.withColumn(MATCHED, F.lit(None).cast("string")).select(*columns))
@@ -132,8 +131,9 @@ def scd2_apply(
         numbered = number_rows(opened, [*keys, "valid_from", *attrs], highest)
         return union_versions(closed.select(*columns), numbered.select(*columns))
 
-    daily = day_changes(changes, keys, date_col, latest_by).select(*business)
-    touched_keys = changes.select(*keys).distinct()
+    # read once, however many steps below use them
+    daily = materialize(day_changes(changes, keys, date_col, latest_by).select(*business), "day-changes")
+    touched_keys = part_of(daily.select(*keys).distinct(), daily)
     touched = sized_join(dim, touched_keys, keys, "left_semi", limit=limit)
     untouched = sized_join(dim, touched_keys, keys, "left_anti", limit=limit)
     added = open_versions(daily, date_col).withColumn("dwid", F.lit(None).cast("long"))

@@ -1,4 +1,4 @@
-"""Joins that measure before they choose: broadcast a side of known size, else shuffle with hot keys split."""
+"""Joins that measure before they choose: broadcast a side of known size, else shuffle and let Spark split hot keys."""
 
 from __future__ import annotations
 
@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 # largest side, in estimated in-memory bytes, that is sent whole to every executor
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
-HOT_COUNT, SALT = "__rows", "__salt"
-
 # types whose values differ in size; all others take 8 bytes in a row
 VARYING = (T.StringType, T.BinaryType, T.MapType, T.ArrayType, T.StructType)
 
@@ -71,77 +69,28 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """Keys that hold more rows than an average shuffle partition, with their salt counts.
-
-    With P shuffle partitions a key qualifies above total/P rows, so there are fewer than
-    P of them whatever the data size; that bound is what makes collecting and
-    broadcasting them safe. Returns None when no key qualifies.
-    """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    keys = df.select(*on).dropna()
-    total = keys.count()
-    found = (
-        keys.groupBy(*on).agg(F.count(F.lit(1)).alias(HOT_COUNT))
-        .filter(F.col(HOT_COUNT) * parts > F.lit(total))
-        .select(*on, F.ceil(F.col(HOT_COUNT) * parts / F.lit(total)).cast("int").alias(HOT_COUNT))
-    )
-    rows = found.collect()
-    return spark.createDataFrame(rows, found.schema) if rows else None
-
-
-def _salted(fact: DataFrame, dim: DataFrame, on: list[str], spread: Sequence[str],
-            profile: DataFrame) -> tuple[DataFrame, DataFrame]:
-    parts = max(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
-    any_null = F.lit(False)
-    for k in on:
-        any_null = any_null | F.col(k).isNull()
-    noise = F.xxhash64(*[F.col(c) for c in spread])
-    hot = hot_keys(profile, on)
-    if hot is None:
-        n = F.lit(1)
-    else:
-        fact = fact.join(F.broadcast(hot), on, "left")
-        dim = dim.join(F.broadcast(hot), on, "left")
-        n = F.coalesce(F.col(HOT_COUNT), F.lit(1))
-    # rows without a key match nothing, so they may go anywhere
-    fact = fact.withColumn(SALT, F.pmod(noise, F.when(any_null, F.lit(parts)).otherwise(n)).cast("int"))
-    dim = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), n - F.lit(1))))
-    return fact.drop(HOT_COUNT), dim.drop(HOT_COUNT)
-
-
 def sized_join(
     fact: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     residual: Column | None = None,
-    spread: Sequence[str] | None = None,
     limit: int | None = None,
-    split_hot: bool = True,
-    profile: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join a large side to a smaller one on equal keys plus an optional residual condition.
 
-    The smaller side is broadcast when its measured size is within ``limit``. Beyond it
-    both sides are shuffled; a key that holds more than an average partition of
-    the large side is split over several tasks by a salt hashed from ``spread`` (all
-    columns unless given), and the few matching rows of the other side are repeated per salt.
-    Keys are counted on ``profile`` where a cheaper frame has about the same distribution.
-    Only the ``on`` columns may share names. ``how`` is inner, left, left_semi or left_anti.
+    The smaller side is broadcast when its measured size is within ``limit``. Beyond it both sides are shuffled, and
+    Spark's adaptive skew join splits a key that fills a partition; for that the smaller side should be a scan or a
+    written table, not an aggregate over the join keys. With ``null_safe`` two NULL keys are equal.
+    Only the ``on`` columns may share names. ``how`` is inner, left, left_semi or left_anti. Either way the result has
+    the columns of ``fact`` in their order, then those of ``dim`` but the keys.
     """
     on = list(on)
-    if fits_broadcast(dim, limit):
-        small, keys = F.broadcast, on
-    else:
-        small, keys = (lambda d: d), on
-        if split_hot:
-            fact, dim = _salted(fact, dim, on, spread or fact.columns, fact if profile is None else profile)
-            keys = on + [SALT]
-    right = dim.withColumnsRenamed({k: f"__{k}" for k in keys})
+    renamed = dim.withColumnsRenamed({k: f"__{k}" for k in on})
+    right = F.broadcast(renamed) if fits_broadcast(dim, limit) else renamed
     condition = residual if residual is not None else F.lit(True)
-    for k in keys:
-        condition = (F.col(k) == F.col(f"__{k}")) & condition
-    joined = fact.join(small(right), condition, how)
-    return joined.drop(SALT, *[f"__{k}" for k in keys])
+    for k in on:
+        left, other = F.col(k), F.col(f"__{k}")
+        condition = (left.eqNullSafe(other) if null_safe else left == other) & condition
+    return fact.join(right, condition, how).drop(*[f"__{k}" for k in on])

@@ -7,11 +7,13 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from beaconry import schemas
 from beaconry.operators.calendar import build_dim_hour
 from beaconry.operators.skew import measure
 from beaconry.plans import layers, marts
+from beaconry.session import scratch
 from beaconry.sources.tables import (
     land_extract,
     overwrite_partitions,
@@ -53,10 +55,23 @@ class Warehouse:
         return {name: self.current("dmt", f"dim_{name}") for name in DIMENSIONS}
 
 
+def admit(wh: Warehouse, table: str, typed: DataFrame, start: str, end: str) -> DataFrame:
+    """The typed rows dated in ``[start, end)``; all others, also those whose time is unreadable, go to quarantine.
+
+    Partitions are replaced whole, so a stray row of an earlier day would take that day's place. The rows kept apart
+    are at ``quarantine/<table>/<start>_<end>``; building the range again replaces them.
+    """
+    _, parts = schemas.LAYERS["src"][table]
+    date_col = parts[0]
+    inside = F.coalesce((F.col(date_col) >= start[:10]) & (F.col(date_col) < end[:10]), F.lit(False))
+    typed.filter(~inside).write.mode("overwrite").parquet(wh.path("quarantine", f"{table}/{start[:10]}_{end[:10]}"))
+    return typed.filter(inside)
+
+
 def build_master(wh: Warehouse, table: str, extract: DataFrame, start: str, end: str, now: str) -> None:
     """One master table: land, type, merge, and apply to its dimension."""
     landed = land_extract(extract, wh.path("tmp", table))
-    wh.overwrite("src", table, layers.build_src_master(landed, table, now), rebalance=True)
+    wh.overwrite("src", table, admit(wh, table, layers.build_src_master(landed, table, now), start, end), rebalance=True)
     src = wh.range("src", table, start, end)
     wh.replace("dwh", table, layers.build_dwh_master(wh.current("dwh", table), src, table, start, end))
     wh.replace("dmt", f"dim_{table}", marts.build_dim(wh.current("dmt", f"dim_{table}"), src, table, start, end))
@@ -65,7 +80,7 @@ def build_master(wh: Warehouse, table: str, extract: DataFrame, start: str, end:
 def build_metric(wh: Warehouse, extract: DataFrame, start: str, end: str, now: str, rebalance: bool = False) -> None:
     """Metric details: land, type, copy, then fact, summary and wide table for the range."""
     landed = land_extract(extract, wh.path("tmp", "metric"))
-    wh.overwrite("src", "metric", layers.build_src_metric(landed, now), rebalance)
+    wh.overwrite("src", "metric", admit(wh, "metric", layers.build_src_metric(landed, now), start, end), rebalance)
     wh.overwrite("dwh", "metric", layers.build_dwh_metric(wh.range("src", "metric", start, end), start, end), rebalance)
     dims = wh.dims()
     measure(*dims.values())
@@ -83,8 +98,15 @@ def build_day(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end:
 
     ``extracts`` holds the increment of each master table and of ``metric``. The calendar
     is written once, or again when a new range is given. The master tables do not depend
-    on each other, so their small jobs run side by side.
+    on each other, so their small jobs run side by side. Rows dated outside the range are set aside, see ``admit``.
+    Intermediate tables are removed when the build has ended.
     """
+    with scratch(wh.spark):
+        _build_range(wh, extracts, start, end, now, calendar)
+
+
+def _build_range(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end: str, now: str,
+                 calendar: tuple[str, str] | None) -> None:
     if calendar:
         wh.replace("dmt", "dim_hour", build_dim_hour(wh.spark, *calendar))
     with ThreadPoolExecutor(len(schemas.MASTER_TABLES)) as pool:

@@ -52,8 +52,7 @@ def build_fact_metric(metric: DataFrame, dims: Mapping[str, DataFrame], start: s
 
     The app is attached to the server dimension first, version by version, so that the
     events are joined once by hostname instead of once per level. Dimension versions
-    outside the date range are left out first. Hot keys are looked for in the events
-    themselves, not in the joined rows, so that only the key column is read for it.
+    outside the date range are left out first.
     """
     _measure_dims(dims, FACT_DIMS, limit)
     events = date_range(metric, "creation_date", start, end)
@@ -62,9 +61,9 @@ def build_fact_metric(metric: DataFrame, dims: Mapping[str, DataFrame], start: s
         servers.select("dwid", "hostname", "app_id", "valid_from", "valid_to"), apps,
         {"app_id": "id"}, {"app_dwid": "dwid"}, limit=limit)
     fact = pit_join(events, hosts, {"hostname": "hostname"}, {"server_dwid": "dwid", "app_dwid": "app_dwid"},
-                    spread=["id"], limit=limit, profile=events)
-    fact = pit_join(fact, kinds, {"name": "name"}, {"metric_index_dwid": "dwid"}, spread=["id"], limit=limit, profile=events)
-    return with_hour_key(fact, dims["hour"], limit=limit, profile=events).select(*schemas.FACT_METRIC.names)
+                    limit=limit)
+    fact = pit_join(fact, kinds, {"name": "name"}, {"metric_index_dwid": "dwid"}, limit=limit)
+    return with_hour_key(fact, dims["hour"], limit=limit).select(*schemas.FACT_METRIC.names)
 
 
 def build_sum_metric_avg(fact: DataFrame, dims: Mapping[str, DataFrame], start: str, end: str,

@@ -20,8 +20,6 @@ ORDERS = schemas.struct(o_orderkey=schemas.LONG, o_custkey=schemas.LONG, o_order
                         o_totalprice=schemas.T.DoubleType(), o_orderdate=schemas.TS, o_orderpriority=schemas.STR)
 
 NOW = "2024-02-01 00:00:00"
-# the days the event table covers
-START, END = "2024-01-01", "2024-01-31"
 
 
 def _ts(text: str):
@@ -39,6 +37,13 @@ class Tables:
         # which keeps time filters pushable
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def days(self) -> tuple[str, str]:
+        """The days the event table covers, the second one excluded."""
+        ends = self.events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).select(
+            date_string("low").alias("low"), date_string(F.col("high") + F.expr("INTERVAL 1 DAY")).alias("high")).first()
+        return (ends.low, ends.high) if ends.low else ("1970-01-01", "1970-01-02")
+
     def events_stream(self) -> DataFrame:
         # a pattern, because the file source wants a folder or a pattern
         return self.spark.readStream.schema(EVENTS).parquet(f"{self.folder}/events.parque[t]")

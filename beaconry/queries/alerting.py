@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from beaconry import schemas
 from beaconry.operators import aggregates as agg
-from beaconry.operators.lookup import metric_thresholds
+from beaconry.operators.lookup import all_thresholds, metric_thresholds
 from beaconry.queries.adapters import Tables
 from beaconry.queries.ingest import METRIC_LIST, arriving, trunk
 from beaconry.queries.registry import query
@@ -79,13 +79,10 @@ def sliding_unknown_hosts(t: Tables):
 HEALTH_STEP = 3600
 
 
-@query("health", "metric alert alert_index server metric_threshold", windows_sql(CLICKS) + f""",
-    errors AS (
-        SELECT hostname, (CAST(floor(epoch("timestamp")) AS BIGINT) // {SLIDE} + k) * {SLIDE} AS "timestamp", AVG(value) AS avg
-        FROM (SELECT * FROM metric WHERE name = 'error'), generate_series(1, {SIZE // SLIDE}) AS g(k) GROUP BY 1, 2),
-    windows AS (
-        SELECT hostname, "timestamp", 'click' AS metric, avg FROM means
-        UNION ALL SELECT hostname, "timestamp", 'error', avg FROM errors),
+@query("health", "metric alert alert_index server metric_threshold", f"""
+    WITH windows AS (
+        SELECT hostname, name, (CAST(floor(epoch("timestamp")) AS BIGINT) // {SLIDE} + k) * {SLIDE} AS "timestamp", AVG(value) AS avg
+        FROM metric, generate_series(1, {SIZE // SLIDE}) AS g(k) GROUP BY 1, 2, 3),
     registry AS (
         SELECT user_id, severity, bool_or(status = 'OPEN') AS opened, bool_or(status = 'CLOSED') AS closed
         FROM alert a JOIN alert_index i ON i.name = a.message GROUP BY user_id, severity, "timestamp"),
@@ -93,7 +90,7 @@ HEALTH_STEP = 3600
         SELECT s.id AS server_id, g."timestamp",
                CASE WHEN avg < amber_threshold THEN 0 WHEN avg >= red_threshold THEN 2 ELSE 1 END AS severity
         FROM windows g JOIN server s ON s.hostname = g.hostname
-        JOIN metric_threshold t ON t.server_id = s.id AND t.metric_name = g.metric
+        JOIN metric_threshold t ON t.server_id = s.id AND t.metric_name = g.name
         UNION ALL
         SELECT user_id, (SELECT CAST(epoch(MAX("timestamp")) AS BIGINT) + 5 FROM alert),
                MAX(CASE WHEN opened AND NOT closed THEN severity ELSE 0 END)
@@ -101,8 +98,10 @@ HEALTH_STEP = 3600
     SELECT server_id, (("timestamp" + {HEALTH_STEP - 1}) // {HEALTH_STEP}) * {HEALTH_STEP} AS "timestamp", MAX(severity) AS severity
     FROM states GROUP BY 1, 2""")
 def health(t: Tables):
-    states = x.union_waves(*[w.known_states(rated_windows(t, n)) for n in ("click", "error")], alert_states(t))
-    return w.server_health(states, HEALTH_STEP)
+    """Every metric and the alerts, in one pass over the metrics."""
+    windows = w.sliding_mean(t.metric, size=SIZE, slide=SLIDE, by=["name"])
+    rated = w.evaluate_metrics(windows, all_thresholds(t.server, t.metric_threshold))
+    return w.server_health(x.union_waves(w.known_states(rated), alert_states(t)), HEALTH_STEP)
 
 
 @query("late_rows", sql="""
@@ -252,9 +251,9 @@ def stream_fork(t: Tables):
     return x.union_waves(*rows).groupBy(F.col("name").alias("branch")).agg(F.count("*").alias("n"))
 
 
-def run_metric_stream(t: Tables, root: str, metric: str, prefix: str) -> None:
+def run_metric_stream(t: Tables, root: str, metric: str, prefix: str, server=None) -> None:
     messages = trunk(t, metric_events(t))
-    finish(*streams.metric_stream(messages, t.server, t.metric_threshold, metric, root, prefix,
+    finish(*streams.metric_stream(messages, server or t.server, t.metric_threshold, metric, root, prefix,
                                   available_now=True, size=SIZE, slide=SLIDE))
 
 
@@ -266,6 +265,19 @@ def stream_metric_states(t: Tables):
     return streams.read_states(t.spark, root, ["click"])
 
 
+@query("stream_unknown_hosts", "metric server metric_threshold", windows_sql(CLICKS) + """
+    SELECT hostname, "timestamp", 'click' AS src_type FROM means WHERE hostname NOT IN (
+        SELECT s.hostname FROM server s JOIN metric_threshold t ON t.server_id = s.id AND t.metric_name = 'click'
+        WHERE s.segment <> 'BUILDING')""")
+def stream_unknown_hosts(t: Tables):
+    """What the stream sets aside when the server list lacks one market segment."""
+    root = fresh_path(t.spark, "metric-stream")
+    listed = t.customer.filter("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
+    run_metric_stream(t, root, "click", "cu", lambda: t.server.join(listed, "id", "left_semi"))
+    kind = schemas.struct(hostname=schemas.STR, timestamp=schemas.LONG, src_type=schemas.STR)
+    return sinks.read_upserts(t.spark, f"{root}/quarantine_click_unknown", kind, streams.UNKNOWN_COLUMNS)
+
+
 @query("stream_metric_raw", "metric", """
     SELECT id, name, hostname, value, strftime(date_trunc('second', "timestamp"), '%Y-%m-%d %H:%M:%S.%f') AS "timestamp"
     FROM metric WHERE name = 'view'""")
@@ -295,22 +307,33 @@ def stream_states_shared_key(t: Tables):
     return streams.read_states(t.spark, root, ["click", "view"], shared_key=True)
 
 
-def run_alert_stream(t: Tables) -> str:
+# the time to live of the streamed registry, in the query and in its oracle
+STREAM_TTL = 10 * 86_400
+
+
+def run_alert_stream(t: Tables, ttl: int | None, files: int = 4, max_files: int = 1) -> str:
+    """The alerts in several files; by default every file is a micro-batch of its own."""
     root = fresh_path(t.spark, "alert-stream")
-    messages = m.to_messages(t.as_alert(t.events_stream()).drop("created_time"), m.PREFIXES["alert"])
-    finish(*streams.alert_stream(messages, t.server, t.alert_index, root, available_now=True))
+    messages = m.to_messages(t.alert.drop("created_time"), m.PREFIXES["alert"])
+    messages.repartition(files).write.parquet(f"{root}/trunk")
+    trunk = m.read_trunk_files(t.spark, f"{root}/trunk", max_files)
+    finish(*streams.alert_stream(trunk, t.server, t.alert_index, root, ttl=ttl, available_now=True))
     return root
 
 
-@query("stream_alert_states", "alert alert_index", STATES_SQL)
+@query("stream_alert_states", "alert alert_index", REGISTRY_SQL + f"""
+    SELECT server_id, 'alert' AS src_type, {SEVERITY} FROM registry GROUP BY server_id""")
 def stream_alert_states(t: Tables):
-    return streams.read_states(t.spark, run_alert_stream(t), ["alert"])
+    """The last state of each server, nothing expired; when it was reached depends on the batches and is left out."""
+    states = streams.read_states(t.spark, run_alert_stream(t, None), ["alert"])
+    return states.groupBy("server_id", "src_type").agg(F.max_by("severity", "timestamp").alias("severity"))
 
 
-@query("stream_alert_registry", "alert alert_index",
-       REGISTRY_SQL + "SELECT server_id, alert_id, incident_ts, opened, closed FROM registry")
+@query("stream_alert_registry", "alert alert_index", REGISTRY_SQL + f"""
+    SELECT server_id, alert_id, incident_ts, opened, closed FROM registry
+    WHERE (SELECT CAST(epoch(MAX("timestamp")) AS BIGINT) FROM alert) - incident_ts < {STREAM_TTL}""")
 def stream_alert_registry(t: Tables):
-    return read_table(t.spark, f"{run_alert_stream(t)}/registry", al.REGISTRY)
+    return read_table(t.spark, f"{run_alert_stream(t, STREAM_TTL)}/registry", al.REGISTRY)
 
 
 @query("stream_alert_registry_stateful", "alert alert_index",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from beaconry import schemas
@@ -9,7 +11,7 @@ from beaconry.functions import times
 from beaconry.functions.messages import decode_server_document, encode_json
 from beaconry.operators.lookup import server_documents, server_snapshot
 from beaconry.plans.layers import build_src_metric
-from beaconry.queries.adapters import END, NOW, START, Tables, stamp
+from beaconry.queries.adapters import NOW, Tables, stamp
 from beaconry.queries.registry import query
 from beaconry.session import fresh_path, materialize
 from beaconry.sources import extract as x
@@ -167,18 +169,35 @@ def replace_table(t: Tables):
     return st.replace_table(first.withColumn("doubled", F.col("total") * 2), path)
 
 
-@query("layer_tables", "metric", """
-    SELECT creation_date, COUNT(*) AS n, CAST(0 AS BIGINT) AS after_truncate FROM metric GROUP BY creation_date""")
+LAYER_NAMES = ("tmp", "src", "dwh", "dmt")
+
+
+@query("layer_tables", "metric", f"""
+    SELECT l.layer, creation_date, COUNT(*) AS n, CAST(0 AS BIGINT) AS after_truncate
+    FROM metric, (VALUES {', '.join(f"('{n}')" for n in LAYER_NAMES)}) AS l(layer) GROUP BY ALL""")
 def layer_tables(t: Tables):
-    st.create_tables(t.spark, "src", fresh_path(t.spark, "layer-src"))
+    """All four layers under database names of their own: every one gets the metrics and is emptied again."""
+    prefix = f"beaconry_{uuid.uuid4().hex}_"
+    typed = build_src_metric(t.metric, NOW)
+    dated = [c for c in typed.columns if c != "creation_date"]
+    parts = []
     try:
-        st.insert_table(build_src_metric(t.metric, NOW), "src.metric")
-        counts = materialize(t.spark.table("src.metric").groupBy("creation_date").agg(F.count("*").alias("n")), "counts")
-        st.truncate_tables(t.spark, "src")
-        left = t.spark.table("src.metric").count()
+        for layer in LAYER_NAMES:
+            st.create_tables(t.spark, layer, fresh_path(t.spark, f"layer-{layer}"), prefix)
+            table = f"{prefix}{layer}.{'fact_metric' if layer == 'dmt' else 'metric'}"
+            columns = t.spark.table(table).columns
+            filled = typed.select(*[F.col(c) if c in (*dated, "creation_date") else F.lit(0).alias(c) for c in columns])
+            st.insert_table(filled, table)
+            day = F.col("creation_date") if "creation_date" in columns else F.substring("timestamp", 1, 10)
+            counts = materialize(t.spark.table(table).groupBy(day.alias("creation_date")).agg(F.count("*").alias("n")), "counts")
+            st.truncate_tables(t.spark, layer, prefix)
+            left = sum(t.spark.table(name).count() for name in st.layer_tables(layer, prefix))
+            parts.append(counts.select(F.lit(layer).alias("layer"), "creation_date", "n", F.lit(left).cast("long").alias("after_truncate")))
     finally:
-        st.drop_tables(t.spark, "src")
-    return counts.withColumn("after_truncate", F.lit(left).cast("long"))
+        for layer in LAYER_NAMES:
+            if t.spark.catalog.databaseExists(f"{prefix}{layer}"):
+                st.drop_tables(t.spark, layer, prefix)
+    return x.union_waves(*parts)
 
 
 @query("compact_partitions", "metric", f"SELECT {METRIC_LIST}, creation_date FROM metric")
@@ -186,18 +205,18 @@ def compact_partitions(t: Tables):
     path = fresh_path(t.spark, "compacted")
     schema = schemas.extend(schemas.METRIC, creation_date=schemas.STR)
     st.overwrite_partitions(t.dated_metric, path, ["creation_date"])
-    st.compact_partitions(t.spark, path, schema, "creation_date", START, END)
+    st.compact_partitions(t.spark, path, schema, "creation_date", *t.days)
     return t.spark.read.schema(schema).parquet(path)
 
 
 # ---------------------------------------------------------------- messages
 
 
-@query("messages_publish", "metric", """
+@query("messages_encode", "metric", """
     SELECT id, 'cu' AS prefix, TRUE AS salt_in_range, name, hostname, value,
            CAST(floor(epoch("timestamp")) AS BIGINT) AS "timestamp"
     FROM metric""")
-def messages_publish(t: Tables):
+def messages_encode(t: Tables):
     sent = m.to_messages(t.metric, "cu")
     salt = F.split("key", r"\|")[1].cast("int")
     return sent.select(

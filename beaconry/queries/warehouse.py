@@ -14,7 +14,7 @@ from beaconry.operators import merge as mg
 from beaconry.operators import scd2 as sc
 from beaconry.operators.numbering import max_key, number_rows
 from beaconry.plans import daily, layers, marts
-from beaconry.queries.adapters import END, NOW, START, Tables, stamp
+from beaconry.queries.adapters import NOW, Tables, stamp
 from beaconry.queries.registry import query
 from beaconry.session import fresh_path
 from beaconry.sources.tables import as_text
@@ -203,6 +203,10 @@ def scd2_from_history(t: Tables):
 CUT = "1998-07-01"
 
 
+# later than any change
+OPEN_END = "9999-12-31"
+
+
 def first_dimension(t: Tables):
     """A dimension holding the changes before the cut."""
     early = t.changes.filter(F.col("update_date") < CUT).drop("update_time")
@@ -219,14 +223,14 @@ APPLIED_SQL = HISTORY_SQL + f""",
 
 @query("scd2_apply", "changes", APPLIED_SQL)
 def scd2_apply(t: Tables):
-    late = sc.change_set(t.changes, ["id", "status", "priority", "tie"], CUT, "2002-01-01")
+    late = sc.change_set(t.changes, ["id", "status", "priority", "tie"], CUT, OPEN_END)
     return sc.scd2_apply(first_dimension(t), late, ["id"], latest_by=["tie"])
 
 
 @query("scd2_apply_rerun", "changes", APPLIED_SQL)
 def scd2_apply_rerun(t: Tables):
     """Applying the same increments again adds nothing."""
-    late = sc.change_set(t.changes, ["id", "status", "priority", "tie"], CUT, "2002-01-01")
+    late = sc.change_set(t.changes, ["id", "status", "priority", "tie"], CUT, OPEN_END)
     once = sc.scd2_apply(first_dimension(t), late, ["id"], latest_by=["tie"])
     return sc.scd2_apply(once, late, ["id"], latest_by=["tie"])
 
@@ -265,7 +269,7 @@ def scd2_apply_composite(t: Tables):
     keys = ["id", "priority"]
     early = t.changes.filter(F.col("update_date") < CUT).drop("update_time")
     dim = sc.scd2_from_history(early, keys, latest_by=["tie"])
-    late = sc.change_set(t.changes, ["id", "priority", "status", "tie"], CUT, "2002-01-01")
+    late = sc.change_set(t.changes, ["id", "priority", "status", "tie"], CUT, OPEN_END)
     return sc.scd2_apply(dim, late, keys, latest_by=["tie"])
 
 
@@ -396,7 +400,7 @@ def join_server_at_event(t: Tables):
 def join_server_shuffled(t: Tables):
     """The same join as it runs when the dimension is too large to broadcast."""
     joined = j.pit_join(t.metric, t.dim_server, {"hostname": "hostname"}, {"server_dwid": "dwid", "app_id": "app_id"},
-                        spread=["id"], limit=0)
+                        limit=0)
     return joined.select("id", "server_dwid", "app_id")
 
 
@@ -457,11 +461,11 @@ SUMMARY_SQL = FACT_SQL + f""",
 
 
 def fact(t: Tables):
-    return marts.build_fact_metric(t.dated_metric, t.dims, START, END)
+    return marts.build_fact_metric(t.dated_metric, t.dims, *t.days)
 
 
 def summary(t: Tables):
-    return marts.build_sum_metric_avg(fact(t), t.dims, START, END)
+    return marts.build_sum_metric_avg(fact(t), t.dims, *t.days)
 
 
 @query("fact_metric", SUMMARY_VIEWS, FACT_SQL + f"""
@@ -476,7 +480,7 @@ def fact_metric(t: Tables):
     FROM fact""")
 def fact_metric_shuffled(t: Tables):
     """The fact built without any broadcast, hot keys split."""
-    return marts.build_fact_metric(t.dated_metric, t.dims, START, END, limit=0)
+    return marts.build_fact_metric(t.dated_metric, t.dims, *t.days, limit=0)
 
 
 @query("sum_metric_avg", SUMMARY_VIEWS, SUMMARY_SQL + "SELECT * FROM summary")
@@ -580,17 +584,18 @@ def join_delete_keys(t: Tables):
     FROM means g JOIN threshold_dim t ON t.server_id = g.server_id AND t.metric_name = g.metric_name""")
 def build_day(t: Tables):
     """Two builds into one warehouse: everything up to mid January, then the rest with server upgrades."""
+    first, last = min(t.days[0], "1995-01-01"), max(t.days[1], "2024-01-16")
     wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"))
     # servers change in one batch per app, so the increments fill few date partitions
     server = t.server.withColumn("update_time", F.expr("creation_time + make_dt_interval(CAST(app_id AS INT))"))
     master = {"app": t.app, "server": server, "metric_index": t.metric_index, "metric_threshold": t.metric_threshold.drop("peak")}
     half = F.lit("2024-01-15").cast("timestamp")
-    daily.build_day(wh, {**master, "metric": t.metric.filter(F.col("timestamp") < half)}, "1995-01-01", "2024-01-15", NOW,
-                    calendar=(f"{START} 00:00:00", f"{END} 00:00:00"))
+    daily.build_day(wh, {**master, "metric": t.metric.filter(F.col("timestamp") < half)}, first, "2024-01-15", NOW,
+                    calendar=tuple(f"{day} 00:00:00" for day in t.days))
     upgraded = server.filter("memory >= 5000").withColumn("cpu_cores", F.col("cpu_cores") * 2).withColumn("update_time", half)
     nothing = {n: t.spark.createDataFrame([], schemas.MASTER[n]) for n in master}
     second = {**nothing, "server": upgraded, "metric": t.metric.filter(F.col("timestamp") >= half)}
-    daily.build_day(wh, second, "2024-01-15", END, NOW)
+    daily.build_day(wh, second, "2024-01-15", last, NOW)
     wide = t.spark.read.schema(schemas.WIDE_METRIC_AVG).parquet(wh.path("dmt", "wide_metric_avg"))
     return wide.select("app_dwid", "app_name", "server_dwid", "server_cpu_cores", "metric_index_dwid", "metric_name",
                        "metric_threshold_dwid", "red_threshold", "hour_dwid", "day_name", "avg_value", "rag", "creation_date")
@@ -662,11 +667,13 @@ def agg_nest_thresholds(t: Tables):
 
 
 @query("agg_servers_by_app", "server", """
-    SELECT app_id, id // 100 AS chunk, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS server_ids
-    FROM server GROUP BY app_id, id // 100""")
+    SELECT app_id, COUNT(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS server_ids
+    FROM server GROUP BY app_id""")
 def agg_servers_by_app(t: Tables):
-    chunks = agg.servers_by_app(t.server, chunk=100)
-    return chunks.withColumn("server_ids", F.array_join(F.col("server_ids").cast("array<string>"), ","))
+    """The whole set of each app, put together from its (app, id) rows."""
+    members = agg.servers_by_app(t.server)
+    ids = F.sort_array(F.collect_list("server_id"))
+    return members.groupBy("app_id").agg(F.count("*").alias("n"), F.array_join(ids.cast("array<string>"), ",").alias("server_ids"))
 
 
 @query("lookup_by_id", "server", f"SELECT {SERVER_LIST} FROM server WHERE id IN (SELECT user_id FROM events)")

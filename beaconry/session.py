@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,19 +66,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# the innermost open scratch scope of the process; its threads share it
+_SCOPES: list[str] = []
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/beaconry/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """An unused path in this application's part of the shared folder."""
-    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    """An unused path in this application's part of the shared folder, within the open scratch scope if there is one."""
+    return f"{_SCOPES[-1] if _SCOPES else _scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made within, whose results must have been written elsewhere by then."""
+    folder = fresh_path(spark, "scope")
+    _SCOPES.append(folder)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(folder)
+        _remove(spark, folder)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove everything this application has put under its part of the shared folder."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, _scratch(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -27,23 +27,26 @@ def publish(messages: DataFrame, brokers: str, topic: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic).save()
 
 
-def trunk_options(brokers: str, topics: Sequence[str], starting: str = "latest") -> dict[str, str]:
-    return {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(topics), "startingOffsets": starting}
+# what one micro-batch takes at most, so that a backlog is worked off in bounded steps
+MAX_OFFSETS, MAX_FILES = 10_000_000, 1_000
+
+
+def trunk_options(brokers: str, topics: Sequence[str], starting: str = "latest",
+                  max_offsets: int = MAX_OFFSETS) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": brokers, "subscribe": ",".join(topics), "startingOffsets": starting,
+            "maxOffsetsPerTrigger": str(max_offsets)}
 
 
 def read_trunk(spark: SparkSession, brokers: str, topics: Sequence[str] = tuple(TOPICS.values()),
-               starting: str = "latest") -> DataFrame:
+               starting: str = "latest", max_offsets: int = MAX_OFFSETS) -> DataFrame:
     """All topics as one stream of string keys and values. Needs Spark's Kafka connector on the class path."""
-    raw = spark.readStream.format("kafka").options(**trunk_options(brokers, topics, starting)).load()
+    raw = spark.readStream.format("kafka").options(**trunk_options(brokers, topics, starting, max_offsets)).load()
     return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def read_trunk_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def read_trunk_files(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
     """The trunk from a folder of (key, value) Parquet files, in arrival order."""
-    reader = spark.readStream.schema(schemas.TRUNK)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return spark.readStream.schema(schemas.TRUNK).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def route(trunk: DataFrame, prefix: str) -> DataFrame:

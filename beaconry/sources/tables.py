@@ -103,30 +103,31 @@ def compact_partitions(spark: SparkSession, path: str, schema: T.StructType, col
 # ---------------------------------------------------------------- catalog layers
 
 
-def layer_tables(layer: str) -> list[str]:
-    return [f"{layer}.{name}" for name in schemas.LAYERS[layer]]
+def layer_tables(layer: str, prefix: str = "") -> list[str]:
+    """The tables of a layer; its database is named like the layer, after an optional prefix."""
+    return [f"{prefix}{layer}.{name}" for name in schemas.LAYERS[layer]]
 
 
-def create_tables(spark: SparkSession, layer: str, location: str | None = None) -> list[str]:
+def create_tables(spark: SparkSession, layer: str, location: str | None = None, prefix: str = "") -> list[str]:
     """Create the database of a layer and all its declared tables."""
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{place}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}{place}")
     for name, (schema, parts) in schemas.LAYERS[layer].items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({columns}) USING parquet{by}")
-    return layer_tables(layer)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{layer}.{name} ({columns}) USING parquet{by}")
+    return layer_tables(layer, prefix)
 
 
-def truncate_tables(spark: SparkSession, layer: str) -> None:
-    for table in layer_tables(layer):
+def truncate_tables(spark: SparkSession, layer: str, prefix: str = "") -> None:
+    for table in layer_tables(layer, prefix):
         spark.sql(f"TRUNCATE TABLE {table}")
 
 
-def drop_tables(spark: SparkSession, layer: str) -> None:
-    for table in layer_tables(layer):
+def drop_tables(spark: SparkSession, layer: str, prefix: str = "") -> None:
+    for table in layer_tables(layer, prefix):
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"DROP DATABASE IF EXISTS {layer}")
+    spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer}")
 
 
 def insert_table(df: DataFrame, table: str) -> None:

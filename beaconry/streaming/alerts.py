@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,14 +41,14 @@ def evaluate_alerts(registry: DataFrame, alert_index: DataFrame, as_of: int | Co
 
 
 def update_registry(registry: DataFrame, identified: DataFrame, as_of: int | Column, ttl: int | None) -> DataFrame:
-    """Expire old incidents, then fold in the new alerts.
+    """Fold in the new alerts, then expire old incidents.
 
-    In this order an incident that arrives already older than the time to live still
-    counts once. Folding is a logical or, so neither the order of alerts
-    nor a repeated batch changes the result, and a late CLOSED still closes its incident.
+    In this order only an incident's time and ``as_of`` tell whether it is kept, whatever batch it came in. Folding is
+    a logical or, so neither the order of alerts nor a repeated batch changes the result, and a late
+    CLOSED still closes its incident.
     """
-    live = registry if ttl is None else expire_incidents(registry, as_of, ttl)
-    return merge_registries(live, incident_registry(identified.filter(is_known())))
+    merged = merge_registries(registry, incident_registry(identified.filter(is_known())))
+    return merged if ttl is None else expire_incidents(merged, as_of, ttl)
 
 
 def registry_updates(alerts: DataFrame, servers: DataFrame, alert_index: DataFrame, watermark: str | None = None,
@@ -83,8 +84,9 @@ def registry_sink(
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler that keeps the registry at ``path`` and emits the states of touched servers.
 
-    Time is the newest incident seen so far unless a clock is given. The registry
-    is replaced as a whole each batch; the time to live bounds its size.
+    Time is the newest incident seen so far, but never later than the clock (the time of the batch unless one is
+    given), so an alert dated in the future expires nothing. The registry is replaced as a whole each batch; the
+    time to live bounds its size. Without a time to live use ``registry_updates``, which keeps it in the state store.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -93,14 +95,20 @@ def registry_sink(
             if quarantine:
                 quarantine(identified.filter(~is_known()), batch_id)
             known = identified.filter(is_known())
-            newest = known.agg(F.max("incident_ts")).first()[0]
+            latest = clock() if clock else int(time.time())
+            newest = known.agg(F.max(F.least("incident_ts", F.lit(latest)))).first()[0]
             if newest is None:
                 return
             stored = read_table(spark, path, REGISTRY)
-            now = clock() if clock else max(newest, stored.agg(F.max("incident_ts")).first()[0] or newest)
+            now = max(newest, stored.agg(F.max(F.least("incident_ts", F.lit(latest)))).first()[0] or newest)
             updated = replace_table(update_registry(stored, known, now, ttl), path)
+            # a server whose incidents have all expired is in order again
             touched = known.select("server_id").distinct()
-            emit(evaluate_alerts(sized_join(updated, touched, ["server_id"], "left_semi"), alert_index, now), batch_id)
+            rated = evaluate_alerts(sized_join(updated, touched, ["server_id"], "left_semi"), alert_index, now)
+            quiet = touched.join(rated.select("server_id"), "server_id", "left_anti").select(
+                "server_id", align_tick(F.lit(now)).cast("long").alias("timestamp"), F.lit(ALERT_SOURCE).alias("src_type"),
+                F.lit(0).alias("severity"))
+            emit(rated.unionByName(quiet), batch_id)
         finally:
             identified.unpersist()
 

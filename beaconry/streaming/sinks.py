@@ -17,6 +17,9 @@ BATCH = "batch_id"
 METRIC_SINK = (["id"], ["id", "name", "hostname", "timestamp", "value"])
 ALERT_SINK = (["id"], ["id", "hostname", "message", "status", "timestamp"])
 STATE_SINK_COLUMNS = ["server_id", "timestamp", "src_type", "severity"]
+# batches after which a sink folds its folders into its base table
+COMPACT_EVERY = 100
+MARKED = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -26,15 +29,22 @@ def state_keys(shared_key: bool = False) -> list[str]:
     return ["server_id", "timestamp"] if shared_key else ["server_id", "timestamp", "src_type"]
 
 
-def upsert_sink(path: str, columns: Sequence[str]) -> Sink:
-    """Write each micro-batch to its own folder.
+def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), every: int = COMPACT_EVERY) -> Sink:
+    """Write each micro-batch to its own folder, and fold the folders into the base table after ``every`` batches.
 
-    The cost is that of the batch, not of the table, and a batch that is run again
-    after a failure replaces its own folder, so nothing is written twice.
+    The cost is that of the batch, not of the table, and a batch that is run again after a failure replaces its own
+    folder, so nothing is written twice. An empty batch leaves nothing. Folding happens here, between two batches of
+    the one query that owns the sink, so no batch is being written meanwhile and readers list ``every`` folders at
+    most. Without keys every row is kept.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*columns).write.mode("overwrite").parquet(f"{path}/delta/{BATCH}={batch_id}")
+        rows = batch.select(*columns)
+        folder = f"{path}/delta/{BATCH}={batch_id}"
+        if not rows.isEmpty() or _exists(rows.sparkSession, folder):
+            rows.write.mode("overwrite").option(MARKED, "true").parquet(folder)
+        if every and (batch_id + 1) % every == 0:
+            compact_upserts(rows.sparkSession, path, rows.schema, keys)
 
     return write
 
@@ -42,22 +52,38 @@ def upsert_sink(path: str, columns: Sequence[str]) -> Sink:
 def start_update_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | None = None,
                        available_now: bool = False, pool: str | None = None) -> StreamingQuery:
     """Start a query in update mode with its own checkpoint and scheduler pool."""
-    df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool or name)
-    writer = df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    context = df.sparkSession.sparkContext
+    before = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", pool or name)
+    try:
+        writer = df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+        if name:
+            writer = writer.queryName(name)
+        if available_now:
+            writer = writer.trigger(availableNow=True)
+        return writer.start()
+    finally:
+        # the query has taken the pool; later jobs of this thread have not
+        context.setLocalProperty("spark.scheduler.pool", before)
+
+
+def _folder(spark: SparkSession, path: str) -> tuple[object, object]:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _folder(spark, path)
+    return fs.exists(folder)
 
 
 def _batches(spark: SparkSession, path: str) -> tuple[object, list[object]]:
-    """Folders of the batches written and not yet folded into the base."""
-    delta = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/delta")
-    fs = delta.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Folders of the finished batches not yet folded into the base; one still being written has no commit marker."""
+    fs, delta = _folder(spark, f"{path}/delta")
     if not fs.exists(delta):
         return fs, []
-    return fs, [s.getPath() for s in fs.listStatus(delta) if s.getPath().getName().startswith(BATCH)]
+    named = [s.getPath() for s in fs.listStatus(delta) if s.getPath().getName().startswith(f"{BATCH}=")]
+    return fs, [p for p in named if _exists(spark, f"{p.toString()}/_SUCCESS")]
 
 
 def _rows(spark: SparkSession, path: str, schema: T.StructType, batches: list[object]) -> DataFrame:
@@ -66,27 +92,33 @@ def _rows(spark: SparkSession, path: str, schema: T.StructType, batches: list[ob
     if not batches:
         return base
     reader = spark.read.schema(stored).option("basePath", f"{path}/delta")
-    return base.unionByName(reader.parquet(*[b.toString() for b in batches]))
+    # a batch that ran again after it was folded counts as it is now
+    again = [int(p.getName().split("=")[1]) for p in batches]
+    return base.filter(~F.col(BATCH).isin(again)).unionByName(reader.parquet(*[b.toString() for b in batches]))
 
 
 def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    if not keys:
+        return rows
     # within a batch the last row is undefined, so settle ties by value
     rest = [c for c in rows.columns if c not in (*keys, BATCH)]
     return latest_per_key(rows, keys, [F.desc(BATCH), *[F.desc(c) for c in rest]])
 
 
-def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """The current row of each key."""
+def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
+    """The current row of each key, or all rows without keys."""
     return _latest(_rows(spark, path, schema, _batches(spark, path)[1]), keys).drop(BATCH)
 
 
-def compact_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """Fold the batches written so far into the base table, so that reads stay short.
+def compact_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
+    """Fold the finished batches into the base table, so that reads stay short.
 
     The base is committed before the folded batches are removed; a batch that the
-    stream runs again later only repeats rows the base already has.
+    stream runs again later only repeats rows the base already has. Folders of unfinished batches stay.
     """
     fs, batches = _batches(spark, path)
+    if not batches:
+        return _rows(spark, path, schema, []).drop(BATCH)
     base = replace_table(_latest(_rows(spark, path, schema, batches), keys), f"{path}/base")
     for folder in batches:
         fs.delete(folder, True)

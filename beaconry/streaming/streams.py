@@ -26,6 +26,17 @@ from beaconry.streaming.sinks import (
 )
 
 
+# a master table, or how to read it as it is now
+Table = DataFrame | Callable[[], DataFrame]
+
+
+def _now(table: Table) -> DataFrame:
+    return table() if callable(table) else table
+
+
+UNKNOWN_COLUMNS = ["hostname", "timestamp", "src_type"]
+
+
 def _quarantining(accept: Sink, quarantine_path: str) -> Sink:
     """Write valid messages to the sink and the others, unchanged, to a quarantine table."""
     reject = upsert_sink(quarantine_path, ["raw"])
@@ -41,17 +52,36 @@ def _quarantining(accept: Sink, quarantine_path: str) -> Sink:
     return handle
 
 
-def metric_states(metrics: DataFrame, servers: DataFrame, metric: str, watermark: str = w.METRIC_WATERMARK,
-                  size: int = w.WINDOW_SECONDS, slide: int = w.SLIDE_SECONDS) -> DataFrame:
-    """Typed metric rows to server states: deduplicate, average per sliding window, rate."""
+def metric_windows(metrics: DataFrame, watermark: str = w.METRIC_WATERMARK, size: int = w.WINDOW_SECONDS,
+                   slide: int = w.SLIDE_SECONDS) -> DataFrame:
+    """Typed metric rows, deduplicated and averaged per sliding window."""
     unique = w.dedup_stream(w.with_event_time(metrics, "timestamp", watermark), ["id"], "timestamp")
-    return w.evaluate_metric(w.sliding_mean(unique, size=size, slide=slide), servers, metric)
+    return w.sliding_mean(unique, size=size, slide=slide)
+
+
+def rating_sink(server: Table, threshold: Table, metric: str, states: Sink, unknown: Sink) -> Sink:
+    """Rate each micro-batch of windows against the servers and thresholds of that moment.
+
+    Tables given as functions are read anew for every batch, so a new host or a changed threshold counts from the next
+    batch on. Windows without a known host or threshold go to ``unknown``.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            rated = w.evaluate_metric(batch, metric_thresholds(_now(server), _now(threshold), metric), metric)
+            states(w.known_states(rated), batch_id)
+            unknown(w.unknown_hosts(rated), batch_id)
+        finally:
+            batch.unpersist()
+
+    return handle
 
 
 def metric_stream(
     trunk: DataFrame,
-    server: DataFrame,
-    threshold: DataFrame,
+    server: Table,
+    threshold: Table,
     metric: str,
     root: str,
     prefix: str | None = None,
@@ -60,13 +90,14 @@ def metric_stream(
 ) -> list[StreamingQuery]:
     """Persist the raw rows of one metric and evaluate its windows, as two queries.
 
-    Under ``root``: ``<metric>`` raw rows, ``server_state_<metric>`` states,
-    ``quarantine_<metric>`` unusable messages and ``checkpoints``.
+    Under ``root``: ``<metric>`` raw rows, ``server_state_<metric>`` states, ``quarantine_<metric>`` unusable messages,
+    ``quarantine_<metric>_unknown`` windows of hosts that are not listed, and ``checkpoints``.
     """
     decoded = decode_metric(route(trunk, prefix or PREFIXES[metric]))
-    servers = metric_thresholds(server, threshold, metric)
-    raw_sink = _quarantining(upsert_sink(f"{root}/{metric}", METRIC_SINK[1]), f"{root}/quarantine_{metric}")
-    state_sink = upsert_sink(f"{root}/server_state_{metric}", STATE_SINK_COLUMNS)
+    raw_sink = _quarantining(upsert_sink(f"{root}/{metric}", METRIC_SINK[1], METRIC_SINK[0]), f"{root}/quarantine_{metric}")
+    state_sink = upsert_sink(f"{root}/server_state_{metric}", STATE_SINK_COLUMNS, state_keys())
+    unknown = upsert_sink(f"{root}/quarantine_{metric}_unknown", UNKNOWN_COLUMNS, UNKNOWN_COLUMNS)
+    rate = rating_sink(server, threshold, metric, state_sink, unknown)
 
     def persist(stream: DataFrame) -> StreamingQuery:
         name = f"persist_{metric}"
@@ -74,16 +105,16 @@ def metric_stream(
 
     def evaluate(stream: DataFrame) -> StreamingQuery:
         name = f"evaluate_{metric}"
-        states = metric_states(accepted(stream), servers, metric, **window_options)
-        return start_update_query(w.known_states(states), state_sink, f"{root}/checkpoints/{name}", name, available_now)
+        windows = metric_windows(accepted(stream), **window_options)
+        return start_update_query(windows, rate, f"{root}/checkpoints/{name}", name, available_now)
 
     return fork(decoded, persist, evaluate)
 
 
 def alert_stream(
     trunk: DataFrame,
-    server: DataFrame,
-    alert_index: DataFrame,
+    server: Table,
+    alert_index: Table,
     root: str,
     prefix: str = PREFIXES["alert"],
     ttl: int | None = TIME_TO_LIVE,
@@ -93,15 +124,18 @@ def alert_stream(
     """Persist raw alerts and keep the incident registry, as two queries.
 
     No watermark limits the registry: a CLOSED that arrives days late must
-    still close its incident, and the time to live already bounds what is kept.
+    still close its incident, and the time to live already bounds what is kept. Tables given as functions are read
+    anew for every micro-batch.
     """
     spark = trunk.sparkSession
     decoded = decode_alert(route(trunk, prefix))
-    servers = server.withColumnRenamed("id", "server_id")
-    raw_sink = _quarantining(upsert_sink(f"{root}/alert", ALERT_SINK[1]), f"{root}/quarantine_alert")
-    states = upsert_sink(f"{root}/server_state_alert", STATE_SINK_COLUMNS)
-    unknown = upsert_sink(f"{root}/quarantine_alert_unknown", ["id", "hostname", "message", "status", "timestamp"])
-    keep = registry_sink(spark, f"{root}/registry", servers, alert_index, states, ttl, clock, unknown)
+    raw_sink = _quarantining(upsert_sink(f"{root}/alert", ALERT_SINK[1], ALERT_SINK[0]), f"{root}/quarantine_alert")
+    states = upsert_sink(f"{root}/server_state_alert", STATE_SINK_COLUMNS, state_keys())
+    unknown = upsert_sink(f"{root}/quarantine_alert_unknown", ["id", "hostname", "message", "status", "timestamp"], ["id"])
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        servers = _now(server).withColumnRenamed("id", "server_id")
+        registry_sink(spark, f"{root}/registry", servers, _now(alert_index), states, ttl, clock, unknown)(batch, batch_id)
 
     def persist(stream: DataFrame) -> StreamingQuery:
         return start_update_query(stream, raw_sink, f"{root}/checkpoints/persist_alert", "persist_alert", available_now)

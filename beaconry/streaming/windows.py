@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconry.functions.rating import severity
 from beaconry.functions.times import align_tick
 from beaconry.operators.joins import enrich_server
+from beaconry.operators.skew import part_of, sized_join
 
 # fixed values: delays and window shape
 METRIC_WATERMARK, ALERT_WATERMARK = "60 seconds", "86400 seconds"
@@ -26,23 +29,23 @@ def dedup_stream(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def sliding_mean(df: DataFrame, host: str = "hostname", ts: str = "timestamp", value: str = "value",
-                 size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> DataFrame:
-    """Mean per host and sliding window, labelled with the window end in epoch seconds.
+                 size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS, by: Sequence[str] = ()) -> DataFrame:
+    """Mean per host (and further columns ``by``) and sliding window, labelled with the window end in epoch seconds.
 
     A stream allows one aggregation in update mode, so there each row is expanded by
     Spark's window function. A table takes the cheaper way of ``_tiled_mean``.
     """
     if not df.isStreaming:
-        return _tiled_mean(df, host, ts, value, size, slide)
+        return _tiled_mean(df, [host, *by], ts, value, size, slide)
     end = F.unix_timestamp("window.end").cast("bigint")
     return (
-        df.groupBy(host, F.window(ts, f"{size} seconds", f"{slide} seconds").alias("window"))
+        df.groupBy(host, *by, F.window(ts, f"{size} seconds", f"{slide} seconds").alias("window"))
         .agg(F.avg(value).alias("avg"))
-        .select(host, end.alias("timestamp"), "avg")
+        .select(host, *by, end.alias("timestamp"), "avg")
     )
 
 
-def _tiled_mean(df: DataFrame, host: str, ts: str, value: str, size: int, slide: int) -> DataFrame:
+def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: int, slide: int) -> DataFrame:
     """Sliding means from one (sum, count) per slide instead of from repeated rows.
 
     A tile counts in size/slide windows, but is not shuffled once for each: it is sent to
@@ -54,16 +57,16 @@ def _tiled_mean(df: DataFrame, host: str, ts: str, value: str, size: int, slide:
     span = size * 10
     epoch = F.unix_timestamp(ts)
     tile = epoch - F.pmod(epoch, F.lit(slide))
-    tiles = df.groupBy(host, tile.alias("tile")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+    tiles = df.groupBy(*keys, tile.alias("tile")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
     first, last = F.col("tile") + slide, F.col("tile") + size
     blocks = F.explode(F.sequence(F.floor(first / span), F.floor(last / span)))
     low, high = F.col("block") * span, (F.col("block") + 1) * span - slide
     ends = F.explode(F.sequence(F.greatest(first, low), F.least(last, high), F.lit(slide).cast("bigint")))
     return (
         tiles.withColumn("block", blocks)
-        .repartition(host, "block")
-        .select(host, "block", ends.alias("timestamp"), "total", "n")
-        .groupBy(host, "block", "timestamp")
+        .repartition(*keys, "block")
+        .select(*keys, "block", ends.alias("timestamp"), "total", "n")
+        .groupBy(*keys, "block", "timestamp")
         .agg((F.sum("total") / F.sum("n")).alias("avg"))
         .drop("block")
     )
@@ -82,6 +85,16 @@ def evaluate_metric(windows: DataFrame, servers: DataFrame, metric: str, limit:
     )
 
 
+def evaluate_metrics(windows: DataFrame, thresholds: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rate the windows of all metrics at once: ``windows`` by host and ``name``, ``thresholds`` from ``all_thresholds``."""
+    side = part_of(thresholds.select(
+        "hostname", F.col("metric_name").alias("name"), "server_id", "amber_threshold", "red_threshold"), thresholds)
+    rated = sized_join(windows, side, ["hostname", "name"], "left", limit=limit)
+    return rated.select(
+        "hostname", "server_id", "timestamp", F.col("name").alias("src_type"),
+        severity("avg", "amber_threshold", "red_threshold").alias("severity"))
+
+
 def known_states(rated: DataFrame) -> DataFrame:
     return rated.filter(F.col("severity").isNotNull()).select(*STATE_COLUMNS)
 

@@ -40,6 +40,17 @@ def skewed_copy(source: str, target: str, files: int = 4) -> str:
     return target
 
 
+def shifted_copy(source: str, target: str) -> str:
+    """Copy the tables with a tenth of the events 40 days later and a tenth of the orders 3,000 days later."""
+    con = duckdb.connect()
+    later = {"events": "CASE WHEN event_id % 10 = 3 THEN ts + INTERVAL 40 DAY ELSE ts END AS ts",
+             "orders": "CASE WHEN o_orderkey % 10 = 3 THEN o_orderdate + INTERVAL 3000 DAY ELSE o_orderdate END AS o_orderdate"}
+    for name in ("events", "orders", "customer", "nation"):
+        replaced = f" REPLACE ({later[name]})" if name in later else ""
+        con.execute(f"COPY (SELECT *{replaced} FROM '{source}/{name}.parquet') TO '{target}/{name}.parquet'")
+    return target
+
+
 def oracle(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")

@@ -162,3 +162,28 @@ def test_src_typing_turns_bad_times_into_null(spark):
     assert typed.first()["creation_time"] == D1
     assert typed.first()["update_date"] is None
     assert typed.schema["id"].dataType == schemas.LONG
+
+
+def test_a_stray_row_does_not_replace_an_older_day(spark, tmp_path):
+    """Extracts are cut to the range that is built; other days and unreadable times go to quarantine."""
+    wh = daily.Warehouse(spark, str(tmp_path))
+    masters = {n: spark.createDataFrame(SEED1[n], schemas.MASTER[n]) for n in schemas.MASTER_TABLES}
+    nothing = {n: spark.createDataFrame([], schemas.MASTER[n]) for n in schemas.MASTER_TABLES}
+
+    def metrics(first, day, n):
+        return [(first + i, "cpu.usage", "svr1001", 50, f"{day} 10:00:0{i}") for i in range(n)]
+
+    kind = "id long, name string, hostname string, value long, timestamp string"
+    one = spark.createDataFrame(metrics(0, "2018-09-02", 5), kind)
+    daily.build_day(wh, {**masters, "metric": one}, "2018-09-01", "2018-09-03", "2018-09-03 01:00:00",
+                    calendar=("2018-09-01 00:00:00", "2018-09-30 00:00:00"))
+    stray = metrics(50, "2018-09-02", 1) + [(60, "cpu.usage", "svr1001", 1, "no time"), (61, "cpu.usage", "svr1001", 1, None)]
+    two = spark.createDataFrame(metrics(10, "2018-09-03", 3) + stray, kind)
+    late = spark.createDataFrame([(1, "MyCRM", "old", "0", D1, D1)], schemas.MASTER["app"])
+    daily.build_day(wh, {**nothing, "app": late, "metric": two}, "2018-09-03", "2018-09-04", "2018-09-04 01:00:00")
+    assert sorted(r[0] for r in rows(wh.range("src", "metric", "2018-09-01", "2018-09-30"), "id")) == [0, 1, 2, 3, 4, 10, 11, 12]
+    assert sorted(r[0] for r in rows(wh.range("dwh", "metric", "2018-09-01", "2018-09-30"), "id")) == [0, 1, 2, 3, 4, 10, 11, 12]
+    aside = spark.read.parquet(wh.path("quarantine", "metric/2018-09-03_2018-09-04"))
+    assert [r[0] for r in rows(aside, "id")] == [50, 60, 61]
+    assert spark.read.parquet(wh.path("quarantine", "app/2018-09-03_2018-09-04")).count() == 1
+    assert rows(wh.current("dwh", "app"), "id", "name") == rows(masters["app"], "id", "name")

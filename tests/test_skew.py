@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from beaconry import schemas
 from beaconry.operators import joins as j
+from beaconry.operators import lookup as lk
 from beaconry.operators import merge as mg
 from beaconry.operators.aggregates import servers_by_app
-from beaconry.operators.skew import SALT, _salted, fits_broadcast, hot_keys, measured_bytes, part_of, sized_join
+from beaconry.operators.skew import fits_broadcast, measured_bytes, part_of, sized_join
 from beaconry.queries.adapters import Tables
 from beaconry.sources import messages as m
 from beaconry.sources.extract import incremental_extract
@@ -31,32 +32,59 @@ def dim(spark):
     return names.unionByName(spark.createDataFrame([("hot", 1000)], "hostname string, id long")).withColumnRenamed("id", "server_id")
 
 
+@pytest.mark.parametrize("limit", [None, 0])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_join_equals_plain_join(shuffled, fact, dim, how):
-    split = sized_join(fact, dim, ["hostname"], how, limit=0)
-    assert "SortMergeJoin" in plan(split) or "ShuffledHashJoin" in plan(split)
-    # only the list of hot keys is broadcast, never the dimension
-    assert f"BroadcastHashJoin [{SALT}" not in plan(split)
+def test_join_is_the_same_whatever_the_size(shuffled, fact, dim, how, limit):
+    joined = sized_join(fact, dim, ["hostname"], how, limit=limit)
+    assert joined.columns == (["id", "hostname", "server_id"] if how in ("inner", "left") else ["id", "hostname"])
+    assert ("BroadcastHashJoin" in plan(joined)) == (limit is None)
     plain = fact.join(dim, "hostname", how)
-    assert rows(split.select(*plain.columns)) == rows(plain)
+    assert rows(joined) == rows(plain, *joined.columns)
 
 
-def test_only_the_hot_key_is_split(spark, fact, dim):
-    found = hot_keys(fact, ["hostname"])
-    assert [r["hostname"] for r in found.collect()] == ["hot"]
-    left, right = _salted(fact, dim, ["hostname"], ["id"], fact)
-    salts = left.groupBy("hostname").agg(F.countDistinct(SALT).alias("n"))
-    assert salts.filter("hostname = 'hot'").first()["n"] >= 3
-    assert salts.filter("hostname = 'h2'").first()["n"] == 1
-    largest = left.groupBy("hostname", SALT).count().agg(F.max("count")).first()[0]
-    assert largest <= 1.2 * N / 8
-    assert right.count() < dim.count() + 8
+def test_null_keys_can_be_equal(spark):
+    left = spark.createDataFrame([(1, None), (2, "a"), (3, "b")], "id long, k string")
+    right = spark.createDataFrame([(None, 7), ("a", 8)], "k string, v long")
+    for limit in (None, 0):
+        assert rows(sized_join(left, right, ["k"], null_safe=True, limit=limit)) == [(1, None, 7), (2, "a", 8)]
+        assert rows(sized_join(left, right, ["k"], limit=limit)) == [(2, "a", 8)]
 
 
-def test_no_hot_key_no_salt(spark, dim):
-    even = spark.range(4000).select("id", F.concat(F.lit("h"), F.col("id") % 400).alias("hostname"))
-    assert hot_keys(even, ["hostname"]) is None
-    assert sized_join(even, dim, ["hostname"], limit=0).count() == 4000
+def test_spark_splits_a_hot_key(shuffled, fact, dim):
+    """The adaptive rule that hot keys are left to applies to the plans of this join."""
+    spark = shuffled
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        wide = fact.repartition(8).withColumn("text", F.sha2(F.col("id").cast("string"), 512))
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            joined = sized_join(wide, dim.repartition(4), ["hostname"], how, limit=0)
+            joined.collect()
+            assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_operators_keep_rows_and_column_order_at_any_size(shuffled, limit):
+    spark = shuffled
+    table = spark.range(3000).selectExpr("id AS n", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id END AS id", "id * 2 AS z")
+    keys = spark.createDataFrame([(7,), (10,), (None,)], "id long")
+    kept = j.delete_keys(table, keys, ["id"], limit=limit)
+    assert kept.columns == ["n", "id", "z"]
+    assert rows(kept) == rows(table.filter("id IS NULL OR id NOT IN (7, 10)"))
+    found = lk.lookup_by_id(table, keys, limit=limit)
+    assert found.columns == ["n", "id", "z"] and rows(found) == rows(table.filter("id IN (7, 10)"))
+    full = spark.createDataFrame([(1, 2, "a"), (None, 1, "b"), (3, 9, "c"), (5, None, "d"), (6, 4, "e")], "id long, update_time long, v string")
+    delta = spark.createDataFrame([(None, 2, "B"), (1, 2, "A"), (3, 8, "C"), (5, 1, "D"), (6, None, "E"), (7, 1, "F"), (7, 2, "G")],
+                                  "id long, update_time long, v string")
+    want = [(1, 2, "A"), (3, 9, "c"), (5, 1, "D"), (6, 4, "e"), (7, 2, "G"), (None, 2, "B")]
+    for unique in (True, False):
+        merged = mg.merge_latest(full, delta, ["id"], full_is_unique=unique, limit=limit)
+        assert merged.columns == ["id", "update_time", "v"] and rows(merged) == sorted(want, key=repr)
 
 
 def test_size_decides_the_broadcast(spark, fact, dim):
@@ -82,7 +110,7 @@ def test_point_in_time_join_on_a_hot_host(shuffled, fact):
     hosts = spark.sql(f"SELECT 'hot' AS hostname, 1L AS dwid, TIMESTAMP '2023-01-01' AS valid_from, {cut} AS valid_to "
                       f"UNION ALL SELECT 'hot', 2L, {cut}, NULL UNION ALL SELECT 'h1', 3L, {cut}, NULL")
     on, take = {"hostname": "hostname"}, {"server_dwid": "dwid"}
-    joined = j.pit_join(timed, hosts, on, take, spread=["id"], limit=0)
+    joined = j.pit_join(timed, hosts, on, take, limit=0)
     early = F.col("timestamp") < F.expr(cut)
     expected = timed.filter("hostname = 'hot'").select("id", F.when(early, 1).otherwise(2).cast("long").alias("server_dwid")).unionByName(
         timed.filter((F.col("hostname") == "h1") & ~early).select("id", F.lit(3).cast("long").alias("server_dwid")))
@@ -105,12 +133,10 @@ def test_lifted_dimension_equals_two_joins(spark):
     assert once.count() == 18
 
 
-def test_servers_of_a_hot_app_come_in_bounded_chunks(spark):
+def test_servers_of_a_hot_app_are_rows(spark):
     servers = spark.range(9000).select("id", F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id")).cast("long").alias("app_id"))
-    chunks = servers_by_app(servers, chunk=500)
-    assert chunks.agg(F.max(F.size("server_ids"))).first()[0] <= 500
-    assert chunks.select(F.explode("server_ids")).count() == 9000
-    assert "SinglePartition" not in plan(chunks)
+    members = servers_by_app(servers.unionByName(servers))
+    assert rows(members) == rows(servers, "app_id", "id")
 
 
 def test_filters_reach_the_scan(spark):

@@ -155,10 +155,58 @@ def test_incidents_expire(spark, masters, tmp_path):
     assert current(spark, root)[1] == 1
     registry = read_table(spark, f"{root}/registry", al.REGISTRY)
     assert rows(registry, "server_id", "incident_ts") == [(1, T0 + 70)]
-    # an incident that arrives too old is counted once, then forgotten
+    # an incident that arrives too old counts for nothing, and a server left without any is in order
     folder.add("al", alert(4, "OPEN", 1))
+    folder.add("al", alert(5, "OPEN", 2, "svr2"))
     run_alerts(folder, masters, root, clock=lambda: T0 + 100)
-    assert current(spark, root)[1] == 2
+    assert current(spark, root) == {1: 1, 2: 0}
+
+
+def test_registry_does_not_depend_on_the_batches(spark, masters, tmp_path):
+    alerts = [alert(i, "OPEN" if i % 3 else "CLOSED", i * 7 % 200, f"svr{i % 2 + 1}", ("disk", "net")[i % 5 % 2]) for i in range(60)]
+    found = []
+    for k, size in enumerate((60, 7, 1)):
+        folder, root = Folder(spark, tmp_path / f"in{k}"), str(tmp_path / f"out{k}")
+        for at in range(0, 60 if size > 1 else 12, size):
+            folder.add("al", *alerts[at:at + size])
+        if size == 1:
+            folder.add("al", *alerts[12:])
+        run_alerts(folder, masters, root, ttl=60)
+        found.append(rows(read_table(spark, f"{root}/registry", al.REGISTRY)))
+    assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_an_alert_from_the_future_expires_nothing(spark, masters, tmp_path):
+    folder, root = Folder(spark, tmp_path / "in"), str(tmp_path / "out")
+    folder.add("al", alert(1, "OPEN", 0))
+    folder.add("al", alert(2, "OPEN", 4_000_000_000 - T0, "svr2", "net"))
+    run_alerts(folder, masters, root, clock=lambda: T0 + 30)
+    assert current(spark, root) == {1: 2, 2: 1}
+    assert [r[0] for r in rows(read_table(spark, f"{root}/registry", al.REGISTRY), "server_id")] == [1, 2]
+
+
+def test_masters_are_read_for_every_batch(spark, masters, tmp_path):
+    """A host and a threshold that change between batches count from the next batch on; unknown hosts are set aside."""
+    folder, root = Folder(spark, tmp_path / "in"), str(tmp_path / "out")
+    server, threshold, _ = masters
+    now = {"server": server, "threshold": threshold}
+
+    def run():
+        queries = streams.metric_stream(folder.trunk(), lambda: now["server"], lambda: now["threshold"], "cpu_usage", root, available_now=True)
+        for q in queries:
+            q.awaitTermination()
+
+    kind = schemas.struct(hostname=schemas.STR, timestamp=schemas.LONG, src_type=schemas.STR)
+    folder.add("cu", metric(1, 85, 2), metric(2, 85, 2, "new"))
+    run()
+    unknown = sinks.read_upserts(spark, f"{root}/quarantine_cpu_usage_unknown", kind, streams.UNKNOWN_COLUMNS)
+    assert {r[0] for r in rows(unknown, "hostname")} == {"new"} and unknown.count() == 12
+    now["server"] = server.unionByName(spark.createDataFrame([(3, 1, "new", 4, 8, None, None)], server.schema))
+    now["threshold"] = spark.createDataFrame([(1, "cpu.usage", 10, 20, None, None), (3, "cpu.usage", 10, 99, None, None)], threshold.schema)
+    folder.add("cu", metric(3, 85, 2), metric(4, 85, 2, "new"))
+    run()
+    states = rows(streams.read_states(spark, root, ["cpu_usage"]), "server_id", "severity")
+    assert set(states) == {(1, 2), (3, 1)}
 
 
 def test_unknown_alerts_are_quarantined(spark, masters, tmp_path):
@@ -187,6 +235,40 @@ def test_upserts_keep_the_last_batch_and_compact(spark, tmp_path):
     assert not any((tmp_path / "sink" / "delta").iterdir())
 
 
+def test_unfinished_batches_are_left_alone(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    schema = schemas.struct(id=schemas.LONG, v=schemas.STR)
+    sink = sinks.upsert_sink(path, ["id", "v"], ["id"])
+    sink(spark.createDataFrame([(1, "a")], schema), 0)
+    half = tmp_path / "sink" / "delta" / "batch_id=1" / "_temporary"
+    half.mkdir(parents=True)
+    (half / "part").write_text("being written")
+    assert rows(sinks.compact_upserts(spark, path, schema, ["id"])) == [(1, "a")]
+    assert (half / "part").exists()
+    assert rows(sinks.read_upserts(spark, path, schema, ["id"])) == [(1, "a")]
+
+
+def test_sinks_fold_their_batches(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    schema = schemas.struct(id=schemas.LONG, v=schemas.STR)
+    sink = sinks.upsert_sink(path, ["id", "v"], ["id"], every=10)
+    most = 0
+    for n in range(35):
+        sink(spark.createDataFrame([(n % 4, f"v{n:02}")] if n % 7 else [], schema), n)
+        most = max(most, len(list((tmp_path / "sink" / "delta").glob("batch_id=*"))) if (tmp_path / "sink" / "delta").exists() else 0)
+    assert most <= 10
+    assert rows(sinks.read_upserts(spark, path, schema, ["id"])) == [(0, "v32"), (1, "v33"), (2, "v34"), (3, "v31")]
+
+
+def test_keyless_sinks_count_a_repeated_batch_once(spark, tmp_path):
+    path = str(tmp_path / "sink")
+    schema = schemas.struct(raw=schemas.STR)
+    sink = sinks.upsert_sink(path, ["raw"], every=2)
+    for n in (0, 1, 1, 2):
+        sink(spark.createDataFrame([(f"m{n}",), ("x",)], schema), n)
+    assert [r[0] for r in rows(sinks.read_upserts(spark, path, schema))] == ["m0", "m1", "m2", "x", "x", "x"]
+
+
 def test_shared_state_key(spark, tmp_path):
     root = str(tmp_path)
     for source, level in (("cpu_usage", 2), ("alert", 0)):

@@ -98,7 +98,8 @@ def test_jdbc_and_kafka_settings(spark):
     options = database.jdbc_options("jdbc:x", "metric_threshold", (1, 100), 4)
     assert options["partitionColumn"] == "server_id" and options["numPartitions"] == "4"
     kafka = messages.trunk_options("b:1", ["cpu.usage", "alert"])
-    assert kafka == {"kafka.bootstrap.servers": "b:1", "subscribe": "cpu.usage,alert", "startingOffsets": "latest"}
+    assert kafka == {"kafka.bootstrap.servers": "b:1", "subscribe": "cpu.usage,alert", "startingOffsets": "latest",
+                     "maxOffsetsPerTrigger": "10000000"}
 
 
 def test_scratch_is_under_the_shared_folder(spark):
