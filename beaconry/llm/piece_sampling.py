@@ -18,9 +18,9 @@ from beaconry.llm.textbytes import Powers, chunked, mixed, spans_hash
 SPACE = "▁"
 MARK = np.frombuffer(SPACE.encode(), np.uint8)
 #: bytes of text whose lattices are held at once
-PART = 1 << 21
+PART = 1 << 19
 #: endings that are kept from part to part of a task
-MOST_NODES = 1_500_000
+MOST_NODES = 800_000
 STEP, UNIT, ROUND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -136,14 +136,15 @@ class Lattices:
         unit = np.repeat(np.arange(len(size)), size)
         left = stop[unit] - np.arange(len(raw))
         code = spans_hash(raw.astype(np.uint64), np.arange(len(raw)), stop[unit])
-        node = self.known(code)
-        fresh = np.flatnonzero(node < 0)
-        own, first, inverse = np.unique(code[fresh], return_index=True, return_inverse=True)
-        node[fresh] = len(self.total) + inverse.astype(np.int32)
-        place = fresh[first]
+        # distinct endings first: sorted, they are found fast
+        own, first, inverse = np.unique(code, return_index=True, return_inverse=True)
+        number = self.known(own)
+        fresh = np.flatnonzero(number < 0)
+        number[fresh] = len(self.total) + np.arange(len(fresh), dtype=np.int32)
+        node, place, own = number[inverse], first[fresh], own[fresh]
         where = np.searchsorted(self.code, own)
         self.code = np.insert(self.code, where, own)
-        self.number = np.insert(self.number, where, len(self.total) + np.arange(len(own), dtype=np.int32))
+        self.number = np.insert(self.number, where, number[fresh])
         # which node follows each byte's node after n bytes: the node n bytes on, or the end
         after = np.append(node, np.int32(0))
         sizes = np.union1d(pieces.sizes, [1, 2, 3, 4])
@@ -440,7 +441,7 @@ def sample_texts(texts: list[bytes], seeds: np.ndarray, lattice: Lattices, want:
 
 
 def sample_pieces(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: str = "text", want: int = 2,
-                  seed: int = 0) -> DataFrame:
+                  seed: int = 0, decoded: bool = False) -> DataFrame:
     """Rows ``(key, rank, ids, log_prob, perturbed, log_inclusion)``: up to ``want`` distinct segmentations per text.
 
     They are a sample without replacement from the segmentations of the whole text, with probabilities in proportion
@@ -448,7 +449,8 @@ def sample_pieces(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: st
     the log of the probability to be in the sample, given the first key left out; 0 if nothing is left out. Draws
     depend on the row's key and the seed alone, so a task that runs again draws the same, and rows of equal key and
     text are sampled alike (null is a key too). A text with fewer segmentations has fewer rows. A null or empty text
-    has one row without pieces; an empty table gives none. Other columns are not read.
+    has one row without pieces; an empty table gives none. Other columns are not read. With ``decoded`` the column of
+    that name has the text that the ids decode to, see ``decode_pieces``, made while they are at hand.
     """
     picked = docs.select(quoted(key).alias("key"), F.xxhash64(F.lit(seed), quoted(key)).alias("seed"),
                          quoted(text).cast("binary").alias("text"))
@@ -456,24 +458,30 @@ def sample_pieces(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: st
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattices(pieces)
         for batch in batches:
-            texts = [t or b"" for t in batch.column("text").to_pylist()]
+            column, keys = batch.column("text"), batch.column("key")
             seeds = batch.column("seed").to_numpy().view(np.uint64)
-            for part in chunked([len(t) for t in texts], PART):
-                found = sample_texts(texts[part], seeds[part], lattice, want)
+            for part in chunked(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist(), PART):
+                texts = [t or b"" for t in column.slice(part.start, part.stop - part.start).to_pylist()]
+                found = sample_texts(texts, seeds[part], lattice, want)
                 for rank in range(1, want + 1):
                     own = [s for s in found if s.rank == rank]
                     offsets = np.cumsum([0] + [len(s.ids) for s in own]).astype(np.int32)
                     ids = np.concatenate([s.ids for s in own] or [np.zeros(0)]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column("key").take(pa.array([s.text + part.start for s in own], pa.int64())),
+                    arrays = [
+                        keys.take(pa.array([s.text + part.start for s in own], pa.int64())),
                         pa.array(np.full(len(own), rank, np.int32)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
-                        *(pa.array([getattr(s, n) for s in own], pa.float64()) for n in ("log_prob", "key", "log_inclusion")),
-                    ], ["key", "rank", "ids", "log_prob", "perturbed", "log_inclusion"])
+                        *(pa.array([getattr(s, n) for s in own], pa.float64()) for n in ("log_prob", "key", "log_inclusion"))]
+                    if decoded:
+                        texts_again = [t.decode("utf-8", "replace") for t in decode_ids(ids, offsets, pieces)]
+                        arrays.append(pa.array(texts_again, pa.string()))
+                    yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     schema = T.StructType([
-        picked.schema["key"], T.StructField("rank", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
-        *(T.StructField(n, T.DoubleType()) for n in ("log_prob", "perturbed", "log_inclusion"))])
+        T.StructField("key", picked.schema["key"].dataType), T.StructField("rank", T.IntegerType()),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        *(T.StructField(n, T.DoubleType()) for n in ("log_prob", "perturbed", "log_inclusion")),
+        *([T.StructField("decoded", T.StringType())] if decoded else [])])
     return picked.mapInArrow(of_batches, schema)
 
 

@@ -11,7 +11,7 @@ from beaconry.llm.common import read_table
 from beaconry.llm.decontaminate import find_leaks
 from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
-from beaconry.llm.piece_sampling import decode_pieces, load_pieces, sample_pieces
+from beaconry.llm.piece_sampling import load_pieces, sample_pieces
 from beaconry.llm.secrets import BASE_RULES, EXTRA_RULES, RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.substring_dedup import dedup_substrings
@@ -159,9 +159,8 @@ PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 @query("op9_sentencepiece_sampling", "documents")
 def op9(docs, spark, folder):
-    pieces = load_pieces(PIECE_MODEL)
-    decoded = decode_pieces(sample_pieces(docs.select("doc_id", "text"), pieces), pieces)
-    return decoded.select(
+    sampled = sample_pieces(docs.select("doc_id", "text"), load_pieces(PIECE_MODEL), decoded=True)
+    return sampled.select(
         F.col("key").alias("doc_id"), "rank", F.size("ids").cast("long").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_hash"), F.round("log_prob", 4).alias("log_prob"),
         F.round("log_inclusion", 4).alias("log_inclusion"), F.sha2("decoded", 256).alias("text_sha256"))

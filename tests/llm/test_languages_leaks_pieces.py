@@ -264,6 +264,9 @@ def test_round_trip_of_awkward_texts(spark, pieces):
     docs = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string, source string, n_chars long"),
                             allowMissingColumns=True)
     found = decode_pieces(sample_pieces(docs, pieces, want=2), pieces).collect()
+    at_once = sample_pieces(docs, pieces, want=2, decoded=True).select("key", "rank", "ids", "decoded").collect()
+    assert Counter((r.key, r["rank"], tuple(r.ids), r.decoded) for r in found) == Counter(
+        (r.key, r["rank"], tuple(r.ids), r.decoded) for r in at_once)
     texts = Counter((r.doc_id, (r.text or "").replace("▁", " ")) for r in docs.collect())
     assert Counter((r.key, r.decoded) for r in found if r["rank"] == 1) == texts
     assert {(r.key, r.decoded) for r in found} <= set(texts)
