@@ -12,7 +12,7 @@ from beaconry.llm.common import packed, quoted, read_table, unpacked
 from beaconry.llm.decontaminate import decontaminate
 from beaconry.llm.language_id import UNDETERMINED, fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
-from beaconry.llm.piece_sampling import decode_pieces, load_pieces, sample_pieces
+from beaconry.llm.piece_sampling import load_pieces, sample_pieces
 from beaconry.llm.simhash import one_of_each
 from beaconry.session import materialize, tune
 
@@ -48,9 +48,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def as_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of every text, each decoded again: ``text_sha256`` is of the decoded text."""
-    pieces = load_pieces(PIECE_MODEL)
-    decoded = decode_pieces(sample_pieces(docs, pieces), pieces)
-    return decoded.select(
+    return sample_pieces(docs, load_pieces(PIECE_MODEL), decoded=True).select(
         F.col("key").alias("doc_id"), "rank", "ids", F.size("ids").cast("long").alias("n_pieces"), "log_prob",
         "log_inclusion", F.sha2("decoded", 256).alias("text_sha256"))
 
