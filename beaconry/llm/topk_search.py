@@ -13,7 +13,8 @@ from beaconry.llm.common import quoted
 from beaconry.session import materialize
 
 #: points of a leaf; leaves are compared as matrices
-LEAF = 64
+LEAF = 256
+FAN = 16
 #: rows of a block of data and of a batch of queries: what a task holds
 BLOCK_ROWS = 4096
 BATCH_ROWS = 2048
@@ -24,56 +25,60 @@ LOWEST = -(1 << 63)
 
 
 class CoverTree:
-    """Points under centres. A node covers all points below it within its radius; its children's centres lie in the
-    cover at half its scale and further apart than that, until a node is small enough to be a leaf."""
+    """Points under nested nets. The children's centres of a node are a net of its points: every point is within some
+    radius of its centre, and the centres lie at least that radius apart. The radius is the smallest that ``FAN`` centres
+    reach when each next centre is the point farthest from those before, so it adapts to points of any dimension."""
 
     def __init__(self, points: np.ndarray):
         self.points = points
         self.center: list[int] = []
         self.radius: list[float] = []
-        self.children: list[list[int]] = []
+        self.children: list[np.ndarray] = []
         self.members: list[np.ndarray] = []
-        self.norm = np.sqrt((points * points).sum(axis=1))
         if len(points):
-            self._grow(np.arange(len(points)), 0)
+            work = [self._node(np.arange(len(points)), 0, self._distance(0, np.arange(len(points))))]
+            while work:
+                work += self._split(work.pop())
+        self.heart = points[self.center]
+        self.reach = np.array(self.radius)
+        self.norm = np.sqrt((self.heart * self.heart).sum(axis=1))
 
     def _distance(self, center: int, rows: np.ndarray) -> np.ndarray:
         gap = self.points[rows] - self.points[center]
         return np.sqrt((gap * gap).sum(axis=1))
 
-    def _grow(self, rows: np.ndarray, center: int) -> int:
-        """Build the subtree of some rows with an explicit stack; returns its root."""
-        root = self._node(rows, center)
-        work = [root]
-        while work:
-            node = work.pop()
-            rows = self.members[node]
-            if len(rows) <= LEAF or self.radius[node] == 0:
-                continue
-            half = self.radius[node] / 2
-            center, left = self.center[node], rows
-            while len(left):
-                near = self._distance(center, left) <= half
-                child = self._node(left[near], center)
-                self.children[node].append(child)
-                work.append(child)
-                left = left[~near]
-                if len(left):
-                    center = int(left[0])
-        return root
-
-    def _node(self, rows: np.ndarray, center: int) -> int:
+    def _node(self, rows: np.ndarray, center: int, far: np.ndarray) -> int:
         self.center.append(center)
-        self.radius.append(float(self._distance(center, rows).max()))
-        self.children.append([])
+        self.radius.append(float(far.max()) * (1 + 1e-12))
+        self.children.append(np.zeros(0, np.int64))
         self.members.append(rows)
         return len(self.center) - 1
 
-
-def bound(q: np.ndarray, q_radius: float, d: np.ndarray, d_radius: float) -> float:
-    """An upper bound on the inner product of any two points within the radii of two centres."""
-    return float(q @ d + q_radius * np.linalg.norm(d) + d_radius * np.linalg.norm(q) + q_radius * d_radius) * (
-        1 + 1e-9) + 1e-6
+    def members_of(self, node: int) -> np.ndarray:
+        return self.members[node]
+
+    def _split(self, node: int) -> list[int]:
+        rows = self.members[node]
+        if len(rows) <= LEAF or self.radius[node] == 0:
+            return []
+        centers = [self.center[node]]
+        far = self._distance(centers[0], rows)
+        own = np.zeros(len(rows), np.int64)
+        while len(centers) < FAN and far.max() > 0:
+            centers.append(int(rows[far.argmax()]))
+            again = self._distance(centers[-1], rows)
+            nearer = again < far
+            own[nearer], far[nearer] = len(centers) - 1, again[nearer]
+        found = [self._node(rows[own == n], c, far[own == n]) for n, c in enumerate(centers)]
+        self.children[node] = np.array(found)
+        return found
+
+
+def bounds(left: CoverTree, a: np.ndarray, right: CoverTree, b: np.ndarray) -> np.ndarray:
+    """Upper bounds on the inner products of any two points covered by pairs of nodes."""
+    most = (left.heart[a] @ right.heart[b].T + left.reach[a][:, None] * right.norm[b] + left.norm[a][:, None] * right.reach[b]
+            + left.reach[a][:, None] * right.reach[b])
+    return most + 1e-9 * np.abs(most) + 1e-6
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, data: np.ndarray, ids: np.ndarray,
@@ -83,42 +88,44 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, d
     Node pairs are opened best bound first. A pair is pruned if its bound is below the worst kth score, or floor, of
     all queries under the query node; equal bounds are opened, as ties go to the smaller id.
     """
-    scores = np.full((len(queries), k), LOWEST, np.int64)
-    names = np.full((len(queries), k), np.iinfo(np.int64).max)
     if not len(queries) or not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    scores = np.full((len(queries), k), LOWEST, np.int64)
+    names = np.full((len(queries), k), np.iinfo(np.int64).max)
     left, right = CoverTree(queries), CoverTree(data)
     exact = float(np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * queries.shape[1]) < 2**52
     whole = (queries, data) if exact else (queries.astype(np.int64), data.astype(np.int64))
     worst = floor.copy()
-
-    def of(a: int, b: int) -> float:
-        return bound(queries[left.center[a]], left.radius[a], data[right.center[b]], right.radius[b])
-
-    heap = [(-of(0, 0), 0, 0)]
+    root = np.zeros(1, np.int64)
+    heap = [(-float(bounds(left, root, right, root)[0, 0]), 0, 0)]
     while heap:
         top, a, b = heapq.heappop(heap)
         if -top < worst[left.members[a]].min():
             continue
-        if left.children[a] or right.children[b]:
-            for x in left.children[a] or [a]:
-                least = worst[left.members[x]].min()
-                for y in right.children[b] or [b]:
-                    limit = of(x, y)
-                    if limit >= least:
-                        heapq.heappush(heap, (-limit, x, y))
+        if len(left.children[a]) or len(right.children[b]):
+            xs = left.children[a] if len(left.children[a]) else np.array([a])
+            ys = right.children[b] if len(right.children[b]) else np.array([b])
+            limit = bounds(left, xs, right, ys)
+            least = np.array([worst[left.members[x]].min() for x in xs])
+            for i, j in zip(*np.nonzero(limit >= least[:, None])):
+                heapq.heappush(heap, (-float(limit[i, j]), int(xs[i]), int(ys[j])))
             continue
-        rows, own = left.members[a], right.members[b]
+        rows, own = left.members_of(a), right.members_of(b)
         found = (whole[0][rows] @ whole[1][own].T).astype(np.int64)
         found[query_ids[rows][:, None] == ids[own]] = LOWEST
-        if not (found >= worst[rows][:, None]).any():
+        row, column = np.nonzero((found >= worst[rows][:, None]) & (found > LOWEST))
+        if not len(row):
             continue
-        both = np.concatenate((scores[rows], found), axis=1)
-        named = np.concatenate((names[rows], np.broadcast_to(ids[own], found.shape)), axis=1)
-        order = np.lexsort((named, -both.astype(np.float64) if exact else np.where(both == LOWEST, np.iinfo(np.int64).max, -both)),
-                           axis=1)[:, :k]
-        scores[rows] = np.take_along_axis(both, order, axis=1)
-        names[rows] = np.take_along_axis(named, order, axis=1)
+        # the rows' best so far and what may be better, in one order
+        which = np.unique(row)
+        owner = np.concatenate((np.repeat(which, k), row))
+        score = np.concatenate((scores[rows[which]].ravel(), found[row, column]))
+        name = np.concatenate((names[rows[which]].ravel(), ids[own[column]]))
+        order = np.lexsort((name, ~score, owner))
+        place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
+        best = order[place < k]
+        scores[rows[which]] = score[best].reshape(len(which), k)
+        names[rows[which]] = name[best].reshape(len(which), k)
         worst[rows] = np.maximum(floor[rows], scores[rows][:, -1])
     row, rank = np.nonzero((scores > LOWEST) & (scores >= floor[:, None]))
     return row, names[row, rank], scores[row, rank]
