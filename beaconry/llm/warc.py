@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +25,7 @@ HTTP_TYPE = "application/http; msgtype=response"
 #: uncompressed bytes one task writes, and compressed bytes after which it begins another file
 SHARD_BYTES = 64 << 20
 FILE_BYTES = 32 << 20
+MAX_SHARDS = 20_000
 READ_BYTES = 1 << 20
 
 MANIFEST = "shard long, file string, records long, bytes long, sha256 string"
@@ -71,41 +73,66 @@ def record(key: str | None, url: str | None, payload: bytes, date: str, own_id:
 # ------------------------------------------------------------ writing
 
 
+def _place(key, url: str | None, sha1: str) -> tuple:
+    """Where a row stands in the archive: rows without a key last, those without a URL first."""
+    return key is None, 0 if key is None else key, url is not None, url or "", sha1
+
+
+def _shard_of(cuts: list[tuple]):
+    """The number of a row's shard: how many shards begin at or before its place."""
+    def shard(keys: pa.Array, urls: pa.Array, sha1: pa.Array) -> pa.Array:
+        return pa.array([bisect_right(cuts, _place(*r)) for r in zip(keys.to_pylist(), urls.to_pylist(), sha1.to_pylist())],
+                        pa.int64())
+
+    return F.arrow_udf(shard, "long")
+
+
 def planned(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int, shard_bytes: int) -> DataFrame:
-    """Rows in archive order with shard, payload and, for revisits, the response they refer to.
+    """Two kinds of rows by shard, in archive order: what each record is to be, then the payloads.
 
-    The shard of a row is the sum of record sizes before it in order, divided by the shard size: it depends on the
-    table alone, not on how Spark cuts it. Sizes are summed per range, and a row per range is carried on.
+    The shard of a row follows from the sum of record sizes before it in order, divided by the shard size: it depends on
+    the table alone, not on how Spark cuts it. Sizes are summed per range and a row per range is carried on. Where
+    shards begin, ``MAX_SHARDS`` places at most, goes to the tasks; so payloads are shuffled once, and nothing but
+    keys and digests is joined.
     """
-    rows = pages.select(
+    named = pages.select(
         quoted(key).alias("order_key"), quoted(key).cast("string").alias("key"), quoted(url).cast("string").alias("url"),
-        F.coalesce(F.encode(quoted(payload).cast("string"), "UTF-8"), F.lit(b"")).alias("payload"))
-    # written, so that row numbers stay as they are
-    rows = materialize(rows.withColumn("sha1", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
-                       .withColumn("row", F.monotonically_increasing_id()), "warc-rows")
-    narrow = rows.select("row", "order_key", "key", "url", "sha1", "size")
+        F.coalesce(F.encode(quoted(payload).cast("string"), "UTF-8"), F.lit(b"")).alias("payload")).withColumn(
+        "sha1", F.sha1("payload"))
+    narrow = named.select("order_key", "key", "url", "sha1", F.octet_length("payload").cast("long").alias("size"))
+    order = [F.col("order_key").asc_nulls_last(), "url", "sha1", "row"]
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, so that row numbers and ranges stay as they are
+    narrow = materialize(narrow.withColumn("row", F.monotonically_increasing_id()), "warc-rows")
+    ranged = materialize(narrow.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "warc-ranges")
     place = F.struct(F.col("order_key").isNull().alias("keyless"), "order_key", "url", "sha1", "row")
-    equal = narrow.filter(F.col("size") >= min_bytes).groupBy("sha1", "size").agg(
+    equal = ranged.filter(F.col("size") >= min_bytes).groupBy("sha1", "size").agg(
         F.min(F.struct(place.alias("place"), "key")).alias("first"), F.count(F.lit(1)).alias("rows"))
     # written, so that Spark can split the rows of a frequent payload
     shared = materialize(equal.filter("rows > 1").select(
         "sha1", "size", F.col("first.place.row").alias("first_row"), F.col("first.key").alias("first_key"),
         F.col("first.place.url").alias("first_url")), "warc-shared")
 
-    order = [F.col("order_key").asc_nulls_last(), "url", "sha1", "row"]
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(narrow.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "warc-ranges")
-    sums = ranged.groupBy("part").agg(F.sum("size").alias("held"))
+    sums = materialize(ranged.groupBy("part").agg(F.sum("size").alias("held")), "warc-sums")
+    whole = sums.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
+    step = max(shard_bytes, -(-whole // MAX_SHARDS))
     carried = sums.select("part", F.coalesce(
         F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("carried"))
     before = F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    sharded = ranged.join(F.broadcast(carried), "part").select(
-        "row", "sha1", "size", F.floor((F.col("carried") + before) / F.lit(shard_bytes)).cast("long").alias("shard"))
-    marked = materialize(sharded.join(shared, ["sha1", "size"], "left").select(
-        "row", "shard", F.col("first_row"), "first_key", "first_url"), "warc-plan")
+    begins = (ranged.join(F.broadcast(carried), "part")
+              .withColumn("shard", F.floor((F.col("carried") + before) / F.lit(step)))
+              .groupBy("shard").agg(F.min(place).alias("place")).orderBy("shard").select("place.*").collect())
+    shard = _shard_of([_place(r.order_key, r.url, r.sha1) for r in begins[1:]])(F.col("order_key"), F.col("url"), F.col("sha1"))
+
     again = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
-    return rows.join(marked, "row").select(
-        "shard", "order_key", "key", "url", "sha1", "row", "payload", again.alias("again"), "first_key", "first_url")
+    told = ranged.join(shared, ["sha1", "size"], "left").select(
+        shard.alias("shard"), "order_key", "key", "url", "sha1", "row", F.lit(None).cast("binary").alias("payload"),
+        again.alias("again"), "first_key", "first_url")
+    bodies = named.select(
+        shard.alias("shard"), "order_key", "key", "url", "sha1", F.lit(None).cast("long").alias("row"), "payload",
+        F.lit(None).cast("boolean").alias("again"), F.lit(None).cast("string").alias("first_key"),
+        F.lit(None).cast("string").alias("first_url"))
+    return told.unionByName(bodies)
 
 
 def _writing(base: str, date: str, file_bytes: int):
@@ -114,7 +141,6 @@ def _writing(base: str, date: str, file_bytes: int):
         attempt = f"{root}/_temporary/{uuid.uuid4().hex}"
         state = {"shard": None, "file": 0, "out": None}
         done: list[tuple] = []
-        nth: dict[tuple, int] = {}
 
         def close() -> None:
             if state["out"] is None:
@@ -133,7 +159,6 @@ def _writing(base: str, date: str, file_bytes: int):
         def opened(shard: int):
             if state["shard"] != shard:
                 close()
-                nth.clear()
                 state.update(shard=shard, file=0)
             elif state["out"] is not None and state["bytes"] >= file_bytes:
                 close()
@@ -144,18 +169,25 @@ def _writing(base: str, date: str, file_bytes: int):
                 state["out"] = store.open_output_stream(f"{attempt}/{state['name']}", compression=None)
             return state["out"]
 
+        # what the rows of the place at hand are to be: the first, and all after it
+        here, kinds, same = None, [], 0
         for batch in batches:
-            for shard, key, url, sha1, payload, again, first_key, first_url in zip(*(
+            for shard, key, url, sha1, payload, *kind in zip(*(
                     batch.column(n).to_pylist() for n in
                     ("shard", "key", "url", "sha1", "payload", "again", "first_key", "first_url"))):
+                if payload is None:
+                    if here != (shard, key, url, sha1):
+                        here, kinds, same = (shard, key, url, sha1), [], 0
+                    if len(kinds) < 2:
+                        kinds.append(kind)
+                    continue
+                if here != (shard, key, url, sha1):
+                    raise ValueError("a payload came without its plan")
+                again, first_key, first_url = kinds[min(same, len(kinds) - 1)]
                 out = opened(shard)
-                same = nth[key, url, sha1] = nth.get((key, url, sha1), -1) + 1
-                if len(nth) > 1:
-                    # rows that are alike follow each other
-                    nth.clear()
-                    nth[key, url, sha1] = same
                 original = (record_id(first_key, first_url, sha1, 0), first_key, first_url) if again else None
                 own = record_id(key, url, sha1, same)
+                same += 1
                 packed = gzip.compress(record(key, url, payload, date, own, original), 6, mtime=0)
                 out.write(packed)
                 state["sha"].update(packed)
@@ -176,7 +208,8 @@ def write_warc(pages: DataFrame, base: str, key: str = "page_id", url: str = "ur
     """Write one WARC record per row under ``base`` and return the manifest.
 
     Records are sorted by key, URL and payload and cut into shards of ``shard_bytes`` of payload; a shard's files
-    ``part-<shard>-<file>.warc.gz`` roll when they reach ``file_bytes`` compressed. Each record is a gzip member of its
+    ``part-<shard>-<file>.warc.gz`` roll when they reach ``file_bytes`` compressed. Rows of one key, URL and payload
+    share a shard; beyond ``MAX_SHARDS`` shards they are larger instead. Each record is a gzip member of its
     own. Headers and digests are made anew. Of records with equal payloads of at least ``min_bytes`` bytes the one with
     the smallest key is a response and the others revisit it; without a key counts as largest, then the URL decides.
 
@@ -188,7 +221,8 @@ def write_warc(pages: DataFrame, base: str, key: str = "page_id", url: str = "ur
     revisits; an empty table gives a manifest without files. Other columns are not read.
     """
     rows = planned(pages, key, url, payload, min_bytes, shard_bytes)
-    order = ["shard", F.col("order_key").asc_nulls_last(), "url", "sha1", "row"]
+    # at each place the plan before the payloads, and in it the row that others may refer to
+    order = ["shard", F.col("order_key").asc_nulls_last(), "url", "sha1", F.col("row").asc_nulls_last()]
     written = rows.repartition("shard").sortWithinPartitions(*order).drop("order_key", "row").mapInArrow(
         _writing(base, date, file_bytes), MANIFEST)
     written.write.parquet(f"{base}/_manifest")

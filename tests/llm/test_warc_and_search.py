@@ -156,33 +156,39 @@ def test_search_without_rows_or_queries(spark):
     assert search_top(frame, F.lit(False)).count() == 0
 
 
-def test_cover_tree_covers():
+def test_cover_tree_covers(monkeypatch):
+    monkeypatch.setattr(top, "LEAF", 20)
     points = np.random.default_rng(5).normal(size=(700, 8))
     points[100:300] = points[0]
     tree = CoverTree(points)
     for node, rows in enumerate(tree.members):
         gap = np.linalg.norm(points[rows] - points[tree.center[node]], axis=1)
         assert gap.max() <= tree.radius[node] + 1e-12
-        if tree.children[node]:
-            assert sorted(np.concatenate([tree.members[c] for c in tree.children[node]])) == sorted(rows)
-            heads = points[[tree.center[c] for c in tree.children[node]]]
+        kids = tree.children[node]
+        if len(kids):
+            assert sorted(np.concatenate([tree.members[c] for c in kids])) == sorted(rows)
+            heads = points[[tree.center[c] for c in kids]]
             apart = np.linalg.norm(heads[:, None] - heads[None], axis=2) + np.eye(len(heads)) * 1e9
-            assert apart.min() > tree.radius[node] / 2
+            assert apart.min() >= max(tree.radius[c] for c in kids) - 1e-9
+        else:
+            assert len(rows) <= 20 or tree.radius[node] == 0
 
 
 def test_dual_search_prunes(monkeypatch):
+    monkeypatch.setattr(top, "LEAF", 20)
     rng = np.random.default_rng(6)
     centers = rng.normal(size=(20, 16)) * 1000
     data = np.floor(centers[rng.integers(0, 20, 6000)] + rng.normal(size=(6000, 16)))
     queries, ids = data[::50], np.arange(6000)
-    opened = []
-    real = top.bound
-    monkeypatch.setattr(top, "bound", lambda *a: opened.append(1) or real(*a))
+    compared = []
+    real = CoverTree.members_of
+    monkeypatch.setattr(CoverTree, "members_of", lambda self, node: compared.append(len(real(self, node))) or real(self, node))
     row, names, scores = dual_search(queries, ids[::50], np.full(120, top.LOWEST), data, ids, 5)
     whole = (queries @ data.T).astype(np.int64)
     whole[np.arange(120), ids[::50]] = top.LOWEST
     assert scores.reshape(120, 5).tolist() == np.sort(whole, axis=1)[:, :-6:-1].tolist()
-    assert len(opened) < 120 * 94 / 2
+    # pairs of leaves whose vectors were multiplied
+    assert sum(a * b for a, b in zip(compared[::2], compared[1::2])) < 120 * 6000 / 10
 
 
 def test_scores_beyond_doubles_are_exact():
