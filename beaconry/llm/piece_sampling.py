@@ -20,7 +20,9 @@ MARK = np.frombuffer(SPACE.encode(), np.uint8)
 #: bytes of text whose lattices are held at once
 PART = 1 << 19
 #: endings that are kept from part to part of a task
-MOST_NODES = 800_000
+MOST_NODES = 1_200_000
+#: the largest Gumbel number of a 53-bit chance is 36.7; log probabilities below the start where keys are left out at first
+MOST_NOISE, FAR_DOWN = 37.0, 45.0
 STEP, UNIT, ROUND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -46,6 +48,11 @@ class Pieces:
         self.slot = np.full(1 << 20, -1, np.int32)
         self.slot[slot] = np.arange(len(slot))
         self.crowded = self.slot[slot] != np.arange(len(slot))
+        # the size of the longest piece that begins with four bytes, by a hash of them
+        self.longest = np.full(1 << 16, 3, np.int64)
+        long = self.normal[sizes >= 4]
+        lead = np.array([int.from_bytes(self.parts[n][:4], "little") for n in long], np.uint64)
+        np.maximum.at(self.longest, self.lead_slot(lead), sizes[sizes >= 4])
         # what decoding writes, spaces for marks
         raw = [p.replace(SPACE.encode(), b" ") for p in self.parts]
         for byte, n in enumerate(self.of_byte.tolist()):
@@ -55,6 +62,10 @@ class Pieces:
         self.raw_size = np.array([len(r) for r in raw], np.int64)
         self.raw_begin = np.cumsum(self.raw_size) - self.raw_size
 
+    @staticmethod
+    def lead_slot(lead: np.ndarray) -> np.ndarray:
+        return ((lead * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
+
     def find(self, code: np.ndarray) -> np.ndarray:
         """Ids of the pieces with these hashes, -1 where there is none."""
         at = self.slot[code >> np.uint64(44)]
@@ -207,16 +218,24 @@ class Lattices:
         at = place[(raw[place] & 0xC0) != 0x80]
         at = at[near_first(at)]
         # bytes of the character that begins there
-        lead = raw[at]
-        width = 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+        first = raw[at]
+        width = 1 + (first >= 0xC0).astype(np.int64) + (first >= 0xE0) + (first >= 0xF0)
         far = left[at]
         width = np.minimum(width, far)
         found = np.full((len(at), len(sizes)), -1, np.int32)
         alone = np.zeros(len(at), bool)
-        low, base = sums[at], down[at]
+        # no piece is longer than the longest that begins like this
+        lead = np.zeros(len(at), np.uint64)
+        for n in range(4):
+            lead |= raw[np.minimum(at + n, len(raw) - 1)].astype(np.uint64) << np.uint64(8 * n)
+        limit = np.where(far >= 4, np.minimum(far, pieces.longest[pieces.lead_slot(lead)]), far)
         for c, n in enumerate(sizes.tolist()):
-            rows = slice(int(np.searchsorted(far, n)), None)
-            found[rows, c] = hit = pieces.find(mixed((sums[at[rows] + n] - low[rows]) * base[rows]))
+            rows = np.flatnonzero(limit >= n)
+            if not len(rows):
+                continue
+            low = at[rows]
+            hit = pieces.find(mixed((sums[low + n] - sums[low]) * down[low]))
+            found[rows, c] = hit
             alone[rows] |= (hit >= 0) & (width[rows] == n)
         # characters that are no piece: byte by byte, or the unknown piece for the whole
         lost = np.flatnonzero(~alone)
@@ -298,6 +317,22 @@ def _free(lattice: Lattices, node: np.ndarray, seed: np.ndarray) -> tuple[np.nda
     return out, count
 
 
+def _ranked(key: np.ndarray, owner: np.ndarray, by_edge: np.ndarray, room: int) -> list[list[tuple[int, int, float]]]:
+    """The best keys of every text, then the second best, and so on: (text, edge, key), ``room`` times."""
+    rest = key.copy()
+    filled = np.flatnonzero(np.diff(by_edge))
+    best = []
+    for _ in range(room if len(filled) else 0):
+        top = np.full(len(by_edge) - 1, np.inf)
+        top[filled] = np.maximum.reduceat(rest, by_edge[:-1][filled])
+        top[top == -np.inf] = np.inf
+        spots = np.flatnonzero(rest == top[owner])
+        spots = spots[np.unique(owner[spots], return_index=True)[1]]
+        best.append(list(zip(owner[spots].tolist(), spots.tolist(), rest[spots].tolist())))
+        rest[spots] = -np.inf
+    return best
+
+
 @dataclass
 class Open:
     """A set of segmentations on the agenda: those that share the first ``kept`` edges of a way and then take none of
@@ -380,22 +415,31 @@ def sample_texts(texts: list[bytes], seeds: np.ndarray, lattice: Lattices, want:
         start = before.copy()
         start[forked] += lattice.log_share[edge[forked]]
         sums = np.concatenate(([0.0], np.cumsum(log)))
-        shared = sums[:-1] - sums[by_edge[:-1]][owner] + start[owner]
-        totals = start + sums[by_edge[1:]] - sums[by_edge[:-1]]
-        chance = uniform(mixed(base ^ STEP)[owner] + (np.arange(len(ways)) - by_edge[:-1][owner]).astype(np.uint64) * UNIT)
-        with np.errstate(divide="ignore"):
-            free = shared + np.log(-np.expm1(log)) - np.log(-np.log(chance))
-        key = np.where(lattice.fan[ways] > 1, -np.logaddexp(-keys[owner], -free), -np.inf)
-        filled = np.flatnonzero(np.diff(by_edge))
-        best = []
-        for _ in range(room if len(filled) else 0):
-            top = np.maximum.reduceat(key, by_edge[:-1][filled])
-            mine = np.full(len(own), -np.inf)
-            mine[filled] = top
-            spots = np.flatnonzero((key == mine[owner]) & (key > -np.inf))
-            spots = spots[np.unique(owner[spots], return_index=True)[1]]
-            best.append(list(zip(owner[spots].tolist(), spots.tolist(), key[spots].tolist())))
-            key[spots] = -np.inf
+        base_sum = sums[by_edge[:-1]] - start
+        shared = sums[:-1] - base_sum[owner]
+        totals = sums[by_edge[1:]] - base_sum
+        salt = mixed(base ^ STEP)
+        key = np.full(len(ways), -np.inf)
+
+        def weigh(edges: np.ndarray) -> None:
+            edges = edges[lattice.fan[ways[edges]] > 1]
+            whose = owner[edges]
+            chance = uniform(salt[whose] + (edges - by_edge[whose]).astype(np.uint64) * UNIT)
+            with np.errstate(divide="ignore"):
+                free = shared[edges] + np.log(-np.expm1(log[edges])) - np.log(-np.log(chance))
+            key[edges] = -np.logaddexp(-keys[whose], -free)
+
+        # a key exceeds its set's log probability by MOST_NOISE at most, so sets far down the way need none, unless the
+        # keys found before them are as low
+        weigh(np.flatnonzero(shared >= start[owner] - FAR_DOWN))
+        best = _ranked(key, owner, by_edge, room)
+        lowest = np.full(len(own), -np.inf)
+        for n, _, its_key in best[room - 1] if len(best) == room else []:
+            lowest[n] = its_key
+        open_end = (lowest < start - FAR_DOWN + MOST_NOISE)[owner] & (shared < start[owner] - FAR_DOWN)
+        if open_end.any():
+            weigh(np.flatnonzero(open_end))
+            best = _ranked(key, owner, by_edge, room)
         done: list[tuple[np.ndarray, np.ndarray, int]] = []
         for n, text in enumerate(own.tolist()):
             way, count = ways[by_edge[n]:by_edge[n + 1]], counts[by_unit[n]:by_unit[n + 1]]
@@ -473,8 +517,8 @@ def sample_pieces(docs: DataFrame, pieces: Pieces, key: str = "doc_id", text: st
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
                         *(pa.array([getattr(s, n) for s in own], pa.float64()) for n in ("log_prob", "key", "log_inclusion"))]
                     if decoded:
-                        texts_again = [t.decode("utf-8", "replace") for t in decode_ids(ids, offsets, pieces)]
-                        arrays.append(pa.array(texts_again, pa.string()))
+                        # the bytes of a text that was a string
+                        arrays.append(pa.array(decode_ids(ids, offsets, pieces), pa.binary()).cast(pa.string()))
                     yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     schema = T.StructType([
