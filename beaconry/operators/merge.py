@@ -48,14 +48,14 @@ def merge_latest(
     if not full_is_unique:
         return latest_per_key(tagged_union(full, delta), keys, [F.desc(order_col), F.desc(OC), *ties]).drop(OC)
     columns = full.columns
-    # read by three steps below
+    # written, as three steps below read it
     newest = materialize(latest_per_key(delta.select(*columns), keys, [F.desc(order_col), *ties]), "newest")
     offered = newest.select(*keys, F.struct(*columns).alias("__new"))
     met = sized_join(full, part_of(offered, newest), keys, "left", limit=limit, null_safe=True)
     renewed = F.col("__new").isNotNull() & F.coalesce(
         F.col(f"__new.{order_col}") >= F.col(order_col), F.col(order_col).isNull())
     kept = met.select(*[F.when(renewed, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in columns])
-    held = materialize(
-        sized_join(full.select(*keys), part_of(newest.select(*keys), newest), keys, "left_semi", limit=limit, null_safe=True),
-        "held")
+    # no more keys than the increment has
+    held = sized_join(full.select(*keys), part_of(newest.select(*keys), newest), keys, "left_semi", limit=limit, null_safe=True)
+    held = part_of(held.distinct(), newest)
     return kept.unionByName(sized_join(newest, held, keys, "left_anti", limit=limit, null_safe=True))
