@@ -45,7 +45,7 @@ class Index:
     """Postings of one part of the items, with impacts as shares of an item's own score, and their block maxima."""
 
     def __init__(self, postings: pd.DataFrame, items: pd.DataFrame):
-        """``postings``: item, term, impact; ``items``: item, question, answer (token hashes of both)."""
+        """``postings``: item, term, n, impact; ``items``: item, question, answer (token hashes of both)."""
         own = postings.groupby("item")["impact"].sum()
         # items of like size lie in one block, which keeps its maxima close to its members' impacts
         order = own.sort_values(kind="stable").index
@@ -64,8 +64,8 @@ class Index:
         self.blocks = -(-len(self.items) // BLOCK)
         sides = items.set_index("item").loc[order]
         self.question, self.answer = list(sides["question"]), list(sides["answer"])
-        longest = max(len(q) + len(a) for q, a in zip(self.question, self.answer))
-        # any item with up to a quarter of tokens put in lies within one passage
+        # tokens with their repeats: any item with up to a quarter of tokens put in lies within one passage
+        longest = int(postings.groupby("item")["n"].sum().max())
         self.stride = max(1, -(-longest * 5 // 4))
         # term numbers by the top bits of their hash; terms that share a slot are searched
         self.slot = np.full(1 << 16, -1, np.int64)
@@ -172,7 +172,7 @@ def _build(items: DataFrame) -> list[Index]:
     length = postings.groupBy("item").agg(F.sum("n").alias("length"))
     idf = F.log(1 + (whole["items"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("n") * (K1 + 1) / (F.col("n") + K1 * (1 - B + B * F.col("length") / mean))
-    scored = postings.join(spread, "term").join(length, "item").select("item", "term", impact.alias("impact"))
+    scored = postings.join(spread, "term").join(length, "item").select("item", "term", "n", impact.alias("impact"))
     parts = -(-whole["rows"] // PART_POSTINGS)
     indexes = []
     for part in range(parts):
