@@ -17,7 +17,7 @@ from beaconry.session import materialize
 K1, B = 1.2, 0.75
 #: items under one block maximum
 BLOCK = 4
-#: postings of an index part; a larger benchmark is searched part by part
+#: postings of an index part; a larger benchmark is searched part by part, with the same results
 PART_POSTINGS = 1_000_000
 #: cells of the passages-by-blocks table that is held at once
 CELLS = 1 << 22
@@ -42,10 +42,11 @@ def tokens(text: bytes) -> np.ndarray:
 
 
 class Index:
-    """Postings of one part of the items, with impacts as shares of an item's own score, and their block maxima."""
+    """Postings of items of one length class, with impacts as shares of an item's own score, and their block maxima."""
 
-    def __init__(self, postings: pd.DataFrame, items: pd.DataFrame):
-        """``postings``: item, term, n, impact; ``items``: item, question, answer (token hashes of both)."""
+    def __init__(self, postings: pd.DataFrame, items: pd.DataFrame, longest: int):
+        """``postings``: item, term, impact; ``items``: item, question, answer (token hashes of both); ``longest``:
+        the most tokens an item of the class can have, repeats counted."""
         own = postings.groupby("item")["impact"].sum()
         # items of like size lie in one block, which keeps its maxima close to its members' impacts
         order = own.sort_values(kind="stable").index
@@ -64,8 +65,7 @@ class Index:
         self.blocks = -(-len(self.items) // BLOCK)
         sides = items.set_index("item").loc[order]
         self.question, self.answer = list(sides["question"]), list(sides["answer"])
-        # tokens with their repeats: any item with up to a quarter of tokens put in lies within one passage
-        longest = int(postings.groupby("item")["n"].sum().max())
+        # any item with up to a quarter of tokens put in lies within one passage
         self.stride = max(1, -(-longest * 5 // 4))
         # term numbers by the top bits of their hash; terms that share a slot are searched
         self.slot = np.full(1 << 16, -1, np.int64)
@@ -118,9 +118,8 @@ class Index:
             for n in np.flatnonzero(score >= least):
                 yield low + int(cell[n] // len(self.items)), int(cell[n] % len(self.items)), float(score[n])
 
-    def search(self, texts: list[bytes], least: float, overlap: float) -> list[list[tuple]]:
+    def search(self, words: np.ndarray, begins: np.ndarray, least: float, overlap: float) -> list[list[tuple]]:
         """Per text its verified items: (item, score, question overlap, answer overlap, passage), best passage each."""
-        words, begins = word_stream(texts, IS_GAP, True)
         number = self.numbers(words)
         lengths = np.diff(begins)
         # passages of two strides, one stride apart
@@ -134,7 +133,7 @@ class Index:
             fits = (nth >= back) & (nth - back < per_text[owner])
             pairs.append((base[owner] + nth - back)[fits] * len(self.terms) + number[hit][fits])
         pairs = np.unique(np.concatenate(pairs)) if len(hit) else np.zeros(0, np.int64)
-        found: list[dict] = [{} for _ in texts]
+        found: list[dict] = [{} for _ in lengths]
         for passage, place, score in self.retrieve(
                 pairs // max(1, len(self.terms)), pairs % max(1, len(self.terms)), int(base[-1]), least):
             text = int(np.searchsorted(base, passage, "right")) - 1
@@ -146,11 +145,12 @@ class Index:
                 best = found[text].get(place)
                 if best is None or score > best[1] + 1e-12:
                     found[text][place] = (int(self.items[place]), score, *sides, passage - int(base[text]))
-        return [sorted(f.values()) for f in found]
+        return [list(f.values()) for f in found]
 
 
-def _build(items: DataFrame) -> list[Index]:
-    """The index of all items, in parts of bounded size; document frequencies count over all parts."""
+def _build(items: DataFrame) -> list[list[Index]]:
+    """The index of all items, in parts of bounded size, each a list by length class; document frequencies count over
+    all parts. An item's class is the power of two that its tokens fill, so its passages depend on no other item."""
     rows = items.select(F.col("key").cast("bigint").alias("item"), F.col("text").cast("binary").alias("text")).filter(
         F.col("item").isNotNull() & F.col("text").isNotNull())
 
@@ -172,7 +172,7 @@ def _build(items: DataFrame) -> list[Index]:
     length = postings.groupBy("item").agg(F.sum("n").alias("length"))
     idf = F.log(1 + (whole["items"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("n") * (K1 + 1) / (F.col("n") + K1 * (1 - B + B * F.col("length") / mean))
-    scored = postings.join(spread, "term").join(length, "item").select("item", "term", "n", impact.alias("impact"))
+    scored = postings.join(spread, "term").join(length, "item").select("item", "term", "length", impact.alias("impact"))
     parts = -(-whole["rows"] // PART_POSTINGS)
     indexes = []
     for part in range(parts):
@@ -185,20 +185,24 @@ def _build(items: DataFrame) -> list[Index]:
         for row in texts:
             question, answer = split_item(bytes(row.text).decode("utf-8", "replace"))
             sides.append((row.item, np.unique(tokens(question.encode())), np.unique(tokens(answer.encode()))))
-        known = set(table["item"])
-        indexes.append(Index(table.sort_values(["item", "term"]), pd.DataFrame(
-            [s for s in sides if s[0] in known], columns=["item", "question", "answer"])))
+        sides = pd.DataFrame(sides, columns=["item", "question", "answer"])
+        table = table.sort_values(["item", "term"])
+        longest = table["length"].map(lambda n: 1 << (int(n) - 1).bit_length())
+        indexes.append([Index(own, sides[sides["item"].isin(own["item"])], most) for most, own in table.groupby(longest)])
     return indexes
 
 
-def _searching(index: Index, least: float, overlap: float):
+def _searching(classes: list[Index], least: float, overlap: float):
     names = ("item", "score", "question", "answer", "passage")
     kind = pa.list_(pa.struct([(n, pa.int64() if n in ("item", "passage") else pa.float64()) for n in names]))
 
     def of_text(texts: pa.Array) -> pa.Array:
         raw = [t or b"" for t in texts.to_pylist()]
-        rows = [[dict(zip(names, h)) for h in hits] for part in chunked([len(t) for t in raw])
-                for hits in index.search(raw[part], least, overlap)]
+        rows = []
+        for part in chunked([len(t) for t in raw]):
+            words, begins = word_stream(raw[part], IS_GAP, True)
+            found = [index.search(words, begins, least, overlap) for index in classes]
+            rows += [[dict(zip(names, hit)) for own in hits for hit in own] for hits in zip(*found)]
         return pa.array(rows, kind)
 
     return of_text
@@ -209,8 +213,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     """Add ``leaks``: the benchmark items that a document holds, as an array of
     ``(item, score, question, answer, passage)`` sorted by item.
 
-    Every document is cut into overlapping passages, each long enough for any item, and every passage is a query to
-    the BM25 index of the items; ``score`` is the share of the item's own BM25 score that the passage reaches, at
+    For each length class of the items (up to 1, 2, 4, 8, ... tokens, repeats counted) every document is cut into
+    overlapping passages, each long enough for any item of the class, and every passage is a query to the BM25 index of
+    the class; ``passage`` numbers the passages of the item's class. ``score`` is the share of the item's own BM25 score that the passage reaches, at
     least ``least``. A retrieved item counts if at least ``overlap`` of the distinct tokens of its question, and of
     its answer, occur in the passage. Tokens are runs of letters and digits with A-Z lower-cased. Of several passages
     with one item the best is given, the first of equals.
@@ -220,8 +225,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     ``leaks`` is replaced. Documents are not shuffled. The index is collected in parts of bounded size.
     """
     leaks = F.from_json(F.lit("[]"), HIT)
-    for index in _build(items.select(quoted(item_key).alias("key"), quoted(item_text).alias("text"))):
-        leaks = F.concat(leaks, F.arrow_udf(_searching(index, least, overlap), HIT)(quoted(text).cast("binary")))
+    for classes in _build(items.select(quoted(item_key).alias("key"), quoted(item_text).alias("text"))):
+        leaks = F.concat(leaks, F.arrow_udf(_searching(classes, least, overlap), HIT)(quoted(text).cast("binary")))
     return unpacked(packed(docs, leaks=F.array_sort(leaks)), docs.columns, {}, {"leaks": F.col("leaks")})
 
 

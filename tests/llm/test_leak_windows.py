@@ -1,5 +1,10 @@
 """Passages are long enough for every item, whatever its words."""
 
+import math
+import re
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 import beaconry.llm.decontaminate as leaks
@@ -22,3 +27,46 @@ def at_offsets(item, count, after=200):
 def test_an_item_of_few_distinct_words_is_found_at_every_offset(spark):
     texts = at_offsets(ITEM, 180)
     assert {r.doc_id for r in found_in(spark, texts, [ITEM, SMALL]) if r.item == ITEM[0]} == set(range(len(texts)))
+
+
+def brute_leaks(texts, items, least=0.6, overlap=0.8):
+    """Every passage of every item's own length class, one at a time."""
+    token = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower())
+    bags = [Counter(token(t)) for _, t in items]
+    mean = sum(sum(b.values()) for b in bags) / len(bags)
+    df = Counter(t for b in bags for t in b)
+    found = set()
+    for (key, text), bag in zip(items, bags):
+        size = sum(bag.values())
+        raw = {t: math.log(1 + (len(bags) - df[t] + .5) / (df[t] + .5)) * c * (leaks.K1 + 1) / (
+            c + leaks.K1 * (1 - leaks.B + leaks.B * size / mean)) for t, c in bag.items()}
+        sides = [set(token(s)) for s in leaks.split_item(text)]
+        longest = 1
+        while longest < size:
+            longest *= 2
+        stride = -(-longest * 5 // 4)
+        for row, t in enumerate(texts):
+            words = token(t)
+            for p in range(max(1, -(-len(words) // stride) - 1)):
+                window = set(words[p * stride:(p + 2) * stride])
+                if sum(v for x, v in raw.items() if x in window) >= (least - 1e-12) * sum(raw.values()) and all(
+                        len(s & window) >= overlap * len(s) for s in sides):
+                    found.add((row, key))
+    return found
+
+
+@pytest.mark.parametrize("part", [1_000_000, 40])
+def test_passages_do_not_depend_on_other_items(spark, monkeypatch, part):
+    """A short item whose words lie far apart is no leak, however long another item is and whatever part it is in."""
+    short = [(n, f"why{n} does this{n} come first{n}? because{n} it{n}") for n in range(100, 112)]
+    items = short + [(50, "long " + " ".join(f"l{i}" for i in range(400)) + "? end " + " ".join(f"e{i}" for i in range(90))), ITEM, SMALL]
+    apart = [" ".join(w + " filler" * 15 for w in t.split()) for _, t in short]
+    near = [f"so far {t} and on" for _, t in short]
+    texts = apart + near + [items[12][1] + " tail", "head " + items[12][1], *at_offsets(ITEM, 20), *at_offsets(SMALL, 20)]
+    monkeypatch.setattr(leaks, "PART_POSTINGS", part)
+    rows = found_in(spark, texts, items)
+    want = brute_leaks(texts, items)
+    assert {(r.doc_id, r.item) for r in rows} == want
+    assert not any(r.doc_id < len(apart) for r in rows) and {n for n, _ in want} == set(range(len(apart), len(texts)))
+    monkeypatch.setattr(leaks, "PART_POSTINGS", 200)
+    assert found_in(spark, texts, items) == rows
