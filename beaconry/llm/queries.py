@@ -15,7 +15,7 @@ from beaconry.llm.piece_sampling import load_pieces, sample_pieces
 from beaconry.llm.secrets import BASE_RULES, EXTRA_RULES, RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.substring_dedup import dedup_substrings
-from beaconry.llm.topk_search import search_top
+from beaconry.llm.topk_search import search_rows
 from beaconry.llm.url_filter import filter_urls
 from beaconry.llm.warc import read_warc, write_warc
 from beaconry.session import fresh_path, tune
@@ -174,7 +174,7 @@ def op9(docs, spark, folder):
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op8(vectors, spark, folder):
-    return search_top(vectors, F.col("vec_id") % 50 == 0)
+    return search_rows(vectors, F.col("vec_id") % 50 == 0)
 
 
 @query("op1_warc", "pages", """

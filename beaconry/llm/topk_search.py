@@ -19,9 +19,11 @@ FAN = 16
 BLOCK_ROWS = 4096
 BATCH_ROWS = 2048
 MAX_CELLS = 256
-#: larger components take no part, so that a score of 128 products fits a long
+#: larger components take no part in ``search_top``
 LARGEST = 1 << 28
 LOWEST = -(1 << 63)
+#: stands for a score that does not fit a long, as its negative does
+BEYOND = (1 << 63) - 1
 
 
 class CoverTree:
@@ -41,11 +43,13 @@ class CoverTree:
                 work += self._split(work.pop())
         self.heart = points[self.center]
         self.reach = np.array(self.radius)
-        self.norm = np.sqrt((self.heart * self.heart).sum(axis=1))
+        with np.errstate(over="ignore"):
+            self.norm = np.sqrt((self.heart * self.heart).sum(axis=1))
 
     def _distance(self, center: int, rows: np.ndarray) -> np.ndarray:
-        gap = self.points[rows] - self.points[center]
-        return np.sqrt((gap * gap).sum(axis=1))
+        with np.errstate(over="ignore"):
+            gap = self.points[rows] - self.points[center]
+            return np.sqrt((gap * gap).sum(axis=1))
 
     def _node(self, rows: np.ndarray, center: int, far: np.ndarray) -> int:
         self.center.append(center)
@@ -75,10 +79,36 @@ class CoverTree:
 
 
 def bounds(left: CoverTree, a: np.ndarray, right: CoverTree, b: np.ndarray) -> np.ndarray:
-    """Upper bounds on the inner products of any two points covered by pairs of nodes."""
-    most = (left.heart[a] @ right.heart[b].T + left.reach[a][:, None] * right.norm[b] + left.norm[a][:, None] * right.reach[b]
-            + left.reach[a][:, None] * right.reach[b])
-    return most + 1e-9 * np.abs(most) + 1e-6
+    """Upper bounds on the inner products of any two points covered by pairs of nodes, not below ``LOWEST``.
+
+    What rounding can take away is a share of the norms, also where products cancel out."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        far = left.norm[a][:, None] + left.reach[a][:, None]
+        most = (left.heart[a] @ right.heart[b].T + left.reach[a][:, None] * right.norm[b] + left.norm[a][:, None] * right.reach[b]
+                + left.reach[a][:, None] * right.reach[b] + 1e-9 * far * (right.norm[b] + right.reach[b]) + 1e-6)
+    return np.maximum(np.where(np.isnan(most), np.inf, most), LOWEST)
+
+
+def _wrapped(points: np.ndarray) -> np.ndarray:
+    """Whole numbers of any size modulo 2**64."""
+    size = np.fmod(np.abs(points), 2.0**64).astype(np.uint64).view(np.int64)
+    return np.where(points < 0, -size, size)
+
+
+def wide_products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers of any size; those that do not fit a long become plus or minus ``BEYOND``.
+
+    Products modulo 2**64 are right wherever the whole score fits, which is seen from its rounded value; where that
+    is too near the limits, Python's numbers decide."""
+    out = _wrapped(x) @ _wrapped(y).T
+    with np.errstate(over="ignore", invalid="ignore"):
+        near, error = x @ y.T, np.abs(x) @ np.abs(y).T * (2.0**-50 * (x.shape[1] + 2))
+        fits, over = np.abs(near) + error < 2.0**62, np.abs(near) - error > 2.0**63
+    out[over] = np.where(near[over] < 0, -BEYOND, BEYOND)
+    for i, j in zip(*np.nonzero(~fits & ~over)):
+        score = sum(int(a) * int(b) for a, b in zip(x[i], y[j]))
+        out[i, j] = max(-BEYOND, min(BEYOND, score))
+    return out
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, data: np.ndarray, ids: np.ndarray,
@@ -93,8 +123,8 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, d
     scores = np.full((len(queries), k), LOWEST, np.int64)
     names = np.full((len(queries), k), np.iinfo(np.int64).max)
     left, right = CoverTree(queries), CoverTree(data)
-    exact = float(np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * queries.shape[1]) < 2**52
-    whole = (queries, data) if exact else (queries.astype(np.int64), data.astype(np.int64))
+    with np.errstate(over="ignore"):
+        exact = np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * queries.shape[1] < 2**52
     worst = floor.copy()
     root = np.zeros(1, np.int64)
     heap = [(-float(bounds(left, root, right, root)[0, 0]), 0, 0)]
@@ -111,7 +141,7 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, d
                 heapq.heappush(heap, (-float(limit[i, j]), int(xs[i]), int(ys[j])))
             continue
         rows, own = left.members_of(a), right.members_of(b)
-        found = (whole[0][rows] @ whole[1][own].T).astype(np.int64)
+        found = (queries[rows] @ data[own].T).astype(np.int64) if exact else wide_products(queries[rows], data[own])
         found[query_ids[rows][:, None] == ids[own]] = LOWEST
         row, column = np.nonzero((found >= worst[rows][:, None]) & (found > LOWEST))
         if not len(row):
@@ -152,28 +182,51 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def search_top(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 5,
-               scale: float = 256.0) -> DataFrame:
-    """For every query its ``k`` best other vectors by inner product: ``query_id, rank, vec_id, score``.
+def _scaled(vectors: DataFrame, is_query, key: str, vector: str, scale: float) -> DataFrame:
+    """``id, asks, point`` of all rows with a key and a vector of finite components, scaled and rounded down."""
+    def whole(x):
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) == float("inf"), F.raise_error(F.lit("a scaled component does not fit a double"))).when(
+            F.abs(y) >= 2.0**53, y).otherwise(F.floor(y).cast("double"))
+
+    sound = F.forall(quoted(vector), lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
+    return vectors.filter(quoted(key).isNotNull() & quoted(vector).isNotNull() & sound).select(
+        quoted(key).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("asks"),
+        F.transform(quoted(vector), whole).alias("point"))
+
+
+def search_rows(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 5,
+                scale: float = 256.0) -> DataFrame:
+    """For every query its ``k`` best rows of other keys by inner product: ``query_id, rank, vec_id, score``.
 
     Components become ``floor(scale * x)``, so scores are exact whole numbers; ties go to the smaller key.
-    ``is_query`` is a condition on the input's columns. Vectors that are null or hold null, non-finite or very large
-    components (2**28 and more after scaling) take no part, nor do rows without a key; of several rows with one key
-    the vector that sorts first counts. Only vectors of the query's length are its candidates; fewer than ``k`` give
-    fewer rows. An empty table, or one without queries, gives none. Other columns are not read.
+    ``is_query`` is a condition on the input's columns. Vectors that are null or hold null or non-finite components
+    take no part, nor do rows without a key. Every other row counts, however large its components: rows that share a
+    key are candidates of their own, and as queries are answered together by the ``k`` best of all their pairs. Only
+    vectors of the query's length are its candidates; fewer than ``k`` give fewer rows. An empty table, or one without
+    queries, gives none. Other columns are not read. A result whose score does not fit a long is an error.
 
     Data lie in blocks and queries in batches of bounded size, both cut out of cells around a bounded number of
     sampled pivots. A batch is first searched in its own cell, which gives every query a floor; then only in blocks
     that can hold a score at or above the lowest floor of the batch, by the bound that also prunes inside the trees.
     """
-    scaled = F.transform(quoted(vector), lambda x: F.floor(x.cast("double") * scale))
-    sound = F.forall(quoted(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < LARGEST))
-    rows = vectors.filter(quoted(key).isNotNull() & quoted(vector).isNotNull() & sound).select(
-        quoted(key).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("asks"), scaled.alias("point"))
-    rows = materialize(rows.groupBy("id").agg(F.min("point").alias("point"), F.max("asks").alias("asks")), "top-vectors")
+    return _search(_scaled(vectors, is_query, key, vector, scale), k)
+
+
+def search_top(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 5,
+               scale: float = 256.0) -> DataFrame:
+    """As ``search_rows`` for tables that are to have one vector of moderate size per key: vectors with components of
+    2**28 and more after scaling take no part, and of several rows with one key the vector that sorts first counts."""
+    small = F.forall(quoted(vector), lambda x: F.abs(x.cast("double") * scale) < LARGEST)
+    rows = _scaled(vectors.filter(small), is_query, key, vector, scale)
+    return _search(rows.groupBy("id").agg(F.min("point").alias("point"), F.max("asks").alias("asks")), k)
+
+
+def _search(rows: DataFrame, k: int) -> DataFrame:
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "top-vectors")
     count = rows.count()
     cells = max(1, min(MAX_CELLS, -(-count // BLOCK_ROWS)))
-    pivots = [r.point for r in rows.orderBy(F.xxhash64("id"), "id").limit(cells).collect()]
+    pivots = [r.point for r in rows.orderBy(F.xxhash64("row"), "row").limit(cells).collect()]
 
     @F.pandas_udf("int")
     def cell_of(points: pd.Series) -> pd.Series:
@@ -185,7 +238,8 @@ def search_top(vectors: DataFrame, is_query, key: str = "vec_id", vector: str =
                 continue
             own = np.flatnonzero(sizes == size)
             x, y = np.array(points.iloc[own].tolist(), float), np.array([p for _, p in same], float)
-            far = (y * y).sum(axis=1) - 2 * x @ y.T
+            with np.errstate(over="ignore", invalid="ignore"):
+                far = (y * y).sum(axis=1) - 2 * x @ y.T
             out[own] = np.array([n for n, _ in same])[far.argmin(axis=1)]
         return pd.Series(out)
 
@@ -194,7 +248,7 @@ def search_top(vectors: DataFrame, is_query, key: str = "vec_id", vector: str =
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("asks").cast("int")).alias("asked"))
 
     def cut(rows: int, column: str):
-        return F.struct("cell", "size", F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.ceil(F.col(column) / rows))).alias("nth"))
+        return F.struct("cell", "size", F.pmod(F.xxhash64("row"), F.greatest(F.lit(1), F.ceil(F.col(column) / rows))).alias("nth"))
 
     parted = materialize(placed.join(held, ["cell", "size"]).select(
         "id", "point", "asks", "cell", "size", cut(BLOCK_ROWS, "rows").alias("block"),
@@ -223,23 +277,27 @@ def search_top(vectors: DataFrame, is_query, key: str = "vec_id", vector: str =
     # a table of covers against a table of covers: nodes of the two trees, not rows
     reach = F.aggregate(F.zip_with("q_center", "d_center", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) + (
         F.col("q_radius") * F.col("d_norm") + F.col("d_radius") * F.col("q_norm") + F.col("q_radius") * F.col("d_radius"))
+    rounding = 1e-9 * (F.col("q_norm") + F.col("q_radius")) * (F.col("d_norm") + F.col("d_radius"))
     others = (batches.join(least, "batch").withColumn("size", F.col("batch.size")).select(
         "batch", "size", "least", *[F.col(c).alias(f"q_{c}") for c in ("center", "radius", "norm")])
         .join(blocks.withColumn("size", F.col("block.size")).select(
             "block", "size", *[F.col(c).alias(f"d_{c}") for c in ("center", "radius", "norm")]), "size")
         .filter(F.col("batch.cell") != F.col("block.cell"))
-        .filter(reach * (1 + 1e-9) + 1e-6 >= F.col("least")))
+        # a query that has fewer than k so far takes any block
+        .filter((F.col("least") == LOWEST) | (reach + rounding + 1e-6 >= F.col("least"))))
     rest = searched(others, floored)
+    score = F.when(F.abs("score") >= BEYOND, F.raise_error(F.lit("a score does not fit a long"))).otherwise(F.col("score"))
     return _best(first.select("query_id", "vec_id", "score").unionByName(rest), k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
 
 
 def _covers(rows: DataFrame, by: str) -> DataFrame:
     """Centre, radius and the centre's norm of each group of points."""
     def cover(frame: pd.DataFrame) -> pd.DataFrame:
         points = _points(frame)
-        center = points.mean(axis=0)
-        radius = float(np.sqrt(((points - center) ** 2).sum(axis=1)).max()) * (1 + 1e-9)
+        with np.errstate(over="ignore", invalid="ignore"):
+            center = points.mean(axis=0)
+            radius = float(np.sqrt(((points - center) ** 2).sum(axis=1)).max()) * (1 + 1e-9)
         return pd.DataFrame({by: [frame[by].iloc[0]], "center": [center], "radius": [radius], "norm": [float(np.linalg.norm(center))]})
 
     kind = "struct<cell:int,size:int,nth:long>"
