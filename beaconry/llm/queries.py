@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconry.llm.collocations import mine_collocations
 from beaconry.llm.common import read_table
 from beaconry.llm.decontaminate import find_leaks
 from beaconry.llm.language_id import fit_languages, predict_languages
@@ -195,3 +196,30 @@ def op1(pages, spark, folder):
     return read_warc(spark, base, payload=False).select(
         F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query("op11_collocations", "documents", f"""
+    WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                           unnest(string_split_regex({FOLDED.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    grams AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM (
+        SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, range(1, 5) AS s(size))),
+    f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    cand AS MATERIALIZED (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+    cuts AS (SELECT c.lang, c.phrase, c.k, h.f AS l, t.f AS r,
+                    CAST((2000000 * CAST(a AS HUGEINT)) // (CAST(h.f AS HUGEINT) + t.f) AS BIGINT) AS score
+             FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
+             JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.w[:k], ' ')
+             JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.w[k + 1:], ' ')),
+    worst AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts),
+    inner_ AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM (
+        SELECT lang, w, a, m, unnest(range(1, size - m + 2)) AS i FROM cand, range(2, 4) AS s(m) WHERE m < size) GROUP BY ALL),
+    kept AS (SELECT c.lang, c.phrase, c.a, l, r, score FROM cand c JOIN worst w ON w.lang = c.lang AND w.phrase = c.phrase AND place = 1
+             LEFT JOIN inner_ i ON i.lang = c.lang AND i.phrase = c.phrase
+             WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(c.a AS HUGEINT)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""")
+def op11(docs, spark, folder):
+    found = mine_collocations(docs.select("doc_id", "lang", "text"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
