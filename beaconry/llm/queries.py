@@ -13,11 +13,13 @@ from beaconry.llm.decontaminate import find_leaks
 from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.llm.line_dedup import dedup_lines
 from beaconry.llm.piece_sampling import load_pieces, sample_pieces
+from beaconry.llm.quality_rules import judge_quality, load_vocabularies
 from beaconry.llm.secrets import BASE_RULES, EXTRA_RULES, RULES, listed, of_kinds, scan_secrets
 from beaconry.llm.simhash import near_duplicates
 from beaconry.llm.substring_dedup import dedup_substrings
 from beaconry.llm.topk_search import search_rows
 from beaconry.llm.url_filter import filter_urls
+from beaconry.llm.vector_codes import ROUNDS, compress_vectors
 from beaconry.llm.warc import read_warc, write_warc
 from beaconry.session import fresh_path, tune
 
@@ -223,3 +225,45 @@ def op1(pages, spark, folder):
 def op11(docs, spark, folder):
     found = mine_collocations(docs.select("doc_id", "lang", "text"))
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+VOCABULARIES = ("/opt/tokenizers/piece_bpe_32k.model", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+@query("op12_quality_rules", "documents")
+def op12(docs, spark, folder):
+    judged = judge_quality(docs.select("doc_id", "lang", "text"), load_vocabularies(VOCABULARIES), carry=["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _nearest_sql(books: str) -> str:
+    """Per row and part the nearest entry (ties to the lower) and its squared distance."""
+    return f"""SELECT n, part, v, CAST(best % 16 AS BIGINT) AS e, CAST(best // 16 AS BIGINT) AS d FROM (
+        SELECT n, p.part, any_value(p.v) AS v, min(16 * list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))
+               + b.e) AS best FROM parts p JOIN {books} b USING (part) GROUP BY n, p.part)"""
+
+
+_ROUNDS_SQL = "".join(f"""
+    a{r} AS MATERIALIZED ({_nearest_sql(f"b{r}")}),
+    s{r} AS (SELECT part, e, i, sum(x) AS s, count(*) AS c FROM (SELECT part, e, unnest(v) AS x, unnest(range(1, 9)) AS i FROM a{r}) GROUP BY ALL),
+    b{r + 1} AS MATERIALIZED (SELECT part, e, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN (
+        SELECT part, e, list(CAST((s - ((s % c) + c) % c) // c AS BIGINT) ORDER BY i) AS v FROM s{r} GROUP BY part, e) m USING (part, e)),
+""" for r in range(ROUNDS))
+
+
+@query("op13_vector_codes", "embeddings", f"""
+    WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS n, vec_id, label,
+                         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS p FROM embeddings
+                  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (SELECT n, part, p[part * 8 + 1:part * 8 + 8] AS v FROM kept, range(0, 8) AS t(part)),
+    b0 AS MATERIALIZED (SELECT part, n - 1 AS e, v FROM parts WHERE n <= 16), {_ROUNDS_SQL}
+    last AS (SELECT n, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+             FROM ({_nearest_sql(f"b{ROUNDS}")}) GROUP BY n),
+    hashed AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM b{ROUNDS})
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM last JOIN kept USING (n), hashed""")
+def op13(vectors, spark, folder):
+    coded, books = compress_vectors(vectors.select("vec_id", "label", "embedding"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return coded.select(F.col("key").alias("vec_id"), F.array_join(digits, "").alias("code"), "error", "label_error",
+                        F.lit(books and books.sha256()).cast("string").alias("codebooks_sha256"))

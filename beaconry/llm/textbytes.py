@@ -101,3 +101,23 @@ def word_stream(texts: list[bytes], gap: np.ndarray = IS_BLANK, fold: bool = Fal
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
     starts, _ = word_bounds(joined, gap)
     return word_hashes(folded(joined) if fold else joined, gap), np.searchsorted(starts, begins)
+
+
+def word_ids(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Equal numbers for equal words, compared by their bytes; the hashes only bring them together."""
+    _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    like = first[ids]
+    sizes = stops - starts
+    if (sizes == sizes[like]).all():
+        step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        if (raw[np.repeat(starts, sizes) + step] == raw[np.repeat(starts[like], sizes) + step]).all():
+            return ids
+    known: dict[bytes, int] = {}
+    return np.array([known.setdefault(raw[a:b].tobytes(), len(known)) for a, b in zip(starts, stops)], np.int64)
+
+
+def pair_ids(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Equal numbers for equal pairs."""
+    if not len(left):
+        return np.zeros(0, np.int64)
+    return np.unique(left.astype(np.int64) * (int(right.max()) + 1) + right, return_inverse=True)[1]
