@@ -13,7 +13,6 @@ from beaconry.queries.registry import query
 from beaconry.session import fresh_path
 from beaconry.sources import extract as x
 from beaconry.sources import messages as m
-from beaconry.sources.tables import read_table
 from beaconry.streaming import alerts as al
 from beaconry.streaming import sinks, streams
 from beaconry.streaming import windows as w
@@ -185,10 +184,10 @@ def finish(*queries):
         q.awaitTermination()
 
 
-def run_to_sink(t: Tables, df, columns, label: str) -> str:
+def run_to_sink(t: Tables, df, columns, label: str, keys=()) -> str:
     """Run a stream over everything there is into a keyed sink and return the sink's folder."""
     root = fresh_path(t.spark, label)
-    finish(sinks.start_update_query(df, sinks.upsert_sink(f"{root}/out", columns), f"{root}/checkpoint", available_now=True))
+    finish(sinks.start_update_query(df, sinks.upsert_sink(f"{root}/out", columns, keys), f"{root}/checkpoint", available_now=True))
     return f"{root}/out"
 
 
@@ -203,7 +202,7 @@ def stream_trunk(t: Tables):
     folder = fresh_path(t.spark, "trunk")
     trunk(t).write.parquet(folder)
     decoded = m.decode_metric(m.read_trunk_files(t.spark, folder)).filter("is_valid")
-    path = run_to_sink(t, decoded, schemas.METRIC_MESSAGE.names, "trunk-run")
+    path = run_to_sink(t, decoded, schemas.METRIC_MESSAGE.names, "trunk-run", ["id"])
     return sinks.read_upserts(t.spark, path, schemas.METRIC_MESSAGE, ["id"])
 
 
@@ -220,7 +219,7 @@ def stream_dedup(t: Tables):
 def stream_upsert_metrics(t: Tables):
     """Every metric sent twice; the sink keeps one row per id."""
     twice = metric_events(t).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    path = run_to_sink(t, twice, sinks.METRIC_SINK[1], "metrics")
+    path = run_to_sink(t, twice, sinks.METRIC_SINK[1], "metrics", sinks.METRIC_SINK[0])
     return sinks.read_upserts(t.spark, path, schemas.METRIC, sinks.METRIC_SINK[0])
 
 
@@ -231,7 +230,7 @@ ALERT_ROW = schemas.extend(schemas.ALERT_MESSAGE)
     SELECT id, message, hostname, status, CAST(floor(epoch("timestamp")) AS BIGINT) AS "timestamp" FROM alert""")
 def stream_upsert_alerts(t: Tables):
     rows = x.with_epoch(t.as_alert(t.events_stream()).drop("created_time"))
-    path = run_to_sink(t, rows, sinks.ALERT_SINK[1], "alerts")
+    path = run_to_sink(t, rows, sinks.ALERT_SINK[1], "alerts", sinks.ALERT_SINK[0])
     return sinks.compact_upserts(t.spark, path, ALERT_ROW, sinks.ALERT_SINK[0])
 
 
@@ -333,7 +332,16 @@ def stream_alert_states(t: Tables):
     SELECT server_id, alert_id, incident_ts, opened, closed FROM registry
     WHERE (SELECT CAST(epoch(MAX("timestamp")) AS BIGINT) FROM alert) - incident_ts < {STREAM_TTL}""")
 def stream_alert_registry(t: Tables):
-    return read_table(t.spark, f"{run_alert_stream(t, STREAM_TTL)}/registry", al.REGISTRY)
+    return al.read_registry(t.spark, f"{run_alert_stream(t, STREAM_TTL)}/registry")
+
+
+@query("stream_alert_expiry", "alert alert_index", REGISTRY_SQL + f""",
+    live AS (SELECT *, (SELECT CAST(epoch(MAX("timestamp")) AS BIGINT) FROM alert) - incident_ts < {STREAM_TTL} AS is_live FROM registry)
+    SELECT * FROM (SELECT server_id, {SEVERITY.replace("opened", "is_live AND opened")} FROM live GROUP BY server_id) WHERE severity > 0""")
+def stream_alert_expiry(t: Tables):
+    """The servers still in trouble when incidents expire; all whose incidents are too old are in order again."""
+    states = streams.read_states(t.spark, run_alert_stream(t, STREAM_TTL), ["alert"])
+    return states.groupBy("server_id").agg(F.max_by("severity", "timestamp").alias("severity")).filter("severity > 0")
 
 
 @query("stream_alert_registry_stateful", "alert alert_index",
@@ -342,5 +350,5 @@ def stream_alert_registry_stateful(t: Tables):
     """The registry kept in the state store instead of a table."""
     rows = t.as_alert(t.events_stream()).drop("created_time")
     updates = al.registry_updates(rows, t.server.withColumnRenamed("id", "server_id"), t.alert_index)
-    path = run_to_sink(t, updates, al.REGISTRY.names, "registry")
+    path = run_to_sink(t, updates, al.REGISTRY.names, "registry", al.REGISTRY_KEYS)
     return sinks.read_upserts(t.spark, path, al.REGISTRY, al.REGISTRY_KEYS)

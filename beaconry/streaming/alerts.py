@@ -1,8 +1,7 @@
-"""Incident state kept across micro-batches."""
+"""Incidents with their servers and types: registries, ratings, and the sink of what a stream changes."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +9,11 @@ from pyspark.sql import functions as F
 
 from beaconry import schemas
 from beaconry.functions.times import align_tick
-from beaconry.operators.aggregates import expire_incidents, incident_registry, merge_registries, server_severity
+from beaconry.operators.aggregates import incident_registry, server_severity
 from beaconry.operators.joins import enrich_alert, enrich_server
-from beaconry.operators.skew import sized_join
-from beaconry.sources.tables import read_table, replace_table
+from beaconry.operators.merge import latest_per_key
+from beaconry.streaming.incidents import HOST, INCIDENT
+from beaconry.streaming.sinks import Sink, read_upserts
 
 ALERT_SOURCE = "alert"
 REGISTRY_KEYS = ["server_id", "alert_id", "incident_ts"]
@@ -21,6 +21,7 @@ REGISTRY_KEYS = ["server_id", "alert_id", "incident_ts"]
 TIME_TO_LIVE = 60
 REGISTRY = schemas.struct(
     server_id=schemas.LONG, alert_id=schemas.LONG, incident_ts=schemas.LONG, opened=schemas.BOOL, closed=schemas.BOOL)
+LIVE_REGISTRY = schemas.extend(REGISTRY, live=schemas.BOOL)
 
 
 def identify(alerts: DataFrame, servers: DataFrame, alert_index: DataFrame, limit: int | None = None) -> DataFrame:
@@ -40,20 +41,9 @@ def evaluate_alerts(registry: DataFrame, alert_index: DataFrame, as_of: int | Co
         "server_id", align_tick(as_of).cast("long").alias("timestamp"), F.lit(ALERT_SOURCE).alias("src_type"), "severity")
 
 
-def update_registry(registry: DataFrame, identified: DataFrame, as_of: int | Column, ttl: int | None) -> DataFrame:
-    """Fold in the new alerts, then expire old incidents.
-
-    In this order only an incident's time and ``as_of`` tell whether it is kept, whatever batch it came in. Folding is
-    a logical or, so neither the order of alerts nor a repeated batch changes the result, and a late
-    CLOSED still closes its incident.
-    """
-    merged = merge_registries(registry, incident_registry(identified.filter(is_known())))
-    return merged if ttl is None else expire_incidents(merged, as_of, ttl)
-
-
 def registry_updates(alerts: DataFrame, servers: DataFrame, alert_index: DataFrame, watermark: str | None = None,
                      limit: int | None = None) -> DataFrame:
-    """The registry as a streaming aggregation, for registries too large to rewrite each batch.
+    """The registry as a streaming aggregation, for hosts with more incidents than one state entry should hold.
 
     Run in update mode into a sink keyed by (server, alert type, incident time): the state
     store then carries the flags and a batch emits only the incidents it changed. Without
@@ -72,44 +62,35 @@ def registry_updates(alerts: DataFrame, servers: DataFrame, alert_index: DataFra
     return folded.select(*REGISTRY.names[:2], F.unix_timestamp("timestamp").alias("incident_ts"), "opened", "closed")
 
 
-def registry_sink(
-    spark: SparkSession,
-    path: str,
-    servers: DataFrame,
-    alert_index: DataFrame,
-    emit: Callable[[DataFrame, int], None],
-    ttl: int | None = TIME_TO_LIVE,
-    clock: Callable[[], int] | None = None,
-    quarantine: Callable[[DataFrame, int], None] | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """A micro-batch handler that keeps the registry at ``path`` and emits the states of touched servers.
-
-    Time is the newest incident seen so far, but never later than the clock (the time of the batch unless one is
-    given), so an alert dated in the future expires nothing. The registry is replaced as a whole each batch; the
-    time to live bounds its size. Without a time to live use ``registry_updates``, which keeps it in the state store.
+def change_sink(server: Callable[[], DataFrame], alert_index: Callable[[], DataFrame], registry: Sink, states: Sink) -> Sink:
+    """A micro-batch handler for ``incident_changes``: writes changed incidents and rates the hosts concerned.
+
+    Only what changed is written, whatever the size of the registry. Servers and alert types are those of the moment;
+    hosts and messages that are not listed are left out (their alerts go to quarantine where raw alerts are kept). A
+    change of the lists counts for a host at its next change.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        identified = identify(batch, servers, alert_index).persist()
+        batch.persist()
         try:
-            if quarantine:
-                quarantine(identified.filter(~is_known()), batch_id)
-            known = identified.filter(is_known())
-            latest = clock() if clock else int(time.time())
-            newest = known.agg(F.max(F.least("incident_ts", F.lit(latest)))).first()[0]
-            if newest is None:
-                return
-            stored = read_table(spark, path, REGISTRY)
-            now = max(newest, stored.agg(F.max(F.least("incident_ts", F.lit(latest)))).first()[0] or newest)
-            updated = replace_table(update_registry(stored, known, now, ttl), path)
-            # a server whose incidents have all expired is in order again
-            touched = known.select("server_id").distinct()
-            rated = evaluate_alerts(sized_join(updated, touched, ["server_id"], "left_semi"), alert_index, now)
-            quiet = touched.join(rated.select("server_id"), "server_id", "left_anti").select(
-                "server_id", align_tick(F.lit(now)).cast("long").alias("timestamp"), F.lit(ALERT_SOURCE).alias("src_type"),
-                F.lit(0).alias("severity"))
-            emit(rated.unionByName(quiet), batch_id)
+            servers, index = server().withColumnRenamed("id", "server_id"), alert_index()
+            changed = enrich_alert(enrich_server(batch.filter(F.col("kind") == INCIDENT), servers), index)
+            registry(changed.filter(is_known()).select(*LIVE_REGISTRY.names), batch_id)
+            hosts = enrich_server(batch.filter(F.col("kind") == HOST).drop("message"), servers)
+            hosts = hosts.filter(F.col("server_id").isNotNull())
+            open_ = hosts.select("server_id", "as_of", "seq", F.explode_outer("pending").alias("message"))
+            rated = enrich_alert(open_, index).groupBy("server_id", "as_of", "seq").agg(
+                F.coalesce(F.max("severity"), F.lit(0)).cast("int").alias("severity"))
+            stamped = rated.select("server_id", align_tick("as_of").cast("long").alias("timestamp"),
+                                   F.lit(ALERT_SOURCE).alias("src_type"), "severity", "seq")
+            last = latest_per_key(stamped, ["server_id", "timestamp", "src_type"], [F.desc("seq")])
+            states(last.drop("seq"), batch_id)
         finally:
-            identified.unpersist()
+            batch.unpersist()
 
     return handle
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The incidents that a stream with timers holds now."""
+    return read_upserts(spark, path, LIVE_REGISTRY, REGISTRY_KEYS).filter("live").drop("live")

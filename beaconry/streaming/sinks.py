@@ -1,24 +1,35 @@
-"""Keyed stream sinks on plain Parquet: append each micro-batch, keep the last row per key on read."""
+"""Keyed stream sinks on plain Parquet: append each micro-batch, fold into buckets, keep the last row per key on read.
+
+A sink's folder holds ``delta/batch_id=N`` for every batch not yet folded, and ``base-B/fold=S/bucket=K`` for what was
+folded, where B is the number of buckets and a key lives in bucket ``pmod(xxhash64(key), B)``. A fold rewrites the buckets
+its batches touch and no other; the newest committed fold that has a bucket is that bucket's current content. Sinks
+without keys keep ``rows/fold=S`` instead, where every fold adds rows, and ``rows/whole=S``, which stands for all before.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.operators.merge import latest_per_key
-from beaconry.sources.tables import read_table, replace_table
+from beaconry.operators.skew import part_of, sized_join
+from beaconry.session import materialize
 
-BATCH = "batch_id"
+BATCH, BUCKET, FOLD, WHOLE = "batch_id", "bucket", "fold", "whole"
 # fixed values: key and columns of each sink
 METRIC_SINK = (["id"], ["id", "name", "hostname", "timestamp", "value"])
 ALERT_SINK = (["id"], ["id", "hostname", "message", "status", "timestamp"])
 STATE_SINK_COLUMNS = ["server_id", "timestamp", "src_type", "severity"]
-# batches after which a sink folds its folders into its base table
+# batches after which a sink folds its folders
 COMPACT_EVERY = 100
+# buckets of a new sink; one that exists keeps its number
+BUCKETS = 64
+# folds a superseded bucket stays for readers already under way
+KEPT_FOLDS = 1
 MARKED = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 Sink = Callable[[DataFrame, int], None]
@@ -29,13 +40,14 @@ def state_keys(shared_key: bool = False) -> list[str]:
     return ["server_id", "timestamp"] if shared_key else ["server_id", "timestamp", "src_type"]
 
 
-def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), every: int = COMPACT_EVERY) -> Sink:
-    """Write each micro-batch to its own folder, and fold the folders into the base table after ``every`` batches.
+def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), every: int = COMPACT_EVERY,
+                buckets: int = BUCKETS) -> Sink:
+    """Write each micro-batch to its own folder, and fold the folders into the buckets after ``every`` batches.
 
-    The cost is that of the batch, not of the table, and a batch that is run again after a failure replaces its own
-    folder, so nothing is written twice. An empty batch leaves nothing. Folding happens here, between two batches of
-    the one query that owns the sink, so no batch is being written meanwhile and readers list ``every`` folders at
-    most. Without keys every row is kept.
+    The cost of a batch is that of its rows, and the cost of a fold that of the buckets its batches touch. A batch that
+    is run again after a failure replaces its own folder, so nothing is written twice. An empty batch leaves nothing.
+    Folding happens here, between two batches of the one query that owns the sink, so no batch is being written meanwhile
+    and readers list ``every`` folders at most. Without keys every row is kept.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -44,7 +56,7 @@ def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), eve
         if not rows.isEmpty() or _exists(rows.sparkSession, folder):
             rows.write.mode("overwrite").option(MARKED, "true").parquet(folder)
         if every and (batch_id + 1) % every == 0:
-            compact_upserts(rows.sparkSession, path, rows.schema, keys)
+            fold_upserts(rows.sparkSession, path, rows.schema, keys, buckets)
 
     return write
 
@@ -77,49 +89,215 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(folder)
 
 
-def _batches(spark: SparkSession, path: str) -> tuple[object, list[object]]:
-    """Folders of the finished batches not yet folded into the base; one still being written has no commit marker."""
-    fs, delta = _folder(spark, f"{path}/delta")
-    if not fs.exists(delta):
-        return fs, []
-    named = [s.getPath() for s in fs.listStatus(delta) if s.getPath().getName().startswith(f"{BATCH}=")]
-    return fs, [p for p in named if _exists(spark, f"{p.toString()}/_SUCCESS")]
+def _listed(spark: SparkSession, path: str, prefix: str) -> dict[str, str]:
+    """Entries of a folder that start with a prefix: what follows it, and their paths."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return {}
+    found = [s.getPath() for s in fs.listStatus(folder)]
+    return {p.getName()[len(prefix):]: p.toString() for p in found if p.getName().startswith(prefix)}
 
 
-def _rows(spark: SparkSession, path: str, schema: T.StructType, batches: list[object]) -> DataFrame:
-    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    base = read_table(spark, f"{path}/base", stored)
-    if not batches:
-        return base
-    reader = spark.read.schema(stored).option("basePath", f"{path}/delta")
-    # a batch that ran again after it was folded counts as it is now
-    again = [int(p.getName().split("=")[1]) for p in batches]
-    return base.filter(~F.col(BATCH).isin(again)).unionByName(reader.parquet(*[b.toString() for b in batches]))
+def _finished(spark: SparkSession, path: str, name: str) -> dict[int, str]:
+    """Finished batches or folds, oldest first; one still being written has no commit marker."""
+    found = {int(n): p for n, p in _listed(spark, path, f"{name}=").items() if n.isdigit()}
+    return {n: found[n] for n in sorted(found) if _exists(spark, f"{found[n]}/_SUCCESS")}
+
+
+def _bucket_count(spark: SparkSession, path: str, default: int) -> int:
+    """The number of buckets a sink was first folded with."""
+    return min((int(n) for n in _listed(spark, path, "base-") if n.isdigit()), default=default)
+
+
+def _bucket(keys: Sequence[str], count: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
+
+
+def _current(spark: SparkSession, root: str) -> dict[int, str]:
+    """The folder that holds each bucket's current content."""
+    current: dict[int, str] = {}
+    for path in _finished(spark, root, FOLD).values():
+        current |= {int(b): p for b, p in _listed(spark, path, f"{BUCKET}=").items()}
+    return current
+
+
+def _kept_rows(spark: SparkSession, root: str) -> list[str]:
+    """The folders that make up a sink without keys."""
+    whole = _finished(spark, root, WHOLE)
+    since = max(whole, default=-1)
+    return [*([whole[since]] if whole else []), *[p for n, p in _finished(spark, root, FOLD).items() if n > since]]
+
+
+def _stored(schema: T.StructType, *more: str) -> T.StructType:
+    kinds = {BATCH: T.LongType(), BUCKET: T.IntegerType()}
+    return T.StructType([*schema.fields, *[T.StructField(m, kinds[m]) for m in more]])
+
+
+def _base(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], only: set[int] | None = None) -> DataFrame:
+    """Folded rows with their batch and bucket, of all buckets or of some, whose folders alone are opened."""
+    stored = _stored(schema, BATCH, BUCKET)
+    count = _bucket_count(spark, path, 0)
+    root = f"{path}/base-{count}"
+    folders = [p for b, p in sorted(_current(spark, root).items()) if only is None or b in only] if count else []
+    parts = []
+    if folders:
+        parts.append(spark.read.schema(stored).option("basePath", root).parquet(*folders).select(*stored.names))
+    kept = _kept_rows(spark, f"{path}/rows")
+    if kept:
+        rows = spark.read.schema(_stored(schema, BATCH)).parquet(*kept)
+        rows = rows.withColumn(BUCKET, _bucket(keys, count or BUCKETS) if keys else F.lit(0))
+        parts.append(rows if only is None else rows.filter(F.col(BUCKET).isin(*only)))
+    if not parts:
+        return spark.createDataFrame([], stored)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _pending(spark: SparkSession, path: str, schema: T.StructType, batches: dict[int, str]) -> DataFrame:
+    reader = spark.read.schema(_stored(schema, BATCH)).option("basePath", f"{path}/delta")
+    return reader.parquet(*batches.values())
 
 
 def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    if not keys:
-        return rows
     # within a batch the last row is undefined, so settle ties by value
-    rest = [c for c in rows.columns if c not in (*keys, BATCH)]
+    rest = [c for c in rows.columns if c not in (*keys, BATCH, BUCKET)]
     return latest_per_key(rows, keys, [F.desc(BATCH), *[F.desc(c) for c in rest]])
 
 
-def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
-    """The current row of each key, or all rows without keys."""
-    return _latest(_rows(spark, path, schema, _batches(spark, path)[1]), keys).drop(BATCH)
+def _merged(base: DataFrame, pending: DataFrame, keys: Sequence[str], again: list[int], follows: bool) -> DataFrame:
+    """The current row of each key of folded and pending rows.
+
+    Usually all pending batches follow the folded ones, so their rows replace those of their keys; the folded rows are
+    then not shuffled while the pending keys are few enough to broadcast. If one that was folded ran again, it counts as
+    it is now, and batches are compared row by row.
+    """
+    columns = pending.columns
+    if not follows:
+        base = base.filter(~F.col(BATCH).isin(again)).select(*columns)
+        return _latest(base.unionByName(pending), keys)
+    newest = materialize(_latest(pending, keys), "sink-newest")
+    replaced = part_of(newest.select(*keys), newest)
+    kept = sized_join(base.select(*columns), replaced, keys, "left_anti", null_safe=True)
+    return kept.unionByName(newest)
 
 
-def compact_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = ()) -> DataFrame:
-    """Fold the finished batches into the base table, so that reads stay short.
+def _follows(spark: SparkSession, path: str, batches: dict[int, str]) -> bool:
+    """Whether all pending batches are younger than every folded one; a fold's marker names the youngest it holds."""
+    names = [n for root in [f"{path}/rows", *_listed_roots(spark, path)] for n in _listed(spark, root, "upto=")]
+    return min(batches) > max((int(n) for n in names if n.isdigit()), default=-1)
 
-    The base is committed before the folded batches are removed; a batch that the
-    stream runs again later only repeats rows the base already has. Folders of unfinished batches stay.
+
+def _listed_roots(spark: SparkSession, path: str) -> list[str]:
+    return list(_listed(spark, path, "base-").values())
+
+
+def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),
+                 wanted: DataFrame | None = None) -> DataFrame:
+    """The current row of each key, or all rows without keys.
+
+    With ``wanted``, a table of keys, only these rows are returned and only the buckets they live in are opened.
+    """
+    batches = _finished(spark, f"{path}/delta", BATCH)
+    only = None
+    if wanted is not None:
+        # a bucket depends on the type of its key
+        wanted = materialize(wanted.select(*[F.col(k).cast(schema[k].dataType) for k in keys]).distinct(), "sink-wanted")
+        count = _bucket_count(spark, path, BUCKETS)
+        only = {r[0] for r in wanted.select(_bucket(keys, count)).distinct().collect()}
+    base = _base(spark, path, schema, keys, only)
+    if batches:
+        pending = _pending(spark, path, schema, batches)
+        if wanted is not None:
+            pending = sized_join(pending, wanted, keys, "left_semi", null_safe=True)
+    if wanted is not None:
+        base = sized_join(base, wanted, keys, "left_semi", null_safe=True)
+    if not keys:
+        if not batches:
+            return base.drop(BATCH, BUCKET)
+        return base.filter(~F.col(BATCH).isin(list(batches))).drop(BUCKET).unionByName(pending).drop(BATCH)
+    unranked = bool(_kept_rows(spark, f"{path}/rows"))
+    if not batches:
+        return (_latest(base.drop(BUCKET), keys) if unranked else base).drop(BATCH, BUCKET)
+    follows = not unranked and _follows(spark, path, batches)
+    return _merged(base, pending, keys, list(batches), follows).drop(BATCH)
+
+
+def fold_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),
+                 buckets: int = BUCKETS) -> list[int]:
+    """Fold the finished batches into their buckets, and say which buckets that rewrote.
+
+    The fold is committed before its batches are removed; a batch that the stream runs again later only repeats rows the
+    buckets already have. Buckets no batch touches, and folders of unfinished batches, stay as they are.
     """
-    fs, batches = _batches(spark, path)
+    batches = _finished(spark, f"{path}/delta", BATCH)
     if not batches:
-        return _rows(spark, path, schema, []).drop(BATCH)
-    base = replace_table(_latest(_rows(spark, path, schema, batches), keys), f"{path}/base")
-    for folder in batches:
-        fs.delete(folder, True)
-    return base.drop(BATCH)
+        return []
+    pending = _pending(spark, path, schema, batches)
+    count = _bucket_count(spark, path, buckets)
+    root = f"{path}/base-{count}" if keys else f"{path}/rows"
+    taken = [n for name in (FOLD, WHOLE) for n in _listed(spark, root, f"{name}=") if n.isdigit()]
+    sequence = 1 + max(map(int, taken), default=-1)
+    touched: list[int] = []
+    if keys:
+        own = pending.withColumn(BUCKET, _bucket(keys, count))
+        touched = sorted(r[0] for r in own.select(BUCKET).distinct().collect())
+        base = _base(spark, path, schema, keys, set(touched))
+        merged = _merged(base, own, keys, list(batches), _follows(spark, path, batches))
+        # a new folder, not an overwrite: dynamic overwrites leave no commit marker
+        merged.hint("rebalance", BUCKET).write.option(MARKED, "true").partitionBy(BUCKET).parquet(f"{root}/{FOLD}={sequence}")
+    else:
+        name, older = FOLD, []
+        if not _follows(spark, path, batches):
+            # a batch ran again after it was folded: what the folds hold of it is replaced
+            older = _kept_rows(spark, root)
+            pending = _base(spark, path, schema, keys).filter(~F.col(BATCH).isin(list(batches))).drop(BUCKET).unionByName(pending)
+            name = WHOLE
+        pending.hint("rebalance").write.option(MARKED, "true").parquet(f"{root}/{name}={sequence}")
+        for folder in older:
+            _delete(spark, folder)
+    _mark(spark, root, max(batches))
+    for folder in batches.values():
+        _delete(spark, folder)
+    if keys:
+        _drop_superseded(spark, root)
+    return touched
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, folder = _folder(spark, path)
+    fs.delete(folder, True)
+
+
+def _mark(spark: SparkSession, root: str, batch: int) -> None:
+    """Note the youngest batch folded so far; an older note may go only when the new one is there."""
+    before = _listed(spark, root, "upto=")
+    fs, note = _folder(spark, f"{root}/upto={batch}")
+    fs.mkdirs(note)
+    for name, folder in before.items():
+        if name.isdigit() and int(name) < batch:
+            _delete(spark, folder)
+
+
+def _drop_superseded(spark: SparkSession, root: str) -> None:
+    """Remove buckets that more than ``KEPT_FOLDS`` younger folds have, and folders of folds that were never finished."""
+    finished = _finished(spark, root, FOLD)
+    younger: dict[str, int] = {}
+    for path in reversed(list(finished.values())):
+        left = _listed(spark, path, f"{BUCKET}=")
+        for bucket, folder in list(left.items()):
+            if younger.get(bucket, 0) > KEPT_FOLDS:
+                _delete(spark, folder)
+                del left[bucket]
+            else:
+                younger[bucket] = younger.get(bucket, 0) + 1
+        if not left:
+            _delete(spark, path)
+    for n, path in _listed(spark, root, f"{FOLD}=").items():
+        if n.isdigit() and int(n) < max(finished, default=0) and int(n) not in finished:
+            _delete(spark, path)
+
+
+def compact_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),
+                    buckets: int = BUCKETS) -> DataFrame:
+    """Fold now, whatever the number of batches, and return the table."""
+    fold_upserts(spark, path, schema, keys, buckets)
+    return read_upserts(spark, path, schema, keys)

@@ -13,7 +13,8 @@ from beaconry.operators.merge import latest_per_key
 from beaconry.schemas import SERVER_STATE
 from beaconry.sources.messages import PREFIXES, accepted, decode_alert, decode_metric, fork, quarantined, route
 from beaconry.streaming import windows as w
-from beaconry.streaming.alerts import TIME_TO_LIVE, registry_sink
+from beaconry.streaming.alerts import LIVE_REGISTRY, REGISTRY_KEYS, TIME_TO_LIVE, change_sink, identify, is_known
+from beaconry.streaming.incidents import incident_changes
 from beaconry.streaming.sinks import (
     ALERT_SINK,
     METRIC_SINK,
@@ -121,27 +122,35 @@ def alert_stream(
     clock: Callable[[], int] | None = None,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Persist raw alerts and keep the incident registry, as two queries.
+    """Persist raw alerts and keep the incidents of each host as state with timers, as two queries.
 
-    No watermark limits the registry: a CLOSED that arrives days late must
-    still close its incident, and the time to live already bounds what is kept. Tables given as functions are read
-    anew for every micro-batch.
+    No watermark limits the incidents but the time to live: without one, a CLOSED that arrives days late still closes its
+    incident. An incident that expires clears its server's state, whichever server's alert moved time on. Tables given as
+    functions are read anew for every micro-batch.
+
+    Under ``root``: ``alert`` raw rows, ``server_state_alert`` states, ``registry`` incidents (see ``read_registry``),
+    ``quarantine_alert`` unusable messages, ``quarantine_alert_unknown`` alerts of unknown hosts or types, and
+    ``checkpoints``.
     """
-    spark = trunk.sparkSession
     decoded = decode_alert(route(trunk, prefix))
-    raw_sink = _quarantining(upsert_sink(f"{root}/alert", ALERT_SINK[1], ALERT_SINK[0]), f"{root}/quarantine_alert")
+    raw = upsert_sink(f"{root}/alert", ALERT_SINK[1], ALERT_SINK[0])
     states = upsert_sink(f"{root}/server_state_alert", STATE_SINK_COLUMNS, state_keys())
     unknown = upsert_sink(f"{root}/quarantine_alert_unknown", ["id", "hostname", "message", "status", "timestamp"], ["id"])
+    registry = upsert_sink(f"{root}/registry", LIVE_REGISTRY.names, REGISTRY_KEYS)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
+        raw(batch, batch_id)
         servers = _now(server).withColumnRenamed("id", "server_id")
-        registry_sink(spark, f"{root}/registry", servers, _now(alert_index), states, ttl, clock, unknown)(batch, batch_id)
+        unknown(identify(batch, servers, _now(alert_index)).filter(~is_known()), batch_id)
 
     def persist(stream: DataFrame) -> StreamingQuery:
-        return start_update_query(stream, raw_sink, f"{root}/checkpoints/persist_alert", "persist_alert", available_now)
+        return start_update_query(stream, _quarantining(keep, f"{root}/quarantine_alert"),
+                                  f"{root}/checkpoints/persist_alert", "persist_alert", available_now)
 
     def evaluate(stream: DataFrame) -> StreamingQuery:
-        return start_update_query(accepted(stream), keep, f"{root}/checkpoints/evaluate_alert", "evaluate_alert", available_now)
+        sink = change_sink(lambda: _now(server), lambda: _now(alert_index), registry, states)
+        return start_update_query(incident_changes(accepted(stream), ttl, clock), sink, f"{root}/checkpoints/evaluate_alert",
+                                  "evaluate_alert", available_now)
 
     return fork(decoded, persist, evaluate)
 

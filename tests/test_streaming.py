@@ -10,7 +10,6 @@ from beaconry import schemas
 from beaconry.operators.aggregates import incident_registry, server_severity
 from beaconry.operators.lookup import metric_thresholds
 from beaconry.sources import messages as m
-from beaconry.sources.tables import read_table
 from beaconry.streaming import alerts as al
 from beaconry.streaming import sinks, streams
 from beaconry.streaming import windows as w
@@ -126,7 +125,7 @@ def test_alert_stream_keeps_state_over_batches(spark, masters, tmp_path):
     folder.add("al", alert(5, "OPEN", 400_000, "svr2"), alert(6, "CLOSED", 0))
     run_alerts(folder, masters, root, ttl=None)
     assert current(spark, root) == {1: 1, 2: 2}
-    registry = read_table(spark, f"{root}/registry", al.REGISTRY)
+    registry = al.read_registry(spark, f"{root}/registry")
     assert (1, 1, T0, True, True) in rows(registry)
     assert (1, 1, T0 + 10, False, True) in rows(registry)
 
@@ -142,7 +141,7 @@ def test_alert_stream_equals_one_batch_in_any_order(spark, masters, tmp_path):
         for part in (order[:7], order[7:15], order[15:]):
             folder.add("al", *part)
         run_alerts(folder, masters, root, ttl=None)
-        registry = read_table(spark, f"{root}/registry", al.REGISTRY)
+        registry = al.read_registry(spark, f"{root}/registry")
         assert dict(rows(server_severity(registry, index))) == expected
 
 
@@ -152,8 +151,9 @@ def test_incidents_expire(spark, masters, tmp_path):
     folder.add("al", alert(3, "OPEN", 70, "svr1", "net"))
     run_alerts(folder, masters, root)
     # the disk incident is older than 60 seconds at second 70, so only the net incident counts
-    assert current(spark, root)[1] == 1
-    registry = read_table(spark, f"{root}/registry", al.REGISTRY)
+    # and the net incident of the other server is gone too, though nothing came for it
+    assert current(spark, root) == {1: 1, 2: 0}
+    registry = al.read_registry(spark, f"{root}/registry")
     assert rows(registry, "server_id", "incident_ts") == [(1, T0 + 70)]
     # an incident that arrives too old counts for nothing, and a server left without any is in order
     folder.add("al", alert(4, "OPEN", 1))
@@ -162,6 +162,21 @@ def test_incidents_expire(spark, masters, tmp_path):
     assert current(spark, root) == {1: 1, 2: 0}
 
 
+def test_an_expired_incident_clears_its_server_when_time_moves_elsewhere(spark, masters, tmp_path):
+    folder, root = Folder(spark, tmp_path / "in"), str(tmp_path / "out")
+    folder.add("al", alert(1, "OPEN", 0))
+    folder.add("al", alert(2, "OPEN", 59, "svr2", "net"))
+    run_alerts(folder, masters, root)
+    assert current(spark, root) == {1: 2, 2: 1}
+    folder.add("al", alert(3, "OPEN", 60, "svr2", "net"))
+    run_alerts(folder, masters, root)
+    assert current(spark, root) == {1: 0, 2: 1}
+    states = {(r.server_id, r.timestamp - T0): r.severity for r in streams.read_states(spark, root, ["alert"]).collect()}
+    assert states[1, 5] == 2 and states[1, 65] == 0
+    # a batch writes what it changed: one incident and one state in the last one, and the expiry
+    assert spark.read.parquet(f"{root}/registry/delta/batch_id=0").count() == 1
+
+
 def test_registry_does_not_depend_on_the_batches(spark, masters, tmp_path):
     alerts = [alert(i, "OPEN" if i % 3 else "CLOSED", i * 7 % 200, f"svr{i % 2 + 1}", ("disk", "net")[i % 5 % 2]) for i in range(60)]
     found = []
@@ -172,7 +187,7 @@ def test_registry_does_not_depend_on_the_batches(spark, masters, tmp_path):
         if size == 1:
             folder.add("al", *alerts[12:])
         run_alerts(folder, masters, root, ttl=60)
-        found.append(rows(read_table(spark, f"{root}/registry", al.REGISTRY)))
+        found.append(rows(al.read_registry(spark, f"{root}/registry")))
     assert found[0] == found[1] == found[2] and found[0]
 
 
@@ -182,7 +197,7 @@ def test_an_alert_from_the_future_expires_nothing(spark, masters, tmp_path):
     folder.add("al", alert(2, "OPEN", 4_000_000_000 - T0, "svr2", "net"))
     run_alerts(folder, masters, root, clock=lambda: T0 + 30)
     assert current(spark, root) == {1: 2, 2: 1}
-    assert [r[0] for r in rows(read_table(spark, f"{root}/registry", al.REGISTRY), "server_id")] == [1, 2]
+    assert [r[0] for r in rows(al.read_registry(spark, f"{root}/registry"), "server_id")] == [1, 2]
 
 
 def test_masters_are_read_for_every_batch(spark, masters, tmp_path):
@@ -260,6 +275,70 @@ def test_sinks_fold_their_batches(spark, tmp_path):
     assert rows(sinks.read_upserts(spark, path, schema, ["id"])) == [(0, "v32"), (1, "v33"), (2, "v34"), (3, "v31")]
 
 
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_folds_rewrite_only_the_buckets_they_touch(spark, tmp_path):
+    """A thousand batches, most of them to a few keys: bytes written per fold follow the touched buckets."""
+    path, folder = str(tmp_path / "sink"), tmp_path / "sink"
+    schema = schemas.struct(id=schemas.LONG, v=schemas.STR)
+    filled = spark.range(4000).select("id", F.concat(F.lit("first"), F.sha2(F.col("id").cast("string"), 256)).alias("v"))
+    sinks.upsert_sink(path, ["id", "v"], ["id"], every=1, buckets=16)(filled, 0)
+    whole = size_of(folder / "base-16")
+    # the batches between two folds are written at once, in the layout the sink gives them
+    want = {r.id: r.v for r in filled.collect()}
+    for first in range(1, 1000, 250):
+        keys = [first % 7, 11]
+        batches = spark.range(first, first + 250).select(
+            F.element_at(F.array(*map(F.lit, keys)), (F.col("id") % 2 + 1).cast("int")).cast("long").alias("key"),
+            F.concat(F.lit("v"), "id").alias("v"), F.col("id").alias(sinks.BATCH))
+        staged = tmp_path / f"staged-{first}"
+        batches.select(F.col("key").alias("id"), "v", sinks.BATCH).repartition(sinks.BATCH).write.partitionBy(sinks.BATCH).parquet(str(staged))
+        for batch in staged.glob("batch_id=*"):
+            (batch / "_SUCCESS").touch()
+            (folder / "delta").mkdir(exist_ok=True)
+            batch.rename(folder / "delta" / batch.name)
+        for r in batches.orderBy(sinks.BATCH).collect():
+            want[r.key] = r.v
+        touched = sinks.fold_upserts(spark, path, schema, ["id"])
+        assert len(touched) <= 2
+        newest = max(folder.glob("base-16/fold=*"), key=lambda p: int(p.name[5:]))
+        assert sorted(int(b.name[7:]) for b in newest.glob("bucket=*")) == touched
+        assert size_of(newest) < whole * len(touched) / 16 * 2
+    table = sinks.read_upserts(spark, path, schema, ["id"])
+    assert {r.id: r.v for r in table.collect()} == want
+    # superseded buckets go, but for the one before the current
+    assert all(len(list(folder.glob(f"base-16/fold=*/bucket={b}"))) <= 2 for b in range(16))
+
+
+def test_keyed_reads_open_one_bucket(spark, tmp_path):
+    path, folder = str(tmp_path / "sink"), tmp_path / "sink"
+    schema = schemas.struct(id=schemas.LONG, v=schemas.STR)
+    sink = sinks.upsert_sink(path, ["id", "v"], ["id"], every=2, buckets=8)
+    for n in range(3):
+        sink(spark.range(200).select("id", F.lit(f"v{n}").alias("v")), n)
+    wanted = spark.createDataFrame([(7,), (7,), (1000,), (None,)], "id int")
+    found = sinks.read_upserts(spark, path, schema, ["id"], wanted.filter("id = 7"))
+    assert rows(found) == [(7, "v2")]
+    assert len({f.split("bucket=")[1].split("/")[0] for f in found.inputFiles() if "bucket=" in f}) == 1
+    assert rows(sinks.read_upserts(spark, path, schema, ["id"], wanted)) == [(7, "v2")]
+    assert len(list((folder / "base-8").glob("fold=*/bucket=*"))) == 8
+
+
+def test_a_folded_batch_that_runs_again_counts_as_it_is_now(spark, tmp_path):
+    schema = schemas.struct(id=schemas.LONG, v=schemas.STR)
+    for keys in (["id"], []):
+        path = str(tmp_path / f"sink{len(keys)}")
+        sink = sinks.upsert_sink(path, ["id", "v"], keys, every=2)
+        for n, data in [(0, [(1, "a"), (2, "a")]), (1, [(2, "b"), (None, "b")]), (2, [(3, "c")]), (1, [(2, "B"), (None, "b")])]:
+            sink(spark.createDataFrame(data, schema), n)
+        want = [(1, "a"), (2, "B"), (3, "c"), (None, "b")] if keys else [(1, "a"), (2, "a"), (2, "B"), (3, "c"), (None, "b")]
+        assert rows(sinks.read_upserts(spark, path, schema, keys)) == sorted(want, key=repr)
+        assert rows(sinks.compact_upserts(spark, path, schema, keys)) == sorted(want, key=repr)
+        assert rows(sinks.read_upserts(spark, path, schema, keys)) == sorted(want, key=repr)
+
+
 def test_keyless_sinks_count_a_repeated_batch_once(spark, tmp_path):
     path = str(tmp_path / "sink")
     schema = schemas.struct(raw=schemas.STR)
@@ -308,7 +387,7 @@ def test_both_forms_of_the_registry_agree_on_late_and_unordered_alerts(spark, ma
     folder.add("al", alert(6, "CLOSED", 0))  # more than five days late
     root = str(tmp_path / "table")
     run_alerts(folder, masters, root, ttl=None)
-    by_table = rows(read_table(spark, f"{root}/registry", al.REGISTRY))
+    by_table = rows(al.read_registry(spark, f"{root}/registry"))
     assert registry_by_aggregation(spark, folder, masters, str(tmp_path / "state"), None) == by_table
     assert (1, 1, T0, True, True) in by_table and (1, 1, T0 + 50, True, True) in by_table
     # with a day's watermark the late CLOSED is lost
