@@ -9,8 +9,11 @@ the quartiles of all documents that pass the base rules.
 from __future__ import annotations
 
 import base64
+import hashlib
+import sys
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +22,11 @@ from pyspark.sql import functions as F
 
 from beaconry.llm.common import BLANKS, quoted
 from beaconry.llm.textbytes import IS_BLANK, chunked, pair_ids, word_bounds, word_hashes, word_ids
+from beaconry.operators.skew import sized_join
 from beaconry.session import materialize
 
 REPEAT_WORDS = 5
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: longer words are encoded in pieces of so many characters, so a text without blanks takes linear time
 LONG_WORD = 512
 IS_SYMBOL = np.zeros(256, bool)
@@ -73,6 +77,15 @@ class Vocabulary:
         return (lambda words: [model.encode_ordinary(" " + w) for w in words]), single
 
 
+def _coder(vocabulary: Vocabulary) -> tuple[Callable, np.ndarray]:
+    """A vocabulary's coder, built once per worker process: functions that travel with a job keep nothing between tasks."""
+    built = sys.modules.setdefault("beaconry_coders", ModuleType("beaconry_coders")).__dict__
+    name = hashlib.sha256(vocabulary.data).hexdigest()
+    if name not in built:
+        built[name] = vocabulary.coder()
+    return built[name]
+
+
 def load_vocabularies(paths: Sequence[str]) -> list[Vocabulary]:
     """Read vocabulary files on the driver; they travel with the job."""
     found = []
@@ -182,7 +195,7 @@ def _measured(vocabularies: list[Vocabulary]):
 
     def apply(text: pa.Array, unnamed: pa.Array) -> pa.Array:
         if not loaded:
-            loaded.extend(v.coder() for v in vocabularies)
+            loaded.extend(map(_coder, vocabularies))
         texts = [t or b"" for t in text.to_pylist()]
         flags = unnamed.to_pylist()
         rows: list[dict] = []
@@ -237,10 +250,12 @@ def judge_quality(docs: DataFrame, vocabularies: list[Vocabulary], text: str = "
         F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("value"))).alias("q3"))
     slack = F.element_at(F.array(*[F.lit(s) for s in LEAST_SLACK]), F.col("measure") % len(MEASURES) + 1)
     width = F.greatest((F.col("q3") - F.col("q1")) * reach, slack)
-    usual = quartiles.groupBy("band", "size_class").agg(F.map_from_entries(F.collect_list(F.struct(
-        "measure", F.struct((F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))))).alias("usual"))
+    # one row per language and length class: broadcast within a measured size, so that a common language is no single task
+    usual = materialize(quartiles.groupBy("band", "size_class").agg(F.map_from_entries(F.collect_list(F.struct(
+        "measure", F.struct((F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))))).alias("usual")),
+        "quality-bands")
     outside = F.expr("""filter(sequence(0, size(m.measures) - 1), i -> m.measures[i] < usual[i].low or m.measures[i] > usual[i].high)""")
-    done = judged.join(usual, ["band", "size_class"], "left").withColumn(
+    done = sized_join(judged, usual, ["band", "size_class"], "left").withColumn(
         "outside", F.when(F.col("base_failed"), F.lit(None)).otherwise(outside))
     added = {**{f: F.col("m")[f] for f in FIELDS}, "base_failed": F.col("base_failed"), "band": F.col("band"),
              "size_class": F.col("size_class"), "measures": F.col("m.measures"), "outside": F.col("outside"),
