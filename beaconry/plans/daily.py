@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +15,11 @@ from beaconry import schemas
 from beaconry.operators.calendar import build_dim_hour
 from beaconry.operators.skew import measure
 from beaconry.plans import layers, marts
+from beaconry.plans.ledger import Run, visible
 from beaconry.session import scratch
+from beaconry.sources.files import delete
 from beaconry.sources.tables import (
+    current_version,
     land_extract,
     overwrite_partitions,
     read_partition_range,
@@ -23,6 +28,10 @@ from beaconry.sources.tables import (
 )
 
 DIMENSIONS = (*schemas.MASTER_TABLES, "hour")
+# tables that a build replaces as a whole
+REPLACED = (*[("dwh", t) for t in schemas.MASTER_TABLES], *[("dmt", f"dim_{d}") for d in DIMENSIONS])
+# versions kept of them: the published one stays readable while a run and its repeated step write theirs
+KEPT_VERSIONS = 3
 
 
 class Warehouse:
@@ -38,7 +47,7 @@ class Warehouse:
         return schemas.LAYERS[layer][table][0]
 
     def replace(self, layer: str, table: str, df: DataFrame) -> DataFrame:
-        return replace_table(df.select(*self.schema(layer, table).names), self.path(layer, table))
+        return replace_table(df.select(*self.schema(layer, table).names), self.path(layer, table), KEPT_VERSIONS)
 
     def current(self, layer: str, table: str) -> DataFrame:
         return read_table(self.spark, self.path(layer, table), self.schema(layer, table))
@@ -55,62 +64,114 @@ class Warehouse:
         return {name: self.current("dmt", f"dim_{name}") for name in DIMENSIONS}
 
 
-def admit(wh: Warehouse, table: str, typed: DataFrame, start: str, end: str) -> DataFrame:
-    """The typed rows dated in ``[start, end)``; all others, also those whose time is unreadable, go to quarantine.
+class Published:
+    """A warehouse as its readers see it: days whose tables are all in, and the master tables that belong to them.
+
+    A build in progress, or one that was stopped, shows nothing of its days until it is published. It is a view of the
+    moment it was made; make a new one to see later builds.
+    """
+
+    def __init__(self, wh: Warehouse):
+        self.wh = wh
+        self.ranges, self.versions = visible(wh.spark, wh.root)
+
+    def current(self, layer: str, table: str) -> DataFrame:
+        """A replaced table in its published version; no rows before the first."""
+        return read_table(self.wh.spark, self.wh.path(layer, table), self.wh.schema(layer, table),
+                          self.versions.get(f"{layer}/{table}", 0))
+
+    def range(self, layer: str, table: str, start: str, end: str) -> DataFrame:
+        """The published days of a range of partitions."""
+        date_col = F.col(schemas.LAYERS[layer][table][1][0])
+        shown = F.lit(False)
+        for low, high in self.ranges:
+            shown = shown | ((date_col >= low) & (date_col < high))
+        if not self.ranges:
+            return self.wh.spark.createDataFrame([], self.wh.schema(layer, table))
+        return self.wh.range(layer, table, start, end).filter(shown)
+
+
+def admit(wh: Warehouse, table: str, typed: DataFrame, start: str, end: str, rebalance: bool) -> None:
+    """Write the typed rows dated in ``[start, end)`` to src; all others, also those of unreadable time, to quarantine.
 
     Partitions are replaced whole, so a stray row of an earlier day would take that day's place. The rows kept apart
-    are at ``quarantine/<table>/<start>_<end>``; building the range again replaces them.
+    are at ``quarantine/<table>/<start>_<end>``; building the range again replaces them. Whether there are any takes a
+    look at one column, so a clean extract is read once.
     """
     _, parts = schemas.LAYERS["src"][table]
     date_col = parts[0]
     inside = F.coalesce((F.col(date_col) >= start[:10]) & (F.col(date_col) < end[:10]), F.lit(False))
-    typed.filter(~inside).write.mode("overwrite").parquet(wh.path("quarantine", f"{table}/{start[:10]}_{end[:10]}"))
-    return typed.filter(inside)
+    wh.overwrite("src", table, typed.filter(inside), rebalance)
+    outside, kept_apart = typed.filter(~inside), wh.path("quarantine", f"{table}/{start[:10]}_{end[:10]}")
+    if outside.select(date_col).isEmpty():
+        delete(wh.spark, kept_apart)
+    else:
+        outside.write.mode("overwrite").parquet(kept_apart)
 
 
-def build_master(wh: Warehouse, table: str, extract: DataFrame, start: str, end: str, now: str) -> None:
+def landed(wh: Warehouse, table: str) -> DataFrame:
+    """The landed extract of a table, which a continued build reads instead of the extract."""
+    return wh.spark.read.parquet(wh.path("tmp", table))
+
+
+def build_master(wh: Warehouse, table: str, extract: DataFrame, start: str, end: str, run: Run) -> None:
     """One master table: land, type, merge, and apply to its dimension."""
-    landed = land_extract(extract, wh.path("tmp", table))
-    wh.overwrite("src", table, admit(wh, table, layers.build_src_master(landed, table, now), start, end), rebalance=True)
+    run.step(f"{table}/tmp", lambda: land_extract(extract, wh.path("tmp", table)))
+    run.step(f"{table}/src", lambda: admit(
+        wh, table, layers.build_src_master(landed(wh, table), table, run.now), start, end, rebalance=True))
     src = wh.range("src", table, start, end)
-    wh.replace("dwh", table, layers.build_dwh_master(wh.current("dwh", table), src, table, start, end))
-    wh.replace("dmt", f"dim_{table}", marts.build_dim(wh.current("dmt", f"dim_{table}"), src, table, start, end))
+    run.step(f"{table}/dwh", lambda: wh.replace(
+        "dwh", table, layers.build_dwh_master(wh.current("dwh", table), src, table, start, end)))
+    run.step(f"{table}/dmt", lambda: wh.replace(
+        "dmt", f"dim_{table}", marts.build_dim(wh.current("dmt", f"dim_{table}"), src, table, start, end)))
 
 
-def build_metric(wh: Warehouse, extract: DataFrame, start: str, end: str, now: str, rebalance: bool = False) -> None:
+def build_metric(wh: Warehouse, extract: DataFrame, start: str, end: str, run: Run, rebalance: bool = False) -> None:
     """Metric details: land, type, copy, then fact, summary and wide table for the range."""
-    landed = land_extract(extract, wh.path("tmp", "metric"))
-    wh.overwrite("src", "metric", admit(wh, "metric", layers.build_src_metric(landed, now), start, end), rebalance)
-    wh.overwrite("dwh", "metric", layers.build_dwh_metric(wh.range("src", "metric", start, end), start, end), rebalance)
+    run.step("metric/tmp", lambda: land_extract(extract, wh.path("tmp", "metric")))
+    run.step("metric/src", lambda: admit(
+        wh, "metric", layers.build_src_metric(landed(wh, "metric"), run.now), start, end, rebalance))
+    run.step("metric/dwh", lambda: wh.overwrite(
+        "dwh", "metric", layers.build_dwh_metric(wh.range("src", "metric", start, end), start, end), rebalance))
     dims = wh.dims()
     measure(*dims.values())
-    fact = marts.build_fact_metric(wh.range("dwh", "metric", start, end), dims, start, end)
-    wh.overwrite("dmt", "fact_metric", fact, rebalance)
-    summary = marts.build_sum_metric_avg(wh.range("dmt", "fact_metric", start, end), dims, start, end)
-    wh.overwrite("dmt", "sum_metric_avg", summary, rebalance)
-    wide = marts.build_wide_metric_avg(wh.range("dmt", "sum_metric_avg", start, end), dims, start, end)
-    wh.overwrite("dmt", "wide_metric_avg", wide, rebalance)
+    run.step("metric/fact", lambda: wh.overwrite(
+        "dmt", "fact_metric", marts.build_fact_metric(wh.range("dwh", "metric", start, end), dims, start, end), rebalance))
+    run.step("metric/sum", lambda: wh.overwrite(
+        "dmt", "sum_metric_avg", marts.build_sum_metric_avg(wh.range("dmt", "fact_metric", start, end), dims, start, end), rebalance))
+    run.step("metric/wide", lambda: wh.overwrite(
+        "dmt", "wide_metric_avg", marts.build_wide_metric_avg(wh.range("dmt", "sum_metric_avg", start, end), dims, start, end), rebalance))
 
 
 def build_day(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end: str, now: str,
-              calendar: tuple[str, str] | None = None) -> None:
-    """Build the range ``[start, end)`` in subject order: hours, master tables, metrics.
+              calendar: tuple[str, str] | None = None, token: str = "", on_step: Callable[[str], None] | None = None) -> None:
+    """Build the range ``[start, end)`` in subject order: hours, master tables, metrics; then show it to readers.
 
     ``extracts`` holds the increment of each master table and of ``metric``. The calendar
     is written once, or again when a new range is given. The master tables do not depend
     on each other, so their small jobs run side by side. Rows dated outside the range are set aside, see ``admit``.
-    Intermediate tables are removed when the build has ended.
+
+    A build that was stopped goes on where it was when the same range is built again with the same ``token``, which
+    should change with the extracts; see ``Run``. ``on_step`` is told the name of each step that was done. Readers use
+    ``Published``. Intermediate tables belong to the run: they go when it ends, or when it is continued.
     """
-    with scratch(wh.spark):
-        _build_range(wh, extracts, start, end, now, calendar)
+    run = Run(wh.spark, wh.root, start, end, now, token, on_step)
+    name = hashlib.sha256(f"{wh.root} {run.name}".encode()).hexdigest()[:16]
+    with scratch(wh.spark, f"run-{name}"):
+        _build_range(wh, extracts, start, end, run, calendar)
+    run.publish({f"{layer}/{table}": current_version(wh.spark, wh.path(layer, table)) for layer, table in REPLACED})
 
 
-def _build_range(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end: str, now: str,
+def _build_range(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end: str, run: Run,
                  calendar: tuple[str, str] | None) -> None:
     if calendar:
-        wh.replace("dmt", "dim_hour", build_dim_hour(wh.spark, *calendar))
+        run.step("hour/dmt", lambda: wh.replace("dmt", "dim_hour", build_dim_hour(wh.spark, *calendar)))
     with ThreadPoolExecutor(len(schemas.MASTER_TABLES)) as pool:
-        list(pool.map(lambda table: build_master(wh, table, extracts[table], start, end, now), schemas.MASTER_TABLES))
+        # each thread works in a copy of this one's context, so its intermediate tables belong to this run
+        building = [pool.submit(copy_context().run, build_master, wh, table, extracts[table], start, end, run)
+                    for table in schemas.MASTER_TABLES]
+    for one in building:
+        one.result()
     # a single day is a single partition, already written in well-sized pieces by the scan's tasks
     several_days = (date.fromisoformat(end[:10]) - date.fromisoformat(start[:10])).days > 1
-    build_metric(wh, extracts["metric"], start, end, now, rebalance=several_days)
+    build_metric(wh, extracts["metric"], start, end, run, rebalance=several_days)

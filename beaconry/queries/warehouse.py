@@ -555,7 +555,7 @@ def join_delete_keys(t: Tables):
     return j.delete_keys(t.server.drop("creation_time"), gone, ["id"])
 
 
-@query("build_day", "metric server app metric_index metric_threshold", f"""
+BUILD_SQL = """
     WITH server_dim AS (
         SELECT ROW_NUMBER() OVER (ORDER BY id) AS dwid, *, creation_time + to_days(CAST(app_id AS INTEGER)) AS vf FROM server),
     server_dim2 AS (
@@ -581,8 +581,11 @@ def join_delete_keys(t: Tables):
            strftime(g.h, '%A') AS day_name, CAST(g.avg_value AS BIGINT) AS avg_value,
            CASE WHEN g.avg_value < t.amber_threshold THEN 'GREEN' WHEN g.avg_value > t.red_threshold THEN 'RED'
                 ELSE 'AMBER' END AS rag, g.creation_date
-    FROM means g JOIN threshold_dim t ON t.server_id = g.server_id AND t.metric_name = g.metric_name""")
-def build_day(t: Tables):
+    FROM means g JOIN threshold_dim t ON t.server_id = g.server_id AND t.metric_name = g.metric_name"""
+BUILD_VIEWS = "metric server app metric_index metric_threshold"
+
+
+def build_all(t: Tables, build):
     """Two builds into one warehouse: everything up to mid January, then the rest with server upgrades."""
     first, last = min(t.days[0], "1995-01-01"), max(t.days[1], "2024-01-16")
     wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"))
@@ -590,17 +593,42 @@ def build_day(t: Tables):
     server = t.server.withColumn("update_time", F.expr("creation_time + make_dt_interval(CAST(app_id AS INT))"))
     master = {"app": t.app, "server": server, "metric_index": t.metric_index, "metric_threshold": t.metric_threshold.drop("peak")}
     half = F.lit("2024-01-15").cast("timestamp")
-    daily.build_day(wh, {**master, "metric": t.metric.filter(F.col("timestamp") < half)}, first, "2024-01-15", NOW,
+    build(wh, {**master, "metric": t.metric.filter(F.col("timestamp") < half)}, first, "2024-01-15", NOW,
                     calendar=tuple(f"{day} 00:00:00" for day in t.days))
     upgraded = server.filter("memory >= 5000").withColumn("cpu_cores", F.col("cpu_cores") * 2).withColumn("update_time", half)
     nothing = {n: t.spark.createDataFrame([], schemas.MASTER[n]) for n in master}
     second = {**nothing, "server": upgraded, "metric": t.metric.filter(F.col("timestamp") >= half)}
-    daily.build_day(wh, second, "2024-01-15", last, NOW)
-    wide = t.spark.read.schema(schemas.WIDE_METRIC_AVG).parquet(wh.path("dmt", "wide_metric_avg"))
+    build(wh, second, "2024-01-15", last, NOW)
+    wide = daily.Published(wh).range("dmt", "wide_metric_avg", first, last)
     return wide.select("app_dwid", "app_name", "server_dwid", "server_cpu_cores", "metric_index_dwid", "metric_name",
                        "metric_threshold_dwid", "red_threshold", "hour_dwid", "day_name", "avg_value", "rag", "creation_date")
 
 
+@query("build_day", BUILD_VIEWS, BUILD_SQL)
+def build_day(t: Tables):
+    return build_all(t, daily.build_day)
+
+
+@query("build_day_continued", BUILD_VIEWS, BUILD_SQL)
+def build_day_continued(t: Tables):
+    """The same builds, each stopped on the way and continued."""
+    class Stopped(Exception):
+        pass
+
+    def stop(step):
+        if step in ("server/dwh", "metric/fact"):
+            raise Stopped(step)
+
+    def build(*args, **options):
+        for on_step in (stop, stop, None):
+            try:
+                daily.build_day(*args, **options, on_step=on_step)
+            except Stopped:
+                continue
+
+    return build_all(t, build)
+
+
 # ---------------------------------------------------------------- ratings, aggregates, lookups
 
 MEAN_SQL = """

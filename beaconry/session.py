@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,8 +67,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-# the innermost open scratch scope of the process; its threads share it
-_SCOPES: list[str] = []
+# the open scratch scope; each thread has its own, and hands it to threads it starts by copying its context
+_SCOPE: ContextVar[str | None] = ContextVar("beaconry_scope", default=None)
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -76,7 +77,7 @@ def _scratch(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """An unused path in this application's part of the shared folder, within the open scratch scope if there is one."""
-    return f"{_SCOPES[-1] if _SCOPES else _scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or _scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
@@ -85,14 +86,21 @@ def _remove(spark: SparkSession, folder: str) -> None:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove the intermediate tables made within, whose results must have been written elsewhere by then."""
-    folder = fresh_path(spark, "scope")
-    _SCOPES.append(folder)
+def scratch(spark: SparkSession, name: str | None = None) -> Iterator[None]:
+    """Remove the intermediate tables made within, whose results must have been written elsewhere by then.
+
+    Only this thread's tables, and those of threads started in a copy of its context, belong to the scope; what other
+    threads write meanwhile stays. With a ``name`` the scope belongs to a run rather than a process: what an earlier
+    process left of it is removed first.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/beaconry/{name}" if name else fresh_path(spark, "scope")
+    if name:
+        _remove(spark, folder)
+    token = _SCOPE.set(folder)
     try:
         yield
     finally:
-        _SCOPES.remove(folder)
+        _SCOPE.reset(token)
         _remove(spark, folder)
 
 

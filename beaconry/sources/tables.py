@@ -86,12 +86,18 @@ def replace_table(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The current version of a replaced table, or no rows before the first write."""
+def current_version(spark: SparkSession, path: str) -> int:
+    """The number of the current version of a replaced table, 0 before the first."""
     _, _, done = _versions(spark, path)
-    if not done:
+    return done[-1] if done else 0
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """The current version of a replaced table, or no rows before the first write; or a version that is still kept."""
+    version = current_version(spark, path) if version is None else version
+    if not version:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={done[-1]}")
+    return spark.read.schema(schema).parquet(f"{path}/v={version}")
 
 
 def compact_partitions(spark: SparkSession, path: str, schema: T.StructType, col: str, start: str, end: str) -> None:

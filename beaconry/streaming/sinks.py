@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconry.operators.merge import latest_per_key
 from beaconry.operators.skew import part_of, sized_join
 from beaconry.session import materialize
+from beaconry.sources.files import delete, exists, listed, make_folder
 
 BATCH, BUCKET, FOLD, WHOLE = "batch_id", "bucket", "fold", "whole"
 # fixed values: key and columns of each sink
@@ -53,7 +54,7 @@ def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), eve
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns)
         folder = f"{path}/delta/{BATCH}={batch_id}"
-        if not rows.isEmpty() or _exists(rows.sparkSession, folder):
+        if not rows.isEmpty() or exists(rows.sparkSession, folder):
             rows.write.mode("overwrite").option(MARKED, "true").parquet(folder)
         if every and (batch_id + 1) % every == 0:
             fold_upserts(rows.sparkSession, path, rows.schema, keys, buckets)
@@ -79,34 +80,15 @@ def start_update_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | N
         context.setLocalProperty("spark.scheduler.pool", before)
 
 
-def _folder(spark: SparkSession, path: str) -> tuple[object, object]:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _folder(spark, path)
-    return fs.exists(folder)
-
-
-def _listed(spark: SparkSession, path: str, prefix: str) -> dict[str, str]:
-    """Entries of a folder that start with a prefix: what follows it, and their paths."""
-    fs, folder = _folder(spark, path)
-    if not fs.exists(folder):
-        return {}
-    found = [s.getPath() for s in fs.listStatus(folder)]
-    return {p.getName()[len(prefix):]: p.toString() for p in found if p.getName().startswith(prefix)}
-
-
 def _finished(spark: SparkSession, path: str, name: str) -> dict[int, str]:
     """Finished batches or folds, oldest first; one still being written has no commit marker."""
-    found = {int(n): p for n, p in _listed(spark, path, f"{name}=").items() if n.isdigit()}
-    return {n: found[n] for n in sorted(found) if _exists(spark, f"{found[n]}/_SUCCESS")}
+    found = {int(n): p for n, p in listed(spark, path, f"{name}=").items() if n.isdigit()}
+    return {n: found[n] for n in sorted(found) if exists(spark, f"{found[n]}/_SUCCESS")}
 
 
 def _bucket_count(spark: SparkSession, path: str, default: int) -> int:
     """The number of buckets a sink was first folded with."""
-    return min((int(n) for n in _listed(spark, path, "base-") if n.isdigit()), default=default)
+    return min((int(n) for n in listed(spark, path, "base-") if n.isdigit()), default=default)
 
 
 def _bucket(keys: Sequence[str], count: int) -> Column:
@@ -117,7 +99,7 @@ def _current(spark: SparkSession, root: str) -> dict[int, str]:
     """The folder that holds each bucket's current content."""
     current: dict[int, str] = {}
     for path in _finished(spark, root, FOLD).values():
-        current |= {int(b): p for b, p in _listed(spark, path, f"{BUCKET}=").items()}
+        current |= {int(b): p for b, p in listed(spark, path, f"{BUCKET}=").items()}
     return current
 
 
@@ -182,12 +164,12 @@ def _merged(base: DataFrame, pending: DataFrame, keys: Sequence[str], again: lis
 
 def _follows(spark: SparkSession, path: str, batches: dict[int, str]) -> bool:
     """Whether all pending batches are younger than every folded one; a fold's marker names the youngest it holds."""
-    names = [n for root in [f"{path}/rows", *_listed_roots(spark, path)] for n in _listed(spark, root, "upto=")]
+    names = [n for root in [f"{path}/rows", *_roots(spark, path)] for n in listed(spark, root, "upto=")]
     return min(batches) > max((int(n) for n in names if n.isdigit()), default=-1)
 
 
-def _listed_roots(spark: SparkSession, path: str) -> list[str]:
-    return list(_listed(spark, path, "base-").values())
+def _roots(spark: SparkSession, path: str) -> list[str]:
+    return list(listed(spark, path, "base-").values())
 
 
 def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),
@@ -234,7 +216,7 @@ def fold_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     pending = _pending(spark, path, schema, batches)
     count = _bucket_count(spark, path, buckets)
     root = f"{path}/base-{count}" if keys else f"{path}/rows"
-    taken = [n for name in (FOLD, WHOLE) for n in _listed(spark, root, f"{name}=") if n.isdigit()]
+    taken = [n for name in (FOLD, WHOLE) for n in listed(spark, root, f"{name}=") if n.isdigit()]
     sequence = 1 + max(map(int, taken), default=-1)
     touched: list[int] = []
     if keys:
@@ -253,28 +235,22 @@ def fold_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
             name = WHOLE
         pending.hint("rebalance").write.option(MARKED, "true").parquet(f"{root}/{name}={sequence}")
         for folder in older:
-            _delete(spark, folder)
+            delete(spark, folder)
     _mark(spark, root, max(batches))
     for folder in batches.values():
-        _delete(spark, folder)
+        delete(spark, folder)
     if keys:
         _drop_superseded(spark, root)
     return touched
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, folder = _folder(spark, path)
-    fs.delete(folder, True)
-
-
 def _mark(spark: SparkSession, root: str, batch: int) -> None:
     """Note the youngest batch folded so far; an older note may go only when the new one is there."""
-    before = _listed(spark, root, "upto=")
-    fs, note = _folder(spark, f"{root}/upto={batch}")
-    fs.mkdirs(note)
+    before = listed(spark, root, "upto=")
+    make_folder(spark, f"{root}/upto={batch}")
     for name, folder in before.items():
         if name.isdigit() and int(name) < batch:
-            _delete(spark, folder)
+            delete(spark, folder)
 
 
 def _drop_superseded(spark: SparkSession, root: str) -> None:
@@ -282,18 +258,18 @@ def _drop_superseded(spark: SparkSession, root: str) -> None:
     finished = _finished(spark, root, FOLD)
     younger: dict[str, int] = {}
     for path in reversed(list(finished.values())):
-        left = _listed(spark, path, f"{BUCKET}=")
+        left = listed(spark, path, f"{BUCKET}=")
         for bucket, folder in list(left.items()):
             if younger.get(bucket, 0) > KEPT_FOLDS:
-                _delete(spark, folder)
+                delete(spark, folder)
                 del left[bucket]
             else:
                 younger[bucket] = younger.get(bucket, 0) + 1
         if not left:
-            _delete(spark, path)
-    for n, path in _listed(spark, root, f"{FOLD}=").items():
+            delete(spark, path)
+    for n, path in listed(spark, root, f"{FOLD}=").items():
         if n.isdigit() and int(n) < max(finished, default=0) and int(n) not in finished:
-            _delete(spark, path)
+            delete(spark, path)
 
 
 def compact_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),

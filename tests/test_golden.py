@@ -1,6 +1,7 @@
 """The two-day master seed and the documented sample rows."""
 
 import json
+import threading
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,8 @@ from beaconry.functions.messages import decode_server_document
 from beaconry.functions.rating import gen_rag, severity
 from beaconry.operators.calendar import build_dim_hour
 from beaconry.operators.lookup import lookup_by_id, lookup_by_name, server_documents, server_snapshot
-from beaconry.plans import daily, layers, marts
+from beaconry.plans import daily, layers, ledger, marts
+from beaconry.session import materialize, scratch
 from tests.helpers import at, rows
 
 DAY1, DAY2, DAY3 = "2018-09-01", "2018-09-02", "2018-09-03"
@@ -104,6 +106,96 @@ def test_rebuilding_a_day_changes_nothing(spark, warehouse):
     assert rows(warehouse.range("dmt", "wide_metric_avg", DAY1, DAY3)) == wide
 
 
+STEPS = [f"{t}/{layer}" for t in schemas.MASTER_TABLES for layer in ("tmp", "src", "dwh", "dmt")] + [
+    "hour/dmt"] + [f"metric/{s}" for s in ("tmp", "src", "dwh", "fact", "sum", "wide")]
+
+
+class Stopped(Exception):
+    pass
+
+
+def contents(view):
+    tables = [("dmt", f"dim_{t}") for t in schemas.MASTER_TABLES] + [("dwh", t) for t in schemas.MASTER_TABLES]
+    return {**{t: rows(view.current(*t).drop("imported_time")) for t in tables},
+            **{t: rows(view.range("dmt", t, DAY1, DAY3)) for t in ("fact_metric", "sum_metric_avg", "wide_metric_avg")}}
+
+
+@pytest.fixture(scope="module")
+def whole(warehouse):
+    return contents(daily.Published(warehouse))
+
+
+def test_a_stopped_build_goes_on(spark, tmp_path, whole):
+    """Stopped after every step, a build does none twice and ends as one that was never stopped."""
+    wh = daily.Warehouse(spark, str(tmp_path))
+    calendar = (f"{DAY1} 00:00:00", "2018-09-30 23:00:00")
+    daily.build_day(wh, extracts(spark, SEED1, METRIC1), DAY1, DAY2, "2018-09-02 01:00:00", calendar=calendar)
+    before = contents(daily.Published(wh))
+    assert before["wide_metric_avg"] and not [r for r in before["wide_metric_avg"] if DAY2 in r]
+    seen = []
+
+    def stop(name):
+        seen.append(name)
+        raise Stopped(name)
+
+    for attempt in range(len(STEPS)):
+        try:
+            daily.build_day(wh, extracts(spark, SEED2, METRIC2), DAY2, DAY3, f"2018-09-03 {attempt + 1:02}:00:00", calendar=calendar, on_step=stop)
+            break
+        except Stopped:
+            if attempt in (1, 5, 9):  # readers see nothing of the day
+                assert contents(daily.Published(wh)) == before
+    assert sorted(seen) == sorted(STEPS) and attempt >= 10
+    assert contents(daily.Published(wh)) == whole
+    # the import time of the first attempt stays
+    assert {str(r[0]) for r in wh.range("src", "metric", DAY2, DAY3).select("imported_time").distinct().collect()} == {"2018-09-03 01:00:00"}
+
+
+def test_another_token_builds_the_range_anew(spark, tmp_path):
+    wh = daily.Warehouse(spark, str(tmp_path))
+    calendar = (f"{DAY1} 00:00:00", "2018-09-30 23:00:00")
+    seen = []
+
+    def stop(name):
+        seen.append(name)
+        if name == "metric/wide":
+            raise Stopped(name)
+
+    with pytest.raises(Stopped):
+        daily.build_day(wh, extracts(spark, SEED2, METRIC2), DAY1, DAY2, "2018-09-02 01:00:00", calendar=calendar, token="a", on_step=stop)
+    daily.build_day(wh, extracts(spark, SEED1, METRIC1), DAY1, DAY2, "2018-09-02 02:00:00", calendar=calendar, token="b", on_step=seen.append)
+    assert sorted(seen) == sorted(STEPS * 2)
+    assert daily.Published(wh).ranges == [[DAY1, DAY2]]
+
+
+def test_ranges_of_days():
+    assert ledger.merged([["b", "c"], ["a", "b"], ["x", "z"], ["y", "y"]]) == [["a", "c"], ["x", "z"]]
+    assert ledger.without([["a", "e"], ["x", "z"]], [["b", "c"], ["w", "y"]]) == [["a", "b"], ["c", "e"], ["y", "z"]]
+
+
+def test_a_scope_leaves_the_tables_of_other_threads_alone(spark):
+    """What a stream or another build writes while a build is under way stays when the build ends."""
+    written, release = threading.Event(), threading.Event()
+    kept = []
+
+    def beside():
+        kept.append(materialize(spark.range(5).toDF("id"), "beside"))
+        written.set()
+        release.wait(60)
+
+    with scratch(spark):
+        other = threading.Thread(target=beside)
+        other.start()
+        assert written.wait(60)
+        mine = materialize(spark.range(3).toDF("id"), "mine")
+        assert mine.count() == 3
+    release.set()
+    other.join()
+    assert kept[0].count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        mine.count()
+
+
 def test_compat_wide_repeats_rows_per_threshold_version(warehouse):
     summary = warehouse.range("dmt", "sum_metric_avg", DAY1, DAY3)
     wide = marts.build_wide_metric_avg(summary, warehouse.dims(), DAY1, DAY1, compat=True)
