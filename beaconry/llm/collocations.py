@@ -1,34 +1,44 @@
 """Phrases whose words occur together more often than apart, mined by Rabin-Karp fingerprints.
 
-Every phrase of up to ``longest`` words gets a fingerprint from prefix polynomials over the hashes of its words. Only
-fingerprints and counts are shuffled, level by level: a phrase can be frequent only if both phrases of one word less in
-it are, so the next level leaves out whatever holds an infrequent part. Then each task turns the frequent fingerprints'
-occurrences back into text and counts by text, so two phrases that share a fingerprint are told apart whatever the
-fingerprint's width, and text is shuffled for frequent phrases only, each with a pointer to its first occurrence.
+Every phrase of up to ``longest`` words gets a fingerprint from prefix polynomials over the hashes of its words. The
+shuffle adds up fingerprints, each with a pointer to a document it occurs in and a checksum over all its occurrences,
+level by level: a phrase can be frequent only if all pairs of words in it are, so longer phrases with an infrequent part
+are left out. Only the document pointed at spells a frequent fingerprint's phrase. If the checksum is not that of as many
+occurrences of this text, several phrases share the fingerprint, and these few are counted by their text instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import quoted
+from beaconry.llm.common import batches_of, quoted
 from beaconry.llm.textbytes import chunked, folded, mixed, spans_hash, windows_hash, word_bounds, word_hashes
 from beaconry.session import materialize
 
 UNNAMED = "und"
 #: bytes of text looked at together; longer texts are cut between pieces
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: distinct fingerprints, or phrases, a task gathers before it hands them on
-GATHERED = 1 << 21
-GATHERED_PHRASES = 1 << 17
+GATHERED = 1 << 18
+#: texts a worker takes, and rows it hands on, at a time
+TEXTS = 1000
+ROWS = 1 << 16
 #: at most so many bits say which fingerprints are frequent: 32 MB, however many there are
 MOST_BITS = 1 << 28
+SECOND = np.uint64(0xA5A5A5A55A5A5A5A)
+#: so many that the checks of 2**41 occurrences add up in a long
+CHECK_BITS = 22
+SUMS = ["size", "print", "n", "checks", "owner"]
+POINTED = ["lang", "size", "print", "phrase", "check", "key"]
+SPELLED = {"lang": pa.string(), "size": pa.int32(), "print": pa.int64(), "phrase": pa.binary(), "n": pa.int64(), "key": pa.int64()}
 
 #: blanks separate words; the other characters end a piece
 IS_END = np.zeros(256, bool)
@@ -58,24 +68,9 @@ class Words:
         prints = windows_hash(self.hashes, size)
         return mixed(prints ^ self.seeds[:len(prints)] + np.uint64(size)) >> np.uint64(64 - bits)
 
-    def ids(self) -> np.ndarray:
-        """Equal numbers for equal words, compared by their bytes."""
-        _, first, ids = np.unique(self.hashes, return_index=True, return_inverse=True)
-        like = first[ids]
-        sizes = self.stops - self.starts
-        if (sizes == sizes[like]).all():
-            step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            if (self.raw[np.repeat(self.starts, sizes) + step] == self.raw[np.repeat(self.starts[like], sizes) + step]).all():
-                return ids
-        known: dict[bytes, int] = {}
-        return np.array([known.setdefault(self.raw[a:b].tobytes(), len(known)) for a, b in zip(self.starts, self.stops)])
 
-    def phrase(self, at: int, size: int) -> bytes:
-        return b" ".join(self.raw[a:b].tobytes() for a, b in zip(self.starts[at:at + size], self.stops[at:at + size]))
-
-
-def _segments(texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-    """Texts with their number, the long ones cut after an end of a piece: (number, offset, bytes)."""
+def _segments(texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    """Texts with their number, the long ones cut after an end of a piece."""
     for n, text in enumerate(texts):
         at = 0
         while len(text) - at > CHUNK:
@@ -85,22 +80,27 @@ def _segments(texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
             else:
                 rest = np.flatnonzero(IS_END[np.frombuffer(text, np.uint8, -1, at + CHUNK)])
                 stop = at + CHUNK + int(rest[0]) + 1 if len(rest) else len(text)
-            yield n, at, text[at:stop]
+            yield n, text[at:stop]
             at = stop
-        yield n, at, text[at:] if at else text
+        yield n, text[at:] if at else text
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[Words, np.ndarray, np.ndarray, pa.Array]]:
-    """A batch of (lang, text) in parts of bounded size: words, each segment's row and offset, and the languages."""
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[Words, np.ndarray, pa.Array]]:
+    """A batch of (lang, text) in parts of bounded size: words, each segment's row, and the languages."""
     langs = batch.column("lang").dictionary_encode()
     names = langs.dictionary
     seed = np.array([int(spans_hash(np.frombuffer(b"\0" + n.encode(), np.uint8).astype(np.uint64), np.zeros(1, int),
                                     np.array([len(n.encode()) + 1]))[0]) for n in names.to_pylist()], np.uint64)
     code = langs.indices.to_numpy()
     pieces = list(_segments([t or b"" for t in batch.column("text").to_pylist()]))
-    for part in chunked([len(p[2]) for p in pieces], CHUNK):
+    for part in chunked([len(p[1]) for p in pieces], CHUNK):
         rows = np.array([p[0] for p in pieces[part]])
-        yield Words([p[2] for p in pieces[part]], seed[code[rows]]), rows, np.array([p[1] for p in pieces[part]]), langs
+        yield Words([p[1] for p in pieces[part]], seed[code[rows]]), rows, langs
+
+
+def _sliced(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, rows.num_rows, ROWS):
+        yield rows.slice(at, ROWS)
 
 
 class Marks:
@@ -126,100 +126,153 @@ def _possible(words: Words, size: int, marks: dict[int, Broadcast], bits: int) -
     return open_
 
 
-def _counted(sizes: list[int], marks: dict[int, Broadcast], bits: int):
-    """Fingerprints of possible phrases with their counts, added up within a task."""
+def _checks(words: Words, size: int) -> np.ndarray:
+    """Some bits of a second, independent fingerprint of each phrase."""
+    return (mixed(windows_hash(mixed(words.hashes ^ SECOND), size) ^ words.seeds[:max(0, len(words.hashes) - size + 1)])
+            >> np.uint64(64 - CHECK_BITS)).astype(np.int64)
+
+
+class Sums:
+    """Fingerprints with counts, checksums and smallest pointers, added up whenever there are many."""
+
+    def __init__(self):
+        self.columns: list[tuple[np.ndarray, ...]] = []
 
-    def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        prints, place = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
-        totals = np.zeros(len(prints), np.int64)
-        np.add.at(totals, place, np.concatenate([f[1] for f in found]))
-        return prints, totals
+    def __len__(self) -> int:
+        return sum(len(c[0]) for c in self.columns)
 
-    def rows(size: int, found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(found[0]), size, np.int32)), pa.array(found[0].view(np.int64)), pa.array(found[1])],
-            ["size", "print", "n"])
+    def add(self, prints: np.ndarray, n: np.ndarray, check: np.ndarray, owner: np.ndarray) -> None:
+        if len(prints):
+            order = np.argsort(prints)
+            prints = prints[order]
+            first = np.flatnonzero(np.concatenate(([True], prints[1:] != prints[:-1])))
+            self.columns.append((prints[first], np.add.reduceat(n[order], first), np.add.reduceat(check[order], first),
+                                 np.minimum.reduceat(owner[order], first)))
+
+    def merge(self) -> None:
+        columns, self.columns = self.columns, []
+        if columns:
+            self.add(*map(np.concatenate, zip(*columns)))
+
+    def rows(self, size: int) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        for prints, n, check, owner in self.columns:
+            for low in range(0, len(prints), ROWS):
+                part = slice(low, low + ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(prints[part]), size, np.int32)), pa.array(prints[part].view(np.int64)),
+                     pa.array(n[part]), pa.array(check[part]), pa.array(owner[part])], SUMS)
+        self.columns = []
+
+
+def _counted(sizes: list[int], marks: dict[int, Broadcast], bits: int):
+    """Fingerprints of possible phrases with their counts, checksums and pointers, added up within a task."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {size: [] for size in sizes}
+        held = {size: Sums() for size in sizes}
         for batch in batches:
-            for words, *_ in _parts(batch):
-                for size in sizes:
-                    open_ = _possible(words, size, marks, bits)
-                    held[size].append(np.unique(words.fingerprints(size, bits)[open_], return_counts=True))
-                    if sum(len(f[0]) for f in held[size]) > 2 * GATHERED:
-                        held[size] = [added(held[size])]
-                        if len(held[size][0][0]) > GATHERED:
-                            yield rows(size, held[size].pop())
-        for size in sizes:
-            if held[size]:
-                yield rows(size, added(held[size]))
+            owners = batch.column("owner").to_numpy()
+            for words, row_of, _ in _parts(batch):
+                owner = owners[row_of][words.segment] if len(words.starts) else np.zeros(0, np.int64)
+                for size, sums in held.items():
+                    at = np.flatnonzero(_possible(words, size, marks, bits))
+                    sums.add(words.fingerprints(size, bits)[at], np.ones(len(at), np.int64), _checks(words, size)[at], owner[at])
+                    if len(sums) > 2 * GATHERED:
+                        sums.merge()
+                        if len(sums) > GATHERED:
+                            yield from sums.rows(size)
+        for size, sums in held.items():
+            yield from sums.rows(size)
 
     return of_batches
 
 
-def _spelled(longest: int, marks: dict[int, Broadcast], bits: int, key_type: pa.DataType):
-    """Possible phrases as text, counted by text within a task, with the smallest key and offset they were seen at.
+def _signed(owner: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """A fingerprint of (fingerprint, owner)."""
+    return mixed(prints ^ mixed(owner.view(np.uint64)))
+
 
-    Per language one row more, without a phrase, counts its words.
+def _pointed(longest: int, marks: dict[int, Broadcast], bits: int):
+    """The phrases of frequent fingerprints as text, from the documents their pointers name, with their checks.
+
+    Per language one row more, of size 0, counts its words.
     """
-    names = ["lang", "size", "phrase", "n", "key", "byte"]
-    types = [pa.string(), pa.int32(), pa.binary(), pa.int64(), key_type, pa.int64()]
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
+        totals: dict[str, int] = {}
+        for batch in batches:
+            owners = batch.column("owner").to_numpy()
+            keys = batch.column("key")
+            for words, row_of, langs in _parts(batch):
+                names = langs.dictionary
+                code = langs.indices.to_numpy()[row_of]
+                for c, n in zip(*np.unique(code[words.segment], return_counts=True)):
+                    name = names[int(c)].as_py()
+                    totals[name] = totals.get(name, 0) + int(n)
+                if not len(words.starts):
+                    continue
+                owner = owners[row_of][words.segment]
+                for size in range(1, longest + 1):
+                    prints = words.fingerprints(size, bits)
+                    at = np.flatnonzero(words.whole(size) & marks[size].value(_signed(owner[:len(prints)], prints)))
+                    # once per part of a batch, whatever text it has
+                    checks = _checks(words, size)[at]
+                    order = np.lexsort((checks, prints[at]))
+                    p, c = prints[at][order], checks[order]
+                    at = at[order][np.concatenate(([True], (p[1:] != p[:-1]) | (c[1:] != c[:-1])))] if len(order) else at
+                    if not len(at):
+                        continue
+                    pieces = [pa.array([words.raw[a:b].tobytes() for a, b in zip(words.starts[at + k], words.stops[at + k])], pa.binary())
+                              for k in range(size)]
+                    phrase = pc.binary_join_element_wise(*pieces, b" ") if size > 1 else pieces[0]
+                    row = row_of[words.segment[at]]
+                    yield pa.RecordBatch.from_arrays([
+                        names.take(pa.array(code[words.segment[at]])), pa.array(np.full(len(at), size, np.int32)),
+                        pa.array(prints[at].view(np.int64)), phrase, pa.array(_checks(words, size)[at]), keys.take(pa.array(row))], POINTED)
+        if totals:
+            count = len(totals)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(totals, pa.string()), pa.array([0] * count, pa.int32()), pa.nulls(count, pa.int64()),
+                pa.nulls(count, pa.binary()), pa.array(totals.values(), pa.int64()), pa.nulls(count, pa.int64())], POINTED)
+
+    return of_batches
 
-        def rows() -> pa.RecordBatch:
-            columns = zip(*[(*k, *v) for k, v in held.items()])
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        def add(lang: str, size: int, phrase: bytes | None, n: int, where: tuple) -> None:
-            known = held.setdefault((lang, size, phrase), [0, *where])
-            known[0] += n
-            # keys of any kind are ordered with nulls last, as Spark's min of non-null structs would not see them
-            if phrase is not None and (known[1] is None or where[0] is not None and where < (known[1], known[2])):
-                known[1:] = where
+def _spelled(longest: int, marks: dict[int, Broadcast], bits: int):
+    """Phrases with marked fingerprints as text, counted by text within a task, with a key they were seen at."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            columns = [pa.array(c, t) for c, t in zip(zip(*[(*k, *v) for k, v in held.items()]), SPELLED.values())]
+            held.clear()
+            if columns:
+                yield from _sliced(pa.RecordBatch.from_arrays(columns, list(SPELLED)))
 
         for batch in batches:
             keys = batch.column("key").to_pylist()
-            for words, row_of, offset_of, langs in _parts(batch):
-                lang_names = langs.dictionary.to_pylist()
-                lang_of = langs.indices.to_numpy()[row_of]
-                code = lang_of[words.segment] if len(words.starts) else np.zeros(0, np.int64)
-                for c, n in zip(*np.unique(code, return_counts=True)):
-                    add(lang_names[c], 0, None, int(n), (None, None))
-                ids = words.ids()
-                ids_end = int(ids.max()) + 1 if len(ids) else 1
-                # equal numbers for equal phrases, built up word by word, so no hash decides
-                chain = code.astype(np.int64)
-                alive = np.ones(len(ids), bool)
+            for words, row_of, langs in _parts(batch):
+                names = langs.dictionary.to_pylist()
+                code = langs.indices.to_numpy()[row_of]
                 for size in range(1, longest + 1):
-                    open_ = _possible(words, size, {p: m for p, m in marks.items() if p == size}, bits) & \
-                        alive[:max(0, len(ids) - size + 1)]
-                    at = np.flatnonzero(open_)
-                    pair = chain[at] * ids_end + ids[at + size - 1]
-                    _, first, place, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-                    alive = np.zeros(len(ids), bool)
-                    alive[at] = True
-                    chain = np.zeros(len(ids), np.int64)
-                    chain[at] = place
-                    for i, total in zip(at[first].tolist(), n.tolist()):
+                    prints = words.fingerprints(size, bits)
+                    for i in np.flatnonzero(words.whole(size) & marks[size].value(prints)).tolist():
+                        phrase = b" ".join(words.raw[a:b].tobytes() for a, b in zip(words.starts[i:i + size], words.stops[i:i + size]))
                         segment = words.segment[i]
-                        where = keys[row_of[segment]], int(words.starts[i] - words.begins[segment] + offset_of[segment])
-                        add(lang_names[code[i]], size, words.phrase(i, size), total, where)
-                    if len(held) > GATHERED_PHRASES:
-                        yield rows()
-                        held.clear()
-        if held:
-            yield rows()
+                        place = (names[code[segment]], size, int(prints[i:i + 1].view(np.int64)[0]), phrase)
+                        held.setdefault(place, [0, keys[row_of[segment]]])[0] += 1
+                if len(held) > GATHERED:
+                    yield from rows()
+        yield from rows()
 
     return of_batches
 
 
-def _marks(frequent: DataFrame, size: int) -> Broadcast:
-    """The frequent fingerprints of one size as bits, sixteen per fingerprint but at most ``MOST_BITS`` in all."""
-    spark = frequent.sparkSession
-    own = frequent.filter(F.col("size") == size)
+def _marks(prints: DataFrame, size: int) -> Broadcast:
+    """The fingerprints of one size as bits, sixteen per fingerprint but at most ``MOST_BITS`` in all."""
+    spark = prints.sparkSession
+    own = prints.filter(F.col("size") == size)
     bits = 1 << 16
     while bits < min(MOST_BITS, 16 * own.count()):
         bits *= 2
@@ -229,42 +282,70 @@ def _marks(frequent: DataFrame, size: int) -> Broadcast:
     return spark.sparkContext.broadcast(Marks(bits, table["word"].to_numpy(np.int64), table["bits"].to_numpy(np.int64)))
 
 
+def _signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = batch.column("print").to_numpy().view(np.uint64)
+        signed = _signed(batch.column("owner").to_numpy(), prints).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("size"), pa.array(signed)], ["size", "print"])
+
+
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", longest: int = 4,
                   least: int = 30, print_bits: int = 64) -> DataFrame:
     """Exact counts of all phrases of 1 to ``longest`` words that occur ``least`` times or more in a language.
 
-    Rows ``lang, size, phrase, f, first_key, first_byte``: the pointer is the smallest key (nulls last) and the byte
-    offset of the occurrence there; and per language a row of size 0 whose ``f`` counts all its words.
+    Rows ``lang, size, phrase, f, first_key``, where the pointer is the smallest key of a row that holds the phrase (null
+    keys, and keys that are no whole numbers, give null); and per language a row of size 0 whose ``f`` counts all its words.
     """
-    if not 1 <= print_bits <= 64:
-        raise ValueError("print_bits must be between 1 and 64")
+    if not (1 <= print_bits <= 64 and longest >= 1):
+        raise ValueError("print_bits must be between 1 and 64, longest at least 1")
     named = F.coalesce(quoted(lang).cast("string"), F.lit(UNNAMED)).alias("lang")
-    texts = docs.select(named, quoted(text).cast("binary").alias("text"), quoted(key).alias("key"))
+    whole = docs.select(quoted(key)).schema[0].dataType.typeName() in ("byte", "short", "integer", "long")
+    pointer = quoted(key).cast("long") if whole else F.lit(None).cast("long")
+    # rows without a key point by their text
+    owner = F.coalesce(pointer, F.xxhash64(quoted(text)))
+    texts = docs.select(named, quoted(text).cast("binary").alias("text"), pointer.alias("key"), owner.alias("owner"))
+    with batches_of(docs.sparkSession, TEXTS):
+        return _count(texts, longest, least, print_bits)
+
+
+def _count(texts: DataFrame, longest: int, least: int, print_bits: int) -> DataFrame:
     marks: dict[int, Broadcast] = {}
+    found = []
     # words, then pairs, then all longer phrases at once
     for sizes in [s for s in ([1], [2], list(range(3, longest + 1))) if s and s[0] <= longest]:
         latest = {p: m for p, m in marks.items() if p == max(marks)}
-        found = texts.select("lang", "text").mapInArrow(_counted(sizes, latest, print_bits), "size int, print long, n long")
-        frequent = materialize(found.groupBy("size", "print").agg(F.sum("n").alias("n"))
-                               .filter(F.col("n") >= least).select("size", "print"), "phrase-prints")
-        marks |= {size: _marks(frequent, size) for size in sizes}
-    kind = texts.schema["key"].dataType
-    rows = texts.mapInArrow(
-        _spelled(longest, marks, print_bits, _arrow_type(kind)),
-        f"lang string, size int, phrase binary, n long, key {kind.simpleString()}, byte long")
-    where = F.struct(F.col("key").isNull().alias("none"), "key", "byte")
-    return materialize(
-        rows.groupBy("lang", "size", F.col("phrase").cast("string").alias("phrase"))
-        .agg(F.sum("n").alias("f"), F.min(where).alias("at"))
-        .filter((F.col("f") >= least) | (F.col("size") == 0))
-        .select("lang", "size", "phrase", "f", F.col("at.key").alias("first_key"), F.col("at.byte").alias("first_byte")),
-        "phrases")
-
-
-def _arrow_type(kind) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
+        sums = texts.select("lang", "text", "owner").mapInArrow(
+            _counted(sizes, latest, print_bits), "size int, print long, n long, checks long, owner long")
+        found.append(materialize(
+            sums.groupBy("size", "print").agg(F.sum("n").alias("f"), F.sum("checks").alias("checks"), F.min("owner").alias("owner"))
+            .filter(F.col("f") >= least), "phrase-prints"))
+        if sizes[-1] < min(3, longest):
+            marks |= {size: _marks(found[-1], size) for size in sizes}
+    frequent = reduce(DataFrame.unionByName, found)
+
+    signed = materialize(frequent.mapInArrow(_signed_rows, "size int, print long"), "phrase-pointers")
+    at_owner = {size: _marks(signed, size) for size in range(1, longest + 1)}
+    pointed = materialize(
+        texts.mapInArrow(_pointed(longest, at_owner, print_bits),
+                         "lang string, size int, print long, phrase binary, check long, key long"), "phrase-texts")
+    totals = pointed.filter("size = 0").groupBy("lang").agg(F.sum("check").alias("f")).select(
+        "lang", F.lit(0).alias("size"), F.lit(None).cast("string").alias("phrase"), "f", F.lit(None).cast("long").alias("first_key"))
+    spelled = pointed.filter("size > 0").groupBy("lang", "size", "print", "phrase", "check").agg(F.min("key").alias("first_key"))
+    one_text = F.count(F.lit(1)).over(Window.partitionBy("size", "print")) == 1
+    held = materialize(
+        frequent.join(spelled, ["size", "print"], "left")
+        .withColumn("sure", F.coalesce(one_text & (F.col("f") * F.col("check") == F.col("checks")), F.lit(False))), "phrase-held")
+    sure = held.filter("sure").select("lang", "size", F.col("phrase").cast("string").alias("phrase"), "f", "first_key")
+    parts = [sure, totals]
+    shared = materialize(held.filter("NOT sure").select("size", "print").distinct(), "phrase-shared")
+    if not shared.isEmpty():
+        by_text = {size: _marks(shared, size) for size in range(1, longest + 1)}
+        rows = texts.mapInArrow(_spelled(longest, by_text, print_bits),
+                                "lang string, size int, print long, phrase binary, n long, key long")
+        parts.append(rows.join(shared, ["size", "print"], "left_semi")
+                     .groupBy("lang", "size", F.col("phrase").cast("string").alias("phrase"))
+                     .agg(F.sum("n").alias("f"), F.min("key").alias("first_key")).filter(F.col("f") >= least))
+    return materialize(reduce(DataFrame.unionByName, parts), "phrases")
 
 
 def _wide(column: str) -> Column:
@@ -281,7 +362,7 @@ def mine_collocations(docs: DataFrame, text: str = "text", lang: str = "lang", k
     phrase inside a longer candidate with at least ``covered`` percent of its occurrences is left out. ``top`` per
     language stay, by score, count and phrase in byte order.
 
-    Returns ``lang, rank, phrase, a, l, r, n, score, first_key, first_byte`` and nothing of the input's other columns,
+    Returns ``lang, rank, phrase, a, l, r, n, score, first_key`` and nothing of the input's other columns,
     whatever they are called. A null language counts as ``und`` together with a language of that name; null, empty and
     blank texts have no words; repeated rows count each; texts of any length are worked off in parts that end with a
     piece, so memory follows the longest piece; an empty table gives an empty table. Text that is not valid UTF-8 is
@@ -290,7 +371,7 @@ def mine_collocations(docs: DataFrame, text: str = "text", lang: str = "lang", k
     counts = count_phrases(docs, text, lang, key, longest, least, print_bits)
     single = F.col("size") >= 1
     totals = counts.filter("size = 0").select("lang", F.col("f").alias("n"))
-    found = counts.filter("size >= 2").select("lang", "size", "phrase", F.col("f").alias("a"), "first_key", "first_byte")
+    found = counts.filter("size >= 2").select("lang", "size", "phrase", F.col("f").alias("a"), "first_key")
 
     words = F.split("phrase", " ")
     cuts = found.select("lang", "phrase", "size", "a", words.alias("w"), F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
@@ -313,7 +394,7 @@ def mine_collocations(docs: DataFrame, text: str = "text", lang: str = "lang", k
     # either factor may pass 64 bits
     kept = scored.filter(F.col("longer").isNull() | (_wide("longer") * 100 < _wide("a") * covered))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "first_key", "first_byte") \
+    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "first_key") \
         .withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
-        "lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_key", "first_byte")
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score", "first_key")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,3 +55,15 @@ def all_of(conditions: list[Column]) -> Column:
 
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python workers that many rows at a time, in the jobs run within: whole texts of many rows take memory twice."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
