@@ -14,7 +14,7 @@ from beaconry.session import fresh_path
 from beaconry.sources import extract as x
 from beaconry.sources import messages as m
 from beaconry.streaming import alerts as al
-from beaconry.streaming import sinks, streams
+from beaconry.streaming import fanout, sinks, streams
 from beaconry.streaming import windows as w
 
 # the test events are sparse, so windows are six hours long and slide by half an hour
@@ -352,3 +352,72 @@ def stream_alert_registry_stateful(t: Tables):
     updates = al.registry_updates(rows, t.server.withColumnRenamed("id", "server_id"), t.alert_index)
     path = run_to_sink(t, updates, al.REGISTRY.names, "registry", al.REGISTRY_KEYS)
     return sinks.read_upserts(t.spark, path, al.REGISTRY, al.REGISTRY_KEYS)
+
+
+# ---------------------------------------------------------------- one read for all metrics
+
+BOTH_SQL = states_sql("click", CLICKS) + f""",
+    view_means AS (
+        SELECT hostname, (CAST(floor(epoch("timestamp")) AS BIGINT) // {SLIDE} + k) * {SLIDE} AS "timestamp", AVG(value) AS avg
+        FROM (SELECT * FROM metric WHERE name = 'view'), generate_series(1, {SIZE // SLIDE}) AS g(k) GROUP BY 1, 2),
+    both_rated AS (
+        SELECT * FROM rated UNION ALL
+        SELECT s.id AS server_id, g."timestamp", 'view' AS src_type,
+               CASE WHEN avg < amber_threshold THEN 0 WHEN avg >= red_threshold THEN 2 ELSE 1 END AS severity
+        FROM view_means g JOIN server s ON s.hostname = g.hostname
+        JOIN metric_threshold t ON t.server_id = s.id AND t.metric_name = 'view')"""
+KINDS = {"click": "cu", "view": "mu"}
+
+
+def run_fan_out(t: Tables, **options) -> str:
+    """All messages read once, then the windows of both metrics."""
+    root = fresh_path(t.spark, "fan-out")
+    finish(fanout.fan_out(trunk(t, metric_events(t)), root, KINDS, available_now=True))
+    finish(*[fanout.window_query(t.spark, root, k, t.server, t.metric_threshold, available_now=True, size=SIZE, slide=SLIDE, **options)
+             for k in KINDS])
+    return root
+
+
+@query("stream_fan_out_states", "metric server metric_threshold",
+       BOTH_SQL + 'SELECT server_id, "timestamp", src_type, severity FROM both_rated')
+def stream_fan_out_states(t: Tables):
+    return streams.read_states(t.spark, run_fan_out(t), list(KINDS))
+
+
+@query("stream_health", "metric server metric_threshold",
+       BOTH_SQL + 'SELECT server_id, "timestamp", MAX(severity) AS severity FROM both_rated GROUP BY 1, 2')
+def stream_health(t: Tables):
+    """The states of both metrics as a stream, the worse of the two per server and tick."""
+    root = run_fan_out(t, offer=True)
+    finish(fanout.health_query(t.spark, root, list(KINDS), available_now=True))
+    return fanout.read_health(t.spark, root)
+
+
+LATE_SECONDS = 10 * 86_400
+
+
+@query("stream_late_rows", "metric", f"""
+    WITH m AS (SELECT id, name, CAST(floor(epoch("timestamp")) AS BIGINT) AS s FROM metric WHERE name IN ('click', 'view')),
+    marks AS (SELECT name, MAX(s) - {LATE_SECONDS} AS w FROM m WHERE id % 10 <> 3 GROUP BY name)
+    SELECT id, name AS kind, w AS watermark FROM m JOIN marks USING (name) WHERE id % 10 = 3 AND s <= w""")
+def stream_late_rows(t: Tables):
+    """A tenth of the rows sent after all others: those not younger than their metric's watermark are kept apart."""
+    root = fresh_path(t.spark, "late")
+    for late in (False, True):
+        rows = trunk(t, t.metric.filter((F.col("id") % 10 == 3) == F.lit(late)))
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/trunk")
+    messages = m.read_trunk_files(t.spark, f"{root}/trunk", max_files=1)
+    finish(fanout.fan_out(messages, root, KINDS, LATE_SECONDS, available_now=True))
+    return sinks.read_upserts(t.spark, f"{root}/late", fanout.LATE).select("id", "kind", "watermark")
+
+
+@query("stream_sliding_final", "metric server metric_threshold", states_sql("click", CLICKS) + f"""
+    SELECT server_id, "timestamp", src_type, severity FROM rated
+    WHERE "timestamp" <= (SELECT CAST(floor(epoch(MAX("timestamp"))) AS BIGINT) FROM {CLICKS}) - 60""")
+def stream_sliding_final(t: Tables):
+    """Windows rated once, when the watermark has passed their end."""
+    root = fresh_path(t.spark, "final")
+    messages = trunk(t, metric_events(t))
+    finish(*streams.metric_stream(messages, t.server, t.metric_threshold, "click", root, "cu", available_now=True, final=True,
+                                  size=SIZE, slide=SLIDE))
+    return streams.read_states(t.spark, root, ["click"])

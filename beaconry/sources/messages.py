@@ -58,8 +58,8 @@ def fork(stream: DataFrame, *branches: Callable[[DataFrame], StreamingQuery]) ->
     return [start(stream) for start in branches]
 
 
-def decode(messages: DataFrame, schema: T.StructType, valid: Column | None = None) -> DataFrame:
-    """The message fields, the message itself as ``raw``, and ``is_valid``.
+def decode(messages: DataFrame, schema: T.StructType, valid: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """The message fields, the message itself as ``raw``, the columns to ``keep``, and ``is_valid``.
 
     A message that is not JSON, lacks a field or has one of the wrong type is not
     valid, nor is one that fails the extra condition. Nothing is dropped here.
@@ -67,16 +67,16 @@ def decode(messages: DataFrame, schema: T.StructType, valid: Column | None = Non
     The parsed struct passes through explode, which filters do not move across:
     otherwise a filter on validity would parse the message again for every field it tests.
     """
-    parsed = messages.select(F.col("value").alias("raw"), F.explode(F.array(decode_json("value", schema))).alias("m"))
-    parsed = parsed.select("raw", "m.*")
+    parsed = messages.select(F.col("value").alias("raw"), *keep, F.explode(F.array(decode_json("value", schema))).alias("m"))
+    parsed = parsed.select("raw", *keep, "m.*")
     ok = F.lit(True) if valid is None else valid
     for name in schema.names:
         ok = F.col(name).isNotNull() & ok
     return parsed.withColumn("is_valid", F.coalesce(ok, F.lit(False)))
 
 
-def decode_metric(messages: DataFrame) -> DataFrame:
-    return decode(messages, schemas.METRIC_MESSAGE)
+def decode_metric(messages: DataFrame, *keep: str) -> DataFrame:
+    return decode(messages, schemas.METRIC_MESSAGE, keep=keep)
 
 
 def decode_alert(messages: DataFrame) -> DataFrame:

@@ -62,14 +62,14 @@ def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), eve
     return write
 
 
-def start_update_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | None = None,
-                       available_now: bool = False, pool: str | None = None) -> StreamingQuery:
-    """Start a query in update mode with its own checkpoint and scheduler pool."""
+def start_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | None = None, available_now: bool = False,
+                pool: str | None = None, mode: str = "update") -> StreamingQuery:
+    """Start a query with its own checkpoint and scheduler pool."""
     context = df.sparkSession.sparkContext
     before = context.getLocalProperty("spark.scheduler.pool")
     context.setLocalProperty("spark.scheduler.pool", pool or name)
     try:
-        writer = df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+        writer = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
         if name:
             writer = writer.queryName(name)
         if available_now:
@@ -80,6 +80,12 @@ def start_update_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | N
         context.setLocalProperty("spark.scheduler.pool", before)
 
 
+def start_update_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | None = None,
+                       available_now: bool = False, pool: str | None = None) -> StreamingQuery:
+    """Start a query in update mode: a row is given out whenever it changes."""
+    return start_query(df, sink, checkpoint, name, available_now, pool)
+
+
 def _finished(spark: SparkSession, path: str, name: str) -> dict[int, str]:
     """Finished batches or folds, oldest first; one still being written has no commit marker."""
     found = {int(n): p for n, p in listed(spark, path, f"{name}=").items() if n.isdigit()}

@@ -21,6 +21,7 @@ from beaconry.streaming.sinks import (
     STATE_SINK_COLUMNS,
     Sink,
     read_upserts,
+    start_query,
     start_update_query,
     state_keys,
     upsert_sink,
@@ -31,7 +32,7 @@ from beaconry.streaming.sinks import (
 Table = DataFrame | Callable[[], DataFrame]
 
 
-def _now(table: Table) -> DataFrame:
+def now(table: Table) -> DataFrame:
     return table() if callable(table) else table
 
 
@@ -54,10 +55,10 @@ def _quarantining(accept: Sink, quarantine_path: str) -> Sink:
 
 
 def metric_windows(metrics: DataFrame, watermark: str = w.METRIC_WATERMARK, size: int = w.WINDOW_SECONDS,
-                   slide: int = w.SLIDE_SECONDS) -> DataFrame:
-    """Typed metric rows, deduplicated and averaged per sliding window."""
+                   slide: int = w.SLIDE_SECONDS, final: bool = False) -> DataFrame:
+    """Typed metric rows, deduplicated and averaged per sliding window; ``final`` is for queries in append mode."""
     unique = w.dedup_stream(w.with_event_time(metrics, "timestamp", watermark), ["id"], "timestamp")
-    return w.sliding_mean(unique, size=size, slide=slide)
+    return w.sliding_mean(unique, size=size, slide=slide, final=final)
 
 
 def rating_sink(server: Table, threshold: Table, metric: str, states: Sink, unknown: Sink) -> Sink:
@@ -70,7 +71,7 @@ def rating_sink(server: Table, threshold: Table, metric: str, states: Sink, unkn
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            rated = w.evaluate_metric(batch, metric_thresholds(_now(server), _now(threshold), metric), metric)
+            rated = w.evaluate_metric(batch, metric_thresholds(now(server), now(threshold), metric), metric)
             states(w.known_states(rated), batch_id)
             unknown(w.unknown_hosts(rated), batch_id)
         finally:
@@ -87,10 +88,14 @@ def metric_stream(
     root: str,
     prefix: str | None = None,
     available_now: bool = False,
+    final: bool = False,
     **window_options,
 ) -> list[StreamingQuery]:
     """Persist the raw rows of one metric and evaluate its windows, as two queries.
 
+    By default a window is rated again whenever rows of it come in. With ``final`` it is rated once, when the watermark
+    has passed its end; a row then enters the state once, not once for each window it lies in.
+
     Under ``root``: ``<metric>`` raw rows, ``server_state_<metric>`` states, ``quarantine_<metric>`` unusable messages,
     ``quarantine_<metric>_unknown`` windows of hosts that are not listed, and ``checkpoints``.
     """
@@ -106,8 +111,8 @@ def metric_stream(
 
     def evaluate(stream: DataFrame) -> StreamingQuery:
         name = f"evaluate_{metric}"
-        windows = metric_windows(accepted(stream), **window_options)
-        return start_update_query(windows, rate, f"{root}/checkpoints/{name}", name, available_now)
+        windows = metric_windows(accepted(stream), final=final, **window_options)
+        return start_query(windows, rate, f"{root}/checkpoints/{name}", name, available_now, mode="append" if final else "update")
 
     return fork(decoded, persist, evaluate)
 
@@ -121,6 +126,7 @@ def alert_stream(
     ttl: int | None = TIME_TO_LIVE,
     clock: Callable[[], int] | None = None,
     available_now: bool = False,
+    offer: Callable[[DataFrame, int], None] | None = None,
 ) -> list[StreamingQuery]:
     """Persist raw alerts and keep the incidents of each host as state with timers, as two queries.
 
@@ -128,6 +134,8 @@ def alert_stream(
     incident. An incident that expires clears its server's state, whichever server's alert moved time on. Tables given as
     functions are read anew for every micro-batch.
 
+    ``offer`` is handed the states of each batch as well, for example to set them out for the health query.
+
     Under ``root``: ``alert`` raw rows, ``server_state_alert`` states, ``registry`` incidents (see ``read_registry``),
     ``quarantine_alert`` unusable messages, ``quarantine_alert_unknown`` alerts of unknown hosts or types, and
     ``checkpoints``.
@@ -138,17 +146,22 @@ def alert_stream(
     unknown = upsert_sink(f"{root}/quarantine_alert_unknown", ["id", "hostname", "message", "status", "timestamp"], ["id"])
     registry = upsert_sink(f"{root}/registry", LIVE_REGISTRY.names, REGISTRY_KEYS)
 
+    def rated(batch: DataFrame, batch_id: int) -> None:
+        states(batch, batch_id)
+        if offer:
+            offer(batch, batch_id)
+
     def keep(batch: DataFrame, batch_id: int) -> None:
         raw(batch, batch_id)
-        servers = _now(server).withColumnRenamed("id", "server_id")
-        unknown(identify(batch, servers, _now(alert_index)).filter(~is_known()), batch_id)
+        servers = now(server).withColumnRenamed("id", "server_id")
+        unknown(identify(batch, servers, now(alert_index)).filter(~is_known()), batch_id)
 
     def persist(stream: DataFrame) -> StreamingQuery:
         return start_update_query(stream, _quarantining(keep, f"{root}/quarantine_alert"),
                                   f"{root}/checkpoints/persist_alert", "persist_alert", available_now)
 
     def evaluate(stream: DataFrame) -> StreamingQuery:
-        sink = change_sink(lambda: _now(server), lambda: _now(alert_index), registry, states)
+        sink = change_sink(lambda: now(server), lambda: now(alert_index), registry, rated)
         return start_update_query(incident_changes(accepted(stream), ttl, clock), sink, f"{root}/checkpoints/evaluate_alert",
                                   "evaluate_alert", available_now)
 

@@ -29,14 +29,18 @@ def dedup_stream(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def sliding_mean(df: DataFrame, host: str = "hostname", ts: str = "timestamp", value: str = "value",
-                 size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS, by: Sequence[str] = ()) -> DataFrame:
+                 size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS, by: Sequence[str] = (),
+                 final: bool = False) -> DataFrame:
     """Mean per host (and further columns ``by``) and sliding window, labelled with the window end in epoch seconds.
 
     A stream allows one aggregation in update mode, so there each row is expanded by
-    Spark's window function. A table takes the cheaper way of ``_tiled_mean``.
+    Spark's window function. ``final`` is for append mode, where a window is given out once, when the watermark has passed
+    its end: see ``_final_mean``. A table takes the cheaper way of ``_tiled_mean``.
     """
     if not df.isStreaming:
         return _tiled_mean(df, [host, *by], ts, value, size, slide)
+    if final:
+        return _final_mean(df, [host, *by], ts, value, size, slide)
     end = F.unix_timestamp("window.end").cast("bigint")
     return (
         df.groupBy(host, *by, F.window(ts, f"{size} seconds", f"{slide} seconds").alias("window"))
@@ -45,6 +49,21 @@ def sliding_mean(df: DataFrame, host: str = "hostname", ts: str = "timestamp", v
     )
 
 
+def _final_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: int, slide: int) -> DataFrame:
+    """Sliding means of a stream from one (sum, count) per slide, by two chained aggregations.
+
+    The first keeps a sum and a count per slide, so a row touches one state entry; only its finished tiles, of which a
+    host has one per slide however many rows it sends, are expanded to the windows they lie in.
+    """
+    if size % slide:
+        raise ValueError("the window size must be a multiple of the slide")
+    tiles = df.groupBy(*keys, F.window(ts, f"{slide} seconds").alias("tile")).agg(
+        F.sum(value).alias("total"), F.count(value).alias("n"))
+    windows = tiles.groupBy(*keys, F.window("tile", f"{size} seconds", f"{slide} seconds").alias("window"))
+    means = windows.agg((F.sum("total") / F.sum("n")).alias("avg"))
+    return means.select(*keys, F.unix_timestamp("window.end").cast("bigint").alias("timestamp"), "avg")
+
+
 def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: int, slide: int) -> DataFrame:
     """Sliding means from one (sum, count) per slide instead of from repeated rows.
 

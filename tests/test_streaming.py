@@ -11,7 +11,7 @@ from beaconry.operators.aggregates import incident_registry, server_severity
 from beaconry.operators.lookup import metric_thresholds
 from beaconry.sources import messages as m
 from beaconry.streaming import alerts as al
-from beaconry.streaming import sinks, streams
+from beaconry.streaming import fanout, sinks, streams
 from beaconry.streaming import windows as w
 from tests.helpers import rows
 
@@ -393,3 +393,97 @@ def test_both_forms_of_the_registry_agree_on_late_and_unordered_alerts(spark, ma
     # with a day's watermark the late CLOSED is lost
     bounded = registry_by_aggregation(spark, folder, masters, str(tmp_path / "bounded"), w.ALERT_WATERMARK)
     assert (1, 1, T0, True, False) in bounded and (1, 1, T0 + 50, True, True) in bounded
+
+
+KINDS = {"cpu_usage": "cu", "mem_used": "mu"}
+
+
+def run_fan_out(spark, folder, masters, root, **options):
+    server, threshold, _ = masters
+    read = fanout.fan_out(folder.trunk(), root, KINDS, available_now=True)
+    read.awaitTermination()
+    queries = [fanout.window_query(spark, root, k, server, threshold, available_now=True, **options) for k in KINDS]
+    for q in queries:
+        q.awaitTermination()
+    return read, queries
+
+
+def test_fan_out_reads_the_trunk_once_and_accounts_for_every_row(spark, masters, tmp_path):
+    folder, root = Folder(spark, tmp_path / "in"), str(tmp_path / "out")
+    folder.add("cu", metric(1, 70, 2), metric(2, 100, 3), "{not json", metric(7, 5, 4, "nobody"))
+    folder.add("mu", metric(50, 1, 1, name="mem.used"))
+    folder.add("cu", metric(3, 10, 1000), metric(2, 100, 3))
+    read, queries = run_fan_out(spark, folder, masters, root)
+    assert sum(p.numInputRows for p in read.recentProgress) == 7
+    # the metrics' watermark is now at second 940, and that of the other metric at second -59
+    folder.add("cu", metric(4, 100, 939), metric(5, 100, 940), metric(8, 100, 941), metric(6, 20, 1001))
+    folder.add("mu", metric(51, 1, 2, name="mem.used"))
+    folder.add("ot", metric(99, 1, 2, name="other"))
+    read, queries = run_fan_out(spark, folder, masters, root)
+    late = sinks.read_upserts(spark, f"{root}/late", fanout.LATE)
+    assert rows(late, "id", "kind", "watermark") == [(4, "cpu_usage", T0 + 940), (5, "cpu_usage", T0 + 940)]
+    # what is not late goes to the windows, whose own watermark drops nothing more
+    fed = [r.id for k in KINDS for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/window_input/{k}").collect()]
+    assert sorted(fed + [r.id for r in late.collect()]) == [1, 2, 2, 3, 4, 5, 6, 7, 8, 50, 51]
+    assert [w.dropped_by_watermark(q) for q in queries] == [0, 0]
+    raw = sinks.read_upserts(spark, f"{root}/cpu_usage", schemas.METRIC, ["id"])
+    assert [r[0] for r in rows(raw, "id")] == [1, 2, 3, 4, 5, 6, 7, 8]
+    assert rows(sinks.read_upserts(spark, f"{root}/quarantine", schemas.struct(raw=schemas.STR))) == [("{not json",)]
+
+
+def test_a_fan_out_batch_that_runs_again_splits_alike(spark, masters, tmp_path):
+    """The batch's watermark is that of the batches before it, also when its own record is there already."""
+    folder, root = Folder(spark, tmp_path / "in"), str(tmp_path / "out")
+    folder.add("cu", metric(1, 70, 1000))
+    folder.add("cu", metric(2, 70, 100), metric(3, 70, 9000))
+    run_fan_out(spark, folder, masters, root)
+    first = rows(sinks.read_upserts(spark, f"{root}/late", fanout.LATE), "id", "watermark")
+    assert first == [(2, T0 + 940)]
+    # as after a crash: the last batch is not committed and runs again
+    (tmp_path / "out" / "checkpoints" / "fan_out" / "commits" / "1").unlink()
+    for crc in (tmp_path / "out" / "checkpoints" / "fan_out" / "commits").glob(".1*"):
+        crc.unlink()
+    run_fan_out(spark, folder, masters, root)
+    assert rows(sinks.read_upserts(spark, f"{root}/late", fanout.LATE), "id", "watermark") == first
+
+
+def test_final_windows_equal_the_table_and_keep_a_row_in_one_state_entry(spark, masters, tmp_path):
+    server, threshold, _ = masters
+    # now and then a few rows close together, else one a minute
+    messages = [metric(i, (i * 37) % 120, i * 61 - i % 3 * 59, f"svr{i // 3 % 2 + 1}") for i in range(150)]
+    newest = max(r["timestamp"] for r in messages)
+    typed = spark.createDataFrame([(*r.values(),) for r in messages], schemas.METRIC_MESSAGE)
+    table = w.sliding_mean(typed.withColumn("timestamp", F.timestamp_seconds("timestamp")))
+    rated = w.known_states(w.evaluate_metric(table, metric_thresholds(server, threshold, "cpu_usage"), "cpu_usage"))
+    want = [r for r in rows(rated, "server_id", "timestamp", "severity") if r[1] <= newest - 60]
+    updated = {}
+    for final in (True, False):
+        folder, root = Folder(spark, tmp_path / f"in{final}"), str(tmp_path / f"out{final}")
+        for at in range(0, 150, 50):
+            folder.add("cu", *messages[at:at + 50])
+        queries = streams.metric_stream(folder.trunk(), server, threshold, "cpu_usage", root, available_now=True, final=final)
+        for q in queries:
+            q.awaitTermination()
+        states = rows(streams.read_states(spark, root, ["cpu_usage"]), "server_id", "timestamp", "severity")
+        assert (states == want) if final else (set(states) >= set(want))
+        # state entries that the rows of a batch touch in the aggregation that follows the removal of duplicates
+        means = [p.stateOperators[-2 if final else 0] for p in queries[1].recentProgress if p.numInputRows]
+        updated[final] = sum(op.numRowsUpdated for op in means)
+    assert updated[True] * 6 <= updated[False] and len(want) > 1000
+
+
+def test_health_takes_the_last_rating_of_each_source(spark, tmp_path):
+    root = str(tmp_path)
+
+    def offer(source, batch, *states):
+        fanout.offer_states(spark.createDataFrame([(s, T0 + t, source, v) for s, t, v in states], schemas.SERVER_STATE), root, source, batch)
+        fanout.health_query(spark, root, ["cpu_usage", "alert"], available_now=True).awaitTermination()
+
+    offer("cpu_usage", 0, (1, 5, 2), (2, 5, 0))
+    offer("alert", 0, (1, 5, 1), (2, 3, 1))
+    assert rows(fanout.read_health(spark, root)) == [(1, T0 + 5, 2), (2, T0 + 5, 1)]
+    offer("cpu_usage", 1, (1, 5, 0))
+    assert rows(fanout.read_health(spark, root)) == [(1, T0 + 5, 1), (2, T0 + 5, 1)]
+    states = spark.createDataFrame([(1, T0 + 5, "cpu_usage", 0), (1, T0 + 5, "alert", 1), (2, T0 + 5, "cpu_usage", 0), (2, T0 + 3, "alert", 1)],
+                                   schemas.SERVER_STATE)
+    assert rows(w.server_health(states)) == rows(fanout.read_health(spark, root))
