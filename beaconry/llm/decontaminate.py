@@ -45,8 +45,8 @@ class Index:
     """Postings of items of one length class, with impacts as shares of an item's own score, and their block maxima."""
 
     def __init__(self, postings: pd.DataFrame, items: pd.DataFrame, longest: int):
-        """``postings``: item, term, impact; ``items``: item, question, answer (token hashes of both); ``longest``:
-        the most tokens an item of the class can have, repeats counted."""
+        """``postings``: item, term, impact; ``items``: item, its keys, question, answer (token hashes of both);
+        ``longest``: the most tokens an item of the class can have, repeats counted."""
         own = postings.groupby("item")["impact"].sum()
         # items of like size lie in one block, which keeps its maxima close to its members' impacts
         order = own.sort_values(kind="stable").index
@@ -64,7 +64,7 @@ class Index:
         self.block_first = np.searchsorted(new, self.first)
         self.blocks = -(-len(self.items) // BLOCK)
         sides = items.set_index("item").loc[order]
-        self.question, self.answer = list(sides["question"]), list(sides["answer"])
+        self.keys, self.question, self.answer = list(sides["keys"]), list(sides["question"]), list(sides["answer"])
         # any item with up to a quarter of tokens put in lies within one passage
         self.stride = max(1, -(-longest * 5 // 4))
         # term numbers by the top bits of their hash; terms that share a slot are searched
@@ -119,7 +119,7 @@ class Index:
                 yield low + int(cell[n] // len(self.items)), int(cell[n] % len(self.items)), float(score[n])
 
     def search(self, words: np.ndarray, begins: np.ndarray, least: float, overlap: float) -> list[list[tuple]]:
-        """Per text its verified items: (item, score, question overlap, answer overlap, passage), best passage each."""
+        """Per text its verified items: (item key, score, question overlap, answer overlap, passage), best passage each."""
         number = self.numbers(words)
         lengths = np.diff(begins)
         # passages of two strides, one stride apart
@@ -143,16 +143,19 @@ class Index:
                      for side in (self.question[place], self.answer[place])]
             if min(sides) >= overlap:
                 best = found[text].get(place)
-                if best is None or score > best[1] + 1e-12:
-                    found[text][place] = (int(self.items[place]), score, *sides, passage - int(base[text]))
-        return [list(f.values()) for f in found]
+                if best is None or score > best[0] + 1e-12:
+                    found[text][place] = (score, *sides, passage - int(base[text]))
+        return [[(key, *hit) for place, hit in f.items() for key in self.keys[place]] for f in found]
 
 
 def _build(items: DataFrame) -> list[list[Index]]:
     """The index of all items, in parts of bounded size, each a list by length class; document frequencies count over
     all parts. An item's class is the power of two that its tokens fill, so its passages depend on no other item."""
-    rows = items.select(F.col("key").cast("bigint").alias("item"), F.col("text").cast("binary").alias("text")).filter(
-        F.col("item").isNotNull() & F.col("text").isNotNull())
+    # an item is a distinct text, whatever ids it is given under, or none
+    named = items.filter(F.col("text").isNotNull()).select(
+        F.col("key").cast("bigint").alias("key"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("item"))
+    rows = materialize(named.groupBy("item", "text").agg(
+        F.sort_array(F.collect_set("key")).alias("keys_"), F.bool_or(F.col("key").isNull()).alias("keyless")), "bm25-items")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,9 +164,7 @@ def _build(items: DataFrame) -> list[list[Index]]:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(term), item)), pa.array(term.view(np.int64)), pa.array(count)], ["item", "term", "n"])
 
-    # an item that is given twice counts once
-    postings = materialize(rows.mapInArrow(listed, "item long, term long, n long").groupBy("item", "term").agg(
-        F.max("n").alias("n")), "bm25-postings")
+    postings = materialize(rows.select("item", "text").mapInArrow(listed, "item long, term long, n long"), "bm25-postings")
     whole = postings.agg(F.countDistinct("item").alias("items"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("rows")).first()
     if not whole["items"]:
         return []
@@ -180,12 +181,12 @@ def _build(items: DataFrame) -> list[list[Index]]:
         table = scored.filter(own).toPandas()
         if not len(table):
             continue
-        texts = rows.filter(own).groupBy("item").agg(F.min("text").alias("text")).collect()
         sides = []
-        for row in texts:
+        for row in rows.filter(own).collect():
             question, answer = split_item(bytes(row.text).decode("utf-8", "replace"))
-            sides.append((row.item, np.unique(tokens(question.encode())), np.unique(tokens(answer.encode()))))
-        sides = pd.DataFrame(sides, columns=["item", "question", "answer"])
+            keys = [None] * row.keyless + list(row.keys_)
+            sides.append((row.item, keys, np.unique(tokens(question.encode())), np.unique(tokens(answer.encode()))))
+        sides = pd.DataFrame(sides, columns=["item", "keys", "question", "answer"])
         table = table.sort_values(["item", "term"])
         longest = table["length"].map(lambda n: 1 << (int(n) - 1).bit_length())
         indexes.append([Index(own, sides[sides["item"].isin(own["item"])], most) for most, own in table.groupby(longest)])
@@ -220,8 +221,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     its answer, occur in the passage. Tokens are runs of letters and digits with A-Z lower-cased. Of several passages
     with one item the best is given, the first of equals.
 
-    Documents without text, and all documents if there are no items, have an empty array; items without key, text or
-    token find nothing; an item given twice counts once; repeated documents are judged alike; an input column
+    Documents without text, and all documents if there are no items, have an empty array; items without text or token
+    find nothing. An item is a text: texts that share a key are items each, and a text given under several keys, a null
+    one among them, counts once and is reported under each. Repeated documents are judged alike; an input column
     ``leaks`` is replaced. Documents are not shuffled. The index is collected in parts of bounded size.
     """
     leaks = F.from_json(F.lit("[]"), HIT)

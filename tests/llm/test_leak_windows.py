@@ -30,8 +30,9 @@ def test_an_item_of_few_distinct_words_is_found_at_every_offset(spark):
 
 
 def brute_leaks(texts, items, least=0.6, overlap=0.8):
-    """Every passage of every item's own length class, one at a time."""
-    token = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower())
+    """Every passage of every item's own length class, one at a time; items of equal texts are given once."""
+    token = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    items = [i for i in items if token(i[1])]
     bags = [Counter(token(t)) for _, t in items]
     mean = sum(sum(b.values()) for b in bags) / len(bags)
     df = Counter(t for b in bags for t in b)
@@ -70,3 +71,17 @@ def test_passages_do_not_depend_on_other_items(spark, monkeypatch, part):
     assert not any(r.doc_id < len(apart) for r in rows) and {n for n, _ in want} == set(range(len(apart), len(texts)))
     monkeypatch.setattr(leaks, "PART_POSTINGS", 200)
     assert found_in(spark, texts, items) == rows
+
+
+def test_items_that_share_a_key_or_have_none_are_found_at_every_offset(spark):
+    texts = {n: "what " + " ".join(f"{n}{i}" for i in range(12)) + "? then " + " ".join(f"{n}end{i}" for i in range(4)) for n in "abc"}
+    items = [(1, texts["a"]), (1, texts["b"]), (None, texts["c"]), (2, texts["c"]), (2, texts["c"])]
+    want = {"a": [1], "b": [1], "c": [2, None]}
+    docs = [t for n in texts for t in at_offsets((n, texts[n]), 60, 90)]
+    rows = found_in(spark, docs, items)
+    for n, (name, keys) in enumerate(want.items()):
+        for at in range(60):
+            assert sorted((r.item for r in rows if r.doc_id == n * 60 + at), key=repr) == sorted(keys, key=repr)
+    clean = leaks.decontaminate(spark.createDataFrame(list(enumerate(docs + ["clean text"])), "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string"))
+    assert [r.text for r in clean.collect()] == ["clean text"]
