@@ -217,22 +217,28 @@ def learn(samples: list[tuple[bytes, str]], rounds: int = 6, batch: int = 120_00
 
 def fit_languages(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", rows_per_label: int = 120,
                   max_chars: int = 6000) -> Model:
-    """Learn from a bounded sample: per label the ``rows_per_label`` rows of smallest key hash whose texts have 1 to
-    ``max_chars`` characters. Null texts and labels teach nothing; without any sample the model knows no label.
+    """Learn from a bounded sample: ``rows_per_label`` rows of each label, those of smallest key and text hash.
+
+    Of a text of more than ``max_chars`` characters a piece of that length is learned from, at a place that its hash
+    names. Null and empty texts and null labels teach nothing; without any sample the model knows no label. The sample
+    depends on the rows alone, not on how they are cut, also where keys are null or repeated.
     """
     known = docs.select(quoted(key).alias("key"), quoted(text).alias("text"), quoted(label).alias("label")).filter(
-        F.col("label").isNotNull() & F.col("text").isNotNull() & F.length("text").between(1, max_chars))
-    known = known.withColumn("place", F.xxhash64("key", "label"))
+        F.col("label").isNotNull() & (F.length("text") > 0))
+    known = known.select("label", "text", F.xxhash64("key", "label").alias("place"), F.xxhash64("text").alias("mark"))
     # narrow first: the rank needs no texts, and Spark keeps a few rows per label and task before it shuffles
-    by_label = F.row_number().over(Window.partitionBy("label").orderBy("place"))
-    upto = known.select("label", "place").withColumn("n", by_label).filter(F.col("n") <= rows_per_label).groupBy("label").agg(
-        F.max("place").alias("upto"))
-    bounds = {r.label: r.upto for r in upto.collect()}
+    by_label = F.row_number().over(Window.partitionBy("label").orderBy("place", "mark"))
+    bounds = known.select("label", "place", "mark").withColumn("n", by_label).filter(F.col("n") <= rows_per_label).groupBy("label").agg(
+        F.max(F.struct("place", "mark")).alias("upto")).collect()
     if not bounds:
         return Model()
-    chosen = any_of([(F.col("label") == lang) & (F.col("place") <= most) for lang, most in bounds.items()])
-    rows = known.filter(chosen).select(F.col("text").cast("binary").alias("text"), "label", "place").limit(
-        2 * rows_per_label * len(bounds)).collect()
+    chosen = any_of([(F.col("label") == r.label) & (
+        (F.col("place") < r.upto.place) | (F.col("place") == r.upto.place) & (F.col("mark") <= r.upto.mark)) for r in bounds])
+    start = F.pmod(F.col("mark"), F.greatest(F.length("text") - max_chars, F.lit(0)) + 1) + 1
+    piece = F.substr("text", start.cast("int"), F.lit(max_chars)).cast("binary").alias("text")
+    # equal rows share a place and may be many; as many as the rank asks for stay
+    rows = known.filter(chosen).select("label", "place", "mark", piece).withColumn("n", by_label).filter(
+        F.col("n") <= rows_per_label).collect()
     return learn([(bytes(r.text), r.label) for r in sorted(rows, key=lambda r: (r.label, r.place, bytes(r.text)))])
 
 

@@ -13,6 +13,7 @@ from beaconry.llm.language_id import (BLOCK, CHUNK, Model, _pieces, fit_language
 from beaconry.llm.piece_sampling import Lattices, Pieces, decode_pieces, load_pieces, sample_pieces, sample_texts
 from beaconry.llm.queries import PIECE_MODEL, held_out, language_model
 from tests.llm.helpers import awkward_docs, empty_docs
+from tests.llm.test_leak_windows import brute_leaks
 from tests.oracle import DATA
 
 # ------------------------------------------------------------ languages
@@ -93,36 +94,31 @@ def test_learning_is_repeatable():
     assert learn([]).labels == Model().labels == []
 
 
-# ------------------------------------------------------------ leaks
+def test_every_label_is_learned_however_long_its_texts(spark):
+    english = "the cat and the dog went over the hill with the man who had the old house by the sea " * 95
+    german = "der hund und die katze gingen ueber den berg"
+    docs = spark.createDataFrame([(n, f"{english} {n}", "en") for n in range(20)] + [(n, f"{german} {n}", "de") for n in range(20)],
+                                 "doc_id int, text string, lang string")
+    assert len(english) > 7000
+    model = fit_languages(docs)
+    assert model.labels == ["de", "en"]
+    named = predict_languages(docs, model).collect()
+    assert all(r.lang_pred == r.lang for r in named)
 
-ITEMS = [(n, " ".join(f"item{n}word{i % 17}x{(i * 7 + n) % 23}" for i in range(12 + 3 * n)) + " the end") for n in range(30)]
+
+def test_the_sample_is_the_same_however_rows_are_cut(spark):
+    """Null and repeated keys tie; the texts then decide, and as many rows as asked for are learned from."""
+    rows = [(None, f"the cat number {n} and the dog", "en") for n in range(300)] + [(1, "same words again and again", "en")] * 200
+    rows += [(None, f"der hund nummer {n} und die katze", "de") for n in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    models = [fit_languages(docs.repartition(n), rows_per_label=30) for n in (1, 7)]
+    assert models[0].labels == models[1].labels == ["de", "en"]
+    assert np.array_equal(models[0].table, models[1].table) and np.array_equal(models[0].transition, models[1].transition)
 
 
-def brute_scores(texts, items):
-    """BM25 shares of every passage and item, one at a time."""
-    token = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
-    bags = {n: Counter(token(t)) for n, t in items if t and token(t)}
-    mean = sum(sum(b.values()) for b in bags.values()) / len(bags)
-    df = Counter(t for b in bags.values() for t in b)
-    impact = {}
-    for n, bag in bags.items():
-        size = sum(bag.values())
-        raw = {t: math.log(1 + (len(bags) - df[t] + .5) / (df[t] + .5)) * c * (leaks.K1 + 1) / (
-            c + leaks.K1 * (1 - leaks.B + leaks.B * size / mean)) for t, c in bag.items()}
-        impact[n] = {t: v / sum(raw.values()) for t, v in raw.items()}
-    sides = {n: [set(token(s)) for s in leaks.split_item(t)] for n, t in items if n in bags}
-    longest = max(sum(map(len, s)) for s in sides.values())
-    stride = max(1, -(-longest * 5 // 4))
-    found = set()
-    for row, t in enumerate(texts):
-        words = token(t)
-        for p in range(max(1, -(-len(words) // stride) - 1)):
-            window = set(words[p * stride:(p + 2) * stride])
-            for n, shares in impact.items():
-                if sum(v for x, v in shares.items() if x in window) >= 0.6 - 1e-12 and all(
-                        len(s & window) >= 0.8 * len(s) for s in sides[n]):
-                    found.add((row, n))
-    return found
+# ------------------------------------------------------------ leaks
+
+ITEMS = [(n, " ".join(f"item{n}word{i % 17}x{(i * 7 + n) % 23}" for i in range(12 + 3 * n)) + " the end") for n in range(30)]
 
 
 @pytest.mark.parametrize("part", [1_000_000, 60])
@@ -144,12 +140,8 @@ def test_leaks_against_brute_force(spark, monkeypatch, part):
     found = leaks.find_leaks(docs, bench)
     assert found.columns == ["doc_id", "text", "leaks"]
     rows = found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*").collect()
-    want = brute_scores(texts, ITEMS)
-    if part > 1000:
-        assert len(want) > 30 and {(r.doc_id, r.item) for r in rows} == want
-    else:
-        # passages of a part are as long as its own items need
-        assert {r.doc_id for r in rows} >= {len(texts) - 3 * (len(ITEMS) - n) for n in range(len(ITEMS))}
+    want = brute_leaks(texts, [*ITEMS, (None, "no key at all")])
+    assert len(want) > 30 and {(r.doc_id, r.item) for r in rows} == want
     assert all(r.score >= 0.6 and r.question >= 0.8 and r.answer >= 0.8 for r in rows)
     kept = leaks.decontaminate(docs, bench)
     assert kept.columns == docs.columns
