@@ -36,7 +36,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     empty, as does a text that loses all its lines; an empty table gives an empty table.
 
     Only hashes are exploded and counted; what goes through the count is partially aggregated, so a line that
-    every document has is one row per task. Texts are shuffled once, to meet the positions of their dropped lines.
+    every document has is one row per task. The work on a text is linear in its lines. Texts are shuffled once, to meet the positions of their dropped lines.
     Documents are identified by the 128-bit hash of their text: equal texts lose equal lines, and the result is
     the same whichever task is run again.
     """
@@ -50,8 +50,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     keyed = materialize(
         docs.select(k1.alias("k1"), k2.alias("k2"), F.transform(lines_of(body), digest).alias("keys")), "line-keys")
 
-    counted = (keyed.select(F.explode(F.array_distinct("keys")).alias("key")).filter("key IS NOT NULL")
-               .groupBy("key.a", "key.b").agg(F.count(F.lit(1)).alias("n")))
+    # distinct as text: of strings Spark finds the distinct ones by hash, structs it would compare pair by pair
+    named = F.array_distinct(F.transform("keys", lambda k: F.concat(k["a"].cast("string"), F.lit(","), k["b"].cast("string"))))
+    once = keyed.select(F.explode(named).alias("key")).filter("key IS NOT NULL").select(*[
+        F.substring_index("key", ",", side).cast("long").alias(name) for name, side in (("a", 1), ("b", -1))])
+    counted = once.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     common = materialize(counted.filter(F.col("n") >= min_docs).select("a", "b"), "line-common")
 
     placed = keyed.select("k1", "k2", F.posexplode("keys").alias("pos", "key")).select("k1", "k2", "pos", "key.a", "key.b")

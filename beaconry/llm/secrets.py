@@ -125,8 +125,20 @@ def _candidates(query, posting: dict[str, Column]) -> Column:
     return reduce(F.array_intersect, [posting[t] for t in sorted(query[1])] + [_candidates(q, posting) for q in query[2]])
 
 
+#: matches whose positions are added up together; blocks of them are added up in turn
+SPAN_BLOCK = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` applied to a value that is computed once, however often it occurs there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
-    """The verified spans of one rule: between the pieces that the pattern splits off lie the matches."""
+    """The verified spans of one rule: between the pieces that the pattern splits off lie the matches.
+
+    Positions are added up within blocks of matches, then over the blocks, as adding to an array copies it.
+    """
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
     sizes = F.zip_with(
@@ -134,6 +146,7 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
             F.length(p).alias("gap"), F.length(w).alias("size"))),
         tested, lambda s, t: F.struct(s["gap"].alias("gap"), s["size"].alias("size"), F.length(t).alias("tested")))
     one = "struct<start:int,rank:int,stop:int,kind:string>"
+    none = F.from_json(F.lit("[]"), f"array<{one}>")
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
@@ -143,8 +156,20 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
         return F.struct(stop.alias("at"), F.when(passes, F.concat(state["found"], F.array(span))).otherwise(state["found"])
                         .alias("found"))
 
-    none = F.from_json(F.lit("[]"), f"array<{one}>")
-    found = F.aggregate(sizes, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda s: s["found"])
+    def blocks(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / SPAN_BLOCK).cast("int")), lambda n: F.aggregate(
+            F.slice(s, n * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)), F.struct(F.lit(0).alias("at"), none.alias("found")), step))
+
+    def begins(b: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+        return F.aggregate(b, first, lambda state, x: F.struct(
+            (state["at"] + x["at"]).alias("at"), F.concat(state["begins"], F.array(state["at"])).alias("begins")), lambda s: s["begins"])
+
+    def moved(block: Column, at: Column) -> Column:
+        return F.transform(block["found"], lambda x: F.struct(
+            (x["start"] + at).alias("start"), x["rank"].alias("rank"), (x["stop"] + at).alias("stop"), x["kind"].alias("kind")))
+
+    found = _bound(_bound(sizes, blocks), lambda b: F.flatten(F.zip_with(b, begins(b), moved)))
     return F.when(F.size(whole) > 0, found).otherwise(none)
 
 
@@ -184,7 +209,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     the candidates of the index only, the others on every text. Only built-in functions are used.
 
     Returns all input columns, with ``spans`` in place of an input column of that name. A null or empty text has no
-    spans; repeated rows are judged alike; an empty table gives an empty table.
+    spans; repeated rows are judged alike; a text of megabytes takes time in proportion to its matches; an empty table
+    gives an empty table.
     """
     indexed = {n for n, r in enumerate(rules) if trigram_query(r.pattern) is not True}
     # written, so that Spark can broadcast it if it is small and split groups of equal texts if not
