@@ -16,8 +16,9 @@ from beaconry.llm.piece_sampling import load_pieces, sample_pieces
 from beaconry.llm.simhash import one_of_each
 from beaconry.session import materialize, tune
 
-#: a document whose likeliest language has less than this share of its words is in no language
-LEAST_SCORE = 0.3
+#: how far above an even guess between the languages the likeliest one's share of a document's words must be, of the way
+#: from there to certainty
+LEAST_LEAD = 1 / 15
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -25,7 +26,8 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Without documents that have no letter (or no text) or no likely language."""
     model = fit_languages(docs)
     named = predict_languages(packed(docs, text=quoted("text")), model)
-    kept = named.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    even = 1 / max(1, len(model.labels))
+    kept = named.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= even + LEAST_LEAD * (1 - even) - 1e-6))
     return unpacked(kept, docs.columns, {}, {})
 
 

@@ -10,7 +10,8 @@ import corpus_pipeline as pipeline
 from beaconry.llm.language_id import fit_languages, predict_languages
 from beaconry.session import materialize
 from tests.llm.helpers import awkward_docs, empty_docs
-from tests.llm.test_languages_leaks_pieces import ITEMS, brute_scores
+from tests.llm.test_languages_leaks_pieces import ITEMS
+from tests.llm.test_leak_windows import brute_leaks
 from tests.llm.test_lines_urls_secrets import BLANK, folded
 from tests.llm.test_near_and_passages import brute_components, brute_fingerprint
 
@@ -53,8 +54,10 @@ def test_whole_run_against_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     columns = docs.columns
     # stage 1: what has a letter and a likely language stays; the labels come from the operator, tested elsewhere
-    named = predict_languages(docs, fit_languages(docs)).collect()
-    keep = Counter((r.doc_id, r.text) for r in named if r.lang_pred != "und" and r.score >= pipeline.LEAST_SCORE)
+    model = fit_languages(docs)
+    named = predict_languages(docs, model).collect()
+    least = (1 + (len(model.labels) - 1) / 15) / len(model.labels) - 1e-6
+    keep = Counter((r.doc_id, r.text) for r in named if r.lang_pred != "und" and r.score >= least)
     one = materialize(STAGES["language_id"](spark, docs, folder), "t")
     assert one.columns == columns and Counter((r.doc_id, r.text) for r in one.collect()) == keep
     assert all(any(c.isalpha() for c in t) for _, t in keep)
@@ -78,7 +81,7 @@ def test_whole_run_against_brute_force(spark, folder):
     assert all(least[root[code[t]]] == (k is None, k or 0) for k, t in kept)
     assert not any(k and 3000 <= k < 4000 for k, _ in kept)
     # stage 4
-    leaking = {n for n, _ in brute_scores([t for _, t in kept], ITEMS)}
+    leaking = {n for n, _ in brute_leaks([t for _, t in kept], ITEMS)}
     four = materialize(STAGES["benchmark_decontamination"](spark, three, folder), "t")
     clean = [r for n, r in enumerate(kept) if n not in leaking]
     assert len(leaking) >= 8 and four.columns == columns
