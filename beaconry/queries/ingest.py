@@ -16,7 +16,9 @@ from beaconry.queries.registry import query
 from beaconry.session import fresh_path, materialize
 from beaconry.sources import extract as x
 from beaconry.sources import messages as m
+from beaconry.sources import polling
 from beaconry.sources import tables as st
+from beaconry.streaming import sinks
 from beaconry.streaming.windows import dedup_stream
 
 METRIC_LIST = f'id, name, hostname, value, {stamp(chr(34) + "timestamp" + chr(34))} AS "timestamp"'
@@ -110,6 +112,19 @@ def waves_extract(t: Tables):
     return x.multi_wave_extract(arriving(t.metric), "timestamp", "arrival").select("id", "wave_offset", "read_tick")
 
 
+@query("waves_polled", sql=WAVES_SQL + "SELECT event_id AS id, wave_offset, read_tick FROM seen")
+def waves_polled(t: Tables):
+    """The same waves read by a poll that is stopped and started again half-way."""
+    root = fresh_path(t.spark, "poll")
+    columns = ["id", "wave_offset", "read_tick"]
+    first, last = t.metric.agg(F.unix_timestamp(F.min("timestamp")), F.unix_timestamp(F.max("timestamp"))).first()
+    for until in ((first + last) // 2, last + 120):
+        polling.poll(t.spark, arriving(t.metric), "timestamp", sinks.upsert_sink(f"{root}/rows", columns), f"{root}/checkpoint",
+                     first - 10, until=until, arrival_col="arrival", available_now=True).awaitTermination()
+    schema = schemas.struct(id=schemas.LONG, wave_offset=schemas.INT, read_tick=schemas.LONG)
+    return sinks.read_upserts(t.spark, f"{root}/rows", schema)
+
+
 @query("waves_union", sql=WAVES_SQL + "SELECT wave_offset, COUNT(*) AS n FROM seen GROUP BY wave_offset")
 def waves_union(t: Tables):
     waves = [x.single_wave(arriving(t.metric), "timestamp", "arrival", 5, o) for o in (0, 60)]
