@@ -41,8 +41,9 @@ def record_id(key: str | None, url: str | None, sha1: str, nth: int) -> str:
 
 
 def _line(value: str) -> str:
-    """A header value on one line: control characters and the escape sign itself percent-encoded."""
-    return "".join(f"%{ord(c):02X}" if c < " " or c in "\x7f%" else c for c in value)
+    """A header value on one line: control characters, blanks at its ends and the escape sign itself percent-encoded."""
+    inner = range(len(value) - len(value.lstrip(" ")), len(value.rstrip(" ")))
+    return "".join(f"%{ord(c):02X}" if c < " " or c in "\x7f%" or c == " " and n not in inner else c for n, c in enumerate(value))
 
 
 def _unline(value: str) -> str:
@@ -87,8 +88,23 @@ def _shard_of(cuts: list[tuple]):
     return F.arrow_udf(shard, "long")
 
 
-def planned(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int, shard_bytes: int) -> DataFrame:
-    """Two kinds of rows by shard, in archive order: what each record is to be, then the payloads.
+# schemes of Hadoop and what the same stores are called by the library that tasks read and write files with
+SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "gs": "gs"}
+
+
+def located(spark: SparkSession, base: str) -> tuple[str, str]:
+    """A folder as Spark names it in full, and as tasks open it; schemes that tasks cannot open are refused."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    uri = path.toUri()
+    if not uri.getScheme():
+        uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    if uri.getScheme() not in SCHEMES:
+        raise ValueError(f"archives cannot be kept under {uri.getScheme()}:, only under {', '.join(SCHEMES)}")
+    return uri.toString(), f"{SCHEMES[uri.getScheme()]}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
+def planned(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int, shard_bytes: int) -> tuple[DataFrame, int]:
+    """Two kinds of rows by shard, in archive order: what each record is to be, then the payloads; and how many shards.
 
     The shard of a row follows from the sum of record sizes before it in order, divided by the shard size: it depends on
     the table alone, not on how Spark cuts it. Sizes are summed per range and a row per range is carried on. Where
@@ -132,7 +148,7 @@ def planned(pages: DataFrame, key: str, url: str, payload: str, min_bytes: int,
         shard.alias("shard"), "order_key", "key", "url", "sha1", F.lit(None).cast("long").alias("row"), "payload",
         F.lit(None).cast("boolean").alias("again"), F.lit(None).cast("string").alias("first_key"),
         F.lit(None).cast("string").alias("first_url"))
-    return told.unionByName(bodies)
+    return told.unionByName(bodies), max(1, len(begins))
 
 
 def _writing(base: str, date: str, file_bytes: int):
@@ -220,11 +236,13 @@ def write_warc(pages: DataFrame, base: str, key: str = "page_id", url: str = "ur
     A null payload is empty; a null key or URL is left out of the headers; equal rows are records each, all but one
     revisits; an empty table gives a manifest without files. Other columns are not read.
     """
-    rows = planned(pages, key, url, payload, min_bytes, shard_bytes)
+    base, store = located(pages.sparkSession, base)
+    rows, shards = planned(pages, key, url, payload, min_bytes, shard_bytes)
     # at each place the plan before the payloads, and in it the row that others may refer to
     order = ["shard", F.col("order_key").asc_nulls_last(), "url", "sha1", F.col("row").asc_nulls_last()]
-    written = rows.repartition("shard").sortWithinPartitions(*order).drop("order_key", "row").mapInArrow(
-        _writing(base, date, file_bytes), MANIFEST)
+    # a partition for each shard, which Spark does not put together however few there are
+    written = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions(*order).drop("order_key", "row").mapInArrow(
+        _writing(store, date, file_bytes), MANIFEST)
     written.write.parquet(f"{base}/_manifest")
     return pages.sparkSession.read.schema(MANIFEST).parquet(f"{base}/_manifest")
 
@@ -327,6 +345,9 @@ def read_warc(spark: SparkSession, base: str, payload: bool = True) -> DataFrame
     Digests of blocks and payloads are verified; a damaged file raises. Keys are strings, null where the record has
     none, as are URLs. Length and digest of a revisit's payload come from its headers. Files are streamed.
     """
+    base, store = located(spark, base)
     manifest = spark.read.schema(MANIFEST).parquet(f"{base}/_manifest")
-    return manifest.select("file").repartition(F.col("file")).mapInArrow(
-        _reading(base, payload), RECORD + ", payload binary" * payload)
+    # a partition for each file
+    nth = F.row_number().over(Window.orderBy("file")) - 1
+    files = manifest.select("file", nth.alias("nth")).repartitionById(max(1, manifest.count()), "nth")
+    return files.select("file").mapInArrow(_reading(store, payload), RECORD + ", payload binary" * payload)

@@ -8,6 +8,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 import beaconry.llm.topk_search as top
+import beaconry.llm.warc as warc
 from beaconry.llm.topk_search import CoverTree, dual_search, search_top
 from beaconry.llm.warc import _line, _unline, read_warc, records_of, write_warc
 from beaconry.session import fresh_path
@@ -198,3 +199,26 @@ def test_scores_beyond_doubles_are_exact():
     whole = data.astype(np.int64)
     for r, n, s in zip(row, names, scores):
         assert s == sum(int(a) * int(b) for a, b in zip(whole[r], whole[n]))
+
+
+def test_ends_of_keys_and_urls_are_kept_and_schemes_checked(spark, tmp_path):
+    rows = [(" a ", "  http://x/ ", "one"), ("a", "http://x/", "two"), ("  ", " ", "three"), (None, "", "four")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    base = str(tmp_path / "warc")
+    warc.write_warc(pages, base)
+    assert sorted((r.key, r.url, bytes(r.payload).decode()) for r in warc.read_warc(spark, base).filter("key IS NOT NULL").collect()) == sorted(rows[:3])
+    # a path without a scheme is where Spark puts it
+    assert warc.located(spark, base)[1] == f"file://{base}"
+    with pytest.raises(ValueError, match="archives cannot be kept under viewfs"):
+        warc.write_warc(pages, "viewfs://store/warc")
+
+
+def test_a_task_reads_one_file_and_writes_one_shard(spark, tmp_path):
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.concat(F.lit("http://x/"), "id").alias("url"),
+                                    F.concat(F.repeat(F.lit("text "), 200), "id").alias("html"))
+    base = str(tmp_path / "warc")
+    files = warc.write_warc(pages, base, shard_bytes=20_000).count()
+    read = warc.read_warc(spark, base)
+    assert files >= 15 and read.rdd.getNumPartitions() == files
+    per_task = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == files and sum(r["count"] for r in per_task) == 400
