@@ -107,6 +107,7 @@ def scd2_apply(
     skip_unchanged: bool = True,
     compat: bool = False,
     limit: int | None = None,
+    highest: int | None = None,
 ) -> DataFrame:
     """Bring a dimension up to date with a set of changes.
 
@@ -114,7 +115,8 @@ def scd2_apply(
     ``valid_from``: each version ends where the next begins and the last one is
     effective. Several changes to a key, late days and reruns therefore leave one open
     version and no overlaps. Keys without changes pass through without a shuffle while
-    the changed keys are few enough to broadcast.
+    the changed keys are few enough to broadcast. New versions are numbered after ``highest``, or
+    after the largest key of ``dim`` if it is not given.
 
     ``compat`` applies the changes one by one against the effective row instead: several
     changes to one key repeat its closed version and leave several versions open, and a
@@ -123,7 +125,7 @@ def scd2_apply(
     keys, columns = list(keys), dim.columns
     attrs = [c for c in columns if c not in ("dwid", *keys, *VALIDITY)]
     business = [*keys, *attrs, date_col]
-    highest = max_key(dim).scalar()
+    highest = max_key(dim).scalar() if highest is None else highest
 
     if compat:
         closed = close_matched(match_changes(dim, changes, keys, date_col, limit))

@@ -15,8 +15,10 @@ from beaconry import schemas
 from beaconry.operators.calendar import build_dim_hour
 from beaconry.operators.skew import measure
 from beaconry.plans import layers, marts
+from beaconry.plans.dimensions import apply_changes, read_dimension
 from beaconry.plans.ledger import Run, visible
 from beaconry.session import scratch
+from beaconry.sources.buckets import current_fold, merge_buckets, read_buckets
 from beaconry.sources.files import delete
 from beaconry.sources.tables import (
     current_version,
@@ -28,9 +30,9 @@ from beaconry.sources.tables import (
 )
 
 DIMENSIONS = (*schemas.MASTER_TABLES, "hour")
-# tables that a build replaces as a whole
-REPLACED = (*[("dwh", t) for t in schemas.MASTER_TABLES], *[("dmt", f"dim_{d}") for d in DIMENSIONS])
-# versions kept of them: the published one stays readable while a run and its repeated step write theirs
+# tables that a build replaces as a whole; it merges into the others
+REPLACED = (("dmt", "dim_hour"),)
+# versions kept: the published one stays readable while a run and its repeated step write theirs
 KEPT_VERSIONS = 3
 
 
@@ -49,8 +51,20 @@ class Warehouse:
     def replace(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         return replace_table(df.select(*self.schema(layer, table).names), self.path(layer, table), KEPT_VERSIONS)
 
-    def current(self, layer: str, table: str) -> DataFrame:
-        return read_table(self.spark, self.path(layer, table), self.schema(layer, table))
+    def merge(self, layer: str, table: str, rows: DataFrame) -> None:
+        merge_buckets(self.spark, self.path(layer, table), self.schema(layer, table), schemas.KEYS[table], rows, keep=KEPT_VERSIONS - 1)
+
+    def apply(self, table: str, changes: DataFrame) -> None:
+        apply_changes(self.spark, self.path("dmt", f"dim_{table}"), self.schema("dmt", f"dim_{table}"), schemas.KEYS[table],
+                      changes, latest_by=["update_time"], keep=KEPT_VERSIONS - 1)
+
+    def version(self, layer: str, table: str) -> int:
+        return (current_version if (layer, table) in REPLACED else current_fold)(self.spark, self.path(layer, table))
+
+    def current(self, layer: str, table: str, version: int | None = None) -> DataFrame:
+        """A master table or dimension as it is now, or in a version that is still kept; no rows before the first."""
+        read = read_table if (layer, table) in REPLACED else read_buckets if layer == "dwh" else read_dimension
+        return read(self.spark, self.path(layer, table), self.schema(layer, table), version)
 
     def overwrite(self, layer: str, table: str, df: DataFrame, rebalance: bool = False) -> None:
         schema, parts = schemas.LAYERS[layer][table]
@@ -60,8 +74,11 @@ class Warehouse:
         schema, parts = schemas.LAYERS[layer][table]
         return read_partition_range(self.spark, self.path(layer, table), schema, parts[0], start, end)
 
-    def dims(self) -> dict[str, DataFrame]:
-        return {name: self.current("dmt", f"dim_{name}") for name in DIMENSIONS}
+    def dims(self, since: str | None = None) -> dict[str, DataFrame]:
+        """All dimensions; with ``since`` only versions that can be valid at that day or later."""
+        versions = {name: read_dimension(self.spark, self.path("dmt", f"dim_{name}"), self.schema("dmt", f"dim_{name}"), since=since)
+                    for name in schemas.MASTER_TABLES}
+        return {**versions, "hour": self.current("dmt", "dim_hour")}
 
 
 class Published:
@@ -76,9 +93,8 @@ class Published:
         self.ranges, self.versions = visible(wh.spark, wh.root)
 
     def current(self, layer: str, table: str) -> DataFrame:
-        """A replaced table in its published version; no rows before the first."""
-        return read_table(self.wh.spark, self.wh.path(layer, table), self.wh.schema(layer, table),
-                          self.versions.get(f"{layer}/{table}", 0))
+        """A master table or dimension in its published version; no rows before the first."""
+        return self.wh.current(layer, table, self.versions.get(f"{layer}/{table}", 0))
 
     def range(self, layer: str, table: str, start: str, end: str) -> DataFrame:
         """The published days of a range of partitions."""
@@ -120,10 +136,8 @@ def build_master(wh: Warehouse, table: str, extract: DataFrame, start: str, end:
     run.step(f"{table}/src", lambda: admit(
         wh, table, layers.build_src_master(landed(wh, table), table, run.now), start, end, rebalance=True))
     src = wh.range("src", table, start, end)
-    run.step(f"{table}/dwh", lambda: wh.replace(
-        "dwh", table, layers.build_dwh_master(wh.current("dwh", table), src, table, start, end)))
-    run.step(f"{table}/dmt", lambda: wh.replace(
-        "dmt", f"dim_{table}", marts.build_dim(wh.current("dmt", f"dim_{table}"), src, table, start, end)))
+    run.step(f"{table}/dwh", lambda: wh.merge("dwh", table, layers.master_delta(src, start, end)))
+    run.step(f"{table}/dmt", lambda: wh.apply(table, marts.dim_changes(src, table, start, end)))
 
 
 def build_metric(wh: Warehouse, extract: DataFrame, start: str, end: str, run: Run, rebalance: bool = False) -> None:
@@ -133,7 +147,7 @@ def build_metric(wh: Warehouse, extract: DataFrame, start: str, end: str, run: R
         wh, "metric", layers.build_src_metric(landed(wh, "metric"), run.now), start, end, rebalance))
     run.step("metric/dwh", lambda: wh.overwrite(
         "dwh", "metric", layers.build_dwh_metric(wh.range("src", "metric", start, end), start, end), rebalance))
-    dims = wh.dims()
+    dims = wh.dims(start)
     measure(*dims.values())
     run.step("metric/fact", lambda: wh.overwrite(
         "dmt", "fact_metric", marts.build_fact_metric(wh.range("dwh", "metric", start, end), dims, start, end), rebalance))
@@ -159,7 +173,8 @@ def build_day(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end:
     name = hashlib.sha256(f"{wh.root} {run.name}".encode()).hexdigest()[:16]
     with scratch(wh.spark, f"run-{name}"):
         _build_range(wh, extracts, start, end, run, calendar)
-    run.publish({f"{layer}/{table}": current_version(wh.spark, wh.path(layer, table)) for layer, table in REPLACED})
+    tables = [*[("dwh", t) for t in schemas.MASTER_TABLES], *[("dmt", f"dim_{d}") for d in DIMENSIONS]]
+    run.publish({f"{layer}/{table}": wh.version(layer, table) for layer, table in tables})
 
 
 def _build_range(wh: Warehouse, extracts: Mapping[str, DataFrame], start: str, end: str, run: Run,

@@ -53,7 +53,11 @@ def build_dwh_metric(src_metric: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def master_delta(src: DataFrame, start: str, end: str) -> DataFrame:
+    """The increments of a range of days, as they are merged into the current rows."""
+    return drop_cols(date_range(src, "update_date", start, end), "update_date")
+
+
 def build_dwh_master(full: DataFrame, src: DataFrame, table: str, start: str, end: str, limit: int | None = None) -> DataFrame:
     """The current row of each key after the increments of a range of days."""
-    delta = drop_cols(date_range(src, "update_date", start, end), "update_date")
-    return merge_latest(full, delta, schemas.KEYS[table], full_is_unique=True, limit=limit)
+    return merge_latest(full, master_delta(src, start, end), schemas.KEYS[table], full_is_unique=True, limit=limit)

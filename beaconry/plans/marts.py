@@ -35,15 +35,18 @@ def _measure_dims(dims: Mapping[str, DataFrame], names: Sequence[str], limit: in
         measure(*[dims[n] for n in names])
 
 
+def dim_changes(src: DataFrame, table: str, start: str, end: str) -> DataFrame:
+    """The changes of a range of days, with what tells the last of a day."""
+    return change_set(src, [*schemas.ATTRIBUTES[table].names, "update_time"], start, end)
+
+
 def build_dim(dim: DataFrame, src: DataFrame, table: str, start: str, end: str, compat: bool = False,
               limit: int | None = None) -> DataFrame:
     """A dimension after the increments of a range of days."""
-    columns = schemas.ATTRIBUTES[table].names
     if compat:
-        changes = change_set(src, columns, start, end)
+        changes = change_set(src, schemas.ATTRIBUTES[table].names, start, end)
         return scd2_apply(dim, changes, schemas.KEYS[table], compat=True, limit=limit)
-    changes = change_set(src, [*columns, "update_time"], start, end)
-    return scd2_apply(dim, changes, schemas.KEYS[table], latest_by=["update_time"], limit=limit)
+    return scd2_apply(dim, dim_changes(src, table, start, end), schemas.KEYS[table], latest_by=["update_time"], limit=limit)
 
 
 def build_fact_metric(metric: DataFrame, dims: Mapping[str, DataFrame], start: str, end: str,

@@ -17,6 +17,7 @@ from beaconry.plans import daily, layers, marts
 from beaconry.queries.adapters import NOW, Tables, stamp
 from beaconry.queries.registry import query
 from beaconry.session import fresh_path
+from beaconry.sources import buckets as bk
 from beaconry.sources.tables import as_text
 
 # ---------------------------------------------------------------- typing
@@ -91,6 +92,16 @@ def merge_latest_narrow(t: Tables):
     return mg.merge_latest(full, delta, ["id"], ties=[F.desc("tie")], full_is_unique=True).drop("tie")
 
 
+@query("merge_buckets", "server server_changes", MERGE_SQL)
+def merge_in_buckets(t: Tables):
+    """The same merge into a stored table, of which only the touched buckets are read and written."""
+    full, delta = full_and_delta(t)
+    path = fresh_path(t.spark, "buckets")
+    for rows in (full, delta):
+        bk.merge_buckets(t.spark, path, full.schema, ["id"], rows, ties=[F.desc("tie")])
+    return bk.read_buckets(t.spark, path, full.schema).drop("tie")
+
+
 @query("merge_latest_threshold", "metric_threshold", """
     WITH delta AS (
         SELECT user_id AS server_id, event_type AS metric_name, CAST(MAX(ROUND(value)) AS INTEGER) AS amber_threshold,

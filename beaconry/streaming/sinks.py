@@ -1,9 +1,8 @@
 """Keyed stream sinks on plain Parquet: append each micro-batch, fold into buckets, keep the last row per key on read.
 
-A sink's folder holds ``delta/batch_id=N`` for every batch not yet folded, and ``base-B/fold=S/bucket=K`` for what was
-folded, where B is the number of buckets and a key lives in bucket ``pmod(xxhash64(key), B)``. A fold rewrites the buckets
-its batches touch and no other; the newest committed fold that has a bucket is that bucket's current content. Sinks
-without keys keep ``rows/fold=S`` instead, where every fold adds rows, and ``rows/whole=S``, which stands for all before.
+A sink's folder holds ``delta/batch_id=N`` for every batch not yet folded, and what was folded as a table in buckets, see
+``sources.buckets``: a fold rewrites the buckets its batches touch and no other. Sinks without keys keep ``rows/fold=S``
+instead, where every fold adds rows, and ``rows/whole=S``, which stands for all before.
 """
 
 from __future__ import annotations
@@ -18,20 +17,29 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconry.operators.merge import latest_per_key
 from beaconry.operators.skew import part_of, sized_join
 from beaconry.session import materialize
+from beaconry.sources.buckets import (
+    BUCKET,
+    BUCKETS,
+    FOLD,
+    MARKED,
+    bucket_count,
+    bucket_of,
+    current_folders,
+    drop_superseded,
+    finished,
+    next_fold,
+    read_folders,
+    write_fold,
+)
 from beaconry.sources.files import delete, exists, listed, make_folder
 
-BATCH, BUCKET, FOLD, WHOLE = "batch_id", "bucket", "fold", "whole"
+BATCH, WHOLE = "batch_id", "whole"
 # fixed values: key and columns of each sink
 METRIC_SINK = (["id"], ["id", "name", "hostname", "timestamp", "value"])
 ALERT_SINK = (["id"], ["id", "hostname", "message", "status", "timestamp"])
 STATE_SINK_COLUMNS = ["server_id", "timestamp", "src_type", "severity"]
 # batches after which a sink folds its folders
 COMPACT_EVERY = 100
-# buckets of a new sink; one that exists keeps its number
-BUCKETS = 64
-# folds a superseded bucket stays for readers already under way
-KEPT_FOLDS = 1
-MARKED = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -86,34 +94,11 @@ def start_update_query(df: DataFrame, sink: Sink, checkpoint: str, name: str | N
     return start_query(df, sink, checkpoint, name, available_now, pool)
 
 
-def _finished(spark: SparkSession, path: str, name: str) -> dict[int, str]:
-    """Finished batches or folds, oldest first; one still being written has no commit marker."""
-    found = {int(n): p for n, p in listed(spark, path, f"{name}=").items() if n.isdigit()}
-    return {n: found[n] for n in sorted(found) if exists(spark, f"{found[n]}/_SUCCESS")}
-
-
-def _bucket_count(spark: SparkSession, path: str, default: int) -> int:
-    """The number of buckets a sink was first folded with."""
-    return min((int(n) for n in listed(spark, path, "base-") if n.isdigit()), default=default)
-
-
-def _bucket(keys: Sequence[str], count: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int")
-
-
-def _current(spark: SparkSession, root: str) -> dict[int, str]:
-    """The folder that holds each bucket's current content."""
-    current: dict[int, str] = {}
-    for path in _finished(spark, root, FOLD).values():
-        current |= {int(b): p for b, p in listed(spark, path, f"{BUCKET}=").items()}
-    return current
-
-
 def _kept_rows(spark: SparkSession, root: str) -> list[str]:
     """The folders that make up a sink without keys."""
-    whole = _finished(spark, root, WHOLE)
+    whole = finished(spark, root, WHOLE)
     since = max(whole, default=-1)
-    return [*([whole[since]] if whole else []), *[p for n, p in _finished(spark, root, FOLD).items() if n > since]]
+    return [*([whole[since]] if whole else []), *[p for n, p in finished(spark, root, FOLD).items() if n > since]]
 
 
 def _stored(schema: T.StructType, *more: str) -> T.StructType:
@@ -124,16 +109,14 @@ def _stored(schema: T.StructType, *more: str) -> T.StructType:
 def _base(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], only: set[int] | None = None) -> DataFrame:
     """Folded rows with their batch and bucket, of all buckets or of some, whose folders alone are opened."""
     stored = _stored(schema, BATCH, BUCKET)
-    count = _bucket_count(spark, path, 0)
+    count = bucket_count(spark, path, 0)
     root = f"{path}/base-{count}"
-    folders = [p for b, p in sorted(_current(spark, root).items()) if only is None or b in only] if count else []
-    parts = []
-    if folders:
-        parts.append(spark.read.schema(stored).option("basePath", root).parquet(*folders).select(*stored.names))
+    folders = [p for b, p in sorted(current_folders(spark, root).items()) if only is None or b in only] if count else []
+    parts = [read_folders(spark, root, _stored(schema, BATCH), folders)] if folders else []
     kept = _kept_rows(spark, f"{path}/rows")
     if kept:
         rows = spark.read.schema(_stored(schema, BATCH)).parquet(*kept)
-        rows = rows.withColumn(BUCKET, _bucket(keys, count or BUCKETS) if keys else F.lit(0))
+        rows = rows.withColumn(BUCKET, bucket_of(keys, count or BUCKETS) if keys else F.lit(0))
         parts.append(rows if only is None else rows.filter(F.col(BUCKET).isin(*only)))
     if not parts:
         return spark.createDataFrame([], stored)
@@ -184,13 +167,13 @@ def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
 
     With ``wanted``, a table of keys, only these rows are returned and only the buckets they live in are opened.
     """
-    batches = _finished(spark, f"{path}/delta", BATCH)
+    batches = finished(spark, f"{path}/delta", BATCH)
     only = None
     if wanted is not None:
         # a bucket depends on the type of its key
         wanted = materialize(wanted.select(*[F.col(k).cast(schema[k].dataType) for k in keys]).distinct(), "sink-wanted")
-        count = _bucket_count(spark, path, BUCKETS)
-        only = {r[0] for r in wanted.select(_bucket(keys, count)).distinct().collect()}
+        count = bucket_count(spark, path, BUCKETS)
+        only = {r[0] for r in wanted.select(bucket_of(keys, count)).distinct().collect()}
     base = _base(spark, path, schema, keys, only)
     if batches:
         pending = _pending(spark, path, schema, batches)
@@ -216,22 +199,20 @@ def fold_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     The fold is committed before its batches are removed; a batch that the stream runs again later only repeats rows the
     buckets already have. Buckets no batch touches, and folders of unfinished batches, stay as they are.
     """
-    batches = _finished(spark, f"{path}/delta", BATCH)
+    batches = finished(spark, f"{path}/delta", BATCH)
     if not batches:
         return []
     pending = _pending(spark, path, schema, batches)
-    count = _bucket_count(spark, path, buckets)
+    count = bucket_count(spark, path, buckets)
     root = f"{path}/base-{count}" if keys else f"{path}/rows"
-    taken = [n for name in (FOLD, WHOLE) for n in listed(spark, root, f"{name}=") if n.isdigit()]
-    sequence = 1 + max(map(int, taken), default=-1)
+    sequence = next_fold(spark, root, FOLD, WHOLE)
     touched: list[int] = []
     if keys:
-        own = pending.withColumn(BUCKET, _bucket(keys, count))
+        own = pending.withColumn(BUCKET, bucket_of(keys, count))
         touched = sorted(r[0] for r in own.select(BUCKET).distinct().collect())
         base = _base(spark, path, schema, keys, set(touched))
         merged = _merged(base, own, keys, list(batches), _follows(spark, path, batches))
-        # a new folder, not an overwrite: dynamic overwrites leave no commit marker
-        merged.hint("rebalance", BUCKET).write.option(MARKED, "true").partitionBy(BUCKET).parquet(f"{root}/{FOLD}={sequence}")
+        write_fold(merged, root, sequence)
     else:
         name, older = FOLD, []
         if not _follows(spark, path, batches):
@@ -246,7 +227,7 @@ def fold_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     for folder in batches.values():
         delete(spark, folder)
     if keys:
-        _drop_superseded(spark, root)
+        drop_superseded(spark, root)
     return touched
 
 
@@ -259,25 +240,6 @@ def _mark(spark: SparkSession, root: str, batch: int) -> None:
             delete(spark, folder)
 
 
-def _drop_superseded(spark: SparkSession, root: str) -> None:
-    """Remove buckets that more than ``KEPT_FOLDS`` younger folds have, and folders of folds that were never finished."""
-    finished = _finished(spark, root, FOLD)
-    younger: dict[str, int] = {}
-    for path in reversed(list(finished.values())):
-        left = listed(spark, path, f"{BUCKET}=")
-        for bucket, folder in list(left.items()):
-            if younger.get(bucket, 0) > KEPT_FOLDS:
-                delete(spark, folder)
-                del left[bucket]
-            else:
-                younger[bucket] = younger.get(bucket, 0) + 1
-        if not left:
-            delete(spark, path)
-    for n, path in listed(spark, root, f"{FOLD}=").items():
-        if n.isdigit() and int(n) < max(finished, default=0) and int(n) not in finished:
-            delete(spark, path)
-
-
 def compact_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),
                     buckets: int = BUCKETS) -> DataFrame:
     """Fold now, whatever the number of batches, and return the table."""

@@ -1,11 +1,15 @@
 """Table writes that replace, overwrite, land and create; and connector settings."""
 
+import random
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from beaconry import schemas
-from beaconry.session import fresh_path, shared_folder
-from beaconry.sources import database, messages
+from beaconry.operators.merge import merge_latest
+from beaconry.session import fresh_path, materialize, shared_folder
+from beaconry.sources import buckets, database, messages
 from beaconry.sources import tables as st
 from beaconry.sources.extract import date_range, incremental_extract, trailing_window
 from tests.helpers import at, rows
@@ -104,3 +108,50 @@ def test_jdbc_and_kafka_settings(spark):
 
 def test_scratch_is_under_the_shared_folder(spark):
     assert fresh_path(spark, "x").startswith(shared_folder(spark))
+
+
+KEYED = schemas.struct(id=schemas.LONG, v=schemas.STR, update_time=schemas.TS)
+
+
+def test_bucket_merges_equal_the_plain_merge_and_touch_no_other_bucket(spark, tmp_path):
+    r = random.Random(8)
+    path = str(tmp_path / "table")
+    time = lambda: None if r.random() < 0.1 else datetime(2024, 1, 1 + r.randrange(5))
+    key = lambda n: None if n == 0 else n
+    plain = spark.createDataFrame([], KEYED)
+    for step, ids in enumerate((range(60), range(50, 80), [3, 3, 7, 0], [], [200])):
+        delta = spark.createDataFrame([(key(i), f"s{step}-{n}", time()) for n, i in enumerate(ids)], KEYED)
+        before = buckets.current_folders(spark, f"{path}/base-16")
+        touched = buckets.merge_buckets(spark, path, KEYED, ["id"], delta, ties=[F.desc("v")], buckets=16)
+        plain = materialize(merge_latest(plain, delta, ["id"], ties=[F.desc("v")]), "plain")
+        assert rows(buckets.read_buckets(spark, path, KEYED)) == rows(plain)
+        after = buckets.current_folders(spark, f"{path}/base-16")
+        assert {b for b in after if after[b] != before.get(b)} == set(touched)
+        assert len(touched) <= len(set(ids))
+    # the same increment again changes nothing
+    buckets.merge_buckets(spark, path, KEYED, ["id"], delta, ties=[F.desc("v")])
+    assert rows(buckets.read_buckets(spark, path, KEYED)) == rows(plain)
+
+
+def test_an_earlier_fold_can_be_read_while_it_is_kept(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for n in range(3):
+        delta = spark.createDataFrame([(i, f"v{n}", datetime(2024, 1, 1 + n)) for i in range(10 if n == 0 else n)], KEYED)
+        buckets.merge_buckets(spark, path, KEYED, ["id"], delta, buckets=4, keep=2)
+    assert buckets.current_fold(spark, path) == 3
+    values = [rows(buckets.read_buckets(spark, path, KEYED, upto), "v") for upto in (0, 1, 2, 3)]
+    values = [[v for (v,) in part] for part in values]
+    assert values[0] == [] and values[1] == ["v0"] * 10
+    assert values[2] == ["v0"] * 9 + ["v1"] and values[3] == ["v0"] * 8 + ["v2"] * 2
+
+
+def test_an_unfinished_fold_is_not_read(spark, tmp_path):
+    path = tmp_path / "table"
+    delta = spark.createDataFrame([(1, "a", datetime(2024, 1, 1))], KEYED)
+    buckets.merge_buckets(spark, str(path), KEYED, ["id"], delta, buckets=4)
+    half = path / "base-4" / "fold=2" / "bucket=0"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_text("being written")
+    assert rows(buckets.read_buckets(spark, str(path), KEYED), "v") == [("a",)]
+    buckets.merge_buckets(spark, str(path), KEYED, ["id"], delta.withColumn("v", F.lit("b")))
+    assert rows(buckets.read_buckets(spark, str(path), KEYED), "v") == [("b",)] and not half.exists()
