@@ -367,7 +367,7 @@ def _dimension(table: str) -> None:
     columns = ATTRIBUTE_LISTS[table]
     day = INCREMENTS[table][3]
 
-    @query(f"dim_{table}", table, f"""
+    sql = f"""
         WITH delta AS ({increment_sql(table)}),
         first_load AS (
             SELECT ROW_NUMBER() OVER (ORDER BY {keys}) AS dwid, {columns}, date_trunc('day', update_time) AS valid_from
@@ -378,13 +378,24 @@ def _dimension(table: str) -> None:
             SELECT (SELECT MAX(dwid) FROM first_load) + ROW_NUMBER() OVER (ORDER BY {keys}), {columns},
                    TIMESTAMP '{day}', NULL FROM delta)
         SELECT dwid, {columns}, {stamp('valid_from')} AS valid_from, {stamp('valid_to')} AS valid_to, valid_to IS NULL AS eff_flag
-        FROM versions""")
+        FROM versions"""
+
+    @query(f"dim_{table}", table, sql)
     def build(t: Tables):
         src = layers.build_src_master(getattr(t, table), table, NOW)
         empty = t.spark.createDataFrame([], schemas.DIM[table])
         loaded = marts.build_dim(empty, src, table, "1990-01-01", "2024-01-01")
         return marts.build_dim(loaded, increment(t, table), table, "2024-01-01", "2024-02-01")
 
+    @query(f"stored_dim_{table}", table, sql)
+    def build_stored(t: Tables):
+        """The same dimension as the warehouse stores it, by bucket and ended year."""
+        wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"))
+        src = layers.build_src_master(getattr(t, table), table, NOW)
+        wh.apply(table, marts.dim_changes(src, table, "1990-01-01", "2024-01-01"))
+        wh.apply(table, marts.dim_changes(increment(t, table), table, "2024-01-01", "2024-02-01"))
+        return wh.current("dmt", f"dim_{table}")
+
 
 for _table in schemas.MASTER_TABLES:
     _dimension(_table)

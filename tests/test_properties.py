@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from beaconry import schemas
 from beaconry.operators import aggregates as agg
 from beaconry.operators import scd2
+from beaconry.operators.joins import within_range
 from beaconry.operators.merge import latest_per_key, merge_latest
 from beaconry.operators.numbering import number_rows
+from beaconry.plans import dimensions
+from beaconry.session import materialize
 from beaconry.sources.extract import multi_wave_extract
 from beaconry.streaming.windows import dedup_stream, sliding_mean
 from tests.helpers import rows
@@ -70,6 +73,49 @@ def test_increments_in_date_order_equal_history(spark, seed):
     assert sorted(r[0] for r in rows(dim, "dwid")) == list(range(1, dim.count() + 1))
 
 
+COLORS = schemas.struct(dwid=schemas.LONG, id=schemas.LONG, color=schemas.STR, valid_from=schemas.TS, valid_to=schemas.TS,
+                        eff_flag=schemas.BOOL)
+
+
+@pytest.mark.parametrize("seed, order", [(0, (0, 1, 2, 3)), (1, (0, 3, 1, 2)), (2, (2, 2, 0, 3))])
+def test_stored_dimensions_equal_whole_ones(spark, tmp_path, seed, order):
+    """Increments of whole years, also years late and repeated: same rows, and only reached partitions are written."""
+    path, root = str(tmp_path / "dim"), str(tmp_path / "dim" / "base-4")
+    changes = [(k, c, f"{2021 + i % 4}-{int(day[8:]) % 12 + 1:02}-{day[8:]}", i) for i, (k, c, day, _) in enumerate(some_changes(seed))]
+    whole = spark.createDataFrame([], COLORS)
+    for n, year in enumerate(order):
+        part = [c for c in changes if c[2].startswith(str(2021 + year)) and (n == 0 or c[0] % 4 != 1)]
+        delta = spark.createDataFrame(part, CHANGES)
+        before = dimensions._parts(spark, root)
+        touched = dimensions.apply_changes(spark, path, COLORS, ["id"], delta, latest_by=["tie"], buckets=4)
+        whole = materialize(scd2.scd2_apply(whole, delta, ["id"], latest_by=["tie"]), "whole")
+        assert rows(dimensions.read_dimension(spark, path, COLORS)) == rows(whole)
+        after = dimensions._parts(spark, root)
+        assert {b for part_, p in after.items() if before.get(part_) != p for b in part_[:1]} <= set(touched)
+        reached = [part_ for part_, p in after.items() if before.get(part_) == p]
+        assert all(part_ in reached for part_ in before if part_[1] < 2021 + year)
+    # a reader of later days opens no year that was closed before
+    late = dimensions.read_dimension(spark, path, COLORS, since="2024-01-01")
+    assert not any(f"ended={y}" in f for f in late.inputFiles() for y in (2021, 2022, 2023))
+    wanted = within_range(whole, "2024-01-01", "2025-01-01")
+    assert rows(within_range(late, "2024-01-01", "2025-01-01")) == rows(wanted) and wanted.count() > 0
+
+
+def test_a_stored_dimension_survives_a_stop_before_its_notes(spark, tmp_path):
+    """Without the note of the largest key it is taken from the rows; a fold that is not committed does not count."""
+    path, root = str(tmp_path / "dim"), tmp_path / "dim" / "base-64"
+    first = spark.createDataFrame([(1, "r", "2024-01-01", 1), (2, "g", "2024-01-01", 2)], CHANGES)
+    dimensions.apply_changes(spark, path, COLORS, ["id"], first, latest_by=["tie"])
+    (root / "highest-1").unlink()
+    (root / "fold=2" / "bucket=0").mkdir(parents=True)
+    (root / "replaces-2").write_text('{"buckets": [0, 1, 2, 3], "since": 0}')
+    assert dimensions.read_dimension(spark, path, COLORS).count() == 2
+    dimensions.apply_changes(spark, path, COLORS, ["id"], spark.createDataFrame([(3, "b", "2024-01-02", 1)], CHANGES), latest_by=["tie"])
+    assert rows(dimensions.read_dimension(spark, path, COLORS), "dwid", "id") == [(1, 1), (2, 2), (3, 3)]
+    # what it was before the last fold can still be read
+    assert dimensions.read_dimension(spark, path, COLORS, upto=1).count() == 2
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_late_days_leave_a_clean_timeline(spark, seed):
     """Increments applied in the wrong order: no overlaps, one open version, right value on every day."""
