@@ -6,7 +6,7 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import quoted
@@ -18,9 +18,10 @@ FAN = 16
 #: rows of a block of data and of a batch of queries: what a task holds
 BLOCK_ROWS = 4096
 BATCH_ROWS = 2048
-MAX_CELLS = 256
-#: larger components take no part in ``search_top``
-LARGEST = 1 << 28
+#: cells under an upper cell, and upper cells: what a task needs to place a vector is at most their product of pivots
+FAN_CELLS = 256
+#: a cell's number is that of its upper cell, then its own in so many bits
+CELL_BITS = 16
 LOWEST = -(1 << 63)
 #: stands for a score that does not fit a long, as its negative does
 BEYOND = (1 << 63) - 1
@@ -186,10 +187,9 @@ def _scaled(vectors: DataFrame, is_query, key: str, vector: str, scale: float) -
     """``id, asks, point`` of all rows with a key and a vector of finite components, scaled and rounded down."""
     def whole(x):
         y = x.cast("double") * scale
-        return F.when(F.abs(y) == float("inf"), F.raise_error(F.lit("a scaled component does not fit a double"))).when(
-            F.abs(y) >= 2.0**53, y).otherwise(F.floor(y).cast("double"))
+        return F.when(F.abs(y) >= 2.0**53, y).otherwise(F.floor(y).cast("double"))
 
-    sound = F.forall(quoted(vector), lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
+    sound = F.forall(quoted(vector), lambda x: x.isNotNull() & (F.abs(x.cast("double") * scale) < float("inf")))
     return vectors.filter(quoted(key).isNotNull() & quoted(vector).isNotNull() & sound).select(
         quoted(key).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("asks"),
         F.transform(quoted(vector), whole).alias("point"))
@@ -200,49 +200,94 @@ def search_rows(vectors: DataFrame, is_query, key: str = "vec_id", vector: str =
     """For every query its ``k`` best rows of other keys by inner product: ``query_id, rank, vec_id, score``.
 
     Components become ``floor(scale * x)``, so scores are exact whole numbers; ties go to the smaller key.
-    ``is_query`` is a condition on the input's columns. Vectors that are null or hold null or non-finite components
-    take no part, nor do rows without a key. Every other row counts, however large its components: rows that share a
-    key are candidates of their own, and as queries are answered together by the ``k`` best of all their pairs. Only
-    vectors of the query's length are its candidates; fewer than ``k`` give fewer rows. An empty table, or one without
-    queries, gives none. Other columns are not read. A result whose score does not fit a long is an error.
-
-    Data lie in blocks and queries in batches of bounded size, both cut out of cells around a bounded number of
-    sampled pivots. A batch is first searched in its own cell, which gives every query a floor; then only in blocks
-    that can hold a score at or above the lowest floor of the batch, by the bound that also prunes inside the trees.
+    ``is_query`` is a condition on the input's columns. Vectors that are null or hold null or non-finite components,
+    before or after scaling, take no part, nor do rows without a key. Every other row counts, however large its
+    components: rows that share a key are candidates of their own, and as queries are answered together by the ``k``
+    best of all their pairs. Only vectors of the query's length are its candidates; fewer than ``k`` give fewer rows. An
+    empty table, or one without queries, gives none. Other columns are not read. A score that does not fit a long is
+    null; such scores are beyond all others of their sign, and equal among themselves.
+
+    Data lie in blocks and queries in batches of bounded size, both cut out of cells around sampled pivots, and cells
+    lie under upper cells. A batch is first searched in its own cell, which gives every query a floor; then only in
+    blocks that can hold a score at or above the lowest floor of the batch, by the bound that also prunes inside the
+    trees. Upper cells are compared first, and only under pairs that can matter blocks meet batches.
     """
     return _search(_scaled(vectors, is_query, key, vector, scale), k)
 
 
-def search_top(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = 5,
-               scale: float = 256.0) -> DataFrame:
-    """As ``search_rows`` for tables that are to have one vector of moderate size per key: vectors with components of
-    2**28 and more after scaling take no part, and of several rows with one key the vector that sorts first counts."""
-    small = F.forall(quoted(vector), lambda x: F.abs(x.cast("double") * scale) < LARGEST)
-    rows = _scaled(vectors.filter(small), is_query, key, vector, scale)
-    return _search(rows.groupBy("id").agg(F.min("point").alias("point"), F.max("asks").alias("asks")), k)
+def _nearest(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore", invalid="ignore"):
+        return ((pivots * pivots).sum(axis=1) - 2 * points @ pivots.T).argmin(axis=1)
 
 
-def _search(rows: DataFrame, k: int) -> DataFrame:
-    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "top-vectors")
-    count = rows.count()
-    cells = max(1, min(MAX_CELLS, -(-count // BLOCK_ROWS)))
-    pivots = [r.point for r in rows.orderBy(F.xxhash64("row"), "row").limit(cells).collect()]
+def _placing(pivots: list[list[float]]):
+    """The cell of a vector: its nearest upper pivot among the first, then the nearest of the pivots under that one.
+
+    Only pivots of a vector's length count; a vector that has none goes to cell 0.
+    """
+    trees: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+    for size in sorted({len(p) for p in pivots} - {0}):
+        own = np.array([p for p in pivots if len(p) == size], float)
+        heads = own[:FAN_CELLS]
+        under = _nearest(own, heads)
+        trees[size] = heads, [own[under == n] for n in range(len(heads))]
 
-    @F.pandas_udf("int")
     def cell_of(points: pd.Series) -> pd.Series:
         out = np.zeros(len(points), np.int32)
         sizes = points.map(len).to_numpy()
         for size in np.unique(sizes):
-            same = [(n, p) for n, p in enumerate(pivots) if len(p) == size]
-            if not same or not size:
+            if size not in trees:
                 continue
+            heads, below = trees[size]
             own = np.flatnonzero(sizes == size)
-            x, y = np.array(points.iloc[own].tolist(), float), np.array([p for _, p in same], float)
-            with np.errstate(over="ignore", invalid="ignore"):
-                far = (y * y).sum(axis=1) - 2 * x @ y.T
-            out[own] = np.array([n for n, _ in same])[far.argmin(axis=1)]
+            x = np.array(points.iloc[own].tolist(), float)
+            top = _nearest(x, heads)
+            for n in np.unique(top):
+                mine = top == n
+                sub = _nearest(x[mine], below[n]) if len(below[n]) else np.zeros(mine.sum(), int)
+                out[own[mine]] = (n << CELL_BITS) + sub
         return pd.Series(out)
 
+    # for annotations that are strings, Spark would have to guess
+    cell_of.__annotations__ = {"points": pd.Series, "return": pd.Series}
+    return cell_of
+
+
+def _can_reach() -> Column:
+    """Whether a pair of covers, ``q_`` and ``d_``, can hold a score at or above the least floor of the queries."""
+    reach = F.aggregate(F.zip_with("q_center", "d_center", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) + (
+        F.col("q_radius") * F.col("d_norm") + F.col("d_radius") * F.col("q_norm") + F.col("q_radius") * F.col("d_radius"))
+    rounding = 1e-9 * (F.col("q_norm") + F.col("q_radius")) * (F.col("d_norm") + F.col("d_radius"))
+    # a query that has fewer than k so far takes any block
+    return (F.col("q_least") == LOWEST) | (reach + rounding + 1e-6 >= F.col("q_least"))
+
+
+def _reaching(queries: DataFrame, data: DataFrame, q_by: str, d_by: str) -> DataFrame:
+    """Pairs of covers of vectors of one length that can hold a score that counts."""
+    left = queries.select(F.col(q_by)["size"].alias("size"), *[F.col(c).alias(f"q_{c}") for c in queries.columns])
+    right = data.select(F.col(d_by)["size"].alias("size"), *[F.col(c).alias(f"d_{c}") for c in data.columns])
+    return left.join(right, "size").filter(_can_reach())
+
+
+UPPER_COVER = "top struct<top:int,size:int>, center array<double>, radius double, norm double, least long"
+
+
+def _upper_cover(frame: pd.DataFrame) -> pd.DataFrame:
+    """One cover around the covers of a group."""
+    centers, radius = np.array(frame["center"].tolist(), float), frame["radius"].to_numpy(float)
+    with np.errstate(over="ignore", invalid="ignore"):
+        center = centers.mean(axis=0)
+        reach = float((np.sqrt(((centers - center) ** 2).sum(axis=1)) + radius).max()) * (1 + 1e-9)
+    least = frame["least"].min() if frame["least"].notna().all() else None
+    return pd.DataFrame({"top": [frame["top"].iloc[0]], "center": [center], "radius": [reach], "norm": [float(np.linalg.norm(center))],
+                         "least": pd.array([least], "Int64")})
+
+
+def _search(rows: DataFrame, k: int) -> DataFrame:
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "top-vectors")
+    count = rows.count()
+    cells = max(1, min(FAN_CELLS * FAN_CELLS, -(-count // BLOCK_ROWS)))
+    cell_of = F.pandas_udf(_placing([r.point for r in rows.orderBy(F.xxhash64("row"), "row").limit(cells).collect()]), "int")
     placed = materialize(rows.withColumn("cell", cell_of("point")).withColumn("size", F.size("point")), "top-cells")
     held = placed.groupBy("cell", "size").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("asks").cast("int")).alias("asked"))
@@ -274,19 +319,27 @@ def _search(rows: DataFrame, k: int) -> DataFrame:
     floored = materialize(asked.join(floors, "id", "left").withColumn(
         "floor", F.coalesce("floor", F.lit(LOWEST))), "top-floors")
     least = floored.groupBy("batch").agg(F.min("floor").alias("least"))
-    # a table of covers against a table of covers: nodes of the two trees, not rows
-    reach = F.aggregate(F.zip_with("q_center", "d_center", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) + (
-        F.col("q_radius") * F.col("d_norm") + F.col("d_radius") * F.col("q_norm") + F.col("q_radius") * F.col("d_radius"))
-    rounding = 1e-9 * (F.col("q_norm") + F.col("q_radius")) * (F.col("d_norm") + F.col("d_radius"))
-    others = (batches.join(least, "batch").withColumn("size", F.col("batch.size")).select(
-        "batch", "size", "least", *[F.col(c).alias(f"q_{c}") for c in ("center", "radius", "norm")])
-        .join(blocks.withColumn("size", F.col("block.size")).select(
-            "block", "size", *[F.col(c).alias(f"d_{c}") for c in ("center", "radius", "norm")]), "size")
-        .filter(F.col("batch.cell") != F.col("block.cell"))
-        # a query that has fewer than k so far takes any block
-        .filter((F.col("least") == LOWEST) | (reach + rounding + 1e-6 >= F.col("least"))))
+
+    def upper(covers: DataFrame, by: str, name: str) -> DataFrame:
+        """Covers of the upper cells, each with the least floor under it."""
+        under = covers.select(F.struct(F.shiftright(F.col(by)["cell"], CELL_BITS).alias("top"), F.col(by)["size"].alias("size")).alias("top"),
+                              "center", "radius", "least" if "least" in covers.columns else F.lit(None).cast("long").alias("least"))
+        return materialize(under.groupBy("top").applyInPandas(_upper_cover, UPPER_COVER), name)
+
+    batches = materialize(batches.join(least, "batch"), "top-batch-floors")
+    tops = _reaching(upper(batches, "batch", "top-query-uppers"), upper(blocks, "block", "top-data-uppers"), "top", "top")
+    # nodes of the two trees, not rows: upper cells against upper cells, then only what lies under the pairs left
+    tops = materialize(tops.select(F.col("q_top").alias("q_top"), F.col("d_top").alias("d_top")), "top-upper-pairs")
+
+    def under(covers: DataFrame, by: str, side: str) -> DataFrame:
+        top = F.struct(F.shiftright(F.col(by)["cell"], CELL_BITS).alias("top"), F.col(by)["size"].alias("size"))
+        return covers.select(*[F.col(c).alias(f"{side}_{c}") for c in covers.columns], top.alias(f"{side}_top"))
+
+    near = tops.join(under(batches, "batch", "q"), "q_top").join(under(blocks, "block", "d"), "d_top")
+    others = near.filter(_can_reach() & (F.col("q_batch.cell") != F.col("d_block.cell"))).select(
+        F.col("d_block").alias("block"), F.col("q_batch").alias("batch"))
     rest = searched(others, floored)
-    score = F.when(F.abs("score") >= BEYOND, F.raise_error(F.lit("a score does not fit a long"))).otherwise(F.col("score"))
+    score = F.when(F.abs("score") < BEYOND, F.col("score"))
     return _best(first.select("query_id", "vec_id", "score").unionByName(rest), k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))
 

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import beaconry.llm.topk_search as top
@@ -33,13 +32,53 @@ def awkward_rows(seed, count, dims=6):
     return rows + again + [rows[3], rows[3], rows[10], rows[10]] + large + none
 
 
-@pytest.mark.parametrize("seed, count, block", [(1, 300, 4096), (2, 400, 60)])
-def test_all_rows_against_brute_force(spark, monkeypatch, seed, count, block):
+def found_in(spark, rows, k=5):
+    found = top.search_rows(spark.createDataFrame(rows, KIND).repartition(3), F.col("vec_id") % 5 == 0, k=k).collect()
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
+
+
+@pytest.mark.parametrize("seed, count, block, fan, k", [(1, 300, 4096, 256, 5), (2, 400, 60, 256, 5), (3, 500, 20, 4, 5), (4, 400, 30, 3, 2),
+                                                        (5, 4, 4096, 256, 5)])
+def test_all_rows_against_brute_force(spark, monkeypatch, seed, count, block, fan, k):
+    """One block, cells under one upper cell each, and cells under upper cells that hold several."""
     monkeypatch.setattr(top, "BLOCK_ROWS", block)
     monkeypatch.setattr(top, "BATCH_ROWS", max(2, block // 4))
-    rows = awkward_rows(seed, count)
-    found = top.search_rows(spark.createDataFrame(rows, KIND).repartition(3), F.col("vec_id") % 5 == 0).collect()
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == brute_rows(rows, 5)
+    monkeypatch.setattr(top, "FAN_CELLS", fan)
+    rows = awkward_rows(seed, count) if count > 10 else awkward_rows(seed, 12)[:count]
+    assert found_in(spark, rows, k) == brute_rows(rows, k)
+
+
+def test_ties_go_to_the_smaller_key(spark, monkeypatch):
+    monkeypatch.setattr(top, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(9)
+    rows = [(n, v.tolist()) for n, v in enumerate(rng.integers(-1, 2, (400, 6)) / 256)]
+    assert found_in(spark, rows, 3) == brute_rows(rows, 3)
+
+
+def test_no_rows_and_no_queries(spark):
+    frame = spark.createDataFrame(awkward_rows(1, 20), KIND)
+    assert top.search_rows(frame.limit(0), F.col("vec_id") % 5 == 0).count() == 0
+    assert top.search_rows(frame, F.lit(False)).count() == 0
+
+
+def test_pairs_of_blocks_grow_less_than_with_the_square(spark, monkeypatch):
+    """Clusters that lie apart: a batch meets the blocks of its own cluster, however many others there are."""
+    monkeypatch.setattr(top, "BLOCK_ROWS", 25)
+    monkeypatch.setattr(top, "FAN_CELLS", 64)
+    met = []
+    written = top.materialize
+    monkeypatch.setattr(top, "materialize", lambda df, label: (lambda t: (met.append((label, t.count())), t)[1])(written(df, label)))
+    pairs, covers = [], []
+    for clusters in (4, 8, 16):
+        rng = np.random.default_rng(clusters)
+        centers = np.eye(16)[:clusters] * 50
+        rows = [(n, (centers[n % clusters] + rng.normal(size=16) * 0.01).tolist()) for n in range(100 * clusters)]
+        met.clear()
+        assert found_in(spark, rows) == brute_rows(rows, 5)
+        pairs.append(sum(n for label, n in met if label == "top-pairs"))
+        covers.append([n for label, n in met if label in ("top-block-covers", "top-batch-covers")])
+    # four times the rows, well under sixteen times the pairs, which all pairs of covers would be
+    assert pairs[2] < 8 * pairs[0] and pairs[2] < covers[2][0] * covers[2][1] / 3, (pairs, covers)
 
 
 def test_the_query_takes_all_rows(spark, tmp_path):
@@ -53,9 +92,10 @@ def test_a_score_beyond_a_long_is_no_wrong_score(spark):
     rows = [(0, [2.0**40, 1.0]), (1, [-(2.0**40), 1.0]), (2, [1.0, 1.0]), (3, [0.0, 1.0])]
     of = lambda rows, k: top.search_rows(spark.createDataFrame(rows, KIND), F.col("vec_id") % 5 == 0, k=k)
     assert [(r.vec_id, r.score) for r in of(rows, 2).orderBy("rank").collect()] == [(2, 2**56 + 2**16), (3, 2**16)]
-    for more, k in (([], 3), ([(4, [2.0**40, 0.0])], 2)):
-        with pytest.raises(PySparkException, match="does not fit a long"):
-            of(rows + more, k).collect()
+    # a score that does not fit is null, but it is the best or the worst
+    assert [(r.vec_id, r.score) for r in of(rows, 3).orderBy("rank").collect()] == [(2, 2**56 + 2**16), (3, 2**16), (1, None)]
+    assert [(r.vec_id, r.score) for r in of(rows + [(4, [2.0**40, 0.0])], 2).orderBy("rank").collect()] == [(4, None), (2, 2**56 + 2**16)]
+    assert of([(0, [1e307]), (1, [1.0])], 2).count() == 0
 
 
 def test_products_of_any_size():

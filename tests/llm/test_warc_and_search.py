@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import beaconry.llm.topk_search as top
 import beaconry.llm.warc as warc
-from beaconry.llm.topk_search import CoverTree, dual_search, search_top
+from beaconry.llm.topk_search import CoverTree, dual_search
 from beaconry.llm.warc import _line, _unline, read_warc, records_of, write_warc
 from beaconry.session import fresh_path
 
@@ -113,50 +113,6 @@ def test_header_values_stay_on_a_line():
 # ------------------------------------------------------------ search
 
 
-def brute_top(rows, k):
-    vectors = {}
-    for key, v in rows:
-        if key is None or v is None or any(x is None or not np.isfinite(x) or abs(256 * x) >= top.LARGEST for x in v):
-            continue
-        p = [int(np.floor(256.0 * x)) for x in v]
-        vectors[key] = min(vectors.get(key, p), p)
-    out = []
-    for q, a in vectors.items():
-        if q % 5 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), d) for d, b in vectors.items() if d != q and len(b) == len(a))
-            out += [(q, n + 1, d, -s) for n, (s, d) in enumerate(scores[:k])]
-    return sorted(out)
-
-
-def rows_of(seed, count, dims=6, whole=False):
-    rng = np.random.default_rng(seed)
-    centers = rng.normal(size=(4, dims))
-    points = centers[rng.integers(0, 4, count)] + rng.normal(size=(count, dims)) * 0.1
-    if whole:
-        points = rng.integers(-1, 2, (count, dims)) / 256
-    rows = [(n, p.tolist()) for n, p in enumerate(points)]
-    return rows + [(count, None), (count + 5, [float("nan")] * dims), (count + 10, [None] * dims), (None, [0.1] * dims), (count + 15, []),
-                   (count + 20, [1e300] * dims), (count + 25, [0.5] * (dims - 1)), (count + 26, [0.25] * (dims - 1)), (0, [9.0] * dims),
-                   (3, rows[3][1]), (count + 30, [float("inf")] + [0.0] * (dims - 1))]
-
-
-@pytest.mark.parametrize("seed, count, k, whole, block", [(1, 400, 5, False, 4096), (2, 400, 3, True, 50), (3, 700, 5, False, 60),
-                                                          (4, 4, 5, False, 4096)])
-def test_search_against_brute_force(spark, monkeypatch, seed, count, k, whole, block):
-    monkeypatch.setattr(top, "BLOCK_ROWS", block)
-    monkeypatch.setattr(top, "BATCH_ROWS", max(2, block // 4))
-    rows = rows_of(seed, count, whole=whole)
-    frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, cell int")
-    found = search_top(frame, F.col("vec_id") % 5 == 0, k=k).collect()
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == brute_top(rows, k)
-
-
-def test_search_without_rows_or_queries(spark):
-    frame = spark.createDataFrame(rows_of(1, 20), "vec_id long, embedding array<double>")
-    assert search_top(frame.limit(0), F.col("vec_id") % 5 == 0).count() == 0
-    assert search_top(frame, F.lit(False)).count() == 0
-
-
 def test_cover_tree_covers(monkeypatch):
     monkeypatch.setattr(top, "LEAF", 20)
     points = np.random.default_rng(5).normal(size=(700, 8))
