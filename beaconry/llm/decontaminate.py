@@ -19,6 +19,8 @@ K1, B = 1.2, 0.75
 BLOCK = 4
 #: postings of an index part; a larger benchmark is searched part by part, with the same results
 PART_POSTINGS = 1_000_000
+#: parts that the driver and a task hold together, about 200 MB; of a larger benchmark what was found is written between
+HELD_PARTS = 4
 #: cells of the passages-by-blocks table that is held at once
 CELLS = 1 << 22
 
@@ -148,8 +150,8 @@ class Index:
         return [[(key, *hit) for place, hit in f.items() for key in self.keys[place]] for f in found]
 
 
-def _build(items: DataFrame) -> list[list[Index]]:
-    """The index of all items, in parts of bounded size, each a list by length class; document frequencies count over
+def _build(items: DataFrame) -> Iterator[list[Index]]:
+    """The index of all items, one part of bounded size after the other, each a list by length class; document frequencies count over
     all parts. An item's class is the power of two that its tokens fill, so its passages depend on no other item."""
     # an item is a distinct text, whatever ids it is given under, or none
     named = items.filter(F.col("text").isNotNull()).select(
@@ -167,7 +169,7 @@ def _build(items: DataFrame) -> list[list[Index]]:
     postings = materialize(rows.select("item", "text").mapInArrow(listed, "item long, term long, n long"), "bm25-postings")
     whole = postings.agg(F.countDistinct("item").alias("items"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("rows")).first()
     if not whole["items"]:
-        return []
+        return
     mean = whole["size"] / whole["items"]
     spread = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     length = postings.groupBy("item").agg(F.sum("n").alias("length"))
@@ -175,7 +177,6 @@ def _build(items: DataFrame) -> list[list[Index]]:
     impact = idf * F.col("n") * (K1 + 1) / (F.col("n") + K1 * (1 - B + B * F.col("length") / mean))
     scored = postings.join(spread, "term").join(length, "item").select("item", "term", "length", impact.alias("impact"))
     parts = -(-whole["rows"] // PART_POSTINGS)
-    indexes = []
     for part in range(parts):
         own = F.pmod(F.xxhash64("item"), F.lit(parts)) == part
         table = scored.filter(own).toPandas()
@@ -189,8 +190,7 @@ def _build(items: DataFrame) -> list[list[Index]]:
         sides = pd.DataFrame(sides, columns=["item", "keys", "question", "answer"])
         table = table.sort_values(["item", "term"])
         longest = table["length"].map(lambda n: 1 << (int(n) - 1).bit_length())
-        indexes.append([Index(own, sides[sides["item"].isin(own["item"])], most) for most, own in table.groupby(longest)])
-    return indexes
+        yield [Index(own, sides[sides["item"].isin(own["item"])], most) for most, own in table.groupby(longest)]
 
 
 def _searching(classes: list[Index], least: float, overlap: float):
@@ -224,12 +224,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     Documents without text, and all documents if there are no items, have an empty array; items without text or token
     find nothing. An item is a text: texts that share a key are items each, and a text given under several keys, a null
     one among them, counts once and is reported under each. Repeated documents are judged alike; an input column
-    ``leaks`` is replaced. Documents are not shuffled. The index is collected in parts of bounded size.
+    ``leaks`` is replaced. Documents are not shuffled. The index is made in parts of bounded size, at most ``HELD_PARTS``
+    of which are held at a time; only a benchmark of more parts has the documents written between.
     """
-    leaks = F.from_json(F.lit("[]"), HIT)
-    for classes in _build(items.select(quoted(item_key).alias("key"), quoted(item_text).alias("text"))):
-        leaks = F.concat(leaks, F.arrow_udf(_searching(classes, least, overlap), HIT)(quoted(text).cast("binary")))
-    return unpacked(packed(docs, leaks=F.array_sort(leaks)), docs.columns, {}, {"leaks": F.col("leaks")})
+    rows, body, leaks = packed(docs), F.col("row")[text].cast("binary"), F.from_json(F.lit("[]"), HIT)
+    for n, classes in enumerate(_build(items.select(quoted(item_key).alias("key"), quoted(item_text).alias("text")))):
+        if n and n % HELD_PARTS == 0:
+            rows, leaks = materialize(rows.select("row", leaks.alias("leaks")), "leaks-so-far"), F.col("leaks")
+        leaks = F.concat(leaks, F.arrow_udf(_searching(classes, least, overlap), HIT)(body))
+    return unpacked(rows.select("row", F.array_sort(leaks).alias("leaks")), docs.columns, {}, {"leaks": F.col("leaks")})
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> DataFrame:

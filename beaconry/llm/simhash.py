@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconry.llm.common import all_of, packed, quoted, unpacked, wide_hash
 from beaconry.llm.components import connected
+from beaconry.operators.skew import sized_join
 from beaconry.session import materialize
 
 SEED = 42
@@ -173,24 +175,22 @@ def _rearranged(codes: np.ndarray, fields: list[tuple[int, int]]) -> np.ndarray:
     return out
 
 
-def link_codes(codes: DataFrame, distance: int) -> DataFrame:
-    """Star edges ``(a, b)`` between codes, ``b < a``, that join all codes within the distance of each other.
+#: codes of a group that one task searches; a larger group is cut by more of its bits
+HOT = 1 << 20
 
-    ``codes`` has distinct longs ``code``. A ball of radius 3 holds 43,745 codes, so a group that is larger is not
-    dense and the index prunes it.
-    """
-    ways = _layout(codes.count(), distance)
-    chosen = len(ways[0]) - distance
 
-    def masked(way: list[tuple[int, int]]) -> int:
-        bits = sum(((1 << width) - 1) << shift for shift, width in way[:chosen])
-        return bits - (1 << 64) if bits >> 63 else bits
+def _finer(way: list[tuple[int, int]], chosen: int) -> list[list[tuple[int, int]]]:
+    """Ways to choose, beside a way's chosen blocks, half of the halves of its other blocks (pigeonhole again)."""
+    halves = [f for shift, width in way[chosen:] for f in ((shift + width // 2, width - width // 2), (shift, width // 2)) if f[1]]
+    free = len(way) - chosen
+    return [way[:chosen] + [halves[i] for i in more] + [f for i, f in enumerate(halves) if i not in more]
+            for more in combinations(range(len(halves)), len(halves) - free)]
 
-    spread = codes.select("code", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("way"), F.col("code").bitwiseAND(F.lit(masked(w))).alias("part"))
-        for n, w in enumerate(ways)])).alias("p")).select("p.way", "p.part", "code")
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(ways: list[list[tuple[int, int]]], chosen: list[int], distance: int):
+    """Star edges inside the groups of codes that agree on a way's chosen blocks."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
         if not parts:
             return
@@ -200,7 +200,7 @@ def link_codes(codes: DataFrame, distance: int) -> DataFrame:
             own = code[way == n]
             own = own[np.argsort(gray_rank(_rearranged(own, ways[n])))]
             # other groups' codes are found where they are in a group with this one
-            chosen_bits = sum(width for _, width in ways[n][:chosen])
+            chosen_bits = sum(width for _, width in ways[n][:chosen[n]])
             root = GrayIndex(_rearranged(own, ways[n])).link(distance, same=(1 << 64) - (1 << 64 - chosen_bits))
             value = own.view(np.int64)
             # the smallest code of a component, so that all tasks name it alike
@@ -210,8 +210,53 @@ def link_codes(codes: DataFrame, distance: int) -> DataFrame:
             moved = least != value
             yield pa.RecordBatch.from_arrays([pa.array(value[moved]), pa.array(least[moved])], ["a", "b"])
 
-    return (spread.repartition("way", "part").select("way", "code")
-            .mapInArrow(linked, "a long, b long").distinct())
+    return of_batches
+
+
+def _spread(codes: DataFrame, ways: list[list[tuple[int, int]]], chosen: list[int], of_way: Column | None = None) -> DataFrame:
+    """Each code with its group in every way, or in the finer ways of the way it is in."""
+    def masked(n: int) -> int:
+        bits = sum(((1 << width) - 1) << shift for shift, width in ways[n][:chosen[n]])
+        return bits - (1 << 64) if bits >> 63 else bits
+
+    def groups(numbers: list[int]) -> Column:
+        return F.array(*[F.struct(F.lit(n).alias("way"), F.col("code").bitwiseAND(F.lit(masked(n))).alias("part")) for n in numbers])
+
+    return codes.select("code", F.explode(groups(list(range(len(ways)))) if of_way is None else of_way(groups)).alias("p")) \
+        .select("p.way", "p.part", "code")
+
+
+def link_codes(codes: DataFrame, distance: int) -> DataFrame:
+    """Star edges ``(a, b)`` between codes, ``b < a``, that join all codes within the distance of each other.
+
+    ``codes`` has distinct longs ``code``. A ball of radius 3 holds 43,745 codes, so a group that is larger is not
+    dense and the index prunes it. Groups are counted first, and those of more than ``HOT`` codes are dealt out again by
+    half of their other bits, with the same links.
+    """
+    ways = _layout(codes.count(), distance)
+    chosen = [len(ways[0]) - distance] * len(ways)
+    spread = _spread(codes, ways, chosen)
+    hot = materialize(spread.groupBy("way", "part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("way", "part"),
+                      "simhash-hot")
+    edges = "a long, b long"
+    if hot.isEmpty():
+        return spread.repartition("way", "part").select("way", "code").mapInArrow(_linked(ways, chosen, distance), edges).distinct()
+    cold = sized_join(spread, hot, ["way", "part"], "left_anti")
+    found = cold.repartition("way", "part").select("way", "code").mapInArrow(_linked(ways, chosen, distance), edges)
+    finer, of, more = [], [], []
+    for n, way in enumerate(ways):
+        for f in _finer(way, chosen[n]):
+            finer.append(f)
+            of.append(n)
+            more.append(len(f) - distance)
+
+    def under(groups) -> Column:
+        return reduce(lambda other, n: F.when(F.col("way") == n, groups([i for i, w in enumerate(of) if w == n])).otherwise(other),
+                      range(len(ways)), F.lit(None))
+
+    again = _spread(sized_join(spread, hot, ["way", "part"], "left_semi"), finer, more, under)
+    split = again.repartition("way", "part").select("way", "code").mapInArrow(_linked(finer, more, distance), edges)
+    return found.unionByName(split).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,

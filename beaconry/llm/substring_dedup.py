@@ -1,10 +1,10 @@
 """Passages that occur more than once, found by factoring documents against an index of the corpus.
 
-The reference of the factoring is the corpus itself. Its index is cut into blocks by anchor: the least hashed phrase
-of ``PHRASE`` words in a window. Equal windows have equal anchors, so all places a long factor can start from lie in
-one block, and a document is factored against every block that holds one of its repeated anchors, and no other.
-A factor grows word by word from the first place of an anchor's run; where it ends, every window across its end is
-looked up itself, so no repeated window is lost at a factor's boundary.
+After relative Lempel-Ziv parsing, with two departures. The reference is the corpus itself, and its index is cut into
+blocks by anchor: the least hashed phrase of ``PHRASE`` words in a window. Equal windows have equal anchors, so a document
+has to meet only the blocks of its repeated anchors. And factors are not grown greedily from a place of the reference: in
+a block the windows of all documents are compared by 96-bit hashes, and a factor is a run of windows that occur again,
+also across the ends of anchors' runs. Greedy factors would need every place of a frequent phrase at one task.
 """
 
 from __future__ import annotations

@@ -65,6 +65,7 @@ def test_passages_do_not_depend_on_other_items(spark, monkeypatch, part):
     near = [f"so far {t} and on" for _, t in short]
     texts = apart + near + [items[12][1] + " tail", "head " + items[12][1], *at_offsets(ITEM, 20), *at_offsets(SMALL, 20)]
     monkeypatch.setattr(leaks, "PART_POSTINGS", part)
+    monkeypatch.setattr(leaks, "HELD_PARTS", 2 if part < 100 else 4)
     rows = found_in(spark, texts, items)
     want = brute_leaks(texts, items)
     assert {(r.doc_id, r.item) for r in rows} == want

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import beaconry.llm.simhash as simhash
 import beaconry.llm.substring_dedup as substrings
 from beaconry.llm.components import connected
 from beaconry.llm.simhash import GrayIndex, _layout, _rearranged, gray_rank, link_codes, near_duplicates, one_of_each
@@ -149,3 +150,34 @@ def test_passages_of_an_empty_table(spark):
     assert substrings.dedup_substrings(empty_docs(spark)).count() == 0
     with pytest.raises(ValueError):
         substrings.dedup_substrings(empty_docs(spark), size=70)
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 40, 3])
+def test_links_do_not_depend_on_how_groups_are_cut(spark, monkeypatch, hot):
+    """A template that most fingerprints share, with links over the cut bits."""
+    monkeypatch.setattr(simhash, "HOT", hot)
+    rng = np.random.default_rng(2)
+    template = int(rng.integers(0, 2**63)) << 1
+    codes = {template ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 9), replace=False)) for _ in range(500)}
+    codes |= {int(c) for c in rng.integers(0, 2**63, 60)}
+    signed = [c - 2**64 if c >= 2**63 else c for c in codes]
+    edges = link_codes(spark.createDataFrame([(c,) for c in signed], "code long").repartition(3), 3).collect()
+    root = {c: c for c in signed}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in edges:
+        assert ((r.a ^ r.b) % 2**64).bit_count() and r.b < r.a
+        x, y = find(r.a), find(r.b)
+        root[max(x, y)] = min(x, y)
+    want = brute_components(codes)
+    groups = {}
+    for c in signed:
+        groups.setdefault(find(c), set()).add(c % 2**64)
+    wanted = {}
+    for c, r in want.items():
+        wanted.setdefault(r, set()).add(c)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values())) and len(wanted) < len(codes)
