@@ -18,7 +18,7 @@ from beaconry.plans import layers, marts
 from beaconry.plans.dimensions import apply_changes, read_dimension
 from beaconry.plans.ledger import Run, visible
 from beaconry.session import scratch
-from beaconry.sources.buckets import current_fold, merge_buckets, read_buckets
+from beaconry.sources.buckets import BUCKETS, current_fold, merge_buckets, read_buckets
 from beaconry.sources.files import delete
 from beaconry.sources.tables import (
     current_version,
@@ -37,10 +37,13 @@ KEPT_VERSIONS = 3
 
 
 class Warehouse:
-    """Table locations under one root folder, by layer."""
+    """Table locations under one root folder, by layer.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    ``buckets`` is the number of buckets of new master tables and dimensions: enough that one fits a few tasks.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -52,11 +55,12 @@ class Warehouse:
         return replace_table(df.select(*self.schema(layer, table).names), self.path(layer, table), KEPT_VERSIONS)
 
     def merge(self, layer: str, table: str, rows: DataFrame) -> None:
-        merge_buckets(self.spark, self.path(layer, table), self.schema(layer, table), schemas.KEYS[table], rows, keep=KEPT_VERSIONS - 1)
+        merge_buckets(self.spark, self.path(layer, table), self.schema(layer, table), schemas.KEYS[table], rows,
+                      buckets=self.buckets, keep=KEPT_VERSIONS - 1)
 
     def apply(self, table: str, changes: DataFrame) -> None:
         apply_changes(self.spark, self.path("dmt", f"dim_{table}"), self.schema("dmt", f"dim_{table}"), schemas.KEYS[table],
-                      changes, latest_by=["update_time"], keep=KEPT_VERSIONS - 1)
+                      changes, latest_by=["update_time"], buckets=self.buckets, keep=KEPT_VERSIONS - 1)
 
     def version(self, layer: str, table: str) -> int:
         return (current_version if (layer, table) in REPLACED else current_fold)(self.spark, self.path(layer, table))

@@ -390,7 +390,7 @@ def _dimension(table: str) -> None:
     @query(f"stored_dim_{table}", table, sql)
     def build_stored(t: Tables):
         """The same dimension as the warehouse stores it, by bucket and ended year."""
-        wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"))
+        wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"), buckets=8)
         src = layers.build_src_master(getattr(t, table), table, NOW)
         wh.apply(table, marts.dim_changes(src, table, "1990-01-01", "2024-01-01"))
         wh.apply(table, marts.dim_changes(increment(t, table), table, "2024-01-01", "2024-02-01"))
@@ -610,7 +610,7 @@ BUILD_VIEWS = "metric server app metric_index metric_threshold"
 def build_all(t: Tables, build):
     """Two builds into one warehouse: everything up to mid January, then the rest with server upgrades."""
     first, last = min(t.days[0], "1995-01-01"), max(t.days[1], "2024-01-16")
-    wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"))
+    wh = daily.Warehouse(t.spark, fresh_path(t.spark, "warehouse"), buckets=8)
     # servers change in one batch per app, so the increments fill few date partitions
     server = t.server.withColumn("update_time", F.expr("creation_time + make_dt_interval(CAST(app_id AS INT))"))
     master = {"app": t.app, "server": server, "metric_index": t.metric_index, "metric_threshold": t.metric_threshold.drop("peak")}
