@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from beaconry import schemas
 from beaconry.functions.times import align_tick
 from beaconry.operators.aggregates import incident_registry, server_severity
 from beaconry.operators.joins import enrich_alert, enrich_server
-from beaconry.operators.merge import latest_per_key
+from beaconry.operators.skew import measure
 from beaconry.streaming.incidents import HOST, INCIDENT
 from beaconry.streaming.sinks import Sink, read_upserts
 
@@ -74,17 +76,20 @@ def change_sink(server: Callable[[], DataFrame], alert_index: Callable[[], DataF
         batch.persist()
         try:
             servers, index = server().withColumnRenamed("id", "server_id"), alert_index()
+            measure(servers, index)
             changed = enrich_alert(enrich_server(batch.filter(F.col("kind") == INCIDENT), servers), index)
-            registry(changed.filter(is_known()).select(*LIVE_REGISTRY.names), batch_id)
             hosts = enrich_server(batch.filter(F.col("kind") == HOST).drop("message"), servers)
-            hosts = hosts.filter(F.col("server_id").isNotNull())
-            open_ = hosts.select("server_id", "as_of", "seq", F.explode_outer("pending").alias("message"))
-            rated = enrich_alert(open_, index).groupBy("server_id", "as_of", "seq").agg(
+            open_ = hosts.filter(F.col("server_id").isNotNull()).select("server_id", "as_of", F.explode_outer("pending").alias("message"))
+            # a host has one row in a batch
+            rated = enrich_alert(open_, index).groupBy("server_id", "as_of").agg(
                 F.coalesce(F.max("severity"), F.lit(0)).cast("int").alias("severity"))
             stamped = rated.select("server_id", align_tick("as_of").cast("long").alias("timestamp"),
-                                   F.lit(ALERT_SOURCE).alias("src_type"), "severity", "seq")
-            last = latest_per_key(stamped, ["server_id", "timestamp", "src_type"], [F.desc("seq")])
-            states(last.drop("seq"), batch_id)
+                                   F.lit(ALERT_SOURCE).alias("src_type"), "severity")
+            with ThreadPoolExecutor(2) as pool:
+                writing = [pool.submit(copy_context().run, registry, changed.filter(is_known()).select(*LIVE_REGISTRY.names), batch_id),
+                           pool.submit(copy_context().run, states, stamped, batch_id)]
+            for one in writing:
+                one.result()
         finally:
             batch.unpersist()
 

@@ -31,8 +31,8 @@ def _host_changes(ttl: int | None):
         incidents: dict[str, dict[str, list[bool]]] = json.loads(stored)
         changed: dict[tuple[str, str], bool] = {}
         for batch in () if state.hasTimedOut else batches:
-            for ts, message, status, at in batch[["incident_ts", "message", "status", "as_of"]].itertuples(index=False):
-                ts, at = str(ts), int(at)
+            for ts, message, status, at in zip(*(batch[c].tolist() for c in ("incident_ts", "message", "status", "as_of"))):
+                ts = str(ts)
                 flags = incidents.setdefault(ts, {}).setdefault(message, [False, False])
                 place = status == "CLOSED"
                 if not flags[place]:
@@ -54,7 +54,8 @@ def _host_changes(ttl: int | None):
         if ttl is not None and incidents:
             # a timer goes off once the watermark has passed it
             state.setTimeoutTimestamp(max(min(map(int, incidents)) * 1000 - 1, watermark + 1))
-        yield pd.DataFrame(rows, columns=CHANGES.names).astype({c: "Int64" for c in ("incident_ts", "as_of", "seq")})
+        # plain objects: a host has a few rows, and column types would cost more than all the rest
+        yield pd.DataFrame(dict(zip(CHANGES.names, map(list, zip(*rows)))), dtype=object)
 
     return update
 
@@ -68,7 +69,8 @@ def incident_changes(alerts: DataFrame, ttl: int | None, clock: Callable[[], int
     dated in the future expires nothing. Without a time to live no alert is ever too late and nothing is forgotten.
     Folding is a logical or, so neither the order of alerts nor a repeated one changes what is held.
 
-    Host rows are stamped with event time, ``as_of``, and numbered per host by ``seq``; of several the last one holds.
+    A batch has one row per host concerned, stamped with event time, ``as_of``, which never goes back, and numbered per
+    host by ``seq``.
     A batch reads and writes the state of the hosts it names or whose incidents expire, and no other.
     """
     now = F.lit(clock()).cast("timestamp") if clock else F.current_timestamp()
