@@ -46,7 +46,7 @@ def extracts(spark, seed, metric):
 
 @pytest.fixture(scope="module")
 def warehouse(spark, tmp_path_factory):
-    wh = daily.Warehouse(spark, str(tmp_path_factory.mktemp("warehouse")))
+    wh = daily.Warehouse(spark, str(tmp_path_factory.mktemp("warehouse")), buckets=4)
     daily.build_day(wh, extracts(spark, SEED1, METRIC1), DAY1, DAY2, "2018-09-02 01:00:00",
                     calendar=(f"{DAY1} 00:00:00", "2018-09-30 23:00:00"))
     daily.build_day(wh, extracts(spark, SEED2, METRIC2), DAY2, DAY3, "2018-09-03 01:00:00")
@@ -127,7 +127,7 @@ def whole(warehouse):
 
 def test_a_stopped_build_goes_on(spark, tmp_path, whole):
     """Stopped after every step, a build does none twice and ends as one that was never stopped."""
-    wh = daily.Warehouse(spark, str(tmp_path))
+    wh = daily.Warehouse(spark, str(tmp_path), buckets=4)
     calendar = (f"{DAY1} 00:00:00", "2018-09-30 23:00:00")
     daily.build_day(wh, extracts(spark, SEED1, METRIC1), DAY1, DAY2, "2018-09-02 01:00:00", calendar=calendar)
     before = contents(daily.Published(wh))
@@ -152,7 +152,7 @@ def test_a_stopped_build_goes_on(spark, tmp_path, whole):
 
 
 def test_another_token_builds_the_range_anew(spark, tmp_path):
-    wh = daily.Warehouse(spark, str(tmp_path))
+    wh = daily.Warehouse(spark, str(tmp_path), buckets=4)
     calendar = (f"{DAY1} 00:00:00", "2018-09-30 23:00:00")
     seen = []
 
@@ -258,7 +258,7 @@ def test_src_typing_turns_bad_times_into_null(spark):
 
 def test_a_stray_row_does_not_replace_an_older_day(spark, tmp_path):
     """Extracts are cut to the range that is built; other days and unreadable times go to quarantine."""
-    wh = daily.Warehouse(spark, str(tmp_path))
+    wh = daily.Warehouse(spark, str(tmp_path), buckets=4)
     masters = {n: spark.createDataFrame(SEED1[n], schemas.MASTER[n]) for n in schemas.MASTER_TABLES}
     nothing = {n: spark.createDataFrame([], schemas.MASTER[n]) for n in schemas.MASTER_TABLES}
 

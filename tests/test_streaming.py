@@ -20,6 +20,15 @@ from tests.helpers import rows
 T0 = int(datetime(2024, 1, 1).timestamp())
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """Every micro-batch opens each partition's state, so there are as few as show the point."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def masters(spark):
     server = spark.createDataFrame([(1, 1, "svr1", 4, 8, None, None), (2, 1, "svr2", 4, 8, None, None)], schemas.MASTER["server"])
@@ -182,12 +191,12 @@ def test_an_expired_incident_clears_its_server_when_time_moves_elsewhere(spark,
 def test_registry_does_not_depend_on_the_batches(spark, masters, tmp_path):
     alerts = [alert(i, "OPEN" if i % 3 else "CLOSED", i * 7 % 200, f"svr{i % 2 + 1}", ("disk", "net")[i % 5 % 2]) for i in range(60)]
     found = []
-    for k, size in enumerate((60, 7, 1)):
+    for k, size in enumerate((60, 13, 1)):
         folder, root = Folder(spark, tmp_path / f"in{k}"), str(tmp_path / f"out{k}")
-        for at in range(0, 60 if size > 1 else 12, size):
+        for at in range(0, 60 if size > 1 else 5, size):
             folder.add("al", *alerts[at:at + size])
         if size == 1:
-            folder.add("al", *alerts[12:])
+            folder.add("al", *alerts[5:])
         run_alerts(folder, masters, root, ttl=60)
         found.append(rows(al.read_registry(spark, f"{root}/registry")))
     assert found[0] == found[1] == found[2] and found[0]
