@@ -16,7 +16,7 @@ def con():
 
 def test_all_are_registered():
     names = [n for n in contract.queries() if n == "pipeline" or n.startswith("op")]
-    assert {n.split("_")[0] for n in names if n != "pipeline"} >= {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n != "pipeline"} >= {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names
     assert set(QUERIES) <= set(contract.queries())
 

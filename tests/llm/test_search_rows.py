@@ -37,7 +37,7 @@ def found_in(spark, rows, k=5):
     return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found)
 
 
-@pytest.mark.parametrize("seed, count, block, fan, k", [(1, 300, 4096, 256, 5), (2, 400, 60, 256, 5), (3, 500, 20, 4, 5), (4, 400, 30, 3, 2),
+@pytest.mark.parametrize("seed, count, block, fan, k", [(1, 300, 4096, 256, 5), (2, 300, 60, 256, 2), (3, 400, 20, 4, 5),
                                                         (5, 4, 4096, 256, 5)])
 def test_all_rows_against_brute_force(spark, monkeypatch, seed, count, block, fan, k):
     """One block, cells under one upper cell each, and cells under upper cells that hold several."""
@@ -69,7 +69,7 @@ def test_pairs_of_blocks_grow_less_than_with_the_square(spark, monkeypatch):
     written = top.materialize
     monkeypatch.setattr(top, "materialize", lambda df, label: (lambda t: (met.append((label, t.count())), t)[1])(written(df, label)))
     pairs, covers = [], []
-    for clusters in (4, 8, 16):
+    for clusters in (4, 16):
         rng = np.random.default_rng(clusters)
         centers = np.eye(16)[:clusters] * 50
         rows = [(n, (centers[n % clusters] + rng.normal(size=16) * 0.01).tolist()) for n in range(100 * clusters)]
@@ -78,7 +78,7 @@ def test_pairs_of_blocks_grow_less_than_with_the_square(spark, monkeypatch):
         pairs.append(sum(n for label, n in met if label == "top-pairs"))
         covers.append([n for label, n in met if label in ("top-block-covers", "top-batch-covers")])
     # four times the rows, well under sixteen times the pairs, which all pairs of covers would be
-    assert pairs[2] < 8 * pairs[0] and pairs[2] < covers[2][0] * covers[2][1] / 3, (pairs, covers)
+    assert pairs[1] < 8 * pairs[0] and pairs[1] < covers[1][0] * covers[1][1] / 3, (pairs, covers)
 
 
 def test_the_query_takes_all_rows(spark, tmp_path):
