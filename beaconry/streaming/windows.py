@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.functions.rating import severity
 from beaconry.functions.times import align_tick
 from beaconry.operators.joins import enrich_server
-from beaconry.operators.skew import part_of, sized_join
+from beaconry.operators.skew import fits_broadcast, part_of, sized_join
 
 # fixed values: delays and window shape
 METRIC_WATERMARK, ALERT_WATERMARK = "60 seconds", "86400 seconds"
 WINDOW_SECONDS, SLIDE_SECONDS = 60, 5
+# windows of a table that one task meets, counted as if no two rows of it shared one
+WINDOWS_PER_TASK = 2_000_000
 STATE_COLUMNS = ("server_id", "timestamp", "src_type", "severity")
 
 
@@ -30,15 +33,15 @@ def dedup_stream(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 def sliding_mean(df: DataFrame, host: str = "hostname", ts: str = "timestamp", value: str = "value",
                  size: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS, by: Sequence[str] = (),
-                 final: bool = False) -> DataFrame:
+                 final: bool = False, parts: int | None = None) -> DataFrame:
     """Mean per host (and further columns ``by``) and sliding window, labelled with the window end in epoch seconds.
 
     A stream allows one aggregation in update mode, so there each row is expanded by
     Spark's window function. ``final`` is for append mode, where a window is given out once, when the watermark has passed
-    its end: see ``_final_mean``. A table takes the cheaper way of ``_tiled_mean``.
+    its end: see ``_final_mean``. A table takes the cheaper way of ``_tiled_mean``, in ``parts`` parts (``window_parts``).
     """
     if not df.isStreaming:
-        return _tiled_mean(df, [host, *by], ts, value, size, slide)
+        return _tiled_mean(df, [host, *by], ts, value, size, slide, parts)
     if final:
         return _final_mean(df, [host, *by], ts, value, size, slide)
     end = F.unix_timestamp("window.end").cast("bigint")
@@ -64,12 +67,23 @@ def _final_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: i
     return means.select(*keys, F.unix_timestamp("window.end").cast("bigint").alias("timestamp"), "avg")
 
 
-def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: int, slide: int) -> DataFrame:
+def window_parts(df: DataFrame, size: int, slide: int) -> int:
+    """Into how many parts the windows of a table's rows are dealt, so that a task meets a bounded number of them.
+
+    A row lies in size/slide windows; the rows are counted, for a Parquet table from its footers.
+    """
+    windows = df.count() * (size // slide)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-windows // WINDOWS_PER_TASK))
+
+
+def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: int, slide: int,
+                parts: int | None = None) -> DataFrame:
     """Sliding means from one (sum, count) per slide instead of from repeated rows.
 
     A tile counts in size/slide windows, but is not shuffled once for each: it is sent to
-    the one or two blocks of time its windows end in, and repeated only there. Blocks
-    also split a host with very many rows over several tasks.
+    the one or two blocks of time its windows end in. Blocks also split a host with very many rows over several tasks.
+    In a block the tiles are sorted, and each gives out the windows it is the last tile of, from itself and those up to
+    size - slide before it. So no table of windows is held, and a task sorts a bounded number of tiles.
     """
     if size % slide:
         raise ValueError("the window size must be a multiple of the slide")
@@ -77,17 +91,27 @@ def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: i
     epoch = F.unix_timestamp(ts)
     tile = epoch - F.pmod(epoch, F.lit(slide))
     tiles = df.groupBy(*keys, tile.alias("tile")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+    kind = tiles.schema["total"].dataType
     first, last = F.col("tile") + slide, F.col("tile") + size
     blocks = F.explode(F.sequence(F.floor(first / span), F.floor(last / span)))
     low, high = F.col("block") * span, (F.col("block") + 1) * span - slide
-    ends = F.explode(F.sequence(F.greatest(first, low), F.least(last, high), F.lit(slide).cast("bigint")))
+    sorted_tiles = W.partitionBy(*keys, "block").orderBy("tile")
+    # a window ends with this tile if it is over before the next one
+    begin, end = F.greatest(first, low), F.least(last, high, F.lead("tile").over(sorted_tiles))
+    held = F.collect_list(F.struct("tile", "total", "n")).over(sorted_tiles.rangeBetween(slide - size, 0))
+    ends = F.explode(F.when(F.col("begin") <= F.col("end"), F.sequence("begin", "end", F.lit(slide).cast("bigint"))))
+    inside = F.filter("held", lambda t: t["tile"] >= F.col("timestamp") - size)
+    summed = F.aggregate(
+        inside, F.struct(F.lit(0).cast(kind).alias("total"), F.lit(0).cast("bigint").alias("n")),
+        lambda a, t: F.struct((a["total"] + F.coalesce(t["total"], F.lit(0).cast(kind))).cast(kind).alias("total"),
+                              (a["n"] + t["n"]).alias("n")),
+        lambda a: F.when(a["n"] > 0, a["total"] / a["n"]))
     return (
         tiles.withColumn("block", blocks)
-        .repartition(*keys, "block")
-        .select(*keys, "block", ends.alias("timestamp"), "total", "n")
-        .groupBy(*keys, "block", "timestamp")
-        .agg((F.sum("total") / F.sum("n")).alias("avg"))
-        .drop("block")
+        .repartition(parts or window_parts(df, size, slide), *keys, "block")
+        .select(*keys, begin.alias("begin"), end.alias("end"), held.alias("held"))
+        .select(*keys, "held", ends.alias("timestamp"))
+        .select(*keys, "timestamp", summed.alias("avg"))
     )
 
 
@@ -104,11 +128,18 @@ def evaluate_metric(windows: DataFrame, servers: DataFrame, metric: str, limit:
     )
 
 
-def evaluate_metrics(windows: DataFrame, thresholds: DataFrame, limit: int | None = None) -> DataFrame:
-    """Rate the windows of all metrics at once: ``windows`` by host and ``name``, ``thresholds`` from ``all_thresholds``."""
+def evaluate_metrics(windows: DataFrame, thresholds: DataFrame, limit: int | None = None, parts: int | None = None) -> DataFrame:
+    """Rate the windows of all metrics at once: ``windows`` by host and ``name``, ``thresholds`` from ``all_thresholds``.
+
+    Where the thresholds are too large to broadcast, both are dealt into ``parts`` parts, if given.
+    """
+    keys = ["hostname", "name"]
     side = part_of(thresholds.select(
         "hostname", F.col("metric_name").alias("name"), "server_id", "amber_threshold", "red_threshold"), thresholds)
-    rated = sized_join(windows, side, ["hostname", "name"], "left", limit=limit)
+    if parts and not fits_broadcast(side, limit):
+        # a host and metric have no more windows than there are slides, so no key fills a part
+        windows, side = windows.repartition(parts, *keys), part_of(side.repartition(parts, *keys), thresholds)
+    rated = sized_join(windows, side, keys, "left", limit=limit)
     return rated.select(
         "hostname", "server_id", "timestamp", F.col("name").alias("src_type"),
         severity("avg", "amber_threshold", "red_threshold").alias("severity"))
@@ -122,10 +153,16 @@ def unknown_hosts(rated: DataFrame) -> DataFrame:
     return rated.filter(F.col("severity").isNull()).select("hostname", "timestamp", "src_type")
 
 
-def server_health(states: DataFrame, step: int = SLIDE_SECONDS) -> DataFrame:
-    """Highest severity of a server over all its sources, per tick of the common grid."""
-    tick = align_tick("timestamp", step, strict=False)
-    return states.groupBy("server_id", tick.alias("timestamp")).agg(F.max("severity").alias("severity"))
+def server_health(states: DataFrame, step: int = SLIDE_SECONDS, parts: int | None = None) -> DataFrame:
+    """Highest severity of a server over all its sources, per tick of the common grid.
+
+    With ``parts`` the states are dealt into so many parts before they are grouped. Otherwise every task groups what it
+    has beforehand, in a table that grows with its share of the states, as few of them are equal in server and tick.
+    """
+    ticks = states.select("server_id", align_tick("timestamp", step, strict=False).alias("timestamp"), "severity")
+    if parts:
+        ticks = ticks.repartition(parts, "server_id", "timestamp")
+    return ticks.groupBy("server_id", "timestamp").agg(F.max("severity").alias("severity"))
 
 
 def late_rows(arriving: DataFrame, seen: DataFrame, ts: str, delay: str) -> DataFrame:
