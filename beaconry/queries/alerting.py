@@ -98,9 +98,10 @@ HEALTH_STEP = 3600
     FROM states GROUP BY 1, 2""")
 def health(t: Tables):
     """Every metric and the alerts, in one pass over the metrics."""
-    windows = w.sliding_mean(t.metric, size=SIZE, slide=SLIDE, by=["name"])
-    rated = w.evaluate_metrics(windows, all_thresholds(t.server, t.metric_threshold))
-    return w.server_health(x.union_waves(w.known_states(rated), alert_states(t)), HEALTH_STEP)
+    parts = w.window_parts(t.metric, SIZE, SLIDE)
+    windows = w.sliding_mean(t.metric, size=SIZE, slide=SLIDE, by=["name"], parts=parts)
+    rated = w.evaluate_metrics(windows, all_thresholds(t.server, t.metric_threshold), parts=parts)
+    return w.server_health(x.union_waves(w.known_states(rated), alert_states(t)), HEALTH_STEP, parts)
 
 
 @query("late_rows", sql="""
