@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,43 +20,55 @@ CHANGES = T.StructType([
     *schemas.struct(hostname=schemas.STR, kind=schemas.STR, message=schemas.STR, incident_ts=schemas.LONG,
                     opened=schemas.BOOL, closed=schemas.BOOL, live=schemas.BOOL, as_of=schemas.LONG, seq=schemas.LONG).fields,
     T.StructField("pending", T.ArrayType(T.StringType()))])
-# newest time, number of the last rating, and the flags of each incident by time and message
-STATE = schemas.struct(as_of=schemas.LONG, seq=schemas.LONG, incidents=schemas.STR)
+# alerts go into the state function, and changes come out, as one text column each: a call costs more by the column than by the row
+ALERT_FIELDS = ["hostname", "incident_ts", "message", "status", "as_of"]
+PACKED = schemas.struct(changes=schemas.STR)
+# state entries at most. Calling Python for an entry costs far more than a host's alerts do, so beyond this number hosts share entries
+ENTRIES = 16_384
+# by host: newest time, number of the last rating, and the flags of each incident by time and message
+STATE = schemas.struct(hosts=schemas.STR)
 
 
-def _host_changes(ttl: int | None):
-    """The state function: fold in a host's new alerts, drop what has expired, say what changed."""
+def _entry_changes(ttl: int | None):
+    """The state function: fold in the new alerts of an entry's hosts, drop what has expired, say what changed."""
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        as_of, seq, stored = state.get if state.exists else (None, 0, "{}")
-        incidents: dict[str, dict[str, list[bool]]] = json.loads(stored)
-        changed: dict[tuple[str, str], bool] = {}
+        hosts: dict[str, list] = json.loads(state.get[0]) if state.exists else {}
+        # the changed incidents of each host that has new alerts or expired incidents
+        changed: dict[str, dict[tuple[str, str], bool]] = {}
         for batch in () if state.hasTimedOut else batches:
-            for ts, message, status, at in zip(*(batch[c].tolist() for c in ("incident_ts", "message", "status", "as_of"))):
+            for host, ts, message, status, at in map(itemgetter(*ALERT_FIELDS), map(json.loads, batch["alert"].tolist())):
                 ts = str(ts)
-                flags = incidents.setdefault(ts, {}).setdefault(message, [False, False])
+                held = hosts.setdefault(host, [None, 0, {}])
+                flags = held[2].setdefault(ts, {}).setdefault(message, [False, False])
+                changes = changed.setdefault(host, {})
                 place = status == "CLOSED"
                 if not flags[place]:
-                    flags[place] = changed[ts, message] = True
-                as_of = at if as_of is None else max(as_of, at)
+                    flags[place] = changes[ts, message] = True
+                held[0] = at if held[0] is None else max(held[0], at)
         rows = []
         if ttl is not None:
             # the watermark is the newest time of the stream less the time to live
             watermark = state.getCurrentWatermarkMs()
-            for ts in [t for t in incidents if int(t) * 1000 <= watermark]:
-                for message, flags in incidents.pop(ts).items():
-                    changed.pop((ts, message), None)
-                    rows.append((key[0], INCIDENT, message, int(ts), *flags, False, None, None, None))
-                as_of = max(as_of, int(ts) + ttl)
-        rows += [(key[0], INCIDENT, m, int(t), *incidents[t][m], True, None, None, None) for t, m in changed]
-        pending = {m for by in incidents.values() for m, (opened, closed) in by.items() if opened and not closed}
-        rows.append((key[0], HOST, None, None, None, None, None, as_of, seq + 1, sorted(pending)))
-        state.update((as_of, seq + 1, json.dumps(incidents)))
-        if ttl is not None and incidents:
+            for host, held in hosts.items():
+                for ts in [t for t in held[2] if int(t) * 1000 <= watermark]:
+                    changes = changed.setdefault(host, {})
+                    for message, flags in held[2].pop(ts).items():
+                        changes.pop((ts, message), None)
+                        rows.append((host, INCIDENT, message, int(ts), *flags, False, None, None, None))
+                    held[0] = max(held[0], int(ts) + ttl)
+        for host, changes in changed.items():
+            held = hosts[host]
+            as_of, held[1], incidents = held[0], held[1] + 1, held[2]
+            rows += [(host, INCIDENT, m, int(t), *incidents[t][m], True, None, None, None) for t, m in changes]
+            pending = {m for by in incidents.values() for m, (opened, closed) in by.items() if opened and not closed}
+            rows.append((host, HOST, None, None, None, None, None, as_of, held[1], sorted(pending)))
+        state.update((json.dumps(hosts),))
+        times = [int(t) for held in hosts.values() for t in held[2]] if ttl is not None else []
+        if times:
             # a timer goes off once the watermark has passed it
-            state.setTimeoutTimestamp(max(min(map(int, incidents)) * 1000 - 1, watermark + 1))
-        # plain objects: a host has a few rows, and column types would cost more than all the rest
-        yield pd.DataFrame(dict(zip(CHANGES.names, map(list, zip(*rows)))), dtype=object)
+            state.setTimeoutTimestamp(max(min(times) * 1000 - 1, watermark + 1))
+        yield pd.DataFrame({"changes": [json.dumps([dict(zip(CHANGES.names, row)) for row in rows])]})
 
     return update
 
@@ -71,7 +84,8 @@ def incident_changes(alerts: DataFrame, ttl: int | None, clock: Callable[[], int
 
     A batch has one row per host concerned, stamped with event time, ``as_of``, which never goes back, and numbered per
     host by ``seq``.
-    A batch reads and writes the state of the hosts it names or whose incidents expire, and no other.
+    A batch reads and writes the state entries of the hosts it names or whose incidents expire, and no other. A host has
+    an entry of its own as long as there are few beside ``ENTRIES``; of more hosts, those of equal hash share one.
     """
     now = F.lit(clock()).cast("timestamp") if clock else F.current_timestamp()
     timed = alerts.select("hostname", "message", "status", F.unix_timestamp("timestamp").alias("incident_ts"),
@@ -80,4 +94,8 @@ def incident_changes(alerts: DataFrame, ttl: int | None, clock: Callable[[], int
     if ttl is not None:
         timed = timed.withWatermark("event_time", f"{ttl} seconds")
     timeout = GroupStateTimeout.NoTimeout if ttl is None else GroupStateTimeout.EventTimeTimeout
-    return timed.groupBy("hostname").applyInPandasWithState(_host_changes(ttl), CHANGES, STATE, "update", timeout)
+    alert = F.to_json(F.struct(*ALERT_FIELDS), {"ignoreNullFields": "false"}).alias("alert")
+    entry = F.pmod(F.xxhash64("hostname"), F.lit(ENTRIES)).cast("string").alias("entry")
+    packed = timed.select(entry, alert, *(["event_time"] if ttl is not None else []))
+    changed = packed.groupBy("entry").applyInPandasWithState(_entry_changes(ttl), PACKED, STATE, "update", timeout)
+    return changed.select(F.inline(F.from_json("changes", T.ArrayType(CHANGES))))
