@@ -309,13 +309,16 @@ def stream_states_shared_key(t: Tables):
 
 # the time to live of the streamed registry, in the query and in its oracle
 STREAM_TTL = 10 * 86_400
+# bytes of a row group of the alert messages
+ROW_GROUP = 4 * 1024 * 1024
 
 
 def run_alert_stream(t: Tables, ttl: int | None, files: int = 4, max_files: int = 1) -> str:
     """The alerts in several files; by default every file is a micro-batch of its own."""
     root = fresh_path(t.spark, "alert-stream")
     messages = m.to_messages(t.alert.drop("created_time"), m.PREFIXES["alert"])
-    messages.repartition(files).write.parquet(f"{root}/trunk")
+    # several row groups, so that more than one task reads a large file
+    messages.repartition(files).write.option("parquet.block.size", ROW_GROUP).parquet(f"{root}/trunk")
     trunk = m.read_trunk_files(t.spark, f"{root}/trunk", max_files)
     finish(*streams.alert_stream(trunk, t.server, t.alert_index, root, ttl=ttl, available_now=True))
     return root
