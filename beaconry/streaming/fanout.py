@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconry import schemas
 from beaconry.functions.times import epoch_seconds
 from beaconry.operators.lookup import metric_thresholds
-from beaconry.session import materialize
-from beaconry.sources.files import delete, listed, read_text, write_text
+from beaconry.operators.skew import sized_join
+from beaconry.session import materialize, scratch
 from beaconry.sources.messages import accepted, decode_metric, quarantined
 from beaconry.streaming import windows as w
+from beaconry.streaming.carried import newest_times, read_carried, record_times, write_carried
 from beaconry.streaming.sinks import METRIC_SINK, STATE_SINK_COLUMNS, read_upserts, start_query, state_keys, upsert_sink
 from beaconry.streaming.streams import UNKNOWN_COLUMNS, Table, metric_windows, now
 
@@ -23,14 +23,10 @@ KIND, WATERMARK = "kind", "watermark"
 LATE = schemas.extend(schemas.METRIC, kind=schemas.STR, watermark=schemas.LONG)
 HEALTH_KEYS = ["server_id", "timestamp"]
 HEALTH = schemas.struct(server_id=schemas.LONG, timestamp=schemas.LONG, severity=schemas.INT)
-# records of earlier batches that are kept, for batches that run again
-KEPT_TIMES = 100
-
-
-def _newest(spark: SparkSession, folder: str, batch_id: int) -> dict[str, int]:
-    """The newest event time of each metric in all batches before this one."""
-    before = [int(n) for n in listed(spark, folder) if n.isdigit() and int(n) < batch_id]
-    return json.loads(read_text(spark, f"{folder}/{max(before)}")) if before else {}
+NEWEST = "newest"
+# what the windows of a metric carry: rows seen and sums per slide, as far back as a row to come can reach
+SEEN = schemas.struct(id=schemas.LONG, timestamp=schemas.TS)
+TILES = schemas.struct(hostname=schemas.STR, tile=schemas.LONG, total=schemas.T.DoubleType(), n=schemas.LONG)
 
 
 def fan_out(trunk: DataFrame, root: str, metrics: Mapping[str, str], delay: int = 60, available_now: bool = False) -> StreamingQuery:
@@ -55,7 +51,7 @@ def fan_out(trunk: DataFrame, root: str, metrics: Mapping[str, str], delay: int
         kept = materialize(batch, "fan-out")
         bad(quarantined(kept), batch_id)
         rows = accepted(kept)
-        before = _newest(spark, f"{root}/times", batch_id)
+        before = newest_times(spark, f"{root}/times", batch_id)
         marks = spark.createDataFrame([(m, t - delay) for m, t in before.items()], f"{KIND} string, {WATERMARK} long")
         marked = rows.join(F.broadcast(marks), KIND, "left")
         # as a stream that removes duplicates sees it
@@ -67,42 +63,78 @@ def fan_out(trunk: DataFrame, root: str, metrics: Mapping[str, str], delay: int
             fresh = marked.filter((F.col(KIND) == metric) & ~is_late).select(*METRIC_SINK[1])
             fresh.write.mode("overwrite").parquet(f"{root}/window_input/{metric}/batch_id={batch_id}")
         newest = dict(rows.groupBy(KIND).agg(F.unix_timestamp(F.max("timestamp"))).collect())
-        after = {m: max(t for t in (before.get(m), newest.get(m)) if t is not None) for m in {**before, **newest}}
-        write_text(spark, f"{root}/times/{batch_id}", json.dumps(after))
-        for n, path in listed(spark, f"{root}/times").items():
-            if n.isdigit() and int(n) <= batch_id - KEPT_TIMES:
-                delete(spark, path)
+        record_times(spark, f"{root}/times", batch_id, before, newest)
 
     routed = trunk.withColumn(KIND, kind).filter(F.col(KIND).isNotNull())
     decoded = decode_metric(routed, KIND)
     return start_query(decoded, handle, f"{root}/checkpoints/fan_out", "fan_out", available_now)
 
 
+def updated_windows(batch: DataFrame, batch_id: int, folder: str, delay: int, size: int, slide: int) -> DataFrame:
+    """The windows that a batch of one metric's rows changes, each with its mean over all rows so far.
+
+    What Spark's state does in update mode for ``metric_windows``: rows not younger than the watermark that the batches
+    before left are dropped, a row counts once by (id, timestamp), and every window a new row lies in is given out. But
+    the state is one sum per host and slide, not one per window, it lies in ``folder`` as a table, and only what is
+    younger than the watermark, or shares a window with rows that are, goes on to the next batch.
+    """
+    spark = batch.sparkSession
+    before = newest_times(spark, f"{folder}/times", batch_id)
+    newest = batch.agg(epoch_seconds(F.max("timestamp"))).first()[0]
+    rows = batch.select("id", "hostname", "timestamp", F.col("value").cast("double").alias("value"))
+    if NEWEST in before:
+        rows = rows.filter(epoch_seconds("timestamp") > before[NEWEST] - delay)
+    seen = read_carried(spark, f"{folder}/seen", batch_id, SEEN)
+    fresh = sized_join(w.dedup_stream(rows, ["id"], "timestamp"), seen, SEEN.names, "left_anti", null_safe=True)
+    sums = w.tile_sums(fresh, ["hostname"], "timestamp", "value", slide).withColumn("fresh", F.lit(True))
+    held = read_carried(spark, f"{folder}/tiles", batch_id, TILES).withColumn("fresh", F.lit(False))
+    both = sums.unionByName(held).groupBy("hostname", "tile")
+    tiles = materialize(both.agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("fresh").alias("fresh")), "tiles")
+    after = record_times(spark, f"{folder}/times", batch_id, before, {NEWEST: newest})
+    if after:
+        watermark = after[NEWEST] - delay
+        # a row to come is younger than the watermark, and its windows begin less than their size before it
+        write_carried(tiles.filter(F.col("tile") > watermark - size).select(*TILES.names), f"{folder}/tiles", batch_id)
+        young = rows.select(*SEEN.names).unionByName(seen).filter(epoch_seconds("timestamp") > watermark)
+        write_carried(young.distinct(), f"{folder}/seen", batch_id)
+    return w.tile_means(tiles, ["hostname"], size, slide, w.window_parts(tiles, size, slide), "fresh")
+
+
 def window_query(spark: SparkSession, root: str, metric: str, server: Table, threshold: Table, delay: int = 60,
-                 available_now: bool = False, final: bool = False, offer: bool = False, **window_options) -> StreamingQuery:
+                 available_now: bool = False, final: bool = False, offer: bool = False, size: int = w.WINDOW_SECONDS,
+                 slide: int = w.SLIDE_SECONDS) -> StreamingQuery:
     """Rate the windows of one metric from what ``fan_out`` has set out for it.
 
-    A batch of the fan-out that ran again sets its rows out again; the stream's own removal of duplicates takes them out.
-    Its watermark never passes that of the fan-out, so it drops nothing that is not in ``late``. States go to
-    ``server_state_<metric>``, and with ``offer`` also to ``health_input`` for ``health_query``.
+    A batch of the fan-out that ran again sets its rows out again; the removal of duplicates takes them out.
+    The watermark here never passes that of the fan-out, so nothing is dropped that is not in ``late``. States go to
+    ``server_state_<metric>``, and with ``offer`` also to ``health_input`` for ``health_query``. Windows are those of
+    ``updated_windows``, whose state is under ``window_state/<metric>``; with ``final``, or where the slide does not divide
+    the size, they are kept by Spark.
     """
     folder = f"{root}/window_input/{metric}"
     rows = spark.readStream.schema(schemas.METRIC).option("recursiveFileLookup", "true").parquet(folder)
-    windows = metric_windows(rows, f"{delay} seconds", final=final, **window_options)
     states = upsert_sink(f"{root}/server_state_{metric}", STATE_SINK_COLUMNS, state_keys())
     unknown = upsert_sink(f"{root}/quarantine_{metric}_unknown", UNKNOWN_COLUMNS, UNKNOWN_COLUMNS)
 
-    def rate(batch: DataFrame, batch_id: int) -> None:
+    def rate(windows: DataFrame, batch_id: int) -> None:
         thresholds = metric_thresholds(now(server), now(threshold), metric)
-        rated = materialize(w.evaluate_metric(batch, thresholds, metric), "rated")
+        rated = materialize(w.evaluate_metric(windows, thresholds, metric), "rated")
         known = w.known_states(rated)
         states(known, batch_id)
         if offer:
             offer_states(known, root, metric, batch_id)
         unknown(w.unknown_hosts(rated), batch_id)
 
+    def update(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            rate(updated_windows(batch, batch_id, f"{root}/window_state/{metric}", delay, size, slide), batch_id)
+
     name = f"windows_{metric}"
-    return start_query(windows, rate, f"{root}/checkpoints/{name}", name, available_now, mode="append" if final else "update")
+    checkpoint = f"{root}/checkpoints/{name}"
+    if final or size % slide:
+        windows = metric_windows(rows, f"{delay} seconds", final=final, size=size, slide=slide)
+        return start_query(windows, rate, checkpoint, name, available_now, mode="append" if final else "update")
+    return start_query(rows, update, checkpoint, name, available_now)
 
 
 def offer_states(states: DataFrame, root: str, source: str, batch_id: int) -> None:

@@ -134,6 +134,11 @@ def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return latest_per_key(rows, keys, [F.desc(BATCH), *[F.desc(c) for c in rest]])
 
 
+def _folded(spark: SparkSession, path: str) -> bool:
+    """Whether a sink has folded any batch."""
+    return any(current_folders(spark, root) for root in _roots(spark, path)) or bool(_kept_rows(spark, f"{path}/rows"))
+
+
 def _merged(base: DataFrame, pending: DataFrame, keys: Sequence[str], again: list[int], follows: bool) -> DataFrame:
     """The current row of each key of folded and pending rows.
 
@@ -185,6 +190,9 @@ def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
         if not batches:
             return base.drop(BATCH, BUCKET)
         return base.filter(~F.col(BATCH).isin(list(batches))).drop(BUCKET).unionByName(pending).drop(BATCH)
+    if batches and not _folded(spark, path):
+        # written, as a fold may remove the batches before the rows are asked for
+        return materialize(_latest(pending, keys), "sink-newest").drop(BATCH)
     unranked = bool(_kept_rows(spark, f"{path}/rows"))
     if not batches:
         return (_latest(base.drop(BUCKET), keys) if unranked else base).drop(BATCH, BUCKET)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -72,25 +72,40 @@ def window_parts(df: DataFrame, size: int, slide: int) -> int:
 
     A row lies in size/slide windows; the rows are counted, for a Parquet table from its footers.
     """
-    windows = df.count() * (size // slide)
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-windows // WINDOWS_PER_TASK))
+    return task_parts(df.sparkSession, df.count() * (size // slide), WINDOWS_PER_TASK)
+
+
+def task_parts(spark: SparkSession, rows: int, most: int) -> int:
+    """The usual number of shuffle partitions, or as many as leave a task at ``most`` rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
+
+
+def tile_sums(df: DataFrame, keys: Sequence[str], ts: str, value: str, slide: int) -> DataFrame:
+    """One (sum, count) per key and slide; ``tile`` is the start of the slide in epoch seconds."""
+    epoch = F.unix_timestamp(ts)
+    tile = epoch - F.pmod(epoch, F.lit(slide))
+    return df.groupBy(*keys, tile.alias("tile")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
 
 
 def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: int, slide: int,
                 parts: int | None = None) -> DataFrame:
-    """Sliding means from one (sum, count) per slide instead of from repeated rows.
+    """Sliding means from one (sum, count) per slide instead of from repeated rows."""
+    if size % slide:
+        raise ValueError("the window size must be a multiple of the slide")
+    return tile_means(tile_sums(df, keys, ts, value, slide), keys, size, slide, parts or window_parts(df, size, slide))
+
+
+def tile_means(tiles: DataFrame, keys: Sequence[str], size: int, slide: int, parts: int, only: str | None = None) -> DataFrame:
+    """Sliding means of ``tile_sums``, which have one row per key and tile.
 
     A tile counts in size/slide windows, but is not shuffled once for each: it is sent to
     the one or two blocks of time its windows end in. Blocks also split a host with very many rows over several tasks.
     In a block the tiles are sorted, and each gives out the windows it is the last tile of, from itself and those up to
     size - slide before it. So no table of windows is held, and a task sorts a bounded number of tiles.
+    With ``only``, a Boolean column of the tiles, windows without a tile where it is true are left out.
     """
-    if size % slide:
-        raise ValueError("the window size must be a multiple of the slide")
     span = size * 10
-    epoch = F.unix_timestamp(ts)
-    tile = epoch - F.pmod(epoch, F.lit(slide))
-    tiles = df.groupBy(*keys, tile.alias("tile")).agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+    fields = ["tile", "total", "n", *([only] if only else [])]
     kind = tiles.schema["total"].dataType
     first, last = F.col("tile") + slide, F.col("tile") + size
     blocks = F.explode(F.sequence(F.floor(first / span), F.floor(last / span)))
@@ -98,7 +113,7 @@ def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: i
     sorted_tiles = W.partitionBy(*keys, "block").orderBy("tile")
     # a window ends with this tile if it is over before the next one
     begin, end = F.greatest(first, low), F.least(last, high, F.lead("tile").over(sorted_tiles))
-    held = F.collect_list(F.struct("tile", "total", "n")).over(sorted_tiles.rangeBetween(slide - size, 0))
+    held = F.collect_list(F.struct(*fields)).over(sorted_tiles.rangeBetween(slide - size, 0))
     ends = F.explode(F.when(F.col("begin") <= F.col("end"), F.sequence("begin", "end", F.lit(slide).cast("bigint"))))
     inside = F.filter("held", lambda t: t["tile"] >= F.col("timestamp") - size)
     summed = F.aggregate(
@@ -106,13 +121,15 @@ def _tiled_mean(df: DataFrame, keys: Sequence[str], ts: str, value: str, size: i
         lambda a, t: F.struct((a["total"] + F.coalesce(t["total"], F.lit(0).cast(kind))).cast(kind).alias("total"),
                               (a["n"] + t["n"]).alias("n")),
         lambda a: F.when(a["n"] > 0, a["total"] / a["n"]))
-    return (
+    windows = (
         tiles.withColumn("block", blocks)
-        .repartition(parts or window_parts(df, size, slide), *keys, "block")
+        .repartition(parts, *keys, "block")
         .select(*keys, begin.alias("begin"), end.alias("end"), held.alias("held"))
         .select(*keys, "held", ends.alias("timestamp"))
-        .select(*keys, "timestamp", summed.alias("avg"))
     )
+    if only:
+        windows = windows.filter(F.exists("held", lambda t: t[only] & (t["tile"] >= F.col("timestamp") - size)))
+    return windows.select(*keys, "timestamp", summed.alias("avg"))
 
 
 def evaluate_metric(windows: DataFrame, servers: DataFrame, metric: str, limit: int | None = None) -> DataFrame:
