@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry import schemas
-from beaconry.functions.times import epoch_seconds
+from beaconry.functions.times import ceil_tick, epoch_seconds
 from beaconry.operators.lookup import metric_thresholds
 from beaconry.operators.skew import sized_join
 from beaconry.session import materialize, scratch
@@ -145,6 +145,38 @@ def offer_states(states: DataFrame, root: str, source: str, batch_id: int) -> No
 
 
 HEALTH_INPUT = schemas.struct(server_id=schemas.LONG, timestamp=schemas.TS, src_type=schemas.STR, severity=schemas.INT, seq=schemas.LONG)
+# states that one task groups by server and tick, in a table of as many entries as they may be
+STATES_PER_TASK = 500_000
+# what health carries: the last rating of each source in the ticks that a state to come can still belong to
+RATINGS = schemas.struct(server_id=schemas.LONG, timestamp=schemas.LONG, src_type=schemas.STR, severity=schemas.INT, seq=schemas.LONG)
+
+
+def updated_health(batch: DataFrame, batch_id: int, folder: str, sources: list[str], delay: int, step: int) -> DataFrame:
+    """Overall health of the servers and ticks that a batch of states changes, from the last rating of each source so far.
+
+    States of ticks that the watermark of the batches before has passed are dropped. Ratings of the others go on to the
+    next batch as a table in ``folder``; a watermark behind the newest state leaves few of them, however long the batch.
+    """
+    spark = batch.sparkSession
+    before = newest_times(spark, f"{folder}/times", batch_id)
+    newest, count = batch.agg(epoch_seconds(F.max("timestamp")), F.count("timestamp")).first()
+    # a state on the grid belongs to its own tick, any other to the next
+    rows = batch.filter("timestamp IS NOT NULL").withColumn("timestamp", ceil_tick("timestamp", step)).select(*RATINGS.names)
+    if NEWEST in before:
+        rows = rows.filter(F.col("timestamp") >= before[NEWEST] - delay)
+    held = read_carried(spark, f"{folder}/ratings", batch_id, RATINGS)
+    after = record_times(spark, f"{folder}/times", batch_id, before, {NEWEST: newest})
+    if after:
+        young = rows.unionByName(held).filter(F.col("timestamp") >= after[NEWEST] - delay)
+        last = young.groupBy("server_id", "timestamp", "src_type").agg(F.max_by("severity", "seq").alias("severity"), F.max("seq").alias("seq"))
+        write_carried(last.select(*RATINGS.names), f"{folder}/ratings", batch_id)
+    both = rows.withColumn("fresh", F.lit(True)).unionByName(held.withColumn("fresh", F.lit(False)))
+    # dealt out before they are grouped: few states are equal in server and tick, so grouping in place first would hold them all
+    parts = w.task_parts(spark, count, STATES_PER_TASK)
+    last = [F.max_by("severity", F.when(F.col("src_type") == s, F.col("seq"))).alias(f"of_{i}") for i, s in enumerate(sources)]
+    ticks = both.repartition(parts, *HEALTH_KEYS).groupBy(*HEALTH_KEYS).agg(F.max("fresh").alias("fresh"), *last).filter("fresh")
+    severity = F.greatest(*[F.col(f"of_{i}") for i in range(len(sources))], F.lit(0))
+    return ticks.select(*HEALTH_KEYS, severity.cast("int").alias("severity"))
 
 
 def health_query(spark: SparkSession, root: str, sources: list[str], delay: int = 600, step: int = w.SLIDE_SECONDS,
@@ -152,17 +184,16 @@ def health_query(spark: SparkSession, root: str, sources: list[str], delay: int
     """Overall health of each server, live: the highest of its sources' last severities, per tick of the common grid.
 
     Metric windows are rated again while rows come in, so of each source the last rating counts, not the highest. A
-    tick's state is kept until the watermark, ``delay`` seconds behind the newest state, has passed it.
+    tick's state is kept until the watermark, ``delay`` seconds behind the newest state, has passed it; see
+    ``updated_health``. It lies under ``health_state``.
     """
     rows = spark.readStream.schema(HEALTH_INPUT).option("recursiveFileLookup", "true").parquet(f"{root}/health_input")
-    # a state on the grid belongs to its own tick, any other to the next
-    tick = F.window("timestamp", f"{step} seconds", startTime="1 microseconds").alias("tick")
-    last = [F.max_by("severity", F.when(F.col("src_type") == s, F.col("seq"))).alias(f"of_{i}") for i, s in enumerate(sources)]
-    health = rows.withWatermark("timestamp", f"{delay} seconds").groupBy("server_id", tick).agg(*last)
-    severity = F.greatest(*[F.col(f"of_{i}") for i in range(len(sources))], F.lit(0))
-    out = health.select("server_id", F.unix_timestamp("tick.end").alias("timestamp"), severity.cast("int").alias("severity"))
-    sink = upsert_sink(f"{root}/server_health", HEALTH.names, HEALTH_KEYS)
-    return start_query(out, sink, f"{root}/checkpoints/health", "health", available_now)
+    sink = upsert_sink(f"{root}/server_health", HEALTH.names, HEALTH_KEYS, costly=True)
+
+    def update(batch: DataFrame, batch_id: int) -> None:
+        sink(updated_health(batch, batch_id, f"{root}/health_state", sources, delay, step), batch_id)
+
+    return start_query(rows, update, f"{root}/checkpoints/health", "health", available_now)
 
 
 def read_health(spark: SparkSession, root: str) -> DataFrame:

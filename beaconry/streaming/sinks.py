@@ -50,22 +50,27 @@ def state_keys(shared_key: bool = False) -> list[str]:
 
 
 def upsert_sink(path: str, columns: Sequence[str], keys: Sequence[str] = (), every: int = COMPACT_EVERY,
-                buckets: int = BUCKETS) -> Sink:
+                buckets: int = BUCKETS, costly: bool = False) -> Sink:
     """Write each micro-batch to its own folder, and fold the folders into the buckets after ``every`` batches.
 
     The cost of a batch is that of its rows, and the cost of a fold that of the buckets its batches touch. A batch that
     is run again after a failure replaces its own folder, so nothing is written twice. An empty batch leaves nothing.
     Folding happens here, between two batches of the one query that owns the sink, so no batch is being written meanwhile
-    and readers list ``every`` folders at most. Without keys every row is kept.
+    and readers list ``every`` folders at most. Without keys every row is kept. A ``costly`` batch is computed once: it is
+    written without a look for its first row, and its folder removed if there was none.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns)
+        spark = rows.sparkSession
         folder = f"{path}/delta/{BATCH}={batch_id}"
-        if not rows.isEmpty() or exists(rows.sparkSession, folder):
+        again = exists(spark, folder)
+        if costly or again or not rows.isEmpty():
             rows.write.mode("overwrite").option(MARKED, "true").parquet(folder)
+        if costly and not again and spark.read.schema(rows.schema).parquet(folder).isEmpty():
+            delete(spark, folder)
         if every and (batch_id + 1) % every == 0:
-            fold_upserts(rows.sparkSession, path, rows.schema, keys, buckets)
+            fold_upserts(spark, path, rows.schema, keys, buckets)
 
     return write
 
