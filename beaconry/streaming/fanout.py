@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconry import schemas
 from beaconry.functions.times import ceil_tick, epoch_seconds
 from beaconry.operators.lookup import metric_thresholds
-from beaconry.operators.skew import sized_join
+from beaconry.operators.skew import sized_join, task_parts
 from beaconry.session import materialize, scratch
 from beaconry.sources.messages import accepted, decode_metric, quarantined
 from beaconry.streaming import windows as w
@@ -172,7 +172,7 @@ def updated_health(batch: DataFrame, batch_id: int, folder: str, sources: list[s
         write_carried(last.select(*RATINGS.names), f"{folder}/ratings", batch_id)
     both = rows.withColumn("fresh", F.lit(True)).unionByName(held.withColumn("fresh", F.lit(False)))
     # dealt out before they are grouped: few states are equal in server and tick, so grouping in place first would hold them all
-    parts = w.task_parts(spark, count, STATES_PER_TASK)
+    parts = task_parts(spark, count, STATES_PER_TASK)
     last = [F.max_by("severity", F.when(F.col("src_type") == s, F.col("seq"))).alias(f"of_{i}") for i, s in enumerate(sources)]
     ticks = both.repartition(parts, *HEALTH_KEYS).groupBy(*HEALTH_KEYS).agg(F.max("fresh").alias("fresh"), *last).filter("fresh")
     severity = F.greatest(*[F.col(f"of_{i}") for i in range(len(sources))], F.lit(0))
@@ -197,4 +197,4 @@ def health_query(spark: SparkSession, root: str, sources: list[str], delay: int
 
 
 def read_health(spark: SparkSession, root: str) -> DataFrame:
-    return read_upserts(spark, f"{root}/server_health", HEALTH, HEALTH_KEYS)
+    return read_upserts(spark, f"{root}/server_health", HEALTH, HEALTH_KEYS, few=True)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from beaconry.operators.merge import latest_per_key
-from beaconry.operators.skew import part_of, sized_join
+from beaconry.operators.skew import part_of, sized_join, task_parts
 from beaconry.session import materialize
 from beaconry.sources.buckets import (
     BUCKET,
@@ -40,6 +40,8 @@ ALERT_SINK = (["id"], ["id", "hostname", "message", "status", "timestamp"])
 STATE_SINK_COLUMNS = ["server_id", "timestamp", "src_type", "severity"]
 # batches after which a sink folds its folders
 COMPACT_EVERY = 100
+# rows that one task sorts by key, where a key has few of them
+ROWS_PER_TASK = 500_000
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -133,7 +135,10 @@ def _pending(spark: SparkSession, path: str, schema: T.StructType, batches: dict
     return reader.parquet(*batches.values())
 
 
-def _latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _latest(rows: DataFrame, keys: Sequence[str], few: bool = False) -> DataFrame:
+    if few:
+        # not sorted where they are, which would leave nearly all of them
+        rows = rows.repartition(task_parts(rows.sparkSession, rows.count(), ROWS_PER_TASK), *keys)
     # within a batch the last row is undefined, so settle ties by value
     rest = [c for c in rows.columns if c not in (*keys, BATCH, BUCKET)]
     return latest_per_key(rows, keys, [F.desc(BATCH), *[F.desc(c) for c in rest]])
@@ -144,7 +149,8 @@ def _folded(spark: SparkSession, path: str) -> bool:
     return any(current_folders(spark, root) for root in _roots(spark, path)) or bool(_kept_rows(spark, f"{path}/rows"))
 
 
-def _merged(base: DataFrame, pending: DataFrame, keys: Sequence[str], again: list[int], follows: bool) -> DataFrame:
+def _merged(base: DataFrame, pending: DataFrame, keys: Sequence[str], again: list[int], follows: bool,
+            few: bool = False) -> DataFrame:
     """The current row of each key of folded and pending rows.
 
     Usually all pending batches follow the folded ones, so their rows replace those of their keys; the folded rows are
@@ -154,8 +160,8 @@ def _merged(base: DataFrame, pending: DataFrame, keys: Sequence[str], again: lis
     columns = pending.columns
     if not follows:
         base = base.filter(~F.col(BATCH).isin(again)).select(*columns)
-        return _latest(base.unionByName(pending), keys)
-    newest = materialize(_latest(pending, keys), "sink-newest")
+        return _latest(base.unionByName(pending), keys, few)
+    newest = materialize(_latest(pending, keys, few), "sink-newest")
     replaced = part_of(newest.select(*keys), newest)
     kept = sized_join(base.select(*columns), replaced, keys, "left_anti", null_safe=True)
     return kept.unionByName(newest)
@@ -172,10 +178,11 @@ def _roots(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),
-                 wanted: DataFrame | None = None) -> DataFrame:
+                 wanted: DataFrame | None = None, few: bool = False) -> DataFrame:
     """The current row of each key, or all rows without keys.
 
-    With ``wanted``, a table of keys, only these rows are returned and only the buckets they live in are opened.
+    With ``wanted``, a table of keys, only these rows are returned and only the buckets they live in are opened. ``few`` says
+    that a batch has few rows of a key: they are dealt into parts that follow the rows, and sorted there only.
     """
     batches = finished(spark, f"{path}/delta", BATCH)
     only = None
@@ -197,12 +204,12 @@ def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
         return base.filter(~F.col(BATCH).isin(list(batches))).drop(BUCKET).unionByName(pending).drop(BATCH)
     if batches and not _folded(spark, path):
         # written, as a fold may remove the batches before the rows are asked for
-        return materialize(_latest(pending, keys), "sink-newest").drop(BATCH)
+        return materialize(_latest(pending, keys, few), "sink-newest").drop(BATCH)
     unranked = bool(_kept_rows(spark, f"{path}/rows"))
     if not batches:
-        return (_latest(base.drop(BUCKET), keys) if unranked else base).drop(BATCH, BUCKET)
+        return (_latest(base.drop(BUCKET), keys, few) if unranked else base).drop(BATCH, BUCKET)
     follows = not unranked and _follows(spark, path, batches)
-    return _merged(base, pending, keys, list(batches), follows).drop(BATCH)
+    return _merged(base, pending, keys, list(batches), follows, few).drop(BATCH)
 
 
 def fold_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (),

@@ -174,7 +174,7 @@ def read_states(spark: SparkSession, root: str, sources: Sequence[str], shared_k
     With ``shared_key`` a server and time has one state, that of the last source listed.
     """
     parts = [
-        read_upserts(spark, f"{root}/server_state_{s}", SERVER_STATE, state_keys()).withColumn("__rank", F.lit(i))
+        read_upserts(spark, f"{root}/server_state_{s}", SERVER_STATE, state_keys(), few=True).withColumn("__rank", F.lit(i))
         for i, s in enumerate(sources)
     ]
     states = parts[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconry.functions.rating import severity
 from beaconry.functions.times import align_tick
 from beaconry.operators.joins import enrich_server
-from beaconry.operators.skew import fits_broadcast, part_of, sized_join
+from beaconry.operators.skew import fits_broadcast, part_of, sized_join, task_parts
 
 # fixed values: delays and window shape
 METRIC_WATERMARK, ALERT_WATERMARK = "60 seconds", "86400 seconds"
@@ -75,11 +75,6 @@ def window_parts(df: DataFrame, size: int, slide: int) -> int:
     return task_parts(df.sparkSession, df.count() * (size // slide), WINDOWS_PER_TASK)
 
 
-def task_parts(spark: SparkSession, rows: int, most: int) -> int:
-    """The usual number of shuffle partitions, or as many as leave a task at ``most`` rows."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
-
-
 def tile_sums(df: DataFrame, keys: Sequence[str], ts: str, value: str, slide: int) -> DataFrame:
     """One (sum, count) per key and slide; ``tile`` is the start of the slide in epoch seconds."""
     epoch = F.unix_timestamp(ts)

@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconry import schemas
+from beaconry.operators.skew import task_parts
 from beaconry.streaming import carried, fanout, sinks, streams
 from tests.helpers import rows
 from tests.test_streaming import T0, Folder, masters, metric, run_fan_out  # noqa: F401  (masters is a fixture)
 
 SIZE, SLIDE, DELAY = 60, 20, 45
-# every seventh row comes late, and some come again
+# starts of the batches; every seventh row comes late, and some come again
 START = [0, 130, 135, 150, 2000, 2030]
 
 
@@ -145,3 +146,18 @@ def test_carried_rows_are_those_of_the_batch_before(spark, tmp_path):
         for _ in range(2):
             carried.write_carried(spark.createDataFrame([(n,)], schema), folder, n)
     assert rows(carried.read_carried(spark, folder, 3, schema)) == [(2,)]
+
+
+def test_rows_of_few_per_key_are_dealt_into_parts(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "sink"), schemas.struct(id=schemas.LONG, v=schemas.INT)
+    sink = sinks.upsert_sink(path, schema.names, ["id"], every=3)
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 30)
+    dealt = []
+    monkeypatch.setattr(sinks, "task_parts", lambda *a: dealt.append(task_parts(*a)) or dealt[-1])
+    for n in range(5):
+        sink(spark.range(50 * n, 50 * n + 200).selectExpr("if(id % 50 = 3, null, id) AS id", f"CAST(id % 3 + {n} AS int) AS v"), n)
+        # pending batches alone, then a base, then both
+        want = rows(sinks.read_upserts(spark, path, schema, ["id"]))
+        assert not dealt and rows(sinks.read_upserts(spark, path, schema, ["id"], few=True)) == want
+        assert dealt in ([], [max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-200 * ((n % 3) + 1) // 30))])
+        dealt.clear()
